@@ -24,9 +24,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+# Arrival clock of the replayed streams: record ``key`` arrives ``key`` minutes
+# after this instant (2024-01-01T00:00:00Z), one record per key and minute.
+ARRIVAL_EPOCH = 1704067200
+
+
 def _arrival_from_key(key: Column) -> list[Column]:
-    """Arrival hour and minute derived from a technical key (stream tags)."""
-    return [
+    """Arrival tags derived from a technical key: year, month, day, hour, minute.
+
+    hour = floor(key / 60) % 24 and minute = key % 60 (FIXTURES.md); the date
+    continues the same clock, so the bounded join (JOIN-2) has real overlaps.
+    """
+    ts = F.timestamp_seconds(F.lit(ARRIVAL_EPOCH) + key * 60)
+    return _date_tags(ts) + [
         F.format_string("%d", (F.floor(key / 60.0) % 24).cast("int")).alias("hour"),
         F.format_string("%d", (key % 60).cast("int")).alias("minute"),
     ]
@@ -72,7 +82,7 @@ def transfers(spark: SparkSession, sf_dir: str, tags: bool = False) -> DataFrame
         F.col("o_orderkey"),
     ]
     if tags:
-        cols += _date_tags(F.col("o_orderdate")) + _arrival_from_key(F.col("o_orderkey"))
+        cols += _arrival_from_key(F.col("o_orderkey"))
     return o.join(c, o.o_custkey == c.c_custkey).select(*cols)
 
 
@@ -97,7 +107,7 @@ def card_behaviour(spark: SparkSession, sf_dir: str, tags: bool = False) -> Data
     ]
     if tags:
         cols += [F.col("l_linenumber")]
-        cols += _date_tags(F.col("l_shipdate")) + _arrival_from_key(F.col("l_orderkey"))
+        cols += _arrival_from_key(F.col("l_orderkey"))
     return li.join(p, li.l_partkey == p.p_partkey).select(*cols)
 
 

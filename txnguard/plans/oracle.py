@@ -20,8 +20,9 @@ SELECT CAST(o_orderkey % 744 AS INT) + 1 AS step,
   CASE WHEN o_orderpriority = '5-LOW' AND o_totalprice * o_totalprice / 400000 > 200000
     THEN 1 ELSE 0 END AS isFlaggedFraud,
   o_orderkey,
-  strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month,
-  strftime(o_orderdate, '%d') AS day,
+  strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(o_orderkey), '%Y') AS year,
+  strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(o_orderkey), '%m') AS month,
+  strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(o_orderkey), '%d') AS day,
   CAST(CAST(floor(o_orderkey / 60.0) % 24 AS INT) AS VARCHAR) AS hour,
   CAST(CAST(o_orderkey % 60 AS INT) AS VARCHAR) AS minute
 FROM orders JOIN customer ON o_custkey = c_custkey
@@ -36,8 +37,9 @@ SELECT l_quantity AS distance_from_home, l_tax * 100 AS distance_from_last_trans
   CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END AS online_order,
   CASE WHEN l_returnflag = 'R' AND l_quantity > 40 THEN 1 ELSE 0 END AS fraud,
   l_orderkey, l_linenumber,
-  strftime(l_shipdate, '%Y') AS year, strftime(l_shipdate, '%m') AS month,
-  strftime(l_shipdate, '%d') AS day,
+  strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(l_orderkey), '%Y') AS year,
+  strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(l_orderkey), '%m') AS month,
+  strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(l_orderkey), '%d') AS day,
   CAST(CAST(floor(l_orderkey / 60.0) % 24 AS INT) AS VARCHAR) AS hour,
   CAST(CAST(l_orderkey % 60 AS INT) AS VARCHAR) AS minute
 FROM lineitem JOIN part ON l_partkey = p_partkey

@@ -128,11 +128,11 @@ def src4(spark, sf):
 @register(
     "src4_partition_pruned",
     """SELECT year, month, day, count(*) AS n FROM transfers
-WHERE year || '-' || month || '-' || day BETWEEN '1997-01-01' AND '1997-12-31' GROUP BY ALL""",
+WHERE year || '-' || month || '-' || day BETWEEN '2024-01-03' AND '2024-01-05' GROUP BY ALL""",
 )
 def src4_pruned(spark, sf):
-    """Date-range read: only the 1997 directories are listed and opened."""
-    df = read_partitioned(spark, _landed_transfers(spark, sf), TRANSFERS, "1997-01-01", "1997-12-31")
+    """Date-range read: only the directories of 3-5 January are opened."""
+    df = read_partitioned(spark, _landed_transfers(spark, sf), TRANSFERS, "2024-01-03", "2024-01-05")
     return df.groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n"))
 
 
