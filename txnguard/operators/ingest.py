@@ -26,8 +26,11 @@ def decode(df: DataFrame, spec: DatasetSpec, value_col: str = "value", keep_raw:
     NULL on its own (Q6). The raw text is kept as ``_raw`` for the quarantine.
     """
     parsed = F.from_json(F.col(value_col).cast("string"), spec.stream_schema, {"mode": "PERMISSIVE"})
-    cols = [F.col(value_col).cast("string").alias("_raw")] if keep_raw else []
-    return df.select(*cols, parsed.alias("_p")).select(*([F.col("_raw")] if keep_raw else []), "_p.*")
+    passthrough = [c for c in df.columns if c != value_col]
+    raw = [F.col(value_col).cast("string").alias("_raw")] if keep_raw else []
+    return df.select(*passthrough, *raw, parsed.alias("_p")).select(
+        *passthrough, *(["_raw"] if keep_raw else []), "_p.*"
+    )
 
 
 def reason(spec: DatasetSpec, df: DataFrame) -> Column:

@@ -1 +1,251 @@
-"""Registered queries."""
+"""Machine learning: AS-1..3, ML-1..14, SRC-8, SNK-3, EXT-4, EXT-5."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import adapters
+from ..operators import ml
+from ..operators.retrain import retrain
+from ..session import scratch_path
+from ..sinks.models import save
+from ..sources.models import latest_complete_version, load_latest
+from ..specs import CARD_BEHAVIOUR, CARD_TRANSACTIONS, TRANSFERS
+from .registry import register
+
+SEED = 42
+NOTEBOOK_SEED = 2025
+
+
+def _real_double(c, alias=None):
+    return f"CAST(CAST({c} AS REAL) AS DOUBLE) AS {alias or c}"
+
+
+@register(
+    "as1_assemble_transfers",
+    "SELECT nameOrig || '_' || CAST(step AS VARCHAR) AS transaction_id, "
+    + _real_double("amount", "f0")
+    + ", CASE WHEN oldbalanceOrg > 0 THEN amount / oldbalanceOrg ELSE 0.0 END AS f1 FROM transfers",
+)
+def as1(spark, sf):
+    """AS-1 with ML-4: the assembled vector of dataset 1, read back by name."""
+    v = ml.features_for(adapters.transfers(spark, sf), TRANSFERS)
+    return ml.vector_column(v, "features", ["f0", "f1"]).select("transaction_id", "f0", "f1")
+
+
+@register(
+    "as2_assemble_card_behaviour",
+    "SELECT "
+    + ", ".join(
+        _real_double(c, f"f{i}") if i < 3 else f"CAST({c} AS DOUBLE) AS f{i}"
+        for i, c in enumerate(CARD_BEHAVIOUR.features)
+    )
+    + " FROM card_behaviour",
+)
+def as2(spark, sf):
+    v = ml.features_for(adapters.card_behaviour(spark, sf), CARD_BEHAVIOUR)
+    names = [f"f{i}" for i in range(len(CARD_BEHAVIOUR.features))]
+    return ml.vector_column(v, "features", names).select(*names)
+
+
+@register(
+    "as3_assemble_card_transactions",
+    f"SELECT transaction_id, {_real_double('amt', 'f0')} FROM card_transactions",
+)
+def as3(spark, sf):
+    v = ml.features_for(adapters.card_transactions(spark, sf), CARD_TRANSACTIONS)
+    return ml.vector_column(v, "features", ["f0"]).select("transaction_id", "f0")
+
+
+def _train_transfers(spark, sf, kind="random_forest"):
+    feats = ml.features_for(adapters.transfers(spark, sf), TRANSFERS)
+    tr, te = ml.split(feats, ["transaction_id"], 0.7, SEED)
+    model = ml.train(tr.select("features", "fraud"), "fraud", SEED, kind)
+    return model, te
+
+
+@register("ml1_train_random_forest")
+def ml1(spark, sf):
+    """Seeded forest on dataset 1 (70/30 hash split); test-set metrics."""
+    model, te = _train_transfers(spark, sf)
+    return ml.metrics(ml.score(model, te), "fraud")
+
+
+@register("ml2_score")
+def ml2(spark, sf):
+    """Scored test rows: prediction and class-1 probability per transaction."""
+    model, te = _train_transfers(spark, sf)
+    scored = ml.with_fraud_probability(ml.score(model, te))
+    return scored.select("transaction_id", "fraud", "prediction", "fraud_probability")
+
+
+@register("ml3_fraud_probability")
+def ml3(spark, sf):
+    """Distribution check of the class-1 probability (JVM vector access)."""
+    model, te = _train_transfers(spark, sf)
+    p = ml.with_fraud_probability(ml.score(model, te))
+    return p.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("fraud_probability").alias("min_p"),
+        F.max("fraud_probability").alias("max_p"),
+        F.count_if((F.col("fraud_probability") < 0) | (F.col("fraud_probability") > 1)).alias("out_of_range"),
+    )
+
+
+@register(
+    "ml4_vector_to_array",
+    f"SELECT nameOrig || '_' || CAST(step AS VARCHAR) AS transaction_id, {_real_double('amount', 'amount')}, "
+    "CASE WHEN oldbalanceOrg > 0 THEN amount / oldbalanceOrg ELSE 0.0 END AS amount_to_balance_ratio FROM transfers",
+)
+def ml4(spark, sf):
+    v = ml.features_for(adapters.transfers(spark, sf), TRANSFERS).select("transaction_id", "features")
+    return ml.vector_column(v, "features", ["amount", "amount_to_balance_ratio"]).drop("features")
+
+
+@register("ml5_hash_split")
+def ml5(spark, sf):
+    """70/30 split of dataset 2 by key hash (seed 42): rows per part."""
+    df = adapters.card_behaviour(spark, sf, tags=True)
+    tr, te = ml.split(df, ["l_orderkey", "l_linenumber"], 0.7, SEED)
+    return tr.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("train").alias("part"), "rows").unionByName(
+        te.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("test").alias("part"), "rows")
+    )
+
+
+@register("ml6_stratified_split")
+def ml6(spark, sf):
+    """80/20 split of dataset 2 per class (seed 2025): rows per part and class."""
+    df = adapters.card_behaviour(spark, sf, tags=True)
+    tr, te = ml.stratified_split(df, ["l_orderkey", "l_linenumber"], "fraud", 0.8, NOTEBOOK_SEED)
+    cnt = F.count(F.lit(1)).alias("rows")
+    return tr.groupBy("fraud").agg(cnt).withColumn("part", F.lit("train")).unionByName(
+        te.groupBy("fraud").agg(cnt).withColumn("part", F.lit("test"))
+    )
+
+
+def _notebook_eval(spark, sf, kind):
+    """The notebook protocol on dataset 2: all features, 80/20 stratified."""
+    df = ml.prepare(adapters.card_behaviour(spark, sf, tags=True), CARD_BEHAVIOUR)
+    return ml.compare(
+        [("dataset 2", df, CARD_BEHAVIOUR.features, "fraud")],
+        [kind],
+        NOTEBOOK_SEED,
+        key_cols=["l_orderkey", "l_linenumber"],
+    )
+
+
+@register("ml7_logistic_regression")
+def ml7(spark, sf):
+    return _notebook_eval(spark, sf, "logistic_regression")
+
+
+@register("ml8_linear_svm")
+def ml8(spark, sf):
+    return _notebook_eval(spark, sf, "linear_svm")
+
+
+@register("ml9_naive_bayes")
+def ml9(spark, sf):
+    return _notebook_eval(spark, sf, "naive_bayes")
+
+
+@register("ml10_gradient_boosting")
+def ml10(spark, sf):
+    return _notebook_eval(spark, sf, "gradient_boosting")
+
+
+@register("ml11_random_forest_all_features")
+def ml11(spark, sf):
+    return _notebook_eval(spark, sf, "random_forest_deep")
+
+
+@register(
+    "ml12_metrics",
+    """WITH c AS (SELECT
+  count(*) FILTER (WHERE isFraud = 1 AND isFlaggedFraud = 1) AS tp,
+  count(*) FILTER (WHERE isFraud = 0 AND isFlaggedFraud = 1) AS fp,
+  count(*) FILTER (WHERE isFraud = 1 AND isFlaggedFraud = 0) AS fn,
+  count(*) FILTER (WHERE isFraud = 0 AND isFlaggedFraud = 0) AS tn FROM transfers),
+r AS (SELECT *, CAST(tp + fp + fn + tn AS DOUBLE) AS n,
+  CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS p1,
+  CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS r1,
+  CASE WHEN tn + fn > 0 THEN tn / (tn + fn) ELSE 0.0 END AS p0,
+  CASE WHEN tn + fp > 0 THEN tn / (tn + fp) ELSE 0.0 END AS r0 FROM c)
+SELECT tp, fp, fn, tn, CASE WHEN n > 0 THEN (tp + tn) / n ELSE 0.0 END AS accuracy,
+  p1 AS precision, r1 AS recall,
+  CASE WHEN n > 0 THEN ((CASE WHEN p1 + r1 > 0 THEN 2 * p1 * r1 / (p1 + r1) ELSE 0.0 END) * (tp + fn)
+    + (CASE WHEN p0 + r0 > 0 THEN 2 * p0 * r0 / (p0 + r0) ELSE 0.0 END) * (tn + fp)) / n ELSE 0.0 END AS f1_weighted
+FROM r""".replace("WITH c AS", ", c AS"),
+)
+def ml12(spark, sf):
+    """Metrics of the dataset's own rule flag against its label."""
+    return ml.metrics(adapters.transfers(spark, sf), "isFraud", "isFlaggedFraud")
+
+
+@register("ml13_model_comparison")
+def ml13(spark, sf):
+    """Models x datasets table (precision, recall, ...), notebook protocol."""
+    t = ml.prepare(adapters.transfers(spark, sf), TRANSFERS).withColumn(
+        "isMerchant", F.col("nameDest").startswith("M").cast("int")
+    )
+    cb = ml.prepare(adapters.card_behaviour(spark, sf, tags=True), CARD_BEHAVIOUR)
+    ct = ml.prepare(adapters.card_transactions(spark, sf), CARD_TRANSACTIONS)
+    datasets = [
+        ("dataset 1", t, ["amount", "amount_to_balance_ratio", "oldbalanceOrg", "newbalanceOrig", "isMerchant", "step"], "fraud"),
+        ("dataset 2", cb, CARD_BEHAVIOUR.features, "fraud"),
+        ("dataset 3", ct, ["amt", "fraud_scenario", "bin"], "fraud"),
+    ]
+    keys = {"dataset 1": ["o_orderkey"], "dataset 2": ["l_orderkey", "l_linenumber"], "dataset 3": ["transaction_id"]}
+    rows = None
+    for d in datasets:
+        part = ml.compare([d], ["random_forest", "logistic_regression", "naive_bayes"], NOTEBOOK_SEED, key_cols=keys[d[0]])
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
+@register("ml14_retrain_job")
+def ml14(spark, sf):
+    """One scheduled retrain: new version saved, metrics row appended."""
+    base, mpath = scratch_path(spark, "models"), scratch_path(spark, "model-metrics")
+    retrain(spark, adapters.transfers(spark, sf), base, mpath, seed=SEED, version="20250101_000000")
+    return spark.read.parquet(mpath)
+
+
+@register("snk3_src8_model_versions")
+def snk3_src8(spark, sf):
+    """Save three models as one version, add an incomplete newer version, then
+    load the newest complete one and score dataset 1 with it."""
+    base = scratch_path(spark, "models")
+    specs = [("model1", TRANSFERS, adapters.transfers), ("model2", CARD_BEHAVIOUR, adapters.card_behaviour),
+             ("model3", CARD_TRANSACTIONS, adapters.card_transactions)]
+    for name, spec, load in specs:
+        feats = ml.features_for(load(spark, sf), spec).select("features", spec.label)
+        model = ml.train(feats, spec.label, SEED)
+        save(model, base, name, "20250101_120000")
+        if name == "model1":  # newer but incomplete: must not be picked
+            save(model, base, name, "20250102_080000")
+    version, models = load_latest(spark, base)
+    assert version == latest_complete_version(spark, base) == "20250101_120000"
+    scored = ml.with_fraud_probability(
+        ml.score(models["model1"], ml.features_for(adapters.transfers(spark, sf), TRANSFERS))
+    )
+    return scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("rows")).withColumn("version", F.lit(version))
+
+
+@register("ext4_area_under_pr")
+def ext4(spark, sf):
+    model, te = _train_transfers(spark, sf)
+    aupr = ml.area_under_pr(ml.score(model, te), "fraud")
+    return te.agg(F.count(F.lit(1)).alias("test_rows")).withColumn("area_under_pr", F.lit(aupr))
+
+
+@register("ext5_ensemble")
+def ext5(spark, sf):
+    """Three models on dataset 1 combined per transaction (mean probability)."""
+    feats = ml.features_for(adapters.transfers(spark, sf), TRANSFERS)
+    tr, te = ml.split(feats, ["transaction_id"], 0.7, SEED)
+    preds = []
+    for kind in ("random_forest", "logistic_regression", "naive_bayes"):
+        m = ml.train(tr.select("features", "fraud"), "fraud", SEED, kind)
+        preds.append(ml.with_fraud_probability(ml.score(m, te)).select("o_orderkey", "fraud_probability"))
+    return ml.ensemble(preds, key="o_orderkey")

@@ -1 +1,70 @@
-"""Registered queries."""
+"""Serving queries: SV-1..3, LIM-2."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import adapters
+from ..operators import serving, views
+from ..session import scratch_path
+from ..streaming.score import project_card_transactions  # noqa: F401  (column contract of predictions3)
+from .q_batch import AGG1_SQL, AGG4_SQL
+from .registry import register
+
+
+def _published(spark, sf):
+    out = scratch_path(spark, "views")
+    views.refresh(
+        spark,
+        {"dataset1": adapters.transfers(spark, sf), "dataset3": adapters.card_transactions(spark, sf)},
+        out,
+    )
+    return out
+
+
+@register(
+    "sv1_sql_over_views",
+    f"""SELECT type, fraud_rate, total_transactions FROM ({AGG1_SQL}) v WHERE total_transactions > 100""",
+)
+def sv1(spark, sf):
+    out = _published(spark, sf)
+    serving.register_views(spark, out, views.VIEWS)
+    return spark.sql(
+        "SELECT type, fraud_rate, total_transactions FROM fraud_by_transaction_type "
+        "WHERE total_transactions > 100 ORDER BY fraud_rate DESC"
+    )
+
+
+@register("sv2_lookup_by_key", f"SELECT * FROM ({AGG4_SQL}) v WHERE customer_id = 'C8'")
+def sv2(spark, sf):
+    out = _published(spark, sf)
+    from ..sinks.views import read_view
+
+    return serving.lookup(read_view(spark, out, "high_risk_customers"), "customer_id", "C8")
+
+
+def _label_predictions(spark, sf):
+    """predictions3-shaped rows (fraud = input label, Q8) with event time."""
+    ct = adapters.card_transactions(spark, sf)
+    return ct.select(
+        F.col("transaction_id").alias("id"),
+        (F.col("fraud") == 1).alias("fraud"),
+        "customer_id",
+        F.col("amt").alias("amount"),
+        F.to_timestamp("post_ts").alias("timestamp"),
+    )
+
+
+FLAGGED_SQL = """SELECT transaction_id AS id, fraud = 1 AS fraud, customer_id, amt AS amount,
+  CAST(post_ts AS TIMESTAMP) AS timestamp FROM card_transactions WHERE fraud = 1
+  ORDER BY timestamp DESC, id LIMIT {n}"""
+
+
+@register("sv3_flagged_transactions", FLAGGED_SQL.format(n=5000))
+def sv3(spark, sf):
+    return serving.flagged(_label_predictions(spark, sf))
+
+
+@register("lim2_serving_limit", FLAGGED_SQL.format(n=500))
+def lim2(spark, sf):
+    return serving.flagged(_label_predictions(spark, sf), limit=500)

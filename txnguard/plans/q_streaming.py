@@ -1 +1,171 @@
-"""Registered queries."""
+"""Streaming: SRC-1, ST-1..8, SNK-2, PR-13..15 over replayed record files.
+
+Each query writes the dataset's records as JSON lines under the shared scratch
+area, runs the streaming job with an ``availableNow`` trigger (all available
+input, then stop), and returns the sink's output read back as a batch frame.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from .. import adapters
+from ..operators import ingest, ml
+from ..session import scratch_path
+from ..sinks.views import read_view, replace_view
+from ..specs import CARD_BEHAVIOUR, CARD_TRANSACTIONS, TRANSFERS
+from ..streaming import score as st
+from .registry import register
+
+_LOADERS = {
+    TRANSFERS.name: adapters.transfers,
+    CARD_BEHAVIOUR.name: adapters.card_behaviour,
+    CARD_TRANSACTIONS.name: adapters.card_transactions,
+}
+
+
+def write_records(spark, sf, spec, path):
+    """Land a dataset's rows as stream records (one JSON object per line)."""
+    df = _LOADERS[spec.name](spark, sf, tags=True)
+    ingest.encode_json(df, spec).write.text(path)
+    return path
+
+
+def _model(spark, sf, spec):
+    feats = ml.features_for(_LOADERS[spec.name](spark, sf), spec).select("features", spec.label)
+    return ml.train(feats, spec.label, 42)
+
+
+def _score_stream(spark, sf, spec):
+    base = scratch_path(spark, f"stream-{spec.name}")
+    src = write_records(spark, sf, spec, os.path.join(base, "in"))
+    model = _model(spark, sf, spec)
+    q = st.score(
+        st.read_stream(spark, "files", src), model, spec,
+        os.path.join(base, "out"), os.path.join(base, "checkpoint"), available_now=True,
+    )
+    q.awaitTermination()
+    return spark.read.parquet(os.path.join(base, "out"))
+
+
+@register("st1_score_transfers_stream")
+def st1(spark, sf):
+    """SRC-1 -> SRC-2 -> PR-1 -> AS-1 -> ML-2 -> PR-13 -> SNK-2 (predictions1)."""
+    return _score_stream(spark, sf, TRANSFERS)
+
+
+@register("st2_score_card_behaviour_stream")
+def st2(spark, sf):
+    """predictions2 (PR-14)."""
+    return _score_stream(spark, sf, CARD_BEHAVIOUR)
+
+
+@register("st3_score_card_transactions_stream")
+def st3(spark, sf):
+    """predictions3 (PR-15)."""
+    return _score_stream(spark, sf, CARD_TRANSACTIONS)
+
+
+def _join_sources(spark, sf, base):
+    specs = (TRANSFERS, CARD_BEHAVIOUR, CARD_TRANSACTIONS)
+    return [
+        (st.read_stream(spark, "files", write_records(spark, sf, s, os.path.join(base, f"in-{s.name}"))), s)
+        for s in specs
+    ]
+
+
+@register(
+    "st4_join_stream_as_written",
+    """SELECT CAST(hour AS VARCHAR) AS hour, CAST(minute AS VARCHAR) AS minute, n1, n2, n3, n1 * n2 * n3 AS n_joined
+FROM (SELECT hour, minute, count(*) AS n1 FROM transfers GROUP BY ALL) a
+JOIN (SELECT hour, minute, count(*) AS n2 FROM card_behaviour GROUP BY ALL) b USING (hour, minute)
+JOIN (SELECT hour, minute, count(*) AS n3 FROM card_transactions GROUP BY ALL) c USING (hour, minute)""",
+)
+def st4_as_written(spark, sf):
+    """ST-4 with JOIN-1: the (hour, minute) join of the three streams as running
+    per-key counts. State holds at most 1,440 keys; every micro-batch publishes
+    the complete table atomically (idempotent on retry)."""
+    base = scratch_path(spark, "stream-join")
+    counts = st.join_counts_stream(_join_sources(spark, sf, base), bounded=False)
+    out = os.path.join(base, "views")
+    q = (
+        counts.writeStream.outputMode("complete")
+        .option("checkpointLocation", os.path.join(base, "checkpoint"))
+        .foreachBatch(lambda df, _: replace_view(df.sparkSession, df, out, "predictions4_counts"))
+        .trigger(availableNow=True)
+        .queryName("join-as-written")
+        .start()
+    )
+    q.awaitTermination()
+    return read_view(spark, out, "predictions4_counts").where(
+        (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col("n3") > 0)
+    )
+
+
+@register("st4_join_stream_bounded")
+def st4_bounded(spark, sf):
+    """ST-4 with JOIN-2: per full arrival minute behind a 10-minute watermark;
+    closed minutes are appended once and their state dropped."""
+    base = scratch_path(spark, "stream-join-bounded")
+    counts = st.join_counts_stream(_join_sources(spark, sf, base), bounded=True)
+    q = st.start_sink(
+        counts, os.path.join(base, "out"), os.path.join(base, "checkpoint"), "join-bounded", available_now=True
+    )
+    q.awaitTermination()
+    return spark.read.parquet(os.path.join(base, "out"))
+
+
+@register("st6_restart_no_duplicates")
+def st6(spark, sf):
+    """Two runs on one checkpoint: the second only sees files added since the
+    first, so the sink holds every valid record exactly once."""
+    spec = CARD_TRANSACTIONS
+    base = scratch_path(spark, "stream-restart")
+    df = adapters.card_transactions(spark, sf, tags=True)
+    records = ingest.encode_json(df, spec)
+    first, second = ml.split(records, ["value"], 0.5, 7)
+    src = os.path.join(base, "in")
+    first.write.text(os.path.join(src, "part1"))
+    model = _model(spark, sf, spec)
+    out, ckpt = os.path.join(base, "out"), os.path.join(base, "checkpoint")
+
+    def run():
+        stream = st.read_stream(spark, "files", os.path.join(src, "*"))
+        st.score(stream, model, spec, out, ckpt, available_now=True).awaitTermination()
+
+    run()
+    second.write.text(os.path.join(src, "part2"))
+    run()
+    got = spark.read.parquet(out)
+    return got.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.countDistinct("id").alias("distinct_ids"),
+    )
+
+
+@register("st7_run_all_streams")
+def st7(spark, sf):
+    """Start the three scoring queries and the bounded join together, wait for
+    them, stop everything; report the rows each sink received."""
+    base = scratch_path(spark, "stream-all")
+    queries, outs = [], {}
+    for spec in (TRANSFERS, CARD_BEHAVIOUR, CARD_TRANSACTIONS):
+        src = write_records(spark, sf, spec, os.path.join(base, f"in-{spec.name}"))
+        outs[spec.name] = os.path.join(base, f"out-{spec.name}")
+        queries.append(
+            st.score(st.read_stream(spark, "files", src), _model(spark, sf, spec), spec,
+                     outs[spec.name], os.path.join(base, f"ckpt-{spec.name}"), available_now=True)
+        )
+    for q in queries:
+        q.awaitTermination()
+    st.run_all(spark, queries, timeout=1)
+    parts = [
+        spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows")).withColumn("sink", F.lit(n))
+        for n, p in outs.items()
+    ]
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    return res
