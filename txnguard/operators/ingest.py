@@ -65,18 +65,13 @@ def tag(df: DataFrame, ts_col: str | Column, minutes: bool = True) -> DataFrame:
     ts = F.col(ts_col) if isinstance(ts_col, str) else ts_col
     out = df.withColumns(
         {
-            "year": F.date_format(ts, "yyyy"),
-            "month": F.date_format(ts, "MM"),
-            "day": F.date_format(ts, "dd"),
+            "year": F.lpad(F.year(ts).cast("string"), 4, "0"),
+            "month": F.lpad(F.month(ts).cast("string"), 2, "0"),
+            "day": F.lpad(F.dayofmonth(ts).cast("string"), 2, "0"),
         }
     )
     if minutes:
-        out = out.withColumns(
-            {
-                "hour": F.format_string("%d", F.hour(ts)),
-                "minute": F.format_string("%d", F.minute(ts)),
-            }
-        )
+        out = out.withColumns({"hour": F.hour(ts).cast("string"), "minute": F.minute(ts).cast("string")})
     return out
 
 
