@@ -117,7 +117,10 @@ def st4_bounded(spark, sf):
     return spark.read.parquet(os.path.join(base, "out"))
 
 
-@register("st6_restart_no_duplicates")
+@register(
+    "st6_restart_no_duplicates",
+    "SELECT count(*) AS rows, count(*) AS distinct_ids FROM card_transactions",
+)
 def st6(spark, sf):
     """Two runs on one checkpoint: the second only sees files added since the
     first, so the sink holds every valid record exactly once."""
@@ -145,7 +148,12 @@ def st6(spark, sf):
     )
 
 
-@register("st7_run_all_streams")
+@register(
+    "st7_run_all_streams",
+    """SELECT 'transfers' AS sink, count(*) AS rows FROM transfers
+UNION ALL SELECT 'card_behaviour', count(*) FROM card_behaviour
+UNION ALL SELECT 'card_transactions', count(*) FROM card_transactions""",
+)
 def st7(spark, sf):
     """Start the three scoring queries and the bounded join together, wait for
     them, stop everything; report the rows each sink received."""
@@ -169,3 +177,57 @@ def st7(spark, sf):
     for p in parts[1:]:
         res = res.unionByName(p)
     return res
+
+
+@register("st5_processing_time_trigger")
+def st5(spark, sf):
+    """The scoring query on a processing-time trigger (1 s here; 30 s is the
+    default): drain everything available, then stop (ST-5, ST-8)."""
+    spec = CARD_TRANSACTIONS
+    base = scratch_path(spark, "stream-trigger")
+    src = write_records(spark, sf, spec, os.path.join(base, "in"))
+    q = st.score(
+        st.read_stream(spark, "files", src, max_files_per_trigger=2), _model(spark, sf, spec), spec,
+        os.path.join(base, "out"), os.path.join(base, "checkpoint"), trigger="1 second",
+    )
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    out = spark.read.parquet(os.path.join(base, "out"))
+    return out.groupBy(F.to_date("timestamp").alias("day")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _batch_projection(spark, sf, spec, key):
+    feats = ml.features_for(_LOADERS[spec.name](spark, sf, tags=True), spec)
+    model = ml.train(feats.select("features", spec.label), spec.label, 42)
+    scored = model.transform(feats.withColumn("record_id", F.col(key).cast("string")))
+    return st.PROJECTIONS[spec.name](scored)
+
+
+@register("pr13_prediction_projection_transfers")
+def pr13(spark, sf):
+    """PR-13 on a batch of dataset 1 (id = order key)."""
+    return _batch_projection(spark, sf, TRANSFERS, "o_orderkey")
+
+
+@register("pr14_prediction_projection_card_behaviour")
+def pr14(spark, sf):
+    """PR-14 on a batch of dataset 2."""
+    return _batch_projection(spark, sf, CARD_BEHAVIOUR, "l_orderkey")
+
+
+@register("pr15_prediction_projection_card_transactions")
+def pr15(spark, sf):
+    """PR-15 on a batch of dataset 3."""
+    return _batch_projection(spark, sf, CARD_TRANSACTIONS, "transaction_id")
+
+
+@register("ext6_unified_customer_view")
+def ext6(spark, sf):
+    """Batch customer risk joined with aggregates of dataset-3 predictions."""
+    from ..operators import extensions, views
+
+    preds = pr15(spark, sf)
+    risk = views.customer_risk(adapters.card_transactions(spark, sf))
+    return extensions.unified_customer_view(risk, preds)
