@@ -64,7 +64,7 @@ FROM events
 PCA_CARD = (
     "SELECT CAST(vec_id AS DOUBLE) AS Time, "
     + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS V{i + 1}" for i in range(28))
-    + ", vec_id * 1.5 AS Amount, CASE WHEN label = 0 THEN 1 ELSE 0 END AS Class FROM embeddings"
+    + ", CAST(vec_id AS DOUBLE) * 1.5 AS Amount, CASE WHEN label = 0 THEN 1 ELSE 0 END AS Class FROM embeddings"
 )
 
 CTES = (

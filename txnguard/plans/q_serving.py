@@ -51,7 +51,7 @@ def _label_predictions(spark, sf):
         (F.col("fraud") == 1).alias("fraud"),
         "customer_id",
         F.col("amt").alias("amount"),
-        F.to_timestamp("post_ts").alias("timestamp"),
+        F.to_timestamp_ntz("post_ts").alias("timestamp"),
     )
 
 
