@@ -106,3 +106,8 @@ def test_category_codes(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("c",), ("a",)], "t string")
     got = [r.t for r in encode.category_codes(df.withColumn("i", F.monotonically_increasing_id()), "t").orderBy("i").collect()]
     assert got == [1, 0, -1, 2, 0]
+
+
+def test_hour_of_more_formats(spark):
+    df = spark.createDataFrame([("2023-02-01T07:00:30",), ("2023-02-01 08:00:30.250",), ("2023-02-01",)], "post_ts string")
+    assert [r.h for r in df.select(hour_of("post_ts").alias("h")).collect()] == [7, 8, 0]

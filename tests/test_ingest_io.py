@@ -80,3 +80,19 @@ def test_refresh_atomic_and_skips_missing(spark, sf):
 
 def test_read_table_missing(spark):
     assert read_table(spark, "no_such_table_xyz") is None
+
+
+def test_land_layout_with_quality(spark, sf):
+    from txnguard.sinks.files import land
+
+    recs = spark.createDataFrame(
+        [('{"year":"2024","month":"01","day":"02","step":1,"type":"PAYMENT","amount":5.0,"nameOrig":"C1","oldbalanceOrg":9.0,"isFraud":0}',),
+         ('{"year":"2024","month":"01","day":"03","step":2}',)],
+        "value string",
+    )
+    path = scratch_path(spark, "land-test")
+    land(ingest.mark(ingest.decode(recs, TRANSFERS), TRANSFERS), path, by_quality=True)
+    got = spark.read.parquet(path)
+    rows = {(r.quality, r.year, r.month, r.day) for r in got.select("quality", "year", "month", "day").collect()}
+    assert rows == {("valid", "2024", "01", "02"), ("quarantine", "2024", "01", "03")}
+    assert got.where("quality = 'quarantine'").first().reason.startswith("missing:")

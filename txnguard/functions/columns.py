@@ -72,13 +72,11 @@ def is_merchant(col="nameDest") -> Column:
 
 
 def parse_ts(col) -> Column:
-    """Parse the two post_ts formats; anything unparsable gives NULL (Q16)."""
-    s = _c(col)
-    return F.coalesce(
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")),
-    )
+    """A string timestamp read the way the reference's implicit cast reads it
+    (``2023-02-01 00:00:30``, ``2024-12-07T12:00:00Z``, fractions, offsets,
+    date only), in the session time zone; unparsable text gives NULL instead
+    of failing the job under ANSI (Q16)."""
+    return _c(col).try_cast("timestamp")
 
 
 def hour_of(col) -> Column:
