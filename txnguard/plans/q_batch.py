@@ -117,3 +117,78 @@ def snk1(spark, sf):
     out = scratch_path(spark, "views")
     views.refresh(spark, {"dataset1": adapters.transfers(spark, sf), "dataset3": None}, out)
     return read_view(spark, out, "fraud_by_transaction_type")
+
+
+def _land_to_catalog(spark, sf, database: str) -> None:
+    """Land datasets 1 and 3 by arrival date and register them as external
+    partitioned tables of ``database`` (the batch layer's Hive tables)."""
+    import os
+
+    from ..operators import ingest
+    from ..sinks.files import land
+    from ..sources.files import ensure_database, register_partitioned_table
+    from ..specs import CARD_TRANSACTIONS, TRANSFERS
+
+    base = scratch_path(spark, "warehouse")
+    ensure_database(spark, database, os.path.join(base, f"{database}.db"))
+    for name, spec, load in (
+        ("dataset1", TRANSFERS, adapters.transfers),
+        ("dataset3", CARD_TRANSACTIONS, adapters.card_transactions),
+    ):
+        path = os.path.join(base, name)
+        cols = [n for n, _ in spec.columns] + ["year", "month", "day"]
+        land(ingest.conform(load(spark, sf, tags=True), spec).select(*cols), path)
+        register_partitioned_table(spark, name, path, spec, database)
+
+
+_REAL_VIEW_SQL = {
+    "fraud_by_transaction_type": AGG1_SQL.replace("avg(amount)", "avg(CAST(amount AS REAL))"),
+    "fraud_by_amount_bucket": AGG2_SQL.replace("avg(amount)", "avg(CAST(amount AS REAL))").replace(
+        "CASE WHEN amount", "CASE WHEN CAST(amount AS REAL)").replace(
+        "WHEN amount <=", "WHEN CAST(amount AS REAL) <="),
+    "hourly_fraud_stats": AGG3_SQL.replace("avg(amt)", "avg(CAST(amt AS REAL))"),
+    "high_risk_customers": AGG4_SQL.replace("sum(amt)", "sum(CAST(amt AS REAL))"),
+}
+
+
+@register(
+    "src3_agg5_batch_layer",
+    " UNION ALL ".join(
+        f"SELECT '{v}' AS view, count(*) AS view_rows, CAST(sum(total_transactions) AS BIGINT) AS transactions, "
+        f"sum({'total_amount' if v == 'high_risk_customers' else 'avg_amount * total_transactions'}) AS amount "
+        f"FROM ({sql}) x"
+        for v, sql in _REAL_VIEW_SQL.items()
+    ),
+)
+def batch_layer(spark, sf):
+    """The reference's batch layer end to end: typed landing (FLOAT columns),
+    catalog tables ``fraud.dataset1/3`` (SRC-3, SRC-4), then the refresh reading
+    them through the catalog, skipping a missing table (AGG-5, SNK-1)."""
+    from ..sources.files import read_table
+
+    _land_to_catalog(spark, sf, "fraud")
+    out = scratch_path(spark, "views")
+    views.refresh(
+        spark,
+        {
+            "dataset1": lambda: read_table(spark, "dataset1", "fraud"),
+            "dataset3": lambda: read_table(spark, "dataset3", "fraud"),
+        },
+        out,
+    )
+    parts = []
+    for v in views.VIEWS:
+        df = read_view(spark, out, v)
+        amount = F.col("total_amount") if v == "high_risk_customers" else F.col("avg_amount") * F.col("total_transactions")
+        parts.append(
+            df.agg(
+                F.lit(v).alias("view"),
+                F.count(F.lit(1)).alias("view_rows"),
+                F.sum("total_transactions").cast("long").alias("transactions"),
+                F.sum(amount).alias("amount"),
+            )
+        )
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    return res

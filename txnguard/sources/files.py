@@ -48,17 +48,27 @@ def read_partitioned(
     return df
 
 
+def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """Create ``database`` if missing; with a location under shared storage
+    (never the driver's working directory)."""
+    if spark.catalog.databaseExists(database):
+        return
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
+
+
 def register_partitioned_table(
-    spark: SparkSession, name: str, path: str, spec: DatasetSpec
+    spark: SparkSession, name: str, path: str, spec: DatasetSpec, database: str | None = None
 ) -> DataFrame:
     """Catalog form of SRC-4: an external Parquet table partitioned by date,
     with its partitions recovered from the directory layout."""
+    full = f"{database}.{name}" if database else name
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in partitioned_schema(spec).fields)
     parts = ", ".join(spec.partition_cols)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet PARTITIONED BY ({parts}) LOCATION '{path}'")
-    spark.sql(f"MSCK REPAIR TABLE {name}")
-    return spark.table(name)
+    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    spark.sql(f"CREATE TABLE {full} ({cols}) USING parquet PARTITIONED BY ({parts}) LOCATION '{path}'")
+    spark.sql(f"MSCK REPAIR TABLE {full}")
+    return spark.table(full)
 
 
 def read_csv(
