@@ -141,16 +141,17 @@ def iqr_bounds(df: DataFrame, col: str) -> DataFrame:
 def remove_outliers(df: DataFrame, col: str) -> DataFrame:
     """FL-3: keep rows inside [q1 - 1.5 iqr, q3 + 1.5 iqr] and > 0.
 
-    The fences are two scalars from a one-row aggregate; they are joined back
-    by broadcast, so no row moves across the network for the filter.
+    The fences are two scalars from a one-row aggregate over the distributed
+    exact quartiles; no row moves across the network for the filter.
     """
-    b = iqr_bounds(df, col).select("lower", "upper")
+    # The fences are one row of two numbers (what a scalar subquery would
+    # fetch too); as literals the filter is a plain Filter that Parquet can
+    # use for row-group pruning, and the quantile plan runs exactly once.
+    fences = iqr_bounds(df, col).select("lower", "upper").first()
     c = F.col(col)
-    return (
-        _one_row_join(df, b)
-        .where((c >= F.col("lower")) & (c <= F.col("upper")) & (c > 0))
-        .drop("lower", "upper")
-    )
+    if fences is None or fences["lower"] is None:
+        return df.where(F.lit(False))
+    return df.where((c >= F.lit(fences["lower"])) & (c <= F.lit(fences["upper"])) & (c > 0))
 
 
 def density(df: DataFrame, col: str, grid: int = 200, bins: int = 1024, cut: float = 3.0) -> DataFrame:
