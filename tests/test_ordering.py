@@ -30,3 +30,20 @@ def test_global_rank(spark):
     df = spark.createDataFrame([(w,) for w in words], "w string")
     got = {r.w: r.code for r in global_rank(df, "w").collect()}
     assert got == {w: i for i, w in enumerate(sorted(set(words)))}
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=8, deadline=None)
+@given(
+    st.lists(st.integers(min_value=-5, max_value=5), min_size=1, max_size=60),
+    st.lists(st.floats(min_value=0, max_value=1), min_size=1, max_size=4),
+)
+def test_exact_quantiles_property(spark, values, probs):
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    got = exact_quantiles(df, "x", probs).first()
+    want = np.percentile(np.array(values, dtype=float), [p * 100 for p in probs])
+    for i, w in enumerate(want):
+        assert abs(got[f"q{i}"] - w) < 1e-9
