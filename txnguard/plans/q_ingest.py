@@ -330,3 +330,23 @@ def pr12(spark, sf):
     t = adapters.transfers(spark, sf).drop("o_orderkey")
     t = encode.category_codes(t, "type").withColumn("isMerchant", F.col("nameDest").startswith("M").cast("int"))
     return encode.drop_features(t, ["isFraud", "isFlaggedFraud", "nameOrig", "nameDest"])
+
+
+@register(
+    "pr12_drop_features_card_behaviour",
+    "SELECT * EXCLUDE (fraud, l_orderkey, l_linenumber, year, month, day, hour, minute) FROM card_behaviour",
+)
+def pr12b(spark, sf):
+    """Dataset 2 feature matrix: every column but the label."""
+    return encode.drop_features(adapters.card_behaviour(spark, sf), ["fraud", "l_orderkey"])
+
+
+@register(
+    "pr12_drop_features_card_transactions",
+    """SELECT bin, amt, CAST(dense_rank() OVER (ORDER BY entry_mode) - 1 AS INT) AS entry_mode, fraud_scenario
+FROM card_transactions""",
+)
+def pr12c(spark, sf):
+    """Dataset 3 feature matrix: entry mode codes; ids, time and label dropped."""
+    df = encode.category_codes(adapters.card_transactions(spark, sf), "entry_mode")
+    return encode.drop_features(df, ["fraud", "transaction_id", "post_ts", "customer_id", "terminal_id"])

@@ -182,23 +182,33 @@ def ml12(spark, sf):
     return ml.metrics(adapters.transfers(spark, sf), "isFraud", "isFlaggedFraud")
 
 
-@register("ml13_model_comparison")
-def ml13(spark, sf):
-    """Models x datasets table (precision, recall, ...), notebook protocol."""
-    t = ml.prepare(adapters.transfers(spark, sf), TRANSFERS).withColumn(
+def notebook_matrices(spark, sf):
+    """The notebooks' feature matrices (PR-11, PR-12) for datasets 1-3, with
+    the key each split hashes on."""
+    from ..operators import encode
+
+    t = encode.category_codes(adapters.transfers(spark, sf), "type").withColumn(
         "isMerchant", F.col("nameDest").startswith("M").cast("int")
     )
+    t_feats = ["step", "type", "amount", "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest", "isMerchant"]
     cb = ml.prepare(adapters.card_behaviour(spark, sf, tags=True), CARD_BEHAVIOUR)
-    ct = ml.prepare(adapters.card_transactions(spark, sf), CARD_TRANSACTIONS)
-    datasets = [
-        ("dataset 1", t, ["amount", "amount_to_balance_ratio", "oldbalanceOrg", "newbalanceOrig", "isMerchant", "step"], "fraud"),
-        ("dataset 2", cb, CARD_BEHAVIOUR.features, "fraud"),
-        ("dataset 3", ct, ["amt", "fraud_scenario", "bin"], "fraud"),
+    ct = encode.category_codes(adapters.card_transactions(spark, sf), "entry_mode")
+    ct_feats = ["bin", "amt", "entry_mode", "fraud_scenario"]
+    return [
+        ("dataset 1", t, t_feats, "isFraud", ["o_orderkey"]),
+        ("dataset 2", cb, CARD_BEHAVIOUR.features, "fraud", ["l_orderkey", "l_linenumber"]),
+        ("dataset 3", ct, ct_feats, "fraud", ["transaction_id"]),
     ]
-    keys = {"dataset 1": ["o_orderkey"], "dataset 2": ["l_orderkey", "l_linenumber"], "dataset 3": ["transaction_id"]}
+
+
+@register("ml13_model_comparison")
+def ml13(spark, sf):
+    """Models x datasets table (precision, recall, ...), notebook protocol:
+    all notebook features, 80/20 stratified split, seed 2025."""
     rows = None
-    for d in datasets:
-        part = ml.compare([d], ["random_forest", "logistic_regression", "naive_bayes"], NOTEBOOK_SEED, key_cols=keys[d[0]])
+    for name, df, feats, label, keys in notebook_matrices(spark, sf):
+        part = ml.compare([(name, df, feats, label)], ["random_forest", "logistic_regression", "naive_bayes"],
+                          NOTEBOOK_SEED, key_cols=keys)
         rows = part if rows is None else rows.unionByName(part)
     return rows
 

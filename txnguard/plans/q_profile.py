@@ -220,3 +220,47 @@ def ord1(spark, sf):
         .agg(F.count(F.lit(1)).alias("count"))
         .orderBy(F.desc("count"), "type")
     )
+
+
+@register(
+    "agg12_amount_density_transfers",
+    DENSITY_SQL.format(kept=_iqr("transfers", "amount", "amount AS x")),
+)
+def agg12b(spark, sf):
+    kept = profile.remove_outliers(adapters.transfers(spark, sf), "amount")
+    return profile.density(kept, "amount")
+
+
+@register(
+    "agg12_ratio_density_card_behaviour",
+    DENSITY_SQL.format(kept=_iqr("card_behaviour", "ratio_to_median_purchase_price", "ratio_to_median_purchase_price AS x")),
+)
+def agg12c(spark, sf):
+    kept = profile.remove_outliers(adapters.card_behaviour(spark, sf), "ratio_to_median_purchase_price")
+    return profile.density(kept, "ratio_to_median_purchase_price")
+
+
+@register(
+    "lim1_preview_card_behaviour",
+    "SELECT * EXCLUDE (year, month, day, hour, minute, l_linenumber) FROM card_behaviour "
+    "ORDER BY l_orderkey, distance_from_home, distance_from_last_transaction, ratio_to_median_purchase_price LIMIT 5",
+)
+def lim1b(spark, sf):
+    return profile.preview(
+        adapters.card_behaviour(spark, sf),
+        ["l_orderkey", "distance_from_home", "distance_from_last_transaction", "ratio_to_median_purchase_price"],
+    )
+
+
+@register(
+    "lim1_preview_card_transactions",
+    "SELECT * EXCLUDE (year, month, day, hour, minute, event_id, ts) FROM card_transactions "
+    "ORDER BY post_ts, transaction_id LIMIT 5",
+)
+def lim1c(spark, sf):
+    return profile.preview(adapters.card_transactions(spark, sf), ["post_ts", "transaction_id"])
+
+
+@register("lim1_preview_pca", "SELECT * FROM pca_card ORDER BY Time LIMIT 5")
+def lim1d(spark, sf):
+    return profile.preview(adapters.pca_card(spark, sf), ["Time"])
