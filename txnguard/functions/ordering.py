@@ -28,6 +28,9 @@ def weighted_prefix(
 
     ``df`` must hold one row per distinct, non-NULL ``value_col``.
     """
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
     n = _partitions(df, num_partitions)
     # Freeze the range assignment: the totals and the rows must see the same
     # partition ids, and a reliable checkpoint survives a lost executor.

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import amount_bucket, hour_of, is_fraud
+from ..session import ensure_checkpoint_dir
 from ..sinks.views import replace_view
 
 log = logging.getLogger(__name__)
@@ -156,6 +157,7 @@ def refresh(
         if df is None:
             log.warning("source %s missing; skipping %s", src, ", ".join(views))
             continue
+        ensure_checkpoint_dir(spark)
         grain = _grain(df, src).checkpoint(eager=True)
         for view in views:
             key, fraud_name, amount, rate = _ROLLUPS[view]
