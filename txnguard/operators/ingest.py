@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from ..specs import ARRIVAL_TAGS, DatasetSpec
 
 QUALITY_COL = "quality"
@@ -16,7 +17,7 @@ VALID, QUARANTINE = "valid", "quarantine"
 def encode_json(df: DataFrame, spec: DatasetSpec, out: str = "value") -> DataFrame:
     """Render rows as the JSON records a stream carries (tags + table columns)."""
     cols = [c for c in ARRIVAL_TAGS if c in df.columns] + [n for n, _ in spec.columns if n in df.columns]
-    return df.select(F.to_json(F.struct(*cols)).alias(out))
+    return spread(df).select(F.to_json(F.struct(*cols)).alias(out))
 
 
 def decode(df: DataFrame, spec: DatasetSpec, value_col: str = "value", keep_raw: bool = True) -> DataFrame:

@@ -20,11 +20,13 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import hash_unit, prob_class1, vec_item
 from ..operators import encode
+from ..session import spread
 from ..specs import CARD_BEHAVIOUR, CARD_TRANSACTIONS, RF_PARAMS, TRANSFERS, DatasetSpec
 
 FEATURES = "features"
@@ -131,13 +133,23 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
 
 
 def train(df: DataFrame, label: str = "fraud", seed: int = 42, kind: str = "random_forest", **kw) -> PipelineModel:
-    """Fit a one-stage pipeline on assembled rows (ML-1 and ML-7..11)."""
-    check_two_classes(df, label)
+    """Fit a one-stage pipeline on assembled rows (ML-1 and ML-7..11).
+
+    The learners make several passes (label check, metadata, split candidates,
+    then the iterations); the assembled training set is persisted once so the
+    upstream scan and joins run once, and released after the fit. Storage is
+    memory-and-disk: a lost executor's blocks are recomputed from lineage.
+    """
     weight_col = None
     if kind == "linear_svm":
         df = balanced_weights(df, label)
         weight_col = "weight"
-    return Pipeline(stages=[estimator(kind, label, seed, weight_col, **kw)]).fit(df)
+    cached = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        check_two_classes(cached, label)
+        return Pipeline(stages=[estimator(kind, label, seed, weight_col, **kw)]).fit(cached)
+    finally:
+        cached.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
