@@ -66,13 +66,41 @@ def global_rank(df: DataFrame, col: str, out: str = "code") -> DataFrame:
     return weighted_prefix(distinct, col, "_w").select(col, F.col("cum_before").cast("int").alias(out))
 
 
+def _ranged(df: DataFrame, value_col: str, num_partitions: int | None) -> tuple[DataFrame, DataFrame]:
+    """Range-partition one-row-per-value data, freeze it, and return it with a
+    table of (partition id, rows before it, rows in it): one row per partition."""
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    n = _partitions(df, num_partitions)
+    ranged = (
+        df.repartitionByRange(n, value_col)
+        .withColumn("_pid", F.spark_partition_id())
+        .checkpoint(eager=True)
+    )
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        ranged.groupBy("_pid")
+        .agg(F.sum("_w").alias("_pt"))
+        .select("_pid", "_pt", F.coalesce(F.sum("_pt").over(before), F.lit(0)).cast("long").alias("_off"))
+    )
+    return ranged, parts
+
+
 def exact_quantiles(
-    df: DataFrame, col: str | Column, probs: Sequence[float], name: str = "q"
+    df: DataFrame, col: str | Column, probs: Sequence[float], name: str = "q",
+    num_partitions: int | None = None,
 ) -> DataFrame:
     """Linear-interpolated quantiles (numpy 'linear', DuckDB quantile_cont).
 
     Returns one row with columns ``{name}0, {name}1, ...`` in ``probs`` order.
     NULLs are ignored; an empty input gives NULLs.
+
+    Plan: distinct values with counts (partial aggregate, so a value repeated
+    on a third of the rows is one row), range partitions (checkpointed), and
+    per-partition totals. The totals tell which partitions hold the target
+    ranks, so only those (at most two per quantile) are ordered; the rest of
+    the data is never shuffled again.
     """
     c = F.col(col) if isinstance(col, str) else col
     counts = (
@@ -81,8 +109,8 @@ def exact_quantiles(
         .groupBy("_v")
         .agg(F.count(F.lit(1)).alias("_w"))
     )
-    pref = weighted_prefix(counts, "_v", "_w")
-    total = pref.agg(F.sum("_w").alias("_n"))  # one row
+    ranged, parts = _ranged(counts, "_v", num_partitions)
+    total = parts.agg(F.sum("_pt").alias("_n"))  # one row
     targets = total.select(
         F.explode(
             F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
@@ -98,15 +126,29 @@ def exact_quantiles(
         F.floor("_pos").cast("long").alias("_lo"),
         F.least(F.floor("_pos").cast("long") + 1, F.col("_n") - 1).alias("_hi"),
     )
-    # Each target rank falls inside exactly one distinct value's count range.
-    # The target side has len(probs) rows, so broadcasting it is bounded.
-    def _covers(rank: str) -> Column:
-        return (F.col("cum_before") <= F.col(rank)) & (F.col(rank) < F.col("cum_before") + F.col("_w"))
 
-    hits = F.broadcast(targets).join(pref, _covers("_lo") | _covers("_hi"), "inner")
+    def _in(rank: str, start: str, size: str) -> Column:
+        return (F.col(start) <= F.col(rank)) & (F.col(rank) < F.col(start) + F.col(size))
+
+    # Partitions holding a target rank: len(probs) x partitions rows at most.
+    wanted = (
+        F.broadcast(targets)
+        .join(parts, _in("_lo", "_off", "_pt") | _in("_hi", "_off", "_pt"))
+        .select("_pid", "_off")
+        .distinct()
+    )
+    within = Window.partitionBy("_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    local = (
+        ranged.join(F.broadcast(wanted), "_pid")
+        .withColumn(
+            "cum_before",
+            (F.col("_off") + F.coalesce(F.sum("_w").over(within), F.lit(0))).cast("long"),
+        )
+    )
+    hits = F.broadcast(targets).join(local, _in("_lo", "cum_before", "_w") | _in("_hi", "cum_before", "_w"))
     vals = hits.groupBy("i", "_pos", "_lo").agg(
-        F.max(F.when(_covers("_lo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(_covers("_hi"), F.col("_v"))).alias("_vhi"),
+        F.max(F.when(_in("_lo", "cum_before", "_w"), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(_in("_hi", "cum_before", "_w"), F.col("_v"))).alias("_vhi"),
     ).select(
         "i",
         F.when(F.col("_vhi") == F.col("_vlo"), F.col("_vlo"))
