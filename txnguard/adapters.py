@@ -20,8 +20,16 @@ TABLES = (
 ).split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """One driver table. ``spread`` gives a small single-split scan one
+    partition per task slot (see ``txnguard.session.spread``) for callers
+    doing heavy per-row work; large inputs are unaffected."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    if spread:
+        from .session import spread as _spread
+
+        df = _spread(df)
+    return df
 
 
 # Arrival clock of the replayed streams: record ``key`` arrives ``key`` minutes
@@ -52,9 +60,9 @@ def _date_tags(ts: Column) -> list[Column]:
     ]
 
 
-def transfers(spark: SparkSession, sf_dir: str, tags: bool = False) -> DataFrame:
+def transfers(spark: SparkSession, sf_dir: str, tags: bool = False, spread: bool = False) -> DataFrame:
     """Dataset 1 (payment transfers) from orders x customer."""
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", spread)
     c = table(spark, sf_dir, "customer")
     amount = F.col("o_totalprice") * F.col("o_totalprice") / 400000
     cols = [
@@ -88,9 +96,9 @@ def transfers(spark: SparkSession, sf_dir: str, tags: bool = False) -> DataFrame
     return o.join(c, o.o_custkey == c.c_custkey).select(*cols)
 
 
-def card_behaviour(spark: SparkSession, sf_dir: str, tags: bool = False) -> DataFrame:
+def card_behaviour(spark: SparkSession, sf_dir: str, tags: bool = False, spread: bool = False) -> DataFrame:
     """Dataset 2 (card behaviour) from lineitem x part."""
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread)
     p = table(spark, sf_dir, "part")
     cols = [
         F.col("l_quantity").alias("distance_from_home"),
@@ -116,9 +124,9 @@ def card_behaviour(spark: SparkSession, sf_dir: str, tags: bool = False) -> Data
 POST_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def card_transactions(spark: SparkSession, sf_dir: str, tags: bool = False) -> DataFrame:
+def card_transactions(spark: SparkSession, sf_dir: str, tags: bool = False, spread: bool = False) -> DataFrame:
     """Dataset 3 (card transactions) from events."""
-    e = table(spark, sf_dir, "events")
+    e = table(spark, sf_dir, "events", spread)
     cols = [
         F.concat(F.lit("X"), F.col("event_id").cast("string")).alias("transaction_id"),
         F.date_format("ts", POST_TS_FORMAT).alias("post_ts"),

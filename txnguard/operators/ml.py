@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 
 from ..functions import hash_unit, prob_class1, vec_item
 from ..operators import encode
-from ..session import spread
 from ..specs import CARD_BEHAVIOUR, CARD_TRANSACTIONS, RF_PARAMS, TRANSFERS, DatasetSpec
 
 FEATURES = "features"
@@ -144,7 +143,7 @@ def train(df: DataFrame, label: str = "fraud", seed: int = 42, kind: str = "rand
     if kind == "linear_svm":
         df = balanced_weights(df, label)
         weight_col = "weight"
-    cached = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         check_two_classes(cached, label)
         return Pipeline(stages=[estimator(kind, label, seed, weight_col, **kw)]).fit(cached)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import adapters
 from ..operators import encode, ingest
 from ..sinks.files import land, write_arff, write_csv
-from ..session import scratch_path, spread
+from ..session import scratch_path
 from ..sources.files import read_arff, read_csv, read_partitioned, register_partitioned_table
 from ..specs import CARD_BEHAVIOUR, CARD_TRANSACTIONS, TRANSFERS
 from .registry import register
@@ -23,7 +23,7 @@ def transfer_records(spark, sf):
     """Transfers as stream records (JSON text). Accounts with a balance at or
     below zero send their amount as currency text ("$12.5"), which the typed
     decode turns into NULL: those records must end in quarantine."""
-    t = spread(adapters.transfers(spark, sf, tags=True))
+    t = adapters.transfers(spark, sf, tags=True, spread=True)
     rec = t.select(
         F.to_json(F.struct(*TAGS, *TRANSFER_COLS)).alias("value"), F.col("oldbalanceOrg").alias("_bal")
     )

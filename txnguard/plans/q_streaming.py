@@ -28,13 +28,13 @@ _LOADERS = {
 
 def write_records(spark, sf, spec, path):
     """Land a dataset's rows as stream records (one JSON object per line)."""
-    df = _LOADERS[spec.name](spark, sf, tags=True)
+    df = _LOADERS[spec.name](spark, sf, tags=True, spread=True)
     ingest.encode_json(df, spec).write.text(path)
     return path
 
 
 def _model(spark, sf, spec):
-    feats = ml.features_for(_LOADERS[spec.name](spark, sf), spec).select("features", spec.label)
+    feats = ml.features_for(_LOADERS[spec.name](spark, sf, spread=True), spec).select("features", spec.label)
     return ml.train(feats, spec.label, 42)
 
 
@@ -126,7 +126,7 @@ def st6(spark, sf):
     first, so the sink holds every valid record exactly once."""
     spec = CARD_TRANSACTIONS
     base = scratch_path(spark, "stream-restart")
-    df = adapters.card_transactions(spark, sf, tags=True)
+    df = adapters.card_transactions(spark, sf, tags=True, spread=True)
     records = ingest.encode_json(df, spec)
     first, second = ml.split(records, ["value"], 0.5, 7)
     src = os.path.join(base, "in")
@@ -199,7 +199,7 @@ def st5(spark, sf):
 
 
 def _batch_projection(spark, sf, spec, key):
-    feats = ml.features_for(_LOADERS[spec.name](spark, sf, tags=True), spec)
+    feats = ml.features_for(_LOADERS[spec.name](spark, sf, tags=True, spread=True), spec)
     model = ml.train(feats.select("features", spec.label), spec.label, 42)
     scored = model.transform(feats.withColumn("record_id", F.col(key).cast("string")))
     return st.PROJECTIONS[spec.name](scored)

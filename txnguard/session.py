@@ -75,16 +75,17 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
 
 
 def spread(df):
-    """Give a frame at least as many partitions as the cluster has task slots,
+    """Give a scan at least as many partitions as the cluster has task slots,
     before CPU-heavy per-row work (JSON rendering, iterative ML training).
 
-    A small table stored as one file with one row group is read by a single
-    task, and Spark ML's parallelism follows its input partitions. Only then
-    is the frame round-robin repartitioned; a large input already has more
-    splits than slots and is returned untouched, without an extra shuffle.
-    Counting partitions plans the frame but runs no job. Cheap operators such
-    as partially aggregated group-bys are not spread: the shuffle would cost
-    more than it saves. ``txnguard.spreadSmallInputs=false`` disables it.
+    Call it on a scan (optionally with projections and filters), before any
+    join or aggregation: counting the partitions of a bare scan only lists its
+    splits, while on a plan with exchanges AQE would run those stages. A small
+    table stored as one file with one row group is read by a single task, and
+    Spark ML's parallelism follows its input partitions; only then is the scan
+    round-robin repartitioned. A large input already has more splits than
+    slots and is returned untouched, without an extra shuffle.
+    ``txnguard.spreadSmallInputs=false`` disables it.
     """
     spark = df.sparkSession
     if spark.conf.get("txnguard.spreadSmallInputs", "true").lower() != "true" or df.isStreaming:
