@@ -72,3 +72,25 @@ def test_join_stream_as_written_equals_batch(spark, sf):
     assert got == want
     st.run_all(spark, [q], timeout=1)
     assert not spark.streams.active
+
+
+def test_speed_layer_job(spark, sf):
+    from txnguard.jobs import speed_layer
+    from txnguard.sinks.models import save
+
+    base = scratch_path(spark, "speed")
+    models = os.path.join(base, "models")
+    loaders = {"model1": (TRANSFERS, adapters.transfers), "model2": (CARD_BEHAVIOUR, adapters.card_behaviour),
+               "model3": (CARD_TRANSACTIONS, adapters.card_transactions)}
+    sources = {}
+    for name, (spec, load) in loaders.items():
+        feats = ml.features_for(load(spark, sf), spec).select("features", spec.label)
+        save(ml.train(feats, spec.label, 3), models, name, "20250301_000000")
+        sources[name] = {"kind": "files", "path": _records(spark, sf, spec, load, os.path.join(base, spec.name))}
+    out, ck = os.path.join(base, "out"), os.path.join(base, "ck")
+    speed_layer(spark, models, sources, out, ck, available_now=True)
+    assert not spark.streams.active
+    for name, (spec, load) in loaders.items():
+        assert spark.read.parquet(os.path.join(out, f"predictions_{spec.name}")).count() == load(spark, sf).count()
+    joined = spark.read.parquet(os.path.join(out, "predictions_joined_counts"))
+    assert joined.count() > 0 and set(joined.columns) == {"arrival", "n1", "n2", "n3", "n_joined"}

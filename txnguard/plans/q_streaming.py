@@ -155,23 +155,26 @@ UNION ALL SELECT 'card_behaviour', count(*) FROM card_behaviour
 UNION ALL SELECT 'card_transactions', count(*) FROM card_transactions""",
 )
 def st7(spark, sf):
-    """Start the three scoring queries and the bounded join together, wait for
-    them, stop everything; report the rows each sink received."""
+    """The speed layer as one job (ST-1..4, ST-7): newest complete model
+    version, three scoring queries and the bounded join started together,
+    waited for and stopped; reports the rows each prediction sink received."""
+    from ..jobs import MODEL_SPECS, speed_layer
+    from ..sinks.models import save
+
     base = scratch_path(spark, "stream-all")
-    queries, outs = [], {}
-    for spec in (TRANSFERS, CARD_BEHAVIOUR, CARD_TRANSACTIONS):
+    models = os.path.join(base, "models")
+    sources = {}
+    for name, spec in MODEL_SPECS.items():
+        save(_model(spark, sf, spec), models, name, "20250101_000000")
         src = write_records(spark, sf, spec, os.path.join(base, f"in-{spec.name}"))
-        outs[spec.name] = os.path.join(base, f"out-{spec.name}")
-        queries.append(
-            st.score(st.read_stream(spark, "files", src), _model(spark, sf, spec), spec,
-                     outs[spec.name], os.path.join(base, f"ckpt-{spec.name}"), available_now=True)
-        )
-    for q in queries:
-        q.awaitTermination()
-    st.run_all(spark, queries, timeout=1)
+        sources[name] = {"kind": "files", "path": src}
+    out = os.path.join(base, "out")
+    speed_layer(spark, models, sources, out, os.path.join(base, "checkpoints"), available_now=True)
     parts = [
-        spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows")).withColumn("sink", F.lit(n))
-        for n, p in outs.items()
+        spark.read.parquet(os.path.join(out, f"predictions_{spec.name}"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("sink", F.lit(spec.name))
+        for spec in MODEL_SPECS.values()
     ]
     res = parts[0]
     for p in parts[1:]:
