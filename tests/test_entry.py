@@ -47,6 +47,9 @@ def con():
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for banned in ("CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
+        assert banned not in plan, f"{name} plans {banned}"
     res = con.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
