@@ -33,8 +33,8 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
 
 
 # Arrival clock of the replayed streams: record ``key`` arrives ``key`` minutes
-# after this instant (2024-01-01T00:00:00Z), one record per key and minute.
-ARRIVAL_EPOCH = 1704067200
+# after 2024-01-01 00:00:00 (wall clock, no time zone), one record per key and minute.
+ARRIVAL_START = "2024-01-01 00:00:00"
 
 
 def _arrival_from_key(key: Column) -> list[Column]:
@@ -43,7 +43,8 @@ def _arrival_from_key(key: Column) -> list[Column]:
     hour = floor(key / 60) % 24 and minute = key % 60 (FIXTURES.md); the date
     continues the same clock, so the bounded join (JOIN-2) has real overlaps.
     """
-    ts = F.timestamp_seconds(F.lit(ARRIVAL_EPOCH) + key * 60)
+    # TIMESTAMP_NTZ arithmetic: the tags do not depend on the session time zone.
+    ts = F.timestamp_add("MINUTE", key, F.to_timestamp_ntz(F.lit(ARRIVAL_START)))
     return _date_tags(ts) + [
         (F.floor(key / 60.0) % 24).cast("int").cast("string").alias("hour"),
         (key % 60).cast("int").cast("string").alias("minute"),
