@@ -104,17 +104,34 @@ def st4_as_written(spark, sf):
     )
 
 
-@register("st4_join_stream_bounded")
+_ARRIVALS = " UNION ALL ".join(
+    f"SELECT make_timestamp(CAST(year AS INT), CAST(month AS INT), CAST(day AS INT), CAST(hour AS INT), "
+    f"CAST(minute AS INT), 0) AS arrival, '{side}' AS side FROM {t}"
+    for side, t in (("n1", "transfers"), ("n2", "card_behaviour"), ("n3", "card_transactions"))
+)
+
+
+@register(
+    "st4_join_stream_bounded",
+    f"""SELECT arrival, n1, n2, n3, n1 * n2 * n3 AS n_joined FROM (
+  SELECT arrival, count(*) FILTER (WHERE side = 'n1') AS n1, count(*) FILTER (WHERE side = 'n2') AS n2,
+    count(*) FILTER (WHERE side = 'n3') AS n3
+  FROM ({_ARRIVALS}) u GROUP BY arrival) g
+WHERE arrival <= (SELECT max(arrival) FROM ({_ARRIVALS}) m) - INTERVAL 10 MINUTE""",
+)
 def st4_bounded(spark, sf):
     """ST-4 with JOIN-2: per full arrival minute behind a 10-minute watermark;
-    closed minutes are appended once and their state dropped."""
+    closed minutes are appended once and their state dropped. With all input
+    in one micro-batch, the minutes emitted are those at or below the final
+    watermark (latest arrival minus 10 minutes); later ones stay open."""
     base = scratch_path(spark, "stream-join-bounded")
     counts = st.join_counts_stream(_join_sources(spark, sf, base), bounded=True)
     q = st.start_sink(
         counts, os.path.join(base, "out"), os.path.join(base, "checkpoint"), "join-bounded", available_now=True
     )
     q.awaitTermination()
-    return spark.read.parquet(os.path.join(base, "out"))
+    out = spark.read.parquet(os.path.join(base, "out"))
+    return out.withColumn("arrival", F.col("arrival").cast("timestamp_ntz"))
 
 
 @register(
@@ -234,3 +251,45 @@ def ext6(spark, sf):
     preds = pr15(spark, sf)
     risk = views.customer_risk(adapters.card_transactions(spark, sf))
     return extensions.unified_customer_view(risk, preds)
+
+
+def _sink_contents(spark, sf, spec, cols):
+    """Deterministic columns of a scoring sink, plus a flag that the model's
+    probability is a probability (the id, processing time and the model's
+    choices are not reproducible outside Spark)."""
+    out = _score_stream(spark, sf, spec)
+    ok = F.col("fraud_probability").between(0.0, 1.0)
+    return out.select(*cols, ok.alias("probability_ok"))
+
+
+@register(
+    "st1_sink_contents_transfers",
+    """SELECT nameOrig || '_' || CAST(step AS VARCHAR) AS transaction_id, nameOrig AS customer_id,
+  CAST(amount AS REAL) AS amount,
+  CAST(CASE WHEN oldbalanceOrg > 0
+    THEN CAST(CAST(amount AS REAL) AS DOUBLE) / CAST(CAST(oldbalanceOrg AS REAL) AS DOUBLE) ELSE 0 END AS REAL)
+    AS amount_to_balance_ratio,
+  true AS probability_ok FROM transfers""",
+)
+def st1c(spark, sf):
+    return _sink_contents(spark, sf, TRANSFERS, ["transaction_id", "customer_id", "amount", "amount_to_balance_ratio"])
+
+
+CB_SINK = ", ".join(
+    [f"CAST({c} AS REAL) AS {c}" for c in ("distance_from_home", "distance_from_last_transaction",
+                                            "ratio_to_median_purchase_price")]
+    + [f"CAST({c} AS INT) AS {c}" for c in ("repeat_retailer", "used_chip", "used_pin_number", "online_order")]
+)
+
+
+@register("st2_sink_contents_card_behaviour", f"SELECT {CB_SINK}, true AS probability_ok FROM card_behaviour")
+def st2c(spark, sf):
+    return _sink_contents(spark, sf, CARD_BEHAVIOUR, CARD_BEHAVIOUR.features)
+
+
+@register(
+    "st3_sink_contents_card_transactions",
+    "SELECT fraud = 1 AS fraud, customer_id, CAST(amt AS REAL) AS amount, true AS probability_ok FROM card_transactions",
+)
+def st3c(spark, sf):
+    return _sink_contents(spark, sf, CARD_TRANSACTIONS, ["fraud", "customer_id", "amount"])
