@@ -12,7 +12,7 @@ from ..operators import encode, ingest
 from ..sinks.files import land, write_arff, write_csv
 from ..session import scratch_path
 from ..sources.files import read_arff, read_csv, read_partitioned, register_partitioned_table
-from ..specs import CARD_BEHAVIOUR, CARD_TRANSACTIONS, TRANSFERS
+from ..specs import CARD_BEHAVIOUR, TRANSFERS
 from .registry import register
 
 TRANSFER_COLS = [n for n, _ in TRANSFERS.columns]

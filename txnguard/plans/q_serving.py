@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from .. import adapters
 from ..operators import serving, views
 from ..session import scratch_path
-from ..streaming.score import project_card_transactions  # noqa: F401  (column contract of predictions3)
 from .q_batch import AGG1_SQL, AGG4_SQL
 from .registry import register
 
