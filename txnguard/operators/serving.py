@@ -22,6 +22,13 @@ def register_views(spark: SparkSession, out: str, names) -> list[str]:
     return done
 
 
+def register_tables(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet") -> list[str]:
+    """SV-1: expose sink outputs (prediction tables) as temp views by name."""
+    for name, path in paths.items():
+        spark.read.format(fmt).load(path).createOrReplaceTempView(name)
+    return list(paths)
+
+
 def lookup(df: DataFrame, key: str, value) -> DataFrame:
     """SV-2: rows with ``key == value`` (pushed down to the Parquet scan)."""
     return df.where(F.col(key) == F.lit(value))

@@ -67,3 +67,29 @@ def sv3(spark, sf):
 @register("lim2_serving_limit", FLAGGED_SQL.format(n=500))
 def lim2(spark, sf):
     return serving.flagged(_label_predictions(spark, sf), limit=500)
+
+
+@register(
+    "sv1_sql_over_predictions",
+    """SELECT customer_id, count(*) AS predictions,
+  CAST(sum(CASE WHEN fraud = 1 THEN 1 ELSE 0 END) AS BIGINT) AS flagged,
+  count(*) FILTER (WHERE amt > 100) AS large FROM card_transactions GROUP BY customer_id""",
+)
+def sv1_predictions(spark, sf):
+    """SQL over the predictions3 table written by the dataset-3 scoring stream."""
+    import os
+
+    from ..plans.q_streaming import _model, write_records
+    from ..specs import CARD_TRANSACTIONS
+    from ..streaming import score as st
+
+    base = scratch_path(spark, "serving-predictions")
+    src = write_records(spark, sf, CARD_TRANSACTIONS, os.path.join(base, "in"))
+    out = os.path.join(base, "predictions3")
+    st.score(st.read_stream(spark, "files", src), _model(spark, sf, CARD_TRANSACTIONS), CARD_TRANSACTIONS,
+             out, os.path.join(base, "checkpoint"), available_now=True).awaitTermination()
+    serving.register_tables(spark, {"predictions3": out})
+    return spark.sql(
+        "SELECT customer_id, count(*) AS predictions, CAST(sum(CASE WHEN fraud THEN 1 ELSE 0 END) AS BIGINT) AS flagged, "
+        "count_if(amount > 100) AS large FROM predictions3 GROUP BY customer_id"
+    )
