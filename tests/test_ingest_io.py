@@ -96,3 +96,18 @@ def test_land_layout_with_quality(spark, sf):
     rows = {(r.quality, r.year, r.month, r.day) for r in got.select("quality", "year", "month", "day").collect()}
     assert rows == {("valid", "2024", "01", "02"), ("quarantine", "2024", "01", "03")}
     assert got.where("quality = 'quarantine'").first().reason.startswith("missing:")
+
+
+def test_batch_refresh_job_over_catalog(spark, sf):
+    from txnguard.jobs import batch_refresh
+    from txnguard.plans.q_batch import _land_to_catalog
+
+    _land_to_catalog(spark, sf, "fraud_test")
+    out = scratch_path(spark, "views-job")
+    published = batch_refresh(spark, out, "fraud_test")
+    assert set(published) == set(views.VIEWS)
+    n = read_view(spark, out, "high_risk_customers").agg({"total_transactions": "sum"}).first()[0]
+    assert n == adapters.card_transactions(spark, sf).count()
+    spark.sql("DROP TABLE fraud_test.dataset3")
+    again = batch_refresh(spark, scratch_path(spark, "views-job2"), "fraud_test")
+    assert set(again) == {"fraud_by_transaction_type", "fraud_by_amount_bucket"}
