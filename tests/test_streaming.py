@@ -94,3 +94,18 @@ def test_speed_layer_job(spark, sf):
         assert spark.read.parquet(os.path.join(out, f"predictions_{spec.name}")).count() == load(spark, sf).count()
     joined = spark.read.parquet(os.path.join(out, "predictions_joined_counts"))
     assert joined.count() > 0 and set(joined.columns) == {"arrival", "n1", "n2", "n3", "n_joined"}
+
+
+def test_quarantine_stream(spark, sf):
+    spec = TRANSFERS
+    base = scratch_path(spark, "st-quarantine")
+    good = ingest.encode_json(adapters.transfers(spark, sf, tags=True), spec)
+    bad = spark.createDataFrame([("not json",), ('{"step":1}',), ('{"step":"x","amount":"12"}',)], "value string")
+    good.unionByName(bad).write.text(os.path.join(base, "in"))
+    q = st.start_sink(st.quarantine_stream(st.read_stream(spark, "files", os.path.join(base, "in")), spec),
+                      os.path.join(base, "out"), os.path.join(base, "ck"), "quarantine-test", available_now=True)
+    q.awaitTermination()
+    got = spark.read.parquet(os.path.join(base, "out"))
+    assert got.count() == 3
+    assert {r._raw for r in got.collect()} == {"not json", '{"step":1}', '{"step":"x","amount":"12"}'}
+    assert all(r.reason.startswith("missing:") for r in got.collect())
