@@ -76,10 +76,10 @@ def stratified_split(
     """ML-6: per-class split at the class's own ``train_frac`` hash quantile,
     so every class keeps its share in both parts. The per-class cut points
     are a sketch aggregate (bounded memory, map-side partial) with one row per
-    class, broadcast back to the rows."""
+    class; the join back is left to AQE, which broadcasts the measured table."""
     marked = df.withColumn("_u", hash_unit(key_cols, seed))
     cuts = marked.groupBy(label).agg(F.percentile_approx("_u", train_frac, 100000).alias("_cut"))
-    joined = marked.join(F.broadcast(cuts), label)
+    joined = marked.join(cuts, label)
     train = joined.where(F.col("_u") <= F.col("_cut")).drop("_u", "_cut")
     test = joined.where(F.col("_u") > F.col("_cut")).drop("_u", "_cut")
     return train, test
@@ -120,7 +120,7 @@ def estimator(kind: str, label: str, seed: int, weight_col: str | None = None, g
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Class weight n / (2 * n_class), like sklearn's ``class_weight="balanced"``.
-    The class counts are one row per class, broadcast back."""
+    The class counts are one row per class; the join back is sized by AQE."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     total = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
     weights = (
@@ -128,7 +128,7 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
         .join(F.broadcast(total.withColumn("_one", F.lit(1))), "_one")
         .select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out))
     )
-    return df.join(F.broadcast(weights), label)
+    return df.join(weights, label)
 
 
 def train(df: DataFrame, label: str = "fraud", seed: int = 42, kind: str = "random_forest", **kw) -> PipelineModel:
