@@ -92,7 +92,9 @@ def test_land_layout_with_quality(spark, sf):
     )
     path = scratch_path(spark, "land-test")
     land(ingest.mark(ingest.decode(recs, TRANSFERS), TRANSFERS), path, by_quality=True)
-    got = spark.read.parquet(path)
+    from txnguard.sources.files import read_landed
+
+    got = read_landed(spark, path, TRANSFERS)
     rows = {(r.quality, r.year, r.month, r.day) for r in got.select("quality", "year", "month", "day").collect()}
     assert rows == {("valid", "2024", "01", "02"), ("quarantine", "2024", "01", "03")}
     assert got.where("quality = 'quarantine'").first().reason.startswith("missing:")

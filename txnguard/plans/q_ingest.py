@@ -11,7 +11,7 @@ from .. import adapters
 from ..operators import encode, ingest
 from ..sinks.files import land, write_arff, write_csv
 from ..session import scratch_path
-from ..sources.files import read_arff, read_csv, read_partitioned, register_partitioned_table
+from ..sources.files import read_arff, read_csv, read_landed, read_partitioned, register_partitioned_table
 from ..specs import CARD_BEHAVIOUR, TRANSFERS
 from .registry import register
 
@@ -157,7 +157,7 @@ def snk5(spark, sf):
     dec = ingest.decode(transfer_records(spark, sf), spec)
     path = scratch_path(spark, "landing-marked")
     land(ingest.mark(dec, spec), path, by_quality=True)
-    landed = spark.read.parquet(path)
+    landed = read_landed(spark, path, spec)
     return landed.groupBy("quality", "year").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -48,6 +48,20 @@ def read_partitioned(
     return df
 
 
+def read_landed(spark: SparkSession, path: str, spec: DatasetSpec, marked: bool = True) -> DataFrame:
+    """Read what ``sinks.files.land`` wrote from decoded stream records: the
+    record fields, and with ``marked`` the raw text, the reason and the
+    ``quality`` partition. The schema is declared, so the partition values
+    stay strings whatever the session's type-inference setting is."""
+    fields = list(spec.stream_schema.fields)
+    if marked:
+        fields = [T.StructField("_raw", T.StringType())] + fields + [
+            T.StructField("reason", T.StringType()),
+            T.StructField("quality", T.StringType()),
+        ]
+    return spark.read.option("basePath", path).schema(T.StructType(fields)).parquet(path)
+
+
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
     """Create ``database`` if missing; with a location under shared storage
     (never the driver's working directory)."""
