@@ -28,3 +28,27 @@ def test_scoring_has_no_python_udf(spark, sf):
     scored = st.project_transfers(model.transform(feats.withColumn("record_id", feats["transaction_id"])))
     p = _plan(scored)
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_spread_only_small_scans(spark, sf):
+    from txnguard.session import spread
+
+    small = spark.read.parquet(f"{sf}/orders.parquet")
+    assert small.rdd.getNumPartitions() == 1
+    assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
+    assert spread(many) is many  # enough splits already: untouched, no shuffle
+
+
+def test_parallel_refresh_equals_sequential(spark, sf):
+    from txnguard.session import scratch_path
+    from txnguard.sinks.views import read_view
+
+    srcs = {"dataset1": adapters.transfers(spark, sf), "dataset3": adapters.card_transactions(spark, sf)}
+    a, b = scratch_path(spark, "par"), scratch_path(spark, "seq")
+    views.refresh(spark, srcs, a, parallel=True)
+    views.refresh(spark, srcs, b, parallel=False)
+    for v in views.VIEWS:
+        ra = sorted(map(tuple, read_view(spark, a, v).collect()), key=str)
+        rb = sorted(map(tuple, read_view(spark, b, v).collect()), key=str)
+        assert ra == rb, v
