@@ -109,3 +109,16 @@ def test_quarantine_stream(spark, sf):
     assert got.count() == 3
     assert {r._raw for r in got.collect()} == {"not json", '{"step":1}', '{"step":"x","amount":"12"}'}
     assert all(r.reason.startswith("missing:") for r in got.collect())
+
+
+def test_session_default_stream_checkpoint(spark, sf):
+    from txnguard.session import ensure_checkpoint_dir
+
+    base = ensure_checkpoint_dir(spark)
+    assert spark.conf.get("spark.sql.streaming.checkpointLocation").startswith(base.rstrip("/"))
+    out = scratch_path(spark, "st-default-ckpt")
+    src = _records(spark, sf, CARD_TRANSACTIONS, adapters.card_transactions, out + "-in")
+    q = (st.read_stream(spark, "files", src).writeStream.format("parquet").queryName("default_ckpt_test")
+         .trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    assert spark.read.parquet(out).count() == adapters.card_transactions(spark, sf).count()

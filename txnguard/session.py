@@ -52,11 +52,19 @@ def get_spark(
     return spark
 
 
+_STREAM_CKPT_KEY = "spark.sql.streaming.checkpointLocation"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint directory, creating a local one only if unset."""
+    """Return the checkpoint directory, creating a local one only if unset.
+
+    Also gives streaming queries a session default checkpoint root under the
+    same shared folder when none is configured (each query still names its own).
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
+        _default_stream_checkpoints(spark, current)
         return current
     configured = sc.getConf().get(_CHECKPOINT_KEY, None) or spark.conf.get(
         _CHECKPOINT_KEY, None
@@ -65,7 +73,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         # Only reached in tests and local runs: no shared folder was given.
         configured = tempfile.mkdtemp(prefix="txnguard-ckpt-")
     sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    current = sc.getCheckpointDir() or configured
+    _default_stream_checkpoints(spark, current)
+    return current
+
+
+def _default_stream_checkpoints(spark: SparkSession, base: str) -> None:
+    if not spark.conf.get(_STREAM_CKPT_KEY, None):
+        spark.conf.set(_STREAM_CKPT_KEY, os.path.join(base.rstrip("/"), "streaming"))
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
