@@ -7,9 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from txnguard.llm import oracle_sql
 from txnguard.llm.common import load
 from txnguard.llm.license_scan import license_scan
 from txnguard.llm.packing import best_fit_packing
+from txnguard.llm.secret_scan import secret_scan
+from txnguard.llm.simhash import simhash_components
 from txnguard.llm.tiktoken_codec import tiktoken_digests
 from txnguard.llm.token_counts import token_counts
 
@@ -22,6 +25,14 @@ def query(fn):
     return fn
 
 
+@query
+def op1_secret_scan(spark, sf_dir):
+    return secret_scan(load(spark, sf_dir, "documents"))
+
+
+ORACLE["op1_secret_scan"] = oracle_sql.secret_scan()
+
+
 @query
 def op2_token_counts(spark, sf_dir):
     return token_counts(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
@@ -32,6 +43,11 @@ def op3_best_fit_packing(spark, sf_dir):
     return best_fit_packing(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), tokens=2048)
 
 
+@query
+def op5_simhash(spark, sf_dir):
+    return simhash_components(load(spark, sf_dir, "documents"), words=3, distance=2)
+
+
 @query
 def op9_tiktoken(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
