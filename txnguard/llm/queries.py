@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from txnguard.llm import oracle_sql
 from txnguard.llm.common import load
+from txnguard.llm.language_id import language_id
 from txnguard.llm.license_scan import license_scan
 from txnguard.llm.packing import best_fit_packing
+from txnguard.llm.pivot_topk import pivot_top_k
 from txnguard.llm.secret_scan import secret_scan
 from txnguard.llm.simhash import simhash_components
 from txnguard.llm.tiktoken_codec import tiktoken_digests
@@ -48,6 +50,16 @@ def op5_simhash(spark, sf_dir):
     return simhash_components(load(spark, sf_dir, "documents"), words=3, distance=2)
 
 
+@query
+def op6_language_id(spark, sf_dir):
+    return language_id(load(spark, sf_dir, "documents"))
+
+
+@query
+def op8_pivot_top_k(spark, sf_dir):
+    return pivot_top_k(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
 @query
 def op9_tiktoken(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
