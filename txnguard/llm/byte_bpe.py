@@ -17,9 +17,9 @@ import json
 
 import numpy as np
 
+from txnguard.llm.span_hash import SpanHash
+
 LETTER, NUMBER, SPACE, OTHER, UNKNOWN = range(5)
-MULTIPLIER = 0x9E3779B97F4A7C15 | 1
-MASK = (1 << 64) - 1
 
 
 class WordSplitter:
@@ -28,7 +28,7 @@ class WordSplitter:
     def __init__(self, pre_tokenizer):
         self.pre = pre_tokenizer
         self.classes = np.full(0x110000, UNKNOWN, np.uint8)
-        self.power = self.inverse = np.ones(1, np.uint64)
+        self.hashes = SpanHash()
 
     def classify(self, points: np.ndarray) -> np.ndarray:
         found = self.classes[points]
@@ -73,24 +73,6 @@ class WordSplitter:
             start[after[after < n]] = True
         return points, np.append(np.flatnonzero(start), n), texts_at, kind
 
-    def hashes(self, points: np.ndarray, words_at: np.ndarray) -> np.ndarray:
-        """64 bits for each word, of its characters and length."""
-        n = len(points) + 1
-        if len(self.power) < n:
-            step = np.full(n, MULTIPLIER, np.uint64)
-            back = np.full(n, pow(MULTIPLIER, -1, 1 << 64), np.uint64)
-            step[0] = back[0] = 1
-            self.power, self.inverse = np.cumprod(step, dtype=np.uint64), np.cumprod(back, dtype=np.uint64)
-        x = points.astype(np.uint64) + np.uint64(1)
-        x *= np.uint64(0xBF58476D1CE4E5B9)
-        x ^= x >> np.uint64(29)
-        x *= self.power[: n - 1]
-        sums = np.zeros(n, np.uint64)
-        np.cumsum(x, dtype=np.uint64, out=sums[1:])
-        h = (sums[words_at[1:]] - sums[words_at[:-1]]) * self.inverse[words_at[:-1]]
-        h ^= h >> np.uint64(32)
-        return h * np.uint64(0x94D049BB133111EB) + np.diff(words_at).astype(np.uint64)
-
 
 class WordStore:
     """What was found for each distinct word: a short array of integers.

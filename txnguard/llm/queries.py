@@ -11,6 +11,7 @@ from txnguard.llm import oracle_sql
 from txnguard.llm.common import load
 from txnguard.llm.language_id import language_id
 from txnguard.llm.license_scan import license_scan
+from txnguard.llm.lz_fingerprint import lz_fingerprints
 from txnguard.llm.packing import best_fit_packing
 from txnguard.llm.pivot_topk import pivot_top_k
 from txnguard.llm.secret_scan import secret_scan
@@ -45,6 +46,11 @@ def op3_best_fit_packing(spark, sf_dir):
     return best_fit_packing(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), tokens=2048)
 
 
+@query
+def op4_lz_fingerprint(spark, sf_dir):
+    return lz_fingerprints(load(spark, sf_dir, "documents"))
+
+
 @query
 def op5_simhash(spark, sf_dir):
     return simhash_components(load(spark, sf_dir, "documents"), words=3, distance=2)
