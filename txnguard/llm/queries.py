@@ -16,6 +16,7 @@ from txnguard.llm.packing import best_fit_packing
 from txnguard.llm.pivot_topk import pivot_top_k
 from txnguard.llm.secret_scan import secret_scan
 from txnguard.llm.simhash import simhash_components
+from txnguard.llm.suffix_dedup import suffix_dedup
 from txnguard.llm.tiktoken_codec import tiktoken_digests
 from txnguard.llm.token_counts import token_counts
 
@@ -61,6 +62,11 @@ def op6_language_id(spark, sf_dir):
     return language_id(load(spark, sf_dir, "documents"))
 
 
+@query
+def op7_suffix_dedup(spark, sf_dir):
+    return suffix_dedup(load(spark, sf_dir, "documents"), length=50)
+
+
 @query
 def op8_pivot_top_k(spark, sf_dir):
     return pivot_top_k(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)

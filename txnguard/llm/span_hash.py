@@ -1,4 +1,4 @@
-"""64-bit hashes of neighbouring spans of a sequence, by prefix sums."""
+"""64-bit hashes of spans of a sequence, by prefix sums."""
 
 from __future__ import annotations
 
@@ -15,6 +15,10 @@ class SpanHash:
         self.power = self.inverse = np.ones(1, np.uint64)
 
     def __call__(self, points: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return self.spans(points, at[:-1], at[1:])
+
+    def spans(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """A hash of each ``points[start:end]``; spans may overlap."""
         n = len(points) + 1
         if len(self.power) < n:
             step = np.full(n, MULTIPLIER, np.uint64)
@@ -27,6 +31,6 @@ class SpanHash:
         x *= self.power[: n - 1]
         sums = np.zeros(n, np.uint64)
         np.cumsum(x, dtype=np.uint64, out=sums[1:])
-        h = (sums[at[1:]] - sums[at[:-1]]) * self.inverse[at[:-1]]
+        h = (sums[ends] - sums[starts]) * self.inverse[starts]
         h ^= h >> np.uint64(32)
-        return h * np.uint64(0x94D049BB133111EB) + np.diff(at).astype(np.uint64)
+        return h * np.uint64(0x94D049BB133111EB) + (ends - starts).astype(np.uint64)
