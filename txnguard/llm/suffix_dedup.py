@@ -414,7 +414,7 @@ def keyed_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def repeated_intervals(
     source: DataFrame, spread: DataFrame, length: int = 50, q: int = 20, bucket_bytes: int = 4 << 20, bucket_strings: int = 20_000, held: int = 1_000_000
 ) -> DataFrame:
-    """``_key, _text, spans`` (arrays of start, end) of documents with bytes to remove.
+    """``_key, spans`` (text's hash, start, end) of documents with bytes to remove.
 
     ``source`` is ``keyed_text`` as read, ``spread`` the same dealt out by ``_key``.
     """
@@ -431,7 +431,8 @@ def repeated_intervals(
     strings = spread.join(places, "_key").mapInArrow(string_rows(length, q, parts, held // 8), blobs)
     deal = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("blob"), F.lit(parts))).otherwise(F.col("bucket"))
     found = strings.withColumn("bucket", deal).groupBy("bucket").applyInArrow(intervals_of(length), "_key long, _text long, start long, end long")
-    return found.groupBy("_key", "_text").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    # By id alone, as the texts are dealt, so that their one shuffle serves this join too.
+    return found.groupBy("_key").agg(F.collect_set(F.struct("_text", "start", "end")).alias("spans"))
 
 
 def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = False, **options) -> DataFrame:
@@ -459,8 +460,8 @@ def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text
     def cut(batches):
         for batch in batches:
             out = []
-            for key, raw, found in zip(*(batch.column(c).to_pylist() for c in ("_key", "text", "spans"))):
-                gone = merged([(x["start"], x["end"]) for x in found or ()])
+            for key, text, raw, found in zip(*(batch.column(c).to_pylist() for c in ("_key", "_text", "text", "spans"))):
+                gone = merged([(x["start"], x["end"]) for x in found or () if x["_text"] == text])
                 ends = [0, *(e for _, e in gone)]
                 kept = b"".join(raw[a:b] for a, b in zip(ends, [*(s for s, _ in gone), len(raw)]))
                 spans = [{"start": s, "end": e} for s, e in gone]
@@ -468,4 +469,4 @@ def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
-    return spread.join(spans, ["_key", "_text"], "left").select("_key", "text", "spans").mapInArrow(cut, schema)
+    return spread.join(spans, "_key", "left").mapInArrow(cut, schema)
