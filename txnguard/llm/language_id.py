@@ -14,6 +14,7 @@ size; from the executors come their presence bits only.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from txnguard.llm.common import arrow_schema, batch_of, id_text, schema_with, text_batches
@@ -175,6 +176,32 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     return source.mapInArrow(run, schema)
 
 
+def keep_identified(docs: DataFrame, model: Model | None, over_chance: float = 1.2, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose language can't be told: null texts, texts without
+    letters, and those whose best score is below ``over_chance`` times the chance of
+    one language among those learned. Without a model, only the first two go.
+    All columns stay as they are."""
+    arrow = arrow_schema(docs.schema)
+    least = min(over_chance / len(model.languages), 0.99) if model else 0.0
+    shared = docs.sparkSession.sparkContext.broadcast(model and (model.landmarks, model.weights, model.languages, model.sharpness))
+
+    def run(batches):
+        table, model = letter_table(), shared.value and Model(*shared.value)
+        for batch in batches:
+            texts, keep = batch.column(text_col), []
+            rows = pa.RecordBatch.from_arrays([texts, texts.fill_null("")], ["doc_id", "text"])
+            for _, part in text_batches([rows]):
+                for i in range(0, len(part), 256):
+                    bits, has = presence(part[i : i + 256], table)
+                    if model:
+                        has[has] = model.predict(bits[has])[1] >= least
+                    keep.append(has)
+            kept = batch.filter(pa.array(np.concatenate(keep)) if keep else pa.array([], pa.bool_()))
+            yield batch_of(arrow, kept.columns)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Whether a row is kept out of training: crc32 of its id as text, modulo 4, is 2."""
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))

@@ -143,3 +143,66 @@ def simhash_components(
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = materialise(rooted.select("fp", "root").join(materialise(smallest, "smallest"), "root").select("fp", "component_id"), "named")
     return found.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def shingle_set(text: str, words: int) -> np.ndarray:
+    """Distinct hashes of a text's word shingles; of all its words if there are fewer."""
+    import xxhash
+
+    found = text.encode("utf-8", "surrogatepass").lower().split()
+    if not found:
+        return np.zeros(0, np.int64)
+    n = max(1, len(found) - words + 1)
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(b" ".join(found[i : i + words])) for i in range(n)), np.uint64).view(np.int64))
+
+
+def one_of_each_group(
+    docs: DataFrame,
+    words: int = 3,
+    distance: int = 6,
+    blocks: int = 9,
+    check_words: int = 5,
+    least: float = 0.8,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``docs`` without near-duplicates: of each group the row of smallest id stays.
+
+    A group is a component of SimHash links (``words``-word shingles, up to ``distance``
+    bits). A row goes if its text is that of the row that stays, or if the two share
+    at least ``least`` of their ``check_words``-word shingles (Jaccard, exact); else it
+    stays too. Of repeated rows (same id and text) one stays. Null texts count as
+    empty; a null id is the smallest. All columns stay as they are; columns may not
+    be named ``_id`` or ``_hash``.
+    """
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    tagged = docs.withColumns({"_id": F.coalesce(F.col(f"`{id_col}`"), F.lit(-(1 << 63))), "_hash": F.xxhash64(text)})
+    key = F.struct("_id", "_hash")
+    found = materialise(fingerprints(tagged.select(key.alias("k"), text_col), words, "k", text_col), "fingerprints")
+    points = materialise(found.select("fp").distinct(), "points")
+    roots = materialise(connected_components(links(points, distance, blocks)), "roots")
+    named = found.join(roots, found["fp"] == roots["node"], "left").select(F.col("doc_id").alias("key"), F.coalesce("root", "fp").alias("root"))
+    stays = materialise(named.groupBy("root").agg(F.min("key").alias("rep"), F.count("*").alias("n")).where("n > 1"), "stays")
+    asked = materialise(named.join(stays, "root").where("key != rep").select("key", "rep").distinct(), "asked")
+    apart = asked.where("key._hash != rep._hash")
+    wanted = apart.select("key.*").union(apart.select("rep.*")).distinct().groupBy("_id").agg(F.collect_set("_hash").alias("_wanted"))
+    # The texts are dealt once, for this join and the last one.
+    spread = tagged.repartition("_id")
+
+    def sets(batches):
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("_id", "_hash", text_col, "_wanted")))
+            out = [(i, h, shingle_set(t or "", check_words)) for i, h, t, w in rows if h in w]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.list_(pa.int64())))], ["_id", "_hash", "set"])
+
+    shingles = spread.join(wanted, "_id").mapInArrow(sets, "_id long, _hash long, set array<long>").dropDuplicates(["_id", "_hash"])
+    shingles = materialise(shingles.select(key.alias("key"), "set"), "shingles")
+    pairs = apart.join(shingles, "key").select("key", "rep", "set").join(shingles.select(F.col("key").alias("rep"), F.col("set").alias("other")), "rep")
+    common = F.size(F.array_intersect("set", "other"))
+    alike = pairs.where(common >= least * (F.size("set") + F.size("other") - common)).select("key")
+    gone = materialise(asked.where("key._hash = rep._hash").select("key").union(alike).select("key.*"), "gone")
+    gone = gone.groupBy("_id").agg(F.collect_set("_hash").alias("_gone"))
+    left = spread.join(gone, "_id", "left").where(F.col("_gone").isNull() | ~F.array_contains("_gone", F.col("_hash")))
+    return left.dropDuplicates(["_id", "_hash"]).select(*(F.col(f"`{c}`") for c in docs.columns))

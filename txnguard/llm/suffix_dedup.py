@@ -31,7 +31,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from txnguard.llm.common import batch_of, materialise, text_batches
 from txnguard.llm.span_hash import MULTIPLIER, SpanHash
@@ -435,6 +435,40 @@ def repeated_intervals(
     return found.groupBy("_key").agg(F.collect_set(F.struct("_text", "start", "end")).alias("spans"))
 
 
+def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with the bytes that ``suffix_dedup`` finds cut out of the texts.
+
+    Characters that a cut goes through are dropped. Rows whose text was all cut out
+    go; null and empty texts stay. All other columns stay as they are.
+    """
+    source = keyed_text(docs, id_col, text_col)
+    others = [c for c in docs.columns if c != text_col]
+    null = F.col(f"`{text_col}`").isNull().alias("null")
+    row = F.struct(null, *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others))).alias("_doc")
+    id_, text = F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    wide = docs.select(
+        F.coalesce(id_.cast("long"), F.lit(NULL_ID)).alias("_key"), F.xxhash64(text).alias("_text"), text.cast("binary").alias("text"), row
+    )
+    spread = wide.repartition("_key")
+    spans = repeated_intervals(source, spread, length, **options)
+
+    def cut(batches):
+        for batch in batches:
+            texts = []
+            for text, raw, found in zip(*(batch.column(c).to_pylist() for c in ("_text", "text", "spans"))):
+                gone = merged([(x["start"], x["end"]) for x in found or () if x["_text"] == text])
+                ends = [0, *(e for _, e in gone)]
+                kept = b"".join(raw[a:b] for a, b in zip(ends, [*(s for s, _ in gone), len(raw)]))
+                texts.append(kept.decode("utf-8", "ignore") if kept or not raw else None)
+            if texts:
+                yield pa.RecordBatch.from_arrays([batch.column("_doc"), pa.array(texts, pa.string())], ["_doc", "text"])
+
+    schema = T.StructType([spread.schema["_doc"], T.StructField("text", T.StringType())])
+    left = spread.join(spans, "_key", "left").mapInArrow(cut, schema).where("text IS NOT NULL")
+    columns = {c: F.col(f"_doc.c{i}") for i, c in enumerate(others)} | {text_col: F.when(~F.col("_doc.null"), F.col("text"))}
+    return left.select(*(columns[c].alias(c) for c in docs.columns))
+
+
 def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = False, **options) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``.
 
