@@ -98,9 +98,10 @@ def links(points: DataFrame, distance: int = 2, blocks: int = 4, few: int = 16,
     """``a, b``: links between distinct fingerprints (column ``fp``) that reach what all
     pairs at up to ``distance`` bits reach. Keys are hashed: equal keys that come from
     other blocks only add candidates, which are verified like any."""
-    keyed = points.select("fp", F.explode(block_keys(F.col("fp"), distance, blocks)).alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = materialise(keyed.join(materialise(sizes, "keys"), "key"), "shared")
+    # Dealt by key once: counting and joining the counts back both use that dealing.
+    keyed = points.select("fp", F.explode(block_keys(F.col("fp"), distance, blocks)).alias("key")).repartition("key")
+    sizes = keyed.groupBy("key").agg(F.count("fp").alias("n")).where("n > 1")
+    shared = materialise(keyed.join(sizes, "key"), "shared")
     small = shared.where(F.col("n") <= few).select("key", "fp")
     pairs = (
         small.select("key", F.col("fp").alias("a"))
@@ -164,17 +165,21 @@ def one_of_each_group(
     blocks: int = 9,
     check_words: int = 5,
     least: float = 0.8,
+    rounds: int = 4,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """``docs`` without near-duplicates: of each group the row of smallest id stays.
 
-    A group is a component of SimHash links (``words``-word shingles, up to ``distance``
-    bits). A row goes if its text is that of the row that stays, or if the two share
-    at least ``least`` of their ``check_words``-word shingles (Jaccard, exact); else it
-    stays too. Of repeated rows (same id and text) one stays. Null texts count as
-    empty; a null id is the smallest. All columns stay as they are; columns may not
-    be named ``_id`` or ``_hash``.
+    Candidates are components of SimHash links (``words``-word shingles, up to
+    ``distance`` bits). Of each text in one, the row of smallest id stays. Then the
+    component's smallest id leads: texts that share at least ``least`` of their
+    ``check_words``-word shingles with it (Jaccard, exact) go; of the rest the
+    smallest leads next, for ``rounds`` rounds. What is like no leader stays.
+
+    Of repeated rows (same id and text) one stays. Null texts count as empty; a null
+    id is the smallest. All columns stay as they are; columns may not be named
+    ``_id`` or ``_hash``.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     tagged = docs.withColumns({"_id": F.coalesce(F.col(f"`{id_col}`"), F.lit(-(1 << 63))), "_hash": F.xxhash64(text)})
@@ -183,11 +188,12 @@ def one_of_each_group(
     points = materialise(found.select("fp").distinct(), "points")
     roots = materialise(connected_components(links(points, distance, blocks)), "roots")
     named = found.join(roots, found["fp"] == roots["node"], "left").select(F.col("doc_id").alias("key"), F.coalesce("root", "fp").alias("root"))
-    stays = materialise(named.groupBy("root").agg(F.min("key").alias("rep"), F.count("*").alias("n")).where("n > 1"), "stays")
-    asked = materialise(named.join(stays, "root").where("key != rep").select("key", "rep").distinct(), "asked")
-    apart = asked.where("key._hash != rep._hash")
-    wanted = apart.select("key.*").union(apart.select("rep.*")).distinct().groupBy("_id").agg(F.collect_set("_hash").alias("_wanted"))
-    # The texts are dealt once, for this join and the last one.
+    named = materialise(named, "named")
+    texts = materialise(named.groupBy("root", F.col("key._hash").alias("hash")).agg(F.min("key").alias("first")), "texts")
+    copies = named.join(texts.select("hash", "first"), named["key"]["_hash"] == texts["hash"]).where("key != first").select("key")
+    several = materialise(texts.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root"), "several")
+    members = materialise(texts.join(several, "root").select("root", F.col("first").alias("key")), "members")
+    wanted = members.select("key.*").groupBy("_id").agg(F.collect_set("_hash").alias("_wanted"))
     spread = tagged.repartition("_id")
 
     def sets(batches):
@@ -198,11 +204,16 @@ def one_of_each_group(
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.list_(pa.int64())))], ["_id", "_hash", "set"])
 
     shingles = spread.join(wanted, "_id").mapInArrow(sets, "_id long, _hash long, set array<long>").dropDuplicates(["_id", "_hash"])
-    shingles = materialise(shingles.select(key.alias("key"), "set"), "shingles")
-    pairs = apart.join(shingles, "key").select("key", "rep", "set").join(shingles.select(F.col("key").alias("rep"), F.col("set").alias("other")), "rep")
-    common = F.size(F.array_intersect("set", "other"))
-    alike = pairs.where(common >= least * (F.size("set") + F.size("other") - common)).select("key")
-    gone = materialise(asked.where("key._hash = rep._hash").select("key").union(alike).select("key.*"), "gone")
+    pending = materialise(members.join(shingles.select(key.alias("key"), "set"), "key").select("root", "key", "set"), "pending")
+    gone = copies
+    common = F.size(F.array_intersect("set", "lead.set"))
+    alike = common >= least * (F.size("set") + F.size("lead.set") - common)
+    for i in range(rounds):
+        lead = materialise(pending.groupBy("root").agg(F.min(F.struct("key", "set")).alias("lead")), "lead")
+        judged = materialise(pending.join(lead, "root").where("key != lead.key").select("root", "key", "set", alike.alias("alike")), "judged")
+        gone = gone.union(judged.where("alike").select("key"))
+        pending = judged.where("NOT alike").drop("alike")
+    gone = materialise(gone.select("key.*").distinct(), "gone")
     gone = gone.groupBy("_id").agg(F.collect_set("_hash").alias("_gone"))
     left = spread.join(gone, "_id", "left").where(F.col("_gone").isNull() | ~F.array_contains("_gone", F.col("_hash")))
     return left.dropDuplicates(["_id", "_hash"]).select(*(F.col(f"`{c}`") for c in docs.columns))
