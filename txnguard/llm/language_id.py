@@ -181,14 +181,15 @@ def keep_identified(docs: DataFrame, model: Model | None, over_chance: float = 1
     letters, and those whose best score is below ``over_chance`` times the chance of
     one language among those learned. Without a model, only the first two go.
     All columns stay as they are."""
-    arrow = arrow_schema(docs.schema)
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))  # whatever the names are
+    arrow, text_at = arrow_schema(plain.schema), docs.columns.index(text_col)
     least = min(over_chance / len(model.languages), 0.99) if model else 0.0
     shared = docs.sparkSession.sparkContext.broadcast(model and (model.landmarks, model.weights, model.languages, model.sharpness))
 
     def run(batches):
         table, model = letter_table(), shared.value and Model(*shared.value)
         for batch in batches:
-            texts, keep = batch.column(text_col), []
+            texts, keep = batch.column(text_at), []
             rows = pa.RecordBatch.from_arrays([texts, texts.fill_null("")], ["doc_id", "text"])
             for _, part in text_batches([rows]):
                 for i in range(0, len(part), 256):
@@ -199,7 +200,7 @@ def keep_identified(docs: DataFrame, model: Model | None, over_chance: float = 1
             kept = batch.filter(pa.array(np.concatenate(keep)) if keep else pa.array([], pa.bool_()))
             yield batch_of(arrow, kept.columns)
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

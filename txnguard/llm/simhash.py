@@ -18,6 +18,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F
 
 from txnguard.llm.common import arrow_schema, batch_of, id_text, materialise, schema_with, text_batches
@@ -178,13 +179,15 @@ def one_of_each_group(
     smallest leads next, for ``rounds`` rounds. What is like no leader stays.
 
     Of repeated rows (same id and text) one stays. Null texts count as empty; a null
-    id is the smallest. All columns stay as they are; columns may not be named
-    ``_id`` or ``_hash``.
+    id is the smallest. Ids are integers. All columns stay as they are.
     """
+    # Columns of the input stand inside a struct, under names that can't clash.
+    row = F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns))).alias("_doc")
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    tagged = docs.withColumns({"_id": F.coalesce(F.col(f"`{id_col}`"), F.lit(-(1 << 63))), "_hash": F.xxhash64(text)})
-    key = F.struct("_id", "_hash")
-    found = materialise(fingerprints(tagged.select(key.alias("k"), text_col), words, "k", text_col), "fingerprints")
+    id_ = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63)))
+    tagged = docs.select(row, id_.alias("_id"), F.xxhash64(text).alias("_hash"))
+    key, text_at = F.struct("_id", "_hash"), docs.columns.index(text_col)
+    found = materialise(fingerprints(tagged.select(key.alias("k"), F.col(f"_doc.c{text_at}").alias("t")), words, "k", "t"), "fingerprints")
     points = materialise(found.select("fp").distinct(), "points")
     roots = materialise(connected_components(links(points, distance, blocks)), "roots")
     named = found.join(roots, found["fp"] == roots["node"], "left").select(F.col("doc_id").alias("key"), F.coalesce("root", "fp").alias("root"))
@@ -198,8 +201,9 @@ def one_of_each_group(
 
     def sets(batches):
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("_id", "_hash", text_col, "_wanted")))
-            out = [(i, h, shingle_set(t or "", check_words)) for i, h, t, w in rows if h in w]
+            texts = pa.compute.struct_field(batch.column("_doc"), [text_at]).to_pylist()
+            rows = zip(*(batch.column(c).to_pylist() for c in ("_id", "_hash", "_wanted")), texts)
+            out = [(i, h, shingle_set(t or "", check_words)) for i, h, w, t in rows if h in w]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.list_(pa.int64())))], ["_id", "_hash", "set"])
 
@@ -216,4 +220,4 @@ def one_of_each_group(
     gone = materialise(gone.select("key.*").distinct(), "gone")
     gone = gone.groupBy("_id").agg(F.collect_set("_hash").alias("_gone"))
     left = spread.join(gone, "_id", "left").where(F.col("_gone").isNull() | ~F.array_contains("_gone", F.col("_hash")))
-    return left.dropDuplicates(["_id", "_hash"]).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return left.dropDuplicates(["_id", "_hash"]).select(*(F.col(f"_doc.c{i}").alias(c) for i, c in enumerate(docs.columns)))
