@@ -30,16 +30,6 @@ def test_scoring_has_no_python_udf(spark, sf):
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
 
 
-def test_spread_only_small_scans(spark, sf):
-    from txnguard.session import spread
-
-    small = spark.read.parquet(f"{sf}/orders.parquet")
-    assert small.rdd.getNumPartitions() == 1
-    assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
-    assert spread(many) is many  # enough splits already: untouched, no shuffle
-
-
 def test_parallel_refresh_equals_sequential(spark, sf):
     from txnguard.session import scratch_path
     from txnguard.sinks.views import read_view

@@ -122,3 +122,67 @@ def test_session_default_stream_checkpoint(spark, sf):
          .trigger(availableNow=True).start(out))
     q.awaitTermination()
     assert spark.read.parquet(out).count() == adapters.card_transactions(spark, sf).count()
+
+
+MINUTE = '"year":"2024","month":"03","day":"05","hour":"{h}","minute":"{m}"'
+BODIES = {
+    TRANSFERS.name: '"step":1,"type":"PAYMENT","amount":10.5,"nameOrig":"C1","oldbalanceOrg":50.0',
+    CARD_BEHAVIOUR.name: '"distance_from_home":1.0',
+    CARD_TRANSACTIONS.name: '"amt":9.5,"customer_id":"c{i}","transaction_id":"t{i}"',
+}
+ORDER = (TRANSFERS, CARD_BEHAVIOUR, CARD_TRANSACTIONS)
+
+
+def _send(spark, base, spec, minutes, extra=()):
+    lines = ["{" + MINUTE.format(h=m // 60, m=m % 60) + "," + BODIES[spec.name].format(i=m) + "}" for m in minutes]
+    rows = spark.createDataFrame([(x,) for x in [*lines, *extra]], "value string")
+    rows.coalesce(1).write.mode("append").text(os.path.join(base, spec.name))
+
+
+def _run_join(spark, base, make, name):
+    streams = [(st.read_stream(spark, "files", os.path.join(base, s.name)), s) for s in ORDER]
+    out = os.path.join(base, name)
+    st.start_sink(make(streams), out, os.path.join(base, f"ck-{name}"), name, available_now=True).awaitTermination()
+    return spark.read.parquet(out).collect()
+
+
+def test_lagging_stream_loses_no_minute(spark):
+    base = scratch_path(spark, "st-lag")
+    bad = ["not json", '{"hour":"99","minute":"1"}', '{"year":"2024","month":"03","day":"05","hour":null,"minute":"7"}']
+    for s in ORDER[:2]:
+        _send(spark, base, s, range(120), bad)
+    _send(spark, base, ORDER[2], [0], bad)
+    joins_ = {"counts": lambda x: st.join_counts_stream(x), "rows": st.join_rows_stream}
+    for name, make in joins_.items():
+        assert len(_run_join(spark, base, make, name)) == 0  # nothing is closed yet
+    _send(spark, base, ORDER[2], range(1, 120))
+    for s in ORDER:  # later traffic on all three closes the minutes
+        _send(spark, base, s, [500 + ORDER.index(s)])
+    counts = _run_join(spark, base, joins_["counts"], "counts")
+    assert len(counts) == 120 and all(r.n_joined == 1 for r in counts)
+    rows = _run_join(spark, base, joins_["rows"], "rows")
+    assert sorted(r.transaction_id for r in rows) == sorted(f"t{m}" for m in range(120)) and all(r.n_joined == 1 for r in rows)
+
+
+def test_as_written_join_has_no_null_or_empty_keys(spark):
+    base = scratch_path(spark, "st-null")
+    for k, s in enumerate(ORDER):
+        _send(spark, base, s, [5, 10 + k], ["not json", '{"hour":"25","minute":"0"}'])
+    streams = [(st.read_stream(spark, "files", os.path.join(base, s.name)), s) for s in ORDER]
+    q = (st.join_counts_stream(streams, bounded=False).writeStream.outputMode("complete").format("memory")
+         .queryName("as_written_nulls").option("checkpointLocation", os.path.join(base, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert [(r.hour, r.minute, r.n_joined) for r in spark.table("as_written_nulls").collect()] == [("0", "5", 1)]
+    quarantined = st.join_quarantine_stream(st.read_stream(spark, "files", os.path.join(base, ORDER[0].name)), ORDER[0])
+    st.start_sink(quarantined, os.path.join(base, "q"), os.path.join(base, "ck-q"), "join-quarantine", available_now=True).awaitTermination()
+    assert spark.read.parquet(os.path.join(base, "q")).count() == 2
+
+
+def test_unlabelled_records_are_scored(spark, sf):
+    spec, base = CARD_TRANSACTIONS, scratch_path(spark, "st-unlabelled")
+    model = ml.train(ml.features_for(adapters.card_transactions(spark, sf), spec).select("features", "fraud"), "fraud", 1)
+    _send(spark, base, spec, [1, 2])
+    st.score(st.read_stream(spark, "files", os.path.join(base, spec.name)), model, spec, os.path.join(base, "out"),
+             os.path.join(base, "ck"), available_now=True).awaitTermination()
+    got = spark.read.parquet(os.path.join(base, "out")).collect()
+    assert len(got) == 2 and all(r.fraud is None and 0 <= r.fraud_probability <= 1 for r in got)

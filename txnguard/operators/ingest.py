@@ -36,16 +36,18 @@ def decode(df: DataFrame, spec: DatasetSpec, value_col: str = "value", keep_raw:
     return df.select(*passthrough, *raw, F.inline(F.array(parsed)))
 
 
-def reason(spec: DatasetSpec, df: DataFrame) -> Column:
-    """Comma-separated list of failed checks; NULL when the record is valid."""
-    checks = [F.when(F.col(c).isNull(), F.lit(f"missing:{c}")) for c in spec.required if c in df.columns]
+def reason(spec: DatasetSpec, df: DataFrame, scoring: bool = False) -> Column:
+    """Comma-separated list of failed checks; NULL when the record is valid.
+    ``scoring`` asks for features and ids only, not for the label."""
+    required = spec.required_for_scoring if scoring else spec.required
+    checks = [F.when(F.col(c).isNull(), F.lit(f"missing:{c}")) for c in required if c in df.columns]
     joined = F.concat_ws(",", *checks)
     return F.when(joined == "", F.lit(None).cast("string")).otherwise(joined)
 
 
-def validate(df: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFrame]:
+def validate(df: DataFrame, spec: DatasetSpec, scoring: bool = False) -> tuple[DataFrame, DataFrame]:
     """V-1: split into (valid, quarantined-with-reason). Valid + quarantined = input."""
-    marked = df.withColumn("_reason", reason(spec, df))
+    marked = df.withColumn("_reason", reason(spec, df, scoring))
     good = marked.where(F.col("_reason").isNull()).drop("_reason")
     bad = marked.where(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason")
     return good, bad

@@ -20,6 +20,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +30,9 @@ from ..operators import encode
 from ..specs import CARD_BEHAVIOUR, CARD_TRANSACTIONS, RF_PARAMS, TRANSFERS, DatasetSpec
 
 FEATURES = "features"
+# Partitions of the training layout: a fixed default, part of the model's
+# definition like the seed. Raise it for training sets of many GB.
+LAYOUT_PARTITIONS = 16
 
 
 def prepare(df: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -52,10 +56,11 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = FEATURES) -> Dat
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error").transform(df)
 
 
-def features_for(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Validated rows -> prepared and assembled, with the kept columns."""
+def features_for(df: DataFrame, spec: DatasetSpec, labelled: bool = True) -> DataFrame:
+    """Validated rows -> prepared and assembled, with the kept columns. Training
+    needs the label; scoring (``labelled=False``) doesn't."""
     prepared = prepare(df, spec)
-    valid = prepared.dropna(subset=list(spec.features) + [spec.label])
+    valid = prepared.dropna(subset=list(spec.features) + [spec.label] * labelled)
     return assemble(valid, spec.features)
 
 
@@ -75,14 +80,33 @@ def stratified_split(
 ) -> tuple[DataFrame, DataFrame]:
     """ML-6: per-class split at the class's own ``train_frac`` hash quantile,
     so every class keeps its share in both parts. The per-class cut points
-    are a sketch aggregate (bounded memory, map-side partial) with one row per
-    class; the join back is left to AQE, which broadcasts the measured table."""
+    are a sketch aggregate (bounded memory, map-side partial), read as literals:
+    no row is shuffled on its label."""
     marked = df.withColumn("_u", hash_unit(key_cols, seed))
-    cuts = marked.groupBy(label).agg(F.percentile_approx("_u", train_frac, 100000).alias("_cut"))
-    joined = marked.join(cuts, label)
-    train = joined.where(F.col("_u") <= F.col("_cut")).drop("_u", "_cut")
-    test = joined.where(F.col("_u") > F.col("_cut")).drop("_u", "_cut")
-    return train, test
+    cuts = per_class(marked, label, F.percentile_approx("_u", train_frac, 100000))
+    in_train = F.col("_u") <= _by_class(label, cuts)
+    # NULL labels have no class, and no part: as in an inner join.
+    return marked.where(in_train).drop("_u"), marked.where(~in_train).drop("_u")
+
+
+MAX_CLASSES = 1000
+
+
+def per_class(df: DataFrame, label: str, value) -> dict:
+    """One number per class of ``label``, from one aggregate with map-side partials.
+    Refuses more than ``MAX_CLASSES`` classes: then it isn't a label."""
+    rows = df.where(F.col(label).isNotNull()).groupBy(label).agg(value.alias("_v")).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    return {r[0]: r[1] for r in rows}
+
+
+def _by_class(label: str, values: dict):
+    """The class's number as an expression: rows stay where they are."""
+    out = F.lit(None).cast("double")
+    for k, v in values.items():
+        out = F.when(F.col(label) == F.lit(k), F.lit(float(v))).otherwise(out)
+    return out
 
 
 # ---- models ------------------------------------------------------------------
@@ -101,16 +125,16 @@ def random_forest(label: str = "fraud", seed: int = 42, **overrides) -> RandomFo
     return RandomForestClassifier(labelCol=label, featuresCol=FEATURES, seed=seed, **params)
 
 
-def estimator(kind: str, label: str, seed: int, weight_col: str | None = None, gbt_iter: int = 20):
+def estimator(kind: str, label: str, seed: int, weight_col: str | None = None, gbt_iter: int = 100):
     """ML-7..11: the notebook's model family on Spark ML."""
     if kind == "random_forest":
         return random_forest(label, seed)
-    if kind == "random_forest_deep":  # ML-11: sklearn grows unbounded trees
-        return random_forest(label, seed, maxDepth=15)
+    if kind == "random_forest_deep":  # ML-11: grown without a bound there; 30 is the most here
+        return random_forest(label, seed, maxDepth=30)
     if kind == "logistic_regression":
         return LogisticRegression(labelCol=label, featuresCol=FEATURES, maxIter=100)
     if kind == "linear_svm":
-        return LinearSVC(labelCol=label, featuresCol=FEATURES, maxIter=50, weightCol=weight_col)
+        return LinearSVC(labelCol=label, featuresCol=FEATURES, maxIter=1000, weightCol=weight_col)
     if kind == "naive_bayes":
         return NaiveBayes(labelCol=label, featuresCol=FEATURES, modelType="gaussian")
     if kind == "gradient_boosting":
@@ -119,16 +143,21 @@ def estimator(kind: str, label: str, seed: int, weight_col: str | None = None, g
 
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Class weight n / (2 * n_class), like sklearn's ``class_weight="balanced"``.
-    The class counts are one row per class; the join back is sized by AQE."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    total = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    weights = (
-        counts.withColumn("_one", F.lit(1))
-        .join(F.broadcast(total.withColumn("_one", F.lit(1))), "_one")
-        .select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out))
-    )
-    return df.join(weights, label)
+    """Class weight n / (k * n_class) for k classes, like sklearn's
+    ``class_weight="balanced"``; the counts are read as literals."""
+    counts = per_class(df, label, F.count(F.lit(1)))
+    n, k = sum(counts.values()), len(counts)
+    return df.where(F.col(label).isNotNull()).withColumn(out, _by_class(label, {c: n / (k * m) for c, m in counts.items()}))
+
+
+def training_layout(df: DataFrame, partitions: int = LAYOUT_PARTITIONS) -> DataFrame:
+    """Rows dealt by a hash of their content into a fixed number of partitions and
+    sorted there. Tree learners sample per partition; so laid out, a model depends
+    on the rows and the seed, not on how the input was split or on the cluster."""
+    content = [vector_to_array(c) if t == "vector" else F.col(c) for c, t in df.dtypes]
+    keys = [f"_k{i}" for i in range(len(content))]
+    keyed = df.withColumns(dict(zip(keys, content)))
+    return keyed.repartition(partitions, F.xxhash64(*keys)).sortWithinPartitions(*keys).drop(*keys)
 
 
 def train(df: DataFrame, label: str = "fraud", seed: int = 42, kind: str = "random_forest", **kw) -> PipelineModel:
@@ -143,7 +172,7 @@ def train(df: DataFrame, label: str = "fraud", seed: int = 42, kind: str = "rand
     if kind == "linear_svm":
         df = balanced_weights(df, label)
         weight_col = "weight"
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = training_layout(df).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         check_two_classes(cached, label)
         return Pipeline(stages=[estimator(kind, label, seed, weight_col, **kw)]).fit(cached)
@@ -219,17 +248,26 @@ def compare(
     for name, df, feats, label in datasets:
         keys = list(key_cols or df.columns)
         tr, te = stratified_split(df, keys, label, train_frac, seed)
-        tr = assemble(tr, feats).select(FEATURES, label)
-        te = assemble(te, feats).select(FEATURES, label)
-        for kind in kinds:
-            model = train(tr, label, seed, kind, **kw)
-            m = metrics(score(model, te), label).select(
-                F.lit(name).alias("dataset"), F.lit(kind).alias("model"), "*"
-            )
-            rows = m if rows is None else rows.unionByName(m)
+        # Both sides are read by every model: kept once per dataset, then released.
+        tr = assemble(tr, feats).select(FEATURES, label).persist(StorageLevel.MEMORY_AND_DISK)
+        te = assemble(te, feats).select(FEATURES, label).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for kind in kinds:
+                model = train(tr, label, seed, kind, **kw)
+                m = metrics(score(model, te), label).select(F.lit(name).alias("dataset"), F.lit(kind).alias("model"), "*")
+                one = spark_rows(m)
+                rows = one if rows is None else rows.unionByName(one)
+        finally:
+            tr.unpersist()
+            te.unpersist()
     return rows
 
 
+def spark_rows(m: DataFrame) -> DataFrame:
+    """A one-row result as a table of its own, free of the plan that made it."""
+    return m.sparkSession.createDataFrame(m.collect(), m.schema)
+
+
 def ensemble(preds: Sequence[DataFrame], key: str = "transaction_id", threshold: float = 0.5) -> DataFrame:
     """EXT-5: one row per transaction with each model's probability, their mean
     and the flag (mean > threshold). Each input: (key, fraud_probability)."""

@@ -21,12 +21,14 @@ def retrain(
     metrics_path: str,
     name: str = "model1",
     spec: DatasetSpec = TRANSFERS,
-    key_cols=("transaction_id",),
+    key_cols=None,
     seed: int = 42,
     version: str | None = None,
 ) -> dict:
     feats = features_for(df, spec)
-    tr, te = split(feats, list(key_cols), 0.7, seed)
+    # The dataset's row id where it has one, else all its features and the label.
+    keys = list(key_cols or [c for c in spec.keep if c == "transaction_id"] or [*spec.features, spec.label])
+    tr, te = split(feats, keys, 0.7, seed)
     model = train(tr.select("features", spec.label), spec.label, seed)
     version = version or new_version()
     path = save(model, base, name, version)

@@ -58,7 +58,7 @@ def as3(spark, sf):
 
 
 def _train_transfers(spark, sf, kind="random_forest"):
-    feats = ml.features_for(adapters.transfers(spark, sf, spread=True), TRANSFERS)
+    feats = ml.features_for(adapters.transfers(spark, sf), TRANSFERS)
     tr, te = ml.split(feats, ["transaction_id"], 0.7, SEED)
     model = ml.train(tr.select("features", "fraud"), "fraud", SEED, kind)
     return model, te
@@ -125,7 +125,7 @@ def ml6(spark, sf):
 
 def _notebook_eval(spark, sf, kind):
     """The notebook protocol on dataset 2: all features, 80/20 stratified."""
-    df = ml.prepare(adapters.card_behaviour(spark, sf, tags=True, spread=True), CARD_BEHAVIOUR)
+    df = ml.prepare(adapters.card_behaviour(spark, sf, tags=True), CARD_BEHAVIOUR)
     return ml.compare(
         [("dataset 2", df, CARD_BEHAVIOUR.features, "fraud")],
         [kind],
@@ -187,12 +187,12 @@ def notebook_matrices(spark, sf):
     the key each split hashes on."""
     from ..operators import encode
 
-    t = encode.category_codes(adapters.transfers(spark, sf, spread=True), "type").withColumn(
+    t = encode.category_codes(adapters.transfers(spark, sf), "type").withColumn(
         "isMerchant", F.col("nameDest").startswith("M").cast("int")
     )
     t_feats = ["step", "type", "amount", "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest", "isMerchant"]
-    cb = ml.prepare(adapters.card_behaviour(spark, sf, tags=True, spread=True), CARD_BEHAVIOUR)
-    ct = encode.category_codes(adapters.card_transactions(spark, sf, spread=True), "entry_mode")
+    cb = ml.prepare(adapters.card_behaviour(spark, sf, tags=True), CARD_BEHAVIOUR)
+    ct = encode.category_codes(adapters.card_transactions(spark, sf), "entry_mode")
     ct_feats = ["bin", "amt", "entry_mode", "fraud_scenario"]
     return [
         ("dataset 1", t, t_feats, "isFraud", ["o_orderkey"]),
@@ -201,8 +201,8 @@ def notebook_matrices(spark, sf):
     ]
 
 
-# The comparison table's models (the report's table; linear SVM is ML-8 on its own).
-COMPARISON_MODELS = ["random_forest", "gradient_boosting", "logistic_regression", "naive_bayes"]
+# The comparison table's models, ML-7 to ML-11.
+COMPARISON_MODELS = ["logistic_regression", "linear_svm", "naive_bayes", "gradient_boosting", "random_forest_deep"]
 
 
 @register("ml13_model_comparison")
@@ -213,8 +213,7 @@ def ml13(spark, sf):
 
     def one(entry):
         name, df, feats, label, keys = entry
-        # the fitted metrics are tiny; cache them so the union does not refit
-        return ml.compare([(name, df, feats, label)], COMPARISON_MODELS, NOTEBOOK_SEED, key_cols=keys).cache()
+        return ml.compare([(name, df, feats, label)], COMPARISON_MODELS, NOTEBOOK_SEED, key_cols=keys)
 
     matrices = notebook_matrices(spark, sf)
     # The datasets are independent: their (small, iterative) fits run side by side.
@@ -230,7 +229,7 @@ def ml13(spark, sf):
 def ml14(spark, sf):
     """One scheduled retrain: new version saved, metrics row appended."""
     base, mpath = scratch_path(spark, "models"), scratch_path(spark, "model-metrics")
-    retrain(spark, adapters.transfers(spark, sf, spread=True), base, mpath, seed=SEED, version="20250101_000000")
+    retrain(spark, adapters.transfers(spark, sf), base, mpath, seed=SEED, version="20250101_000000")
     return spark.read.parquet(mpath)
 
 
@@ -242,7 +241,7 @@ def snk3_src8(spark, sf):
     specs = [("model1", TRANSFERS, adapters.transfers), ("model2", CARD_BEHAVIOUR, adapters.card_behaviour),
              ("model3", CARD_TRANSACTIONS, adapters.card_transactions)]
     for name, spec, load in specs:
-        feats = ml.features_for(load(spark, sf, spread=True), spec).select("features", spec.label)
+        feats = ml.features_for(load(spark, sf), spec).select("features", spec.label)
         model = ml.train(feats, spec.label, SEED)
         save(model, base, name, "20250101_120000")
         if name == "model1":  # newer but incomplete: must not be picked
@@ -250,7 +249,7 @@ def snk3_src8(spark, sf):
     version, models = load_latest(spark, base)
     assert version == latest_complete_version(spark, base) == "20250101_120000"
     scored = ml.with_fraud_probability(
-        ml.score(models["model1"], ml.features_for(adapters.transfers(spark, sf), TRANSFERS))
+        ml.score(models["model1"], ml.features_for(adapters.transfers(spark, sf), TRANSFERS, labelled=False))
     )
     return scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("rows")).withColumn("version", F.lit(version))
 
@@ -265,7 +264,7 @@ def ext4(spark, sf):
 @register("ext5_ensemble")
 def ext5(spark, sf):
     """Three models on dataset 1 combined per transaction (mean probability)."""
-    feats = ml.features_for(adapters.transfers(spark, sf, spread=True), TRANSFERS)
+    feats = ml.features_for(adapters.transfers(spark, sf), TRANSFERS)
     tr, te = ml.split(feats, ["transaction_id"], 0.7, SEED)
     preds = []
     for kind in ("random_forest", "logistic_regression", "naive_bayes"):

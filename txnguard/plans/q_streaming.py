@@ -28,13 +28,13 @@ _LOADERS = {
 
 def write_records(spark, sf, spec, path):
     """Land a dataset's rows as stream records (one JSON object per line)."""
-    df = _LOADERS[spec.name](spark, sf, tags=True, spread=True)
+    df = _LOADERS[spec.name](spark, sf, tags=True)
     ingest.encode_json(df, spec).write.text(path)
     return path
 
 
 def _model(spark, sf, spec):
-    feats = ml.features_for(_LOADERS[spec.name](spark, sf, spread=True), spec).select("features", spec.label)
+    feats = ml.features_for(_LOADERS[spec.name](spark, sf), spec).select("features", spec.label)
     return ml.train(feats, spec.label, 42)
 
 
@@ -99,9 +99,7 @@ def st4_as_written(spark, sf):
         .start()
     )
     q.awaitTermination()
-    return read_view(spark, out, "predictions4_counts").where(
-        (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col("n3") > 0)
-    )
+    return read_view(spark, out, "predictions4_counts")
 
 
 _ARRIVALS = " UNION ALL ".join(
@@ -111,21 +109,30 @@ _ARRIVALS = " UNION ALL ".join(
 )
 
 
-@register(
-    "st4_join_stream_bounded",
-    f"""SELECT arrival, n1, n2, n3, n1 * n2 * n3 AS n_joined FROM (
+_MINUTES = f"""SELECT arrival, n1, n2, n3, n1 * n2 * n3 AS n_joined FROM (
   SELECT arrival, count(*) FILTER (WHERE side = 'n1') AS n1, count(*) FILTER (WHERE side = 'n2') AS n2,
     count(*) FILTER (WHERE side = 'n3') AS n3
   FROM ({_ARRIVALS}) u GROUP BY arrival) g
-WHERE arrival <= (SELECT max(arrival) FROM ({_ARRIVALS}) m) - INTERVAL 10 MINUTE""",
-)
+WHERE n1 > 0 AND n2 > 0 AND n3 > 0"""
+
+
+def _closed_sources(spark, sf, base):
+    """The three record streams, each followed by one record a day after all data:
+    it closes every minute, as live traffic does."""
+    sources = _join_sources(spark, sf, base)
+    for spec in (TRANSFERS, CARD_BEHAVIOUR, CARD_TRANSACTIONS):
+        closing = '{"year":"2099","month":"01","day":"01","hour":"0","minute":"0"}'
+        spark.createDataFrame([(closing,)], "value string").coalesce(1).write.mode("append").text(os.path.join(base, f"in-{spec.name}"))
+    return sources
+
+
+@register("st4_join_stream_bounded", _MINUTES)
 def st4_bounded(spark, sf):
     """ST-4 with JOIN-2: per full arrival minute behind a 10-minute watermark;
-    closed minutes are appended once and their state dropped. With all input
-    in one micro-batch, the minutes emitted are those at or below the final
-    watermark (latest arrival minus 10 minutes); later ones stay open."""
+    closed minutes are appended once and their state dropped. A later record on
+    each stream closes all minutes of the data."""
     base = scratch_path(spark, "stream-join-bounded")
-    counts = st.join_counts_stream(_join_sources(spark, sf, base), bounded=True)
+    counts = st.join_counts_stream(_closed_sources(spark, sf, base), bounded=True)
     q = st.start_sink(
         counts, os.path.join(base, "out"), os.path.join(base, "checkpoint"), "join-bounded", available_now=True
     )
@@ -134,6 +141,24 @@ def st4_bounded(spark, sf):
     return out.withColumn("arrival", F.col("arrival").cast("timestamp_ntz"))
 
 
+@register(
+    "st4_join_stream_rows",
+    f"""SELECT transaction_id, customer_id, make_timestamp(CAST(year AS INT), CAST(month AS INT), CAST(day AS INT),
+  CAST(hour AS INT), CAST(minute AS INT), 0) AS arrival, n1 * n2 AS n_joined
+FROM card_transactions JOIN ({_MINUTES}) m ON arrival = make_timestamp(CAST(year AS INT), CAST(month AS INT),
+  CAST(day AS INT), CAST(hour AS INT), CAST(minute AS INT), 0)""",
+)
+def st4_rows(spark, sf):
+    """ST-4's row output: each dataset-3 record of the join once, with the number of
+    joined rows that it stands in (never the pairs themselves)."""
+    base = scratch_path(spark, "stream-join-rows")
+    rows = st.join_rows_stream(_closed_sources(spark, sf, base))
+    q = st.start_sink(rows, os.path.join(base, "out"), os.path.join(base, "checkpoint"), "join-rows", available_now=True)
+    q.awaitTermination()
+    out = spark.read.parquet(os.path.join(base, "out"))
+    return out.select("transaction_id", "customer_id", F.col("arrival").cast("timestamp_ntz").alias("arrival"), "n_joined")
+
+
 @register(
     "st6_restart_no_duplicates",
     "SELECT count(*) AS rows, count(*) AS distinct_ids FROM card_transactions",
@@ -143,7 +168,7 @@ def st6(spark, sf):
     first, so the sink holds every valid record exactly once."""
     spec = CARD_TRANSACTIONS
     base = scratch_path(spark, "stream-restart")
-    df = adapters.card_transactions(spark, sf, tags=True, spread=True)
+    df = adapters.card_transactions(spark, sf, tags=True)
     records = ingest.encode_json(df, spec)
     first, second = ml.split(records, ["value"], 0.5, 7)
     src = os.path.join(base, "in")
@@ -219,8 +244,8 @@ def st5(spark, sf):
 
 
 def _batch_projection(spark, sf, spec, key):
-    feats = ml.features_for(_LOADERS[spec.name](spark, sf, tags=True, spread=True), spec)
-    model = ml.train(feats.select("features", spec.label), spec.label, 42)
+    feats = ml.features_for(_LOADERS[spec.name](spark, sf, tags=True), spec, labelled=False)
+    model = ml.train(feats.where(F.col(spec.label).isNotNull()).select("features", spec.label), spec.label, 42)
     scored = model.transform(feats.withColumn("record_id", F.col(key).cast("string")))
     return st.PROJECTIONS[spec.name](scored)
 

@@ -2,8 +2,9 @@
 
 Every job that cuts lineage or lands intermediate data writes below the
 directory named by ``spark.checkpoint.dir``. On a cluster that setting points at
-shared storage and is read, never overridden. Only when it is unset (local
-tests, the driver's smoke session) do we create one of our own.
+shared storage and is read, never overridden. Only when it is unset under a ``local``
+master (tests, the smoke session) do we create one of our own; on a cluster an
+unset folder is an error.
 """
 
 from __future__ import annotations
@@ -22,12 +23,16 @@ def get_spark(
     app: str = "txnguard",
     shuffle_partitions: int | None = None,
     extra: dict | None = None,
+    hive: bool = False,
 ) -> SparkSession:
     """Build (or reuse) a session with the settings the library relies on.
 
-    ``master`` is left to the launcher when None, as on a cluster.
+    ``master`` is left to the launcher when None, as on a cluster. ``hive``
+    makes the session catalog the persistent one (the jobs' default).
     """
     b = SparkSession.builder.appName(app)
+    if hive:
+        b = b.enableHiveSupport()
     if master:
         b = b.master(master)
     conf = {
@@ -70,7 +75,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         _CHECKPOINT_KEY, None
     )
     if not configured:
-        # Only reached in tests and local runs: no shared folder was given.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that the driver and all executors share")
+        # One process, one machine: tests and local runs.
         configured = tempfile.mkdtemp(prefix="txnguard-ckpt-")
     sc.setCheckpointDir(configured)
     current = sc.getCheckpointDir() or configured
@@ -87,25 +94,3 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     """A fresh, unique path under the shared scratch area for one job."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "txnguard", f"{tag}-{uuid.uuid4().hex[:12]}")
-
-
-def spread(df):
-    """Give a scan at least as many partitions as the cluster has task slots,
-    before CPU-heavy per-row work (JSON rendering, iterative ML training).
-
-    Call it on a scan (optionally with projections and filters), before any
-    join or aggregation: counting the partitions of a bare scan only lists its
-    splits, while on a plan with exchanges AQE would run those stages. A small
-    table stored as one file with one row group is read by a single task, and
-    Spark ML's parallelism follows its input partitions; only then is the scan
-    round-robin repartitioned. A large input already has more splits than
-    slots and is returned untouched, without an extra shuffle.
-    ``txnguard.spreadSmallInputs=false`` disables it.
-    """
-    spark = df.sparkSession
-    if spark.conf.get("txnguard.spreadSmallInputs", "true").lower() != "true" or df.isStreaming:
-        return df
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df

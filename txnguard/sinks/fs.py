@@ -25,35 +25,10 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
-def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file under a temporary name, then rename it into place."""
-    fs, p, jvm = _fs(spark, path)
-    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
-
-
-def read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p, jvm = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        lines = []
-        line = reader.readLine()
-        while line is not None:
-            lines.append(line)
-            line = reader.readLine()
-        return "\n".join(lines)
-    finally:
-        stream.close()
+def create_marker(spark: SparkSession, path: str) -> None:
+    """Create an empty file; it is there or not, on any file system."""
+    fs, p, _ = _fs(spark, path)
+    fs.create(p, False).close()
 
 
 def delete(spark: SparkSession, path: str) -> None:

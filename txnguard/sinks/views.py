@@ -2,9 +2,11 @@
 
 The reference truncates a table and re-inserts rows one by one from the driver,
 so readers can see an empty or half-filled view. Here every refresh writes a new
-version directory with a distributed write (no ``collect``), and only after the
-job has committed is the ``_CURRENT`` pointer swapped. Readers resolve the
-pointer, so they see either the old or the new version, never a mix.
+version directory with a distributed write (no ``collect``), and a marker file is
+created in it once the job has committed. Readers take the newest version that
+has its marker: nothing is ever renamed or overwritten, so they see the old or
+the new version whole, on HDFS, local disks and object stores alike, and of two
+writers the later version wins.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import fs
 
-KEEP_VERSIONS = 2
+PUBLISHED = "_PUBLISHED"  # readers of data skip names that begin so
 
 
 def _view_dir(out: str, view: str) -> str:
@@ -30,17 +32,28 @@ def replace_view(spark: SparkSession, df: DataFrame, out: str, view: str, fmt: s
     version = f"v{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
     path = os.path.join(base, version)
     df.write.mode("errorifexists").format(fmt).save(path)
-    fs.write_text_atomic(spark, os.path.join(base, "_CURRENT"), version)
-    # Drop versions older than the last few; readers hold the current one.
-    old = sorted(d for d in fs.list_dirs(spark, base) if d.startswith("v"))[:-KEEP_VERSIONS]
+    fs.create_marker(spark, os.path.join(path, PUBLISHED))
+    return path
+
+
+def expire_versions(spark: SparkSession, out: str, view: str, older_than_seconds: float) -> list[str]:
+    """Delete versions of ``view`` published longer ago than that, never the current
+    one; returns their names. Publishing deletes nothing: call this with an age
+    that no reader of an old version reaches."""
+    base, current = _view_dir(out, view), current_path(spark, out, view)
+    limit = int((time.time() - older_than_seconds) * 1000)
+    old = [d for d in fs.list_dirs(spark, base) if d.startswith("v") and int(d[1:].split("-")[0]) < limit and os.path.join(base, d) != current]
     for d in old:
         fs.delete(spark, os.path.join(base, d))
-    return path
+    return old
 
 
 def current_path(spark: SparkSession, out: str, view: str) -> str | None:
-    version = fs.read_text(spark, os.path.join(_view_dir(out, view), "_CURRENT"))
-    return os.path.join(_view_dir(out, view), version.strip()) if version else None
+    base = _view_dir(out, view)
+    for d in sorted((d for d in fs.list_dirs(spark, base) if d.startswith("v")), reverse=True):
+        if fs.exists(spark, os.path.join(base, d, PUBLISHED)):
+            return os.path.join(base, d)
+    return None
 
 
 def read_view(spark: SparkSession, out: str, view: str, fmt: str = "parquet") -> DataFrame | None:

@@ -36,6 +36,7 @@ RF_PARAMS = {"numTrees": 10, "maxDepth": 5, "impurity": "gini", "maxBins": 32}
 
 ARRIVAL_TAGS = ["year", "month", "day", "hour", "minute"]
 
+# Field names and types of the three datasets, in stored order.
 _S, _F, _I, _D = T.StringType(), T.FloatType(), T.IntegerType(), T.DoubleType()
 
 
@@ -69,10 +70,16 @@ class DatasetSpec:
     columns: list  # (name, DataType) of the stored table
     label: str  # label column after preparation
     features: list  # assembler inputs, in order
-    required: list  # fields whose absence quarantines a record
+    required: list  # fields whose absence quarantines a record at landing
+    stream_label: str = "fraud"  # the label as records carry it
     keep: list = field(default_factory=list)  # carried through scoring
     partition_cols: tuple = ("year", "month", "day")
 
+    @property
+    def required_for_scoring(self) -> list:
+        """A record without a label can't train, but is scored."""
+        return [c for c in self.required if c != self.stream_label]
+
     @property
     def table_schema(self) -> T.StructType:
         """Stored table schema (Hive layout, without partition columns)."""
@@ -91,6 +98,7 @@ TRANSFERS = DatasetSpec(
     label="fraud",
     features=["amount", "amount_to_balance_ratio"],
     required=["step", "type", "amount", "nameOrig", "oldbalanceOrg", "isFraud"],
+    stream_label="isFraud",
     keep=["transaction_id", "type", "amount", "nameOrig", "nameDest"],
 )
 CARD_BEHAVIOUR = DatasetSpec(

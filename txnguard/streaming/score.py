@@ -111,17 +111,18 @@ PROJECTIONS = {
 
 
 def scored_stream(records: DataFrame, model: PipelineModel, spec: DatasetSpec) -> DataFrame:
-    """The scoring plan without a sink: valid records only (invalid ones would
-    stop the query at the assembler, Q7)."""
+    """The scoring plan without a sink: records with all features and ids
+    (others would stop the query at the assembler, Q7). A label isn't needed:
+    what is to be scored mostly has none yet."""
     decoded = ingest.decode(records, spec)
-    good, _ = ingest.validate(decoded, spec)
+    good, _ = ingest.validate(decoded, spec, scoring=True)
     feats = assemble(prepare(good, spec), spec.features)
     return PROJECTIONS[spec.name](model.transform(feats))
 
 
 def quarantine_stream(records: DataFrame, spec: DatasetSpec) -> DataFrame:
     decoded = ingest.decode(records, spec)
-    _, bad = ingest.validate(decoded, spec)
+    _, bad = ingest.validate(decoded, spec, scoring=True)
     return bad.select("record_id", "_raw", "reason", _now())
 
 
@@ -159,11 +160,29 @@ def score(
 MINUTE_KEY = ["hour", "minute"]
 
 
-def _tagged(records: DataFrame, spec: DatasetSpec, side: str) -> DataFrame:
-    d = ingest.decode(records, spec, keep_raw=False)
-    return d.select(
-        "year", "month", "day", "hour", "minute", F.lit(side).alias("side")
-    )
+def _key_ok():
+    """Hour and minute as on a clock; the as-written key has at most 1,440 values."""
+    hour, minute = F.col("hour").try_cast("int"), F.col("minute").try_cast("int")
+    return F.coalesce(hour.between(0, 23) & minute.between(0, 59), F.lit(False))
+
+
+def _decoded_keys(records: DataFrame, spec: DatasetSpec, bounded: bool, watermark: str) -> DataFrame:
+    """Decoded records that have a join key; ``arrival`` behind its own watermark."""
+    from ..operators.joins import arrival_minute
+
+    d = ingest.decode(records, spec, keep_raw=False).where(_key_ok())
+    if not bounded:
+        return d
+    return d.withColumn("arrival", arrival_minute()).where(F.col("arrival").isNotNull()).withWatermark("arrival", watermark)
+
+
+def join_quarantine_stream(records: DataFrame, spec: DatasetSpec, bounded: bool = True) -> DataFrame:
+    """Records that can't take part in the join, with the reason."""
+    from ..operators.joins import arrival_minute
+
+    ok = _key_ok() & arrival_minute().isNotNull() if bounded else _key_ok()
+    bad = ingest.decode(records, spec).where(~ok)
+    return bad.select("record_id", "_raw", F.lit("invalid:arrival").alias("reason"), _now())
 
 
 def join_counts_stream(
@@ -177,20 +196,37 @@ def join_counts_stream(
     ``bounded=True`` keys on the full arrival minute behind a watermark: each
     minute is emitted once, when it can no longer change, and its state is
     dropped (append mode).
+
+    Each stream has its own watermark, set before the union, and the lowest one
+    holds (Spark's default policy): a stream that lags is waited for, and an idle
+    one holds all minutes open until it sends again. Records without a valid key
+    take no part, and only keys that all three streams have are given out.
     """
-    sides = [_tagged(r, s, f"n{i + 1}") for i, (r, s) in enumerate(streams)]
+    keys = ["arrival"] if bounded else MINUTE_KEY
+    sides = [
+        _decoded_keys(r, s, bounded, watermark).select(*keys, F.lit(f"n{i + 1}").alias("side")) for i, (r, s) in enumerate(streams)
+    ]
     u = sides[0]
     for s in sides[1:]:
         u = u.unionByName(s)
     agg = [F.count_if(F.col("side") == f"n{i}").alias(f"n{i}") for i in (1, 2, 3)]
-    if bounded:
-        from ..operators.joins import arrival_minute
-
-        u = u.withColumn("arrival", arrival_minute()).where(F.col("arrival").isNotNull())
-        out = u.withWatermark("arrival", watermark).groupBy("arrival").agg(*agg)
-    else:
-        out = u.groupBy(*MINUTE_KEY).agg(*agg)
-    return out.withColumn("n_joined", F.col("n1") * F.col("n2") * F.col("n3"))
+    out = u.groupBy(*keys).agg(*agg)
+    return out.withColumn("n_joined", F.col("n1") * F.col("n2") * F.col("n3")).where("n_joined > 0")
+
+
+def join_rows_stream(streams: Sequence[tuple[DataFrame, DatasetSpec]], watermark: str = "10 minutes") -> DataFrame:
+    """ST-4's rows: each dataset-3 record in the bounded join once, as ``id,
+    transaction_id, customer_id, arrival, n_joined``; ``n_joined`` is the number of
+    joined rows that it stands in (partners of the other two streams in its minute).
+
+    Rows wait in state until their minute closes, then leave with its counts.
+    """
+    counts = join_counts_stream(streams, True, watermark).select(
+        F.col("arrival").alias("minute_closed"), (F.col("n1") * F.col("n2")).alias("n_joined")
+    )
+    records, spec = streams[2]
+    rows = _decoded_keys(records, spec, True, watermark).select(F.col("record_id").alias("id"), "transaction_id", "customer_id", "arrival")
+    return rows.join(counts, F.col("arrival") == F.col("minute_closed")).drop("minute_closed")
 
 
 def run_all(spark: SparkSession, queries: Sequence[StreamingQuery], timeout: float | None = None) -> None:
