@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import (
     balance_ratio,
@@ -109,15 +110,24 @@ def encode_pca(df: DataFrame) -> DataFrame:
     return df.select(*rest, F.col("Amount").alias("amount"), F.col("Class").alias("isFraud"))
 
 
+MAX_CODES = 10_000
+
+
 def category_codes(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """PR-11: replace ``col`` by the rank of its value among the sorted distinct
     values (0..n-1); NULL gets -1, like pandas ``cat.codes``.
 
-    The code table is computed distributed (no single-task global window) and
-    joined back on the value; the optimizer picks the join strategy from its
-    real size.
+    The codes of up to ``MAX_CODES`` values are read (that many distinct values at
+    most) and broadcast, so no row is shuffled on its category. Beyond that the
+    code table is computed distributed and joined; the result is the same.
     """
-    codes = global_rank(df, col, "_code")
+    values = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().limit(MAX_CODES + 1).collect()]
+    if len(values) <= MAX_CODES:
+        rows = [(v, i) for i, v in enumerate(sorted(values, key=lambda v: v.encode() if isinstance(v, str) else v))]
+        schema = T.StructType([T.StructField(col, df.schema[col].dataType), T.StructField("_code", T.IntegerType())])
+        codes = F.broadcast(df.sparkSession.createDataFrame(rows, schema))
+    else:
+        codes = global_rank(df, col, "_code")
     return (
         df.join(codes, on=col, how="left")
         .withColumn(out or col, F.coalesce(F.col("_code"), F.lit(-1)))

@@ -1,8 +1,8 @@
 """Dataset profiling (AGG-6..12), filters (FL-1..4) and previews (LIM-1).
 
-Totals that a share needs come from a one-row aggregate joined back by
-broadcast (its size is one row by construction), never from a global window
-that would funnel every row through one task.
+Totals that a share needs come from aggregates of one row, or one row per
+column, read as literals or joined back; never from a global window that would
+funnel every row through one task.
 """
 
 from __future__ import annotations
@@ -17,10 +17,11 @@ from pyspark.sql import types as T
 from ..functions import exact_quantiles, is_fraud
 
 
-def _one_row_join(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row frame to every row (broadcast hash join
-    on a constant key; the right side is one row by construction)."""
-    return df.withColumn("_k", F.lit(1)).join(F.broadcast(one_row.withColumn("_k", F.lit(1))), "_k").drop("_k")
+def is_missing(df: DataFrame, col: str):
+    """One rule for the whole profile: NULL, and NaN in floating columns."""
+    c = F.col(f"`{col}`")
+    floating = isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType))
+    return c.isNull() | F.isnan(c) if floating else c.isNull()
 
 
 def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -28,7 +29,7 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     count-descending. All columns are counted in one scan and one shuffle: rows
     are unpivoted to (column, value) and partially aggregated map-side."""
     pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
+        F.array(*[F.struct(F.lit(c).alias("column"), F.when(~is_missing(df, c), F.col(c).cast("string")).alias("value")) for c in cols])
     )
     counts = (
         df.select(pairs.alias("p"))
@@ -53,13 +54,7 @@ def step_frequency(df: DataFrame, col: str = "step") -> DataFrame:
 def missing(df: DataFrame) -> DataFrame:
     """AGG-8: missing values per column (NULL, or NaN for floating columns),
     one aggregate pass, then unpivoted to one row per column."""
-    exprs = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        miss = c.isNull()
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            miss = miss | F.isnan(c)
-        exprs.append(F.sum(F.when(miss, 1).otherwise(0)).cast("long").alias(f.name))
+    exprs = [F.sum(F.when(is_missing(df, c), 1).otherwise(0)).cast("long").alias(c) for c in df.columns]
     one = df.agg(*exprs)
     stacked = F.explode(
         F.array(*[F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").alias("missing")) for f in df.schema.fields])
@@ -69,17 +64,17 @@ def missing(df: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, col: str) -> DataFrame:
     """AGG-9: count, mean, sample std, min, quartiles (linear), max, one row."""
-    stats = df.agg(
+    kept = df.where(~is_missing(df, col))
+    qs = exact_quantiles(kept, col, [0.25, 0.5, 0.75]).first()
+    stats = kept.agg(
         F.count(col).alias("count"),
         F.avg(col).alias("mean"),
         F.stddev_samp(col).alias("std"),
         F.min(col).cast("double").alias("min"),
         F.max(col).cast("double").alias("max"),
     )
-    qs = exact_quantiles(df, col, [0.25, 0.5, 0.75]).select(
-        F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75")
-    )
-    return _one_row_join(stats, qs).select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    quartiles = [F.lit(q).cast("double").alias(n) for q, n in zip(qs, ("p25", "p50", "p75"))]
+    return stats.select("count", "mean", "std", "min", *quartiles, "max")
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -154,45 +149,36 @@ def remove_outliers(df: DataFrame, col: str) -> DataFrame:
     return df.where((c >= F.lit(fences["lower"])) & (c <= F.lit(fences["upper"])) & (c > 0))
 
 
-def density(df: DataFrame, col: str, grid: int = 200, bins: int = 1024, cut: float = 3.0) -> DataFrame:
+def density(df: DataFrame, col: str, grid: int = 200, bins_per_h: int = 20, cut: float = 3.0) -> DataFrame:
     """AGG-12: Gaussian kernel density of ``col`` on ``grid`` points.
 
-    Scott's bandwidth (sample std x n^-1/5), support extended by ``cut``
+    Scott's bandwidth h (sample std x n^-1/5), support extended by ``cut``
     bandwidths each side (the plotting defaults of the reference's notebook).
-    Values are first binned to ``bins`` equal-width bins by a partial
-    aggregate, then each grid point sums Gaussian weights over the bin centres:
-    the work after the scan is grid x bins, independent of the row count.
+    Values are first counted in bins of width h / ``bins_per_h`` by a partial
+    aggregate, so the curve stays as close to the unbinned one however many rows
+    there are; then each grid point sums Gaussian weights over the bin centres.
+    Missing values (NULL, NaN) are left out. A column without spread (constant, a
+    single row, none) has no density: no rows.
     """
     v = F.col(col).cast("double")
-    data = df.select(v.alias("_x")).where(F.col("_x").isNotNull())
-    stats = data.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.stddev_samp("_x").alias("sd"),
-        F.min("_x").alias("lo"),
-        F.max("_x").alias("hi"),
-    ).withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    width = (F.col("hi") - F.col("lo")) / bins
-    binned = (
-        _one_row_join(data, stats.select("lo", "hi"))
-        .withColumn("b", F.least(F.floor((F.col("_x") - F.col("lo")) / width), F.lit(bins - 1)).cast("int"))
-        .groupBy("b")
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    )
-    start = F.col("lo") - cut * F.col("h")
-    stop = F.col("hi") + cut * F.col("h")
-    centre = F.col("lo") + (F.col("b") + 0.5) * width
-    # Each bin (at most ``bins`` rows) spreads its weight over the ``grid``
-    # points: bins x grid rows, both bounded by parameters, not by the data.
+    data = df.where(~is_missing(df, col)).select(v.alias("_x"))
+    n, sd, lo, hi = data.agg(F.count(F.lit(1)), F.stddev_samp("_x"), F.min("_x"), F.max("_x")).first()
+    h = (sd or 0.0) * float(n) ** -0.2 if n else 0.0
+    if not h > 0.0 or math.isinf(h):
+        return df.sparkSession.createDataFrame([], "g int, x double, density double")
+    width = h / bins_per_h
+    binned = data.groupBy(F.floor((F.col("_x") - F.lit(lo)) / F.lit(width)).alias("b")).agg(F.count(F.lit(1)).alias("cnt"))
+    start, stop = lo - cut * h, hi + cut * h
+    # Each bin spreads its weight over the grid: rows follow the bins, not the data.
     spread = (
-        _one_row_join(binned, stats)
-        .withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
-        .withColumn("x", start + F.col("g") * (stop - start) / (grid - 1))
-        .withColumn("_z", (F.col("x") - centre) / F.col("h"))
+        binned.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
+        .withColumn("x", F.lit(start) + F.col("g") * F.lit(stop - start) / (grid - 1))
+        .withColumn("_z", (F.col("x") - (F.lit(lo) + (F.col("b") + 0.5) * F.lit(width))) / F.lit(h))
     )
     return (
-        spread.groupBy("g", "x", "n", "h")
+        spread.groupBy("g", "x")
         .agg(F.sum(F.col("cnt") * F.exp(-0.5 * F.col("_z") * F.col("_z"))).alias("_s"))
-        .select("g", "x", (F.col("_s") / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))).alias("density"))
+        .select("g", "x", (F.col("_s") / F.lit(n * h * math.sqrt(2 * math.pi))).alias("density"))
     )
 
 

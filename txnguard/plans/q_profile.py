@@ -139,12 +139,12 @@ DENSITY_SQL = """
 , kept AS ({kept}),
 stats AS (SELECT count(*) AS n, stddev_samp(x) AS sd, min(x) AS lo, max(x) AS hi,
   stddev_samp(x) * pow(CAST(count(*) AS DOUBLE), -0.2) AS h FROM kept),
-binned AS (SELECT LEAST(floor((x - lo) / ((hi - lo) / 1024)), 1023) AS b, count(*) AS cnt
+binned AS (SELECT floor((x - lo) / (h / 20)) AS b, count(*) AS cnt
   FROM kept, stats GROUP BY 1),
 grid AS (SELECT g, (lo - 3 * h) + g * ((hi + 3 * h) - (lo - 3 * h)) / 199 AS x, n, h, lo, hi
   FROM stats, range(200) r(g))
 SELECT CAST(g AS INT) AS g, x,
-  sum(cnt * exp(-0.5 * pow((x - (lo + (b + 0.5) * ((hi - lo) / 1024))) / h, 2))) / (n * h * sqrt(2 * pi())) AS density
+  sum(cnt * exp(-0.5 * pow((x - (lo + (b + 0.5) * (h / 20))) / h, 2))) / (n * h * sqrt(2 * pi())) AS density
 FROM grid, binned GROUP BY g, x, n, h
 """
 
@@ -154,6 +154,15 @@ def fl1(spark, sf):
     return profile.zero_amount(adapters.transfers(spark, sf))
 
 
+@register(
+    "fl1_zero_new_balance",
+    "SELECT * EXCLUDE (year, month, day, hour, minute) FROM transfers WHERE newbalanceOrig = 0",
+)
+def fl1b(spark, sf):
+    """FL-1's filter on a column that has zeros in the test data."""
+    return profile.zero_amount(adapters.transfers(spark, sf), "newbalanceOrig")
+
+
 @register(
     "fl2_merchant_share",
     """SELECT count(*) FILTER (WHERE starts_with(nameDest, 'M')) AS matching, count(*) AS rows,
