@@ -37,7 +37,7 @@ from txnguard.llm.common import batch_of, materialise, text_batches
 from txnguard.llm.span_hash import MULTIPLIER, SpanHash
 
 PLACE_BITS = 20  # a slice has fewer bytes than this allows
-SLICE = (1 << PLACE_BITS) - 4096
+SLICE = 1 << (PLACE_BITS - 1)
 NULL_ID = -(1 << 63)
 
 
@@ -412,7 +412,7 @@ def keyed_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def repeated_intervals(
-    source: DataFrame, spread: DataFrame, length: int = 50, q: int = 20, bucket_bytes: int = 4 << 20, bucket_strings: int = 20_000, held: int = 1_000_000
+    source: DataFrame, spread: DataFrame, length: int = 50, q: int = 20, bucket_bytes: int = 4 << 20, bucket_strings: int = 10_000, held: int = 300_000
 ) -> DataFrame:
     """``_key, spans`` (text's hash, start, end) of documents with bytes to remove.
 
@@ -453,7 +453,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     spans = repeated_intervals(source, spread, length, **options)
 
     def cut(batches):
-        for batch in batches:
+        for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
             texts = []
             for text, raw, found in zip(*(batch.column(c).to_pylist() for c in ("_text", "text", "spans"))):
                 gone = merged([(x["start"], x["end"]) for x in found or () if x["_text"] == text])
@@ -492,7 +492,7 @@ def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept", "spans"] * with_kept
 
     def cut(batches):
-        for batch in batches:
+        for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
             out = []
             for key, text, raw, found in zip(*(batch.column(c).to_pylist() for c in ("_key", "_text", "text", "spans"))):
                 gone = merged([(x["start"], x["end"]) for x in found or () if x["_text"] == text])
