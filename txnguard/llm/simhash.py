@@ -162,8 +162,8 @@ def shingle_set(text: str, words: int) -> np.ndarray:
 def one_of_each_group(
     docs: DataFrame,
     words: int = 3,
-    distance: int = 6,
-    blocks: int = 9,
+    distance: int = 5,
+    blocks: int = 8,
     check_words: int = 5,
     least: float = 0.8,
     rounds: int = 4,
