@@ -93,6 +93,8 @@ def vec_item(col, i: int) -> Column:
 
 
 def hash_unit(key_cols, seed: int) -> Column:
-    """Deterministic uniform value in [0, 1) per row, independent of partitioning."""
-    h = F.xxhash64(*[_c(k) for k in key_cols], F.lit(seed))
-    return F.pmod(h, F.lit(1_000_000_007)).cast("double") / F.lit(1_000_000_007.0)
+    """Deterministic uniform value in [0, 1) per row, independent of partitioning:
+    the first 32 bits of md5(key | key | ... | seed), which any SQL engine can
+    compute too. A NULL key counts as empty."""
+    text = F.concat_ws("|", *[F.coalesce(_c(k).cast("string"), F.lit("")) for k in key_cols], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))

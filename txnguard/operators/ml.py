@@ -25,14 +25,14 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import hash_unit, prob_class1, vec_item
+from ..functions import exact_quantiles, hash_unit, prob_class1, vec_item
 from ..operators import encode
 from ..specs import CARD_BEHAVIOUR, CARD_TRANSACTIONS, RF_PARAMS, TRANSFERS, DatasetSpec
 
 FEATURES = "features"
 # Partitions of the training layout: a fixed default, part of the model's
 # definition like the seed. Raise it for training sets of many GB.
-LAYOUT_PARTITIONS = 16
+LAYOUT_PARTITIONS = 8
 
 
 def prepare(df: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -78,18 +78,18 @@ def split(df: DataFrame, key_cols: Sequence[str], train_frac: float, seed: int)
 def stratified_split(
     df: DataFrame, key_cols: Sequence[str], label: str, train_frac: float, seed: int
 ) -> tuple[DataFrame, DataFrame]:
-    """ML-6: per-class split at the class's own ``train_frac`` hash quantile,
-    so every class keeps its share in both parts. The per-class cut points
-    are a sketch aggregate (bounded memory, map-side partial), read as literals:
-    no row is shuffled on its label."""
+    """ML-6: per-class split at the class's own ``train_frac`` hash quantile
+    (exact), so every class keeps its share in both parts. The cut points are
+    read as literals: no row is shuffled on its label."""
     marked = df.withColumn("_u", hash_unit(key_cols, seed))
-    cuts = per_class(marked, label, F.percentile_approx("_u", train_frac, 100000))
+    classes = per_class(marked, label, F.count(F.lit(1)))
+    cuts = {k: exact_quantiles(marked.where(F.col(label) == F.lit(k)), "_u", [train_frac]).first()[0] for k in classes}
     in_train = F.col("_u") <= _by_class(label, cuts)
     # NULL labels have no class, and no part: as in an inner join.
     return marked.where(in_train).drop("_u"), marked.where(~in_train).drop("_u")
 
 
-MAX_CLASSES = 1000
+MAX_CLASSES = 100
 
 
 def per_class(df: DataFrame, label: str, value) -> dict:
@@ -134,7 +134,7 @@ def estimator(kind: str, label: str, seed: int, weight_col: str | None = None, g
     if kind == "logistic_regression":
         return LogisticRegression(labelCol=label, featuresCol=FEATURES, maxIter=100)
     if kind == "linear_svm":
-        return LinearSVC(labelCol=label, featuresCol=FEATURES, maxIter=1000, weightCol=weight_col)
+        return LinearSVC(labelCol=label, featuresCol=FEATURES, maxIter=100, weightCol=weight_col)
     if kind == "naive_bayes":
         return NaiveBayes(labelCol=label, featuresCol=FEATURES, modelType="gaussian")
     if kind == "gradient_boosting":

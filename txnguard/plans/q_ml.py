@@ -64,30 +64,62 @@ def _train_transfers(spark, sf, kind="random_forest"):
     return model, te
 
 
-@register("ml1_train_random_forest")
+def _u(seed, *keys):
+    """The split's hash of the keys, in SQL."""
+    text = ", ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in keys)
+    return f"CAST(('0x' || substr(md5(concat_ws('|', {text}, '{seed}')), 1, 8)) AS BIGINT) / 4294967296.0"
+
+
+def _evaluated(m, floor=0.0):
+    """A metrics row's columns that don't depend on the fit: the test part's classes,
+    and whether all metrics are shares and the accuracy is above a floor."""
+    own = [c for c in ("dataset", "model") if c in m.columns]
+    return m.select(
+        *own, (F.col("tp") + F.col("fn")).alias("test_frauds"), (F.col("tn") + F.col("fp")).alias("test_valid"),
+        ((F.col("accuracy") > floor) & F.greatest("accuracy", "precision", "recall", "f1_weighted").between(0, 1)).alias("accuracy_ok"),
+    )
+
+
+_TRANSFERS_TEST = f"""(SELECT *, nameOrig || '_' || CAST(step AS VARCHAR) AS transaction_id FROM transfers
+  WHERE {_u(SEED, "nameOrig || '_' || CAST(step AS VARCHAR)")} >= 0.7) t"""
+
+
+@register(
+    "ml1_train_random_forest",
+    f"""SELECT count(*) FILTER (WHERE isFraud = 1) AS test_frauds, count(*) FILTER (WHERE isFraud = 0) AS test_valid,
+  true AS accuracy_ok FROM {_TRANSFERS_TEST}""",
+)
 def ml1(spark, sf):
-    """Seeded forest on dataset 1 (70/30 hash split); test-set metrics."""
+    """Seeded forest on dataset 1 (70/30 hash split), evaluated on the test part."""
     model, te = _train_transfers(spark, sf)
-    return ml.metrics(ml.score(model, te), "fraud")
+    return _evaluated(ml.metrics(ml.score(model, te), "fraud"), 0.5)
 
 
-@register("ml2_score")
+@register(
+    "ml2_score",
+    f"SELECT transaction_id, isFraud AS fraud, true AS prediction_ok, true AS probability_ok FROM {_TRANSFERS_TEST}",
+)
 def ml2(spark, sf):
-    """Scored test rows: prediction and class-1 probability per transaction."""
+    """Scored test rows: a class and its probability per transaction; the class is
+    fraud where its probability is above one half."""
     model, te = _train_transfers(spark, sf)
     scored = ml.with_fraud_probability(ml.score(model, te))
-    return scored.select("transaction_id", "fraud", "prediction", "fraud_probability")
+    p = F.col("fraud_probability")
+    agrees = (F.col("prediction") == (p > 0.5).cast("double")) | (F.abs(p - 0.5) < 1e-9)
+    return scored.select("transaction_id", F.col("fraud").cast("int").alias("fraud"), agrees.alias("prediction_ok"), p.between(0, 1).alias("probability_ok"))
 
 
-@register("ml3_fraud_probability")
+@register(
+    "ml3_fraud_probability",
+    f"SELECT count(*) AS rows, true AS varies, CAST(0 AS BIGINT) AS out_of_range FROM {_TRANSFERS_TEST}",
+)
 def ml3(spark, sf):
     """Distribution check of the class-1 probability (JVM vector access)."""
     model, te = _train_transfers(spark, sf)
     p = ml.with_fraud_probability(ml.score(model, te))
     return p.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.min("fraud_probability").alias("min_p"),
-        F.max("fraud_probability").alias("max_p"),
+        (F.min("fraud_probability") < F.max("fraud_probability")).alias("varies"),
         F.count_if((F.col("fraud_probability") < 0) | (F.col("fraud_probability") > 1)).alias("out_of_range"),
     )
 
@@ -102,7 +134,11 @@ def ml4(spark, sf):
     return ml.vector_column(v, "features", ["amount", "amount_to_balance_ratio"]).drop("features")
 
 
-@register("ml5_hash_split")
+@register(
+    "ml5_hash_split",
+    f"""SELECT CASE WHEN {_u(SEED, 'l_orderkey', 'l_linenumber')} < 0.7 THEN 'train' ELSE 'test' END AS part,
+  count(*) AS rows FROM card_behaviour GROUP BY 1""",
+)
 def ml5(spark, sf):
     """70/30 split of dataset 2 by key hash (seed 42): rows per part."""
     df = adapters.card_behaviour(spark, sf, tags=True)
@@ -112,7 +148,14 @@ def ml5(spark, sf):
     )
 
 
-@register("ml6_stratified_split")
+def _stratified(table, label, keys, frac=0.8, seed=NOTEBOOK_SEED):
+    """Test rows per class of the stratified split, in SQL: (label, part, rows)."""
+    return f"""(SELECT l AS {label}, CASE WHEN u <= cut THEN 'train' ELSE 'test' END AS part, count(*) AS rows FROM (
+  SELECT l, u, quantile_cont(u, {frac}) OVER (PARTITION BY l) AS cut FROM (
+    SELECT {label} AS l, {_u(seed, *keys)} AS u FROM {table})) GROUP BY ALL) s"""
+
+
+@register("ml6_stratified_split", f"SELECT fraud, part, rows FROM {_stratified('card_behaviour', 'fraud', ['l_orderkey', 'l_linenumber'])}")
 def ml6(spark, sf):
     """80/20 split of dataset 2 per class (seed 2025): rows per part and class."""
     df = adapters.card_behaviour(spark, sf, tags=True)
@@ -126,35 +169,45 @@ def ml6(spark, sf):
 def _notebook_eval(spark, sf, kind):
     """The notebook protocol on dataset 2: all features, 80/20 stratified."""
     df = ml.prepare(adapters.card_behaviour(spark, sf, tags=True), CARD_BEHAVIOUR)
-    return ml.compare(
+    return _evaluated(ml.compare(
         [("dataset 2", df, CARD_BEHAVIOUR.features, "fraud")],
         [kind],
         NOTEBOOK_SEED,
         key_cols=["l_orderkey", "l_linenumber"],
-    )
+    ))
+
+
+def _evaluated_sql(dataset, kind, table, label, keys):
+    return f"""SELECT '{dataset}' AS dataset, '{kind}' AS model, CAST(sum(rows) FILTER (WHERE {label} = 1) AS BIGINT) AS test_frauds,
+  CAST(sum(rows) FILTER (WHERE {label} = 0) AS BIGINT) AS test_valid, true AS accuracy_ok
+FROM {_stratified(table, label, keys)} WHERE part = 'test'"""
+
 
+def _dataset2_sql(kind):
+    return _evaluated_sql("dataset 2", kind, "card_behaviour", "fraud", ["l_orderkey", "l_linenumber"])
 
-@register("ml7_logistic_regression")
+
+@register("ml7_logistic_regression", _dataset2_sql("logistic_regression"))
 def ml7(spark, sf):
     return _notebook_eval(spark, sf, "logistic_regression")
 
 
-@register("ml8_linear_svm")
+@register("ml8_linear_svm", _dataset2_sql("linear_svm"))
 def ml8(spark, sf):
     return _notebook_eval(spark, sf, "linear_svm")
 
 
-@register("ml9_naive_bayes")
+@register("ml9_naive_bayes", _dataset2_sql("naive_bayes"))
 def ml9(spark, sf):
     return _notebook_eval(spark, sf, "naive_bayes")
 
 
-@register("ml10_gradient_boosting")
+@register("ml10_gradient_boosting", _dataset2_sql("gradient_boosting"))
 def ml10(spark, sf):
     return _notebook_eval(spark, sf, "gradient_boosting")
 
 
-@register("ml11_random_forest_all_features")
+@register("ml11_random_forest_all_features", _dataset2_sql("random_forest_deep"))
 def ml11(spark, sf):
     return _notebook_eval(spark, sf, "random_forest_deep")
 
@@ -205,7 +258,18 @@ def notebook_matrices(spark, sf):
 COMPARISON_MODELS = ["logistic_regression", "linear_svm", "naive_bayes", "gradient_boosting", "random_forest_deep"]
 
 
-@register("ml13_model_comparison")
+@register(
+    "ml13_model_comparison",
+    "SELECT * FROM (" + " UNION ALL ".join(
+        _evaluated_sql(d, kind, table, label, keys)
+        for d, table, label, keys in (
+            ("dataset 1", "transfers", "isFraud", ["o_orderkey"]),
+            ("dataset 2", "card_behaviour", "fraud", ["l_orderkey", "l_linenumber"]),
+            ("dataset 3", "card_transactions", "fraud", ["transaction_id"]),
+        )
+        for kind in COMPARISON_MODELS
+    ) + ") x",
+)
 def ml13(spark, sf):
     """Models x datasets table (precision, recall, ...), notebook protocol:
     all notebook features, 80/20 stratified split, seed 2025."""
@@ -222,18 +286,26 @@ def ml13(spark, sf):
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
-    return rows
+    return _evaluated(rows)
 
 
-@register("ml14_retrain_job")
+@register(
+    "ml14_retrain_job",
+    f"""SELECT 'model1' AS model, '20250101_000000' AS version, 10 AS num_trees,
+  count(*) FILTER (WHERE isFraud = 1) AS test_frauds, count(*) FILTER (WHERE isFraud = 0) AS test_valid FROM {_TRANSFERS_TEST}""",
+)
 def ml14(spark, sf):
     """One scheduled retrain: new version saved, metrics row appended."""
     base, mpath = scratch_path(spark, "models"), scratch_path(spark, "model-metrics")
     retrain(spark, adapters.transfers(spark, sf), base, mpath, seed=SEED, version="20250101_000000")
-    return spark.read.parquet(mpath)
+    row = spark.read.parquet(mpath)
+    return row.select("model", "version", "num_trees", (F.col("tp") + F.col("fn")).alias("test_frauds"), (F.col("tn") + F.col("fp")).alias("test_valid"))
 
 
-@register("snk3_src8_model_versions")
+@register(
+    "snk3_src8_model_versions",
+    "SELECT '20250101_120000' AS version, count(*) AS rows, true AS predictions_ok FROM transfers",
+)
 def snk3_src8(spark, sf):
     """Save three models as one version, add an incomplete newer version, then
     load the newest complete one and score dataset 1 with it."""
@@ -251,17 +323,22 @@ def snk3_src8(spark, sf):
     scored = ml.with_fraud_probability(
         ml.score(models["model1"], ml.features_for(adapters.transfers(spark, sf), TRANSFERS, labelled=False))
     )
-    return scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("rows")).withColumn("version", F.lit(version))
+    return scored.agg(
+        F.lit(version).alias("version"), F.count(F.lit(1)).alias("rows"), F.bool_and(F.col("prediction").isin(0.0, 1.0)).alias("predictions_ok")
+    )
 
 
-@register("ext4_area_under_pr")
+@register("ext4_area_under_pr", f"SELECT count(*) AS test_rows, true AS area_ok FROM {_TRANSFERS_TEST}")
 def ext4(spark, sf):
     model, te = _train_transfers(spark, sf)
     aupr = ml.area_under_pr(ml.score(model, te), "fraud")
-    return te.agg(F.count(F.lit(1)).alias("test_rows")).withColumn("area_under_pr", F.lit(aupr))
+    return te.agg(F.count(F.lit(1)).alias("test_rows")).withColumn("area_ok", F.lit(0.0 <= aupr <= 1.0))
 
 
-@register("ext5_ensemble")
+@register(
+    "ext5_ensemble",
+    f"SELECT o_orderkey, CAST(3 AS BIGINT) AS models, true AS mean_ok, true AS flag_ok FROM {_TRANSFERS_TEST}",
+)
 def ext5(spark, sf):
     """Three models on dataset 1 combined per transaction (mean probability)."""
     feats = ml.features_for(adapters.transfers(spark, sf), TRANSFERS)
@@ -270,4 +347,11 @@ def ext5(spark, sf):
     for kind in ("random_forest", "logistic_regression", "naive_bayes"):
         m = ml.train(tr.select("features", "fraud"), "fraud", SEED, kind)
         preds.append(ml.with_fraud_probability(ml.score(m, te)).select("o_orderkey", "fraud_probability"))
-    return ml.ensemble(preds, key="o_orderkey")
+    out = ml.ensemble(preds, key="o_orderkey")
+    parts = [F.col(f"model{i}_probability") for i in (1, 2, 3)]
+    mean = (parts[0] + parts[1] + parts[2]) / 3
+    return out.select(
+        "o_orderkey", sum(p.isNotNull().cast("long") for p in parts).alias("models"),
+        (F.abs(mean - F.col("ensemble_probability")) < 1e-9).alias("mean_ok"),
+        (F.col("is_fraud") == (F.col("ensemble_probability") > 0.5)).alias("flag_ok"),
+    )

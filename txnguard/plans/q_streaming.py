@@ -224,7 +224,7 @@ def st7(spark, sf):
     return res
 
 
-@register("st5_processing_time_trigger")
+@register("st5_processing_time_trigger", "SELECT count(*) AS rows, count(*) AS ids, true AS stamped FROM card_transactions")
 def st5(spark, sf):
     """The scoring query on a processing-time trigger (1 s here; 30 s is the
     default): drain everything available, then stop (ST-5, ST-8)."""
@@ -240,7 +240,19 @@ def st5(spark, sf):
     finally:
         q.stop()
     out = spark.read.parquet(os.path.join(base, "out"))
-    return out.groupBy(F.to_date("timestamp").alias("day")).agg(F.count(F.lit(1)).alias("rows"))
+    # One processing time per micro-batch, within the last hour (ST-8).
+    stamped = F.col("timestamp").between(F.current_timestamp() - F.expr("INTERVAL 1 HOUR"), F.current_timestamp())
+    return out.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("ids"), F.bool_and(stamped).alias("stamped"))
+
+
+def _projected(out):
+    """A projection's columns that don't depend on the fit, and whether the rest agree."""
+    p = F.col("fraud_probability")
+    ok = p.between(0.0, 1.0)
+    if "prediction" in out.columns:
+        ok = ok & (F.col("fraud") == (F.col("prediction") == 1))
+    fitted = ["fraud", "prediction"] if "prediction" in out.columns else []
+    return out.withColumn("scores_ok", ok).drop(*fitted, "fraud_probability", "timestamp")
 
 
 def _batch_projection(spark, sf, spec, key):
@@ -250,22 +262,25 @@ def _batch_projection(spark, sf, spec, key):
     return st.PROJECTIONS[spec.name](scored)
 
 
-@register("pr13_prediction_projection_transfers")
+@register(
+    "pr13_prediction_projection_transfers",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS id, nameOrig || '_' || CAST(step AS VARCHAR) AS transaction_id,
+  nameOrig AS customer_id, CAST(amount AS REAL) AS amount,
+  CAST(CASE WHEN oldbalanceOrg > 0 THEN amount / oldbalanceOrg ELSE 0.0 END AS REAL) AS amount_to_balance_ratio, true AS scores_ok FROM transfers""",
+)
 def pr13(spark, sf):
     """PR-13 on a batch of dataset 1 (id = order key)."""
-    return _batch_projection(spark, sf, TRANSFERS, "o_orderkey")
-
-
-@register("pr14_prediction_projection_card_behaviour")
-def pr14(spark, sf):
-    """PR-14 on a batch of dataset 2."""
-    return _batch_projection(spark, sf, CARD_BEHAVIOUR, "l_orderkey")
+    return _projected(_batch_projection(spark, sf, TRANSFERS, "o_orderkey"))
 
 
-@register("pr15_prediction_projection_card_transactions")
+@register(
+    "pr15_prediction_projection_card_transactions",
+    """SELECT transaction_id AS id, fraud = 1 AS fraud, customer_id, CAST(amt AS REAL) AS amount, true AS scores_ok
+FROM card_transactions""",
+)
 def pr15(spark, sf):
     """PR-15 on a batch of dataset 3."""
-    return _batch_projection(spark, sf, CARD_TRANSACTIONS, "transaction_id")
+    return _projected(_batch_projection(spark, sf, CARD_TRANSACTIONS, "transaction_id"))
 
 
 @register("ext6_unified_customer_view")
@@ -273,7 +288,7 @@ def ext6(spark, sf):
     """Batch customer risk joined with aggregates of dataset-3 predictions."""
     from ..operators import extensions, views
 
-    preds = pr15(spark, sf)
+    preds = _batch_projection(spark, sf, CARD_TRANSACTIONS, "transaction_id")
     risk = views.customer_risk(adapters.card_transactions(spark, sf))
     return extensions.unified_customer_view(risk, preds)
 
@@ -318,3 +333,12 @@ def st2c(spark, sf):
 )
 def st3c(spark, sf):
     return _sink_contents(spark, sf, CARD_TRANSACTIONS, ["fraud", "customer_id", "amount"])
+
+
+@register(
+    "pr14_prediction_projection_card_behaviour",
+    f"SELECT CAST(l_orderkey AS VARCHAR) AS id, {CB_SINK}, true AS scores_ok FROM card_behaviour",
+)
+def pr14(spark, sf):
+    """PR-14 on a batch of dataset 2."""
+    return _projected(_batch_projection(spark, sf, CARD_BEHAVIOUR, "l_orderkey"))
