@@ -39,3 +39,38 @@ j AS (
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
 FROM d LEFT JOIN j USING (rid)"""
+
+
+def pivot_top_k(k: int = 10, scale: int = 1024, every: int = 100) -> str:
+    return f"""
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON NOT (q.vec_id = c.vec_id AND q.e = c.e) WHERE q.vec_id % {every} = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {k}"""
+
+
+def suffix_dedup(length: int = 50) -> str:
+    """Bytes are written as two hex digits each; strings are all windows of them."""
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (
+  SELECT rid, doc_id, p, substr(h, 2 * p + 1, {2 * length}) AS s
+  FROM (SELECT rid, doc_id, h, unnest(range(0, greatest(len(h) // 2 - {length - 1}, 0))) AS p FROM d)),
+m AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+f AS (SELECT rid, p FROM w JOIN m USING (s) WHERE doc_id > least),
+g AS (SELECT rid, p, CASE WHEN p <= lag(p) OVER (PARTITION BY rid ORDER BY p) + {length} THEN 0 ELSE 1 END AS new FROM f),
+i AS (SELECT rid, p, sum(new) OVER (PARTITION BY rid ORDER BY p) AS n FROM g),
+x AS (SELECT rid, n, min(p) AS a, max(p) + {length} AS b FROM i GROUP BY rid, n),
+y AS (SELECT rid, a, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS before, b FROM x),
+z AS (
+  SELECT rid, count(*) AS n_spans, sum(b - a) AS gone, max(b) AS last,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS pieces
+  FROM y JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(pieces, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN z USING (rid)"""

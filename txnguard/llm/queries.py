@@ -67,11 +67,17 @@ def op7_suffix_dedup(spark, sf_dir):
     return suffix_dedup(load(spark, sf_dir, "documents"), length=50)
 
 
+ORACLE["op7_suffix_dedup"] = oracle_sql.suffix_dedup()
+
+
 @query
 def op8_pivot_top_k(spark, sf_dir):
     return pivot_top_k(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
 
 
+ORACLE["op8_pivot_top_k"] = oracle_sql.pivot_top_k()
+
+
 @query
 def op9_tiktoken(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
