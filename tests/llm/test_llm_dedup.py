@@ -200,3 +200,50 @@ def test_tree_links_reach_what_pairs_reach():
     a, b = simhash.tree_links(points, 1)
     nodes = [int(x) for x in points]
     assert least_of_component(nodes, list(zip(a.tolist(), b.tolist()))) == least_of_component(nodes, near(nodes, 1))
+
+
+def edited(rng, words, share):
+    """``words`` with some replaced, so that the Jaccard of 5-word shingles is about ``share``."""
+    out, missing = list(words), (1 - share) / (1 + share) * (len(words) - 4)
+    for k in rng.sample(range(5, len(words) - 5), max(1, round(missing / 5))):
+        out[k] = f"x{rng.random()}"
+    return out
+
+
+def jaccard(a, b):
+    x, y = (set(simhash.shingle_set(t, 5).tolist()) for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_copies_of_many_differing_bits_go(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(2000)]
+    rows, due = [], set()
+    for i in range(150):
+        base = [rng.choice(words) for _ in range(rng.randint(100, 400))]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(edited(rng, base, 0.81 + 0.1 * rng.random())))]
+        if jaccard(rows[-2][1], rows[-1][1]) >= 0.8:
+            due.add(2 * i + 1)
+    bits = [(simhash.fingerprint(a[1]) ^ simhash.fingerprint(b[1])).bit_count() for a, b in zip(rows[::2], rows[1::2]) if b[0] in due]
+    assert len(due) > 100 and sum(n > 5 for n in bits) > 30
+    kept = {r.doc_id for r in simhash.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i for i, _ in rows} - kept == due
+
+
+def test_sketches_keep_pairs_at_the_threshold():
+    rng = np.random.default_rng(3)
+    for share in (0.8, 0.85, 0.95):
+        for _ in range(300):
+            n = int(rng.integers(100, 500))
+            both = rng.integers(-(1 << 62), 1 << 62, n)
+            own = rng.integers(-(1 << 62), 1 << 62, int(n * (1 / share - 1)))
+            (k, s), (m, t) = (simhash.sketch(np.unique(np.concatenate([both, x]))) for x in (own[::2], own[1::2]))
+            assert (k == m).any() and int(np.bitwise_count((s ^ t).view(np.uint64)).sum()) <= simhash.SKETCH_BITS
+
+
+def test_sketch_trees_link_alike_only():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(-(1 << 62), 1 << 62, 200)) for _ in range(3)]
+    rows = np.stack([simhash.sketch(x[cut:])[1] for x in sets for cut in (0, 10, 20)]).view(np.uint64)
+    a, b = simhash.sketch_trees(np.arange(9), rows)
+    assert least_of_component(range(9), list(zip(a.tolist(), b.tolist()))) == {i: i // 3 * 3 for i in range(9)}

@@ -159,6 +159,96 @@ def shingle_set(text: str, words: int) -> np.ndarray:
     return np.unique(np.fromiter((digest(b" ".join(found[i : i + words])) for i in range(n)), np.uint64).view(np.int64))
 
 
+MINIMA = 256  # min-wise values of a text
+BAND, BANDS = 5, 24  # values in a band key, band keys
+SKETCH_BITS = 47  # most differing bits of a sketch; at a Jaccard of 0.8 the mean is 26, the deviation 5
+_rng = np.random.default_rng(42)
+_ODD = _rng.integers(0, 1 << 63, MINIMA, np.uint64) * np.uint64(2) + np.uint64(1)
+_XOR = _rng.integers(0, 1 << 63, MINIMA, np.uint64)
+
+
+def sketch(shingles: np.ndarray, part: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """Band keys and sketch (one bit of each min-wise value) of a set that isn't empty."""
+    h = shingles.view(np.uint64)[:, None]
+    least = np.full(MINIMA, np.iinfo(np.uint64).max)
+    for i in range(0, len(h), part):
+        x = (h[i : i + part] ^ _XOR) * _ODD
+        x ^= x >> np.uint64(32)
+        least = np.minimum(least, x.min(0))
+    keys = np.arange(1, BANDS + 1).astype(np.uint64)
+    for values in least[: BAND * BANDS].reshape(BANDS, BAND).T:
+        keys = (keys ^ values) * np.uint64(0x9E3779B97F4A7C15)
+        keys ^= keys >> np.uint64(29)
+    bits = (least * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(63)
+    return keys.view(np.int64), np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def sketch_trees(fps: np.ndarray, sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Breadth-first trees over rows whose sketches (unsigned) are close, as links of their fingerprints."""
+    rest, a, b = np.arange(len(fps)), [fps[:0]], [fps[:0]]
+    queue: list = []
+    while len(rest):
+        if not queue:
+            queue.append(rest[0])
+            rest = rest[1:]
+        x = queue.pop()
+        near = np.bitwise_count(sketches[rest] ^ sketches[x]).sum(1) <= SKETCH_BITS
+        if near.any():
+            a.append(np.full(int(near.sum()), fps[x]))
+            b.append(fps[rest[near]])
+            queue.extend(rest[near])
+            rest = rest[~near]
+    return np.concatenate(a), np.concatenate(b)
+
+
+SKETCH = [f"s{i}" for i in range(MINIMA // 64)]
+
+
+def sketches(docs: DataFrame, words: int, check_words: int, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, fp, keys`` and sketch columns for each row; no keys for a text without words."""
+    source = id_text(docs, id_col, text_col)
+    schema = schema_with(source, "fp long, keys array<long>, " + ", ".join(f"{n} long" for n in SKETCH))
+    arrow = arrow_schema(schema)
+    none = np.zeros(0, np.int64), np.zeros(len(SKETCH), np.int64)
+
+    def run(batches):
+        for ids, texts in text_batches(batches):
+            found = np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64)
+            keys, bits = zip(*(sketch(s) if len(s := shingle_set(t, check_words)) else none for t in texts))
+            yield batch_of(arrow, [ids, found, [k.tolist() for k in keys], *np.stack(bits).T])
+
+    return source.mapInArrow(run, schema)
+
+
+def shingle_links(points: DataFrame, few: int = 16, part: int = 4096) -> DataFrame:
+    """``a, b``: links of the fingerprints of texts (``sketches``, distinct) that are alike in their shingles.
+
+    Texts that agree in a band of min-wise values are candidates; those with close
+    sketches link. Of the pairs at a Jaccard of 0.8 one in ten thousand shares no
+    band, of those above fewer.
+    """
+    names = SKETCH
+    keyed = points.select("fp", *names, F.explode("keys").alias("key")).repartition("key")
+    sizes = keyed.groupBy("key").agg(F.count("fp").alias("n")).where("n > 1")
+    shared = materialise(keyed.join(sizes, "key"), "alike")
+    small = shared.where(F.col("n") <= few)
+    other = small.select("key", F.col("fp").alias("b"), *(F.col(n).alias(f"o{n}") for n in names))
+    apart = sum(F.bit_count(F.col(n).bitwiseXOR(F.col(f"o{n}"))) for n in names)
+    pairs = small.join(other, "key").where((F.col("fp") < F.col("b")) & (apart <= SKETCH_BITS)).select(F.col("fp").alias("a"), "b")
+    # Crowded keys: every two parts of a key meet in one group of at most two parts.
+    n_parts = F.ceil(F.col("n") / part).cast("int")
+    own = F.pmod(F.xxhash64("fp", *names), n_parts).cast("int")
+    crowded = shared.where(F.col("n") > few).select("key", "fp", *names, n_parts.alias("parts"), own.alias("own"))
+    met = crowded.select("key", "fp", *names, "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    met = met.select("key", "fp", *names, F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
+
+    def search(group: pa.Table) -> pa.Table:
+        a, b = sketch_trees(group["fp"].to_numpy(), np.stack([group[n].to_numpy().view(np.uint64) for n in names], 1))
+        return pa.table({"a": a, "b": b})
+
+    return pairs.union(met.groupBy("key", "p", "q").applyInArrow(search, "a long, b long").where("a != b")).distinct()
+
+
 def one_of_each_group(
     docs: DataFrame,
     words: int = 3,
@@ -173,10 +263,11 @@ def one_of_each_group(
     """``docs`` without near-duplicates: of each group the row of smallest id stays.
 
     Candidates are components of SimHash links (``words``-word shingles, up to
-    ``distance`` bits). Of each text in one, the row of smallest id stays. Then the
-    component's smallest id leads: texts that share at least ``least`` of their
-    ``check_words``-word shingles with it (Jaccard, exact) go; of the rest the
-    smallest leads next, for ``rounds`` rounds. What is like no leader stays.
+    ``distance`` bits) and of ``shingle_links`` (``check_words``-word shingles). Of each
+    text in one, the row of smallest id stays. Then the component's smallest id leads:
+    texts that share at least ``least`` of their ``check_words``-word shingles with it
+    (Jaccard, exact) go; of the rest the smallest leads next, for ``rounds`` rounds. What
+    is like no leader stays.
 
     Of repeated rows (same id and text) one stays. Null texts count as empty; a null
     id is the smallest. Ids are integers. All columns stay as they are.
@@ -187,9 +278,10 @@ def one_of_each_group(
     id_ = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63)))
     tagged = docs.select(row, id_.alias("_id"), F.xxhash64(text).alias("_hash"))
     key, text_at = F.struct("_id", "_hash"), docs.columns.index(text_col)
-    found = materialise(fingerprints(tagged.select(key.alias("k"), F.col(f"_doc.c{text_at}").alias("t")), words, "k", "t"), "fingerprints")
+    found = materialise(sketches(tagged.select(key.alias("k"), F.col(f"_doc.c{text_at}").alias("t")), words, check_words, "k", "t"), "fingerprints")
     points = materialise(found.select("fp").distinct(), "points")
-    roots = materialise(connected_components(links(points, distance, blocks)), "roots")
+    alike = shingle_links(materialise(found.select("fp", "keys", *SKETCH).distinct(), "sketches"))
+    roots = materialise(connected_components(links(points, distance, blocks).union(alike)), "roots")
     named = found.join(roots, found["fp"] == roots["node"], "left").select(F.col("doc_id").alias("key"), F.coalesce("root", "fp").alias("root"))
     named = materialise(named, "named")
     texts = materialise(named.groupBy("root", F.col("key._hash").alias("hash")).agg(F.min("key").alias("first")), "texts")
