@@ -247,3 +247,15 @@ def test_sketch_trees_link_alike_only():
     rows = np.stack([simhash.sketch(x[cut:])[1] for x in sets for cut in (0, 10, 20)]).view(np.uint64)
     a, b = simhash.sketch_trees(np.arange(9), rows)
     assert least_of_component(range(9), list(zip(a.tolist(), b.tolist()))) == {i: i // 3 * 3 for i in range(9)}
+
+
+def test_every_subgroup_of_a_component_is_judged(spark):
+    rng = random.Random(9)
+    rows = []
+    for g in range(40):  # one component of 40 groups unlike each other, three alike texts in each
+        own = [rng.getrandbits(62) for _ in range(100)]
+        rows += [(1, (3 * g + k, k), [*own, *(rng.getrandbits(62) for _ in range(k))]) for k in range(3)]
+    pending = spark.createDataFrame(rows, "root long, key struct<_id: long, _hash: long>, set array<long>")
+    for most in (4, 32):
+        gone = {r.key._id for r in simhash.near_copies(pending, 0.8, most).collect()}
+        assert gone == {3 * g + k for g in range(40) for k in (1, 2)}

@@ -19,7 +19,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from txnguard.llm.common import arrow_schema, batch_of, id_text, materialise, schema_with, text_batches
 from txnguard.llm.components import connected_components
@@ -249,6 +249,44 @@ def shingle_links(points: DataFrame, few: int = 16, part: int = 4096) -> DataFra
     return pairs.union(met.groupBy("key", "p", "q").applyInArrow(search, "a long, b long").where("a != b")).distinct()
 
 
+def beaten(group: pa.Table) -> pa.Table:
+    """Of links (larger ``key``, smaller ``lead``) of one component: keys alike to a smaller one that leads."""
+    smaller: dict = {}
+    for k, lead in zip(group["key"].to_pylist(), group["lead"].to_pylist()):
+        smaller.setdefault(tuple(k.values()), []).append(tuple(lead.values()))
+    lost: set = set()
+    for k in sorted(smaller):
+        if any(x not in lost for x in smaller[k]):
+            lost.add(k)
+    return pa.table({"_id": pa.array([k[0] for k in lost], pa.int64()), "_hash": pa.array([k[1] for k in lost], pa.int64())})
+
+
+def near_copies(pending: DataFrame, least: float, most: int = 32) -> DataFrame:
+    """``key`` of the rows of ``pending`` (root, key, set) that are alike to a smaller
+    one of their root that stays; run until no row is left to judge.
+
+    The first rows of each root lead: one, then two, four, up to ``most`` a round.
+    """
+    gone, leads = pending.select("key").limit(0), 1
+    common = F.size(F.array_intersect("set", "lead.set"))
+    alike = common >= least * (F.size("set") + F.size("lead.set") - common)
+    while not pending.isEmpty():
+        place = F.row_number().over(Window.partitionBy("root").orderBy("key"))
+        lead = materialise(pending.withColumn("place", place).where(F.col("place") <= leads).select("root", F.struct("key", "set").alias("lead")), "lead")
+        if leads > 1:
+            heads = lead.select("root", "lead.*")
+            links = heads.join(lead, "root").where((F.col("lead.key") < F.col("key")) & alike).select("root", "key", F.col("lead.key").alias("lead"))
+            lost = links.groupBy("root").applyInArrow(beaten, "_id long, _hash long").select(F.struct("_id", "_hash").alias("key"))
+            lead = materialise(heads.join(lost, "key", "left_anti").select("root", F.struct("key", "set").alias("lead")), "lead")
+        led = F.col("key") == F.col("lead.key")
+        judged = pending.join(lead, "root").select("key", led.alias("led"), alike.alias("alike")).where("led OR alike")
+        judged = materialise(judged.select("key", "led").distinct(), "judged")
+        gone = gone.union(judged.where("NOT led").select("key"))
+        pending = materialise(pending.join(judged.select("key"), "key", "left_anti").select("root", "key", "set"), "pending")
+        leads = min(2 * leads, most)
+    return gone
+
+
 def one_of_each_group(
     docs: DataFrame,
     words: int = 3,
@@ -256,7 +294,6 @@ def one_of_each_group(
     blocks: int = 8,
     check_words: int = 5,
     least: float = 0.8,
-    rounds: int = 4,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -266,7 +303,7 @@ def one_of_each_group(
     ``distance`` bits) and of ``shingle_links`` (``check_words``-word shingles). Of each
     text in one, the row of smallest id stays. Then the component's smallest id leads:
     texts that share at least ``least`` of their ``check_words``-word shingles with it
-    (Jaccard, exact) go; of the rest the smallest leads next, for ``rounds`` rounds. What
+    (Jaccard, exact) go; of the rest the smallest leads next, until none is left. What
     is like no leader stays.
 
     Of repeated rows (same id and text) one stays. Null texts count as empty; a null
@@ -301,14 +338,7 @@ def one_of_each_group(
 
     shingles = spread.join(wanted, "_id").mapInArrow(sets, "_id long, _hash long, set array<long>").dropDuplicates(["_id", "_hash"])
     pending = materialise(members.join(shingles.select(key.alias("key"), "set"), "key").select("root", "key", "set"), "pending")
-    gone = copies
-    common = F.size(F.array_intersect("set", "lead.set"))
-    alike = common >= least * (F.size("set") + F.size("lead.set") - common)
-    for i in range(rounds):
-        lead = materialise(pending.groupBy("root").agg(F.min(F.struct("key", "set")).alias("lead")), "lead")
-        judged = materialise(pending.join(lead, "root").where("key != lead.key").select("root", "key", "set", alike.alias("alike")), "judged")
-        gone = gone.union(judged.where("alike").select("key"))
-        pending = judged.where("NOT alike").drop("alike")
+    gone = copies.union(near_copies(pending, least))
     gone = materialise(gone.select("key.*").distinct(), "gone")
     gone = gone.groupBy("_id").agg(F.collect_set("_hash").alias("_gone"))
     left = spread.join(gone, "_id", "left").where(F.col("_gone").isNull() | ~F.array_contains("_gone", F.col("_hash")))
