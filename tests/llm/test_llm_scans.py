@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 from txnguard.llm import oracle_sql
-from txnguard.llm.license_scan import WORD, detect, license_scan, rules
+from txnguard.llm.license_scan import GATE, LICENSES, WORD, detect, license_scan, rules
 from txnguard.llm.secret_scan import redact_secrets, secret_scan
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -115,3 +115,43 @@ def test_license_rules():
     assert hits("This is licensed under the GNU General Public License, version 3") == [(2, 11, "gpl-3.0")]
     assert [h[2] for h in hits("mit license and then the bsd license")] == ["mit", "bsd"]
     assert hits("permit license") == [] and hits("") == []
+
+
+def samples(parsed):
+    """Texts of a parsed pattern: each branch and each optional part, one at a time."""
+    out = [""]
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            some = [chr(arg)]
+        elif name == "IN":
+            some = [chr(x) for _, x in arg]
+        elif name == "SUBPATTERN":
+            some = samples(arg[-1])
+        elif name == "BRANCH":
+            some = [x for branch in arg[1] for x in samples(branch)]
+        elif name == "MAX_REPEAT":
+            some = ["", samples(arg[2])[0]]
+        else:
+            assert name == "ASSERT"
+            continue
+        out = [out[0] + x for x in some] + [x + some[0] for x in out[1:]]
+    return out
+
+
+def test_every_rule_passes_its_gates():
+    for rule in rules():
+        found = samples(re._parser.parse(rule.pattern.pattern))
+        for text in found:
+            assert rule.pattern.fullmatch(f" {text} ", 1, len(text) + 2) or rule.pattern.search(f" {text} ")
+            assert rule.keyword in f" {text} ", (rule, text)
+            assert any(g in text.encode() for g in GATE), (rule, text)
+
+
+def test_licenses_stated_by_identifier_alone(make_docs):
+    rows = [(k, f"SPDX-License-Identifier: {spdx.replace(' ', '-').upper()}") for k, (_, spdx, *_) in enumerate(LICENSES)]
+    rows += [(1000 + k, f"license: {spdx}") for k, (_, spdx, *_) in enumerate(LICENSES)] + [(5000, "MIT No Attribution")]
+    got = {r.doc_id: r.labels.split(",") for r in license_scan(make_docs(rows)).collect()}
+    for k, (label, *_) in enumerate(LICENSES):
+        assert label in got[k] and label in got[1000 + k], label
+    assert got[5000] == ["mit-0"]

@@ -3,8 +3,8 @@
 A text's words (lower-cased ASCII letters, digits and anything beyond ASCII) are
 joined by blanks, and rules are regexes over that. Hundreds of rules come from a
 list of licenses and the ways to state one: an SPDX tag, a notice ("licensed
-under ..."), the name, a metadata field. A rule runs only where its keyword is in
-the text. Detections are then taken by priority, longest first; one that lies
+under ..."), the name, a metadata field. A rule runs only where its keyword (the
+identifier, or a part of the name) is in the text. Detections are then taken by priority, longest first; one that lies
 inside an interval already taken is dropped.
 """
 
@@ -22,7 +22,7 @@ from txnguard.llm.common import arrow_schema, batch_of, id_text, schema_with, te
 # The phrases of the base detections and their labels.
 BASE_PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-# Label, SPDX identifier as words, name as a regex over words, keyword.
+# Label, SPDX identifier as words, name as a regex over words, keyword of the name.
 LICENSES = (
     ("mit", "mit", "mit license", "mit"),
     ("mit-0", "mit 0", "mit no attribution(?: license)?", "mit"),
@@ -119,7 +119,7 @@ STATED = (
     (60, 0.75, "licen[sc]es?(?: type| name| is)? {id}(?: only| or later)?"),
 )
 #: A word that every statement holds at least one of; texts without any are not looked at closer.
-GATE = (b"licen", b"spdx", b"domain", b"cc0", b"wtfpl", b"gpl", b"reserved", b"commons", b"historical")
+GATE = (b"licen", b"spdx", b"domain", b"cc0", b"wtfpl", b"gpl", b"reserved", b"commons", b"historical", b"attribution")
 
 
 class Rule(NamedTuple):
@@ -141,7 +141,7 @@ class Hit(NamedTuple):
 def rules(licenses=LICENSES, stated=STATED) -> list[Rule]:
     """The ordered rules; a license stated with a version ranks before one without."""
     out = [
-        Rule(priority + (1 if re.search(r"\d", label) else 0), confidence, label, keyword, re.compile(f"(?<= ){form.format(id=spdx, name=name)}(?= )"))
+        Rule(priority + (1 if re.search(r"\d", label) else 0), confidence, label, spdx if "{id}" in form else keyword, re.compile(f"(?<= ){form.format(id=spdx, name=name)}(?= )"))
         for priority, confidence, form in stated
         for label, spdx, name, keyword in licenses
     ]
