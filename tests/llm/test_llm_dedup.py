@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -259,3 +260,28 @@ def test_every_subgroup_of_a_component_is_judged(spark):
     for most in (4, 32):
         gone = {r.key._id for r in simhash.near_copies(pending, 0.8, most).collect()}
         assert gone == {3 * g + k for g in range(40) for k in (1, 2)}
+
+
+def test_settled_anchors_count_as_shared():
+    rng = random.Random(11)
+    passage = bytes(rng.randrange(97, 123) for _ in range(300))
+    own = [bytes(rng.randrange(97, 123) for _ in range(200)) for _ in range(3)]
+    # Document 9 stands before 1 in one flush and again, alone and elsewhere, in another.
+    flushes = [[(9, own[0][:77] + passage), (1, passage + own[1])], [(9, own[2] + passage)]]
+    out = []
+    for rows in flushes:
+        batch = pa.record_batch({"_key": pa.array([k for k, _ in rows], pa.int64()), "text": pa.array([t for _, t in rows], pa.binary())})
+        out += suffix_dedup.anchor_rows(50, 20, 1, 300_000)([batch])
+    got = suffix_dedup.surviving(pa.Table.from_batches(out)).to_pydict()
+    found = suffix_dedup.Anchors([own[2] + passage], 50, 20)
+    inside = {p for p, a in zip(found.place.tolist(), found.first.tolist()) if a >= 200}
+    assert inside and inside <= {p for k, p in zip(got["_key"], got["place"]) if k == 9}
+
+
+@pytest.mark.parametrize("held", [20, 300_000])
+def test_suffix_dedup_repeated_rows_in_falling_order(spark, held):
+    rows = [r for r in passages(seed=7, n=120)[::-1] if r[1]]
+    rows = [*rows, *((i, t[len(t) // 3 :] + u) for (i, t), (_, u) in zip(rows[::3], rows[1::3]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = suffix_dedup.suffix_dedup(df, length=50, held=held).collect()
+    assert Counter((as_key(r[0]), *r[1:5]) for r in got) == brute_removed(rows, 50)

@@ -69,16 +69,18 @@ def runs(sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(True, sorted_keys[1:] != sorted_keys[:-1])) if len(sorted_keys) else np.zeros(0, np.int64)
 
 
-def shared(keys: np.ndarray, docs: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def shared(keys: np.ndarray, docs: np.ndarray, real: np.ndarray, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Whether each key is held by more than one document, and whether it's the first
-    place of its key. Where ``real`` is false the place has no key."""
+    place of its key. Where ``real`` is false the place has no key; where ``known`` is
+    true its key is known to be shared, whatever other places stand here."""
     many, first = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
     at = np.flatnonzero(real)
     order = at[np.argsort(keys[at], kind="stable")]
     begin = runs(keys[order])
     if len(begin):
         least, most = np.minimum.reduceat(docs[order], begin), np.maximum.reduceat(docs[order], begin)
-        many[order] = np.repeat(least < most, np.diff(np.append(begin, len(order))))
+        several = least < most if known is None else (least < most) | np.logical_or.reduceat(known[order], begin)
+        many[order] = np.repeat(several, np.diff(np.append(begin, len(order))))
         first[order[begin]] = True
     return many, first
 
@@ -198,7 +200,7 @@ def anchor_rows(length: int, q: int, buckets: int, held: int):
             i = at[s:e]
             low = (h[i] >> np.uint64(16)).astype(np.uint32)
             high = (h[i] >> np.uint64(48)).astype(np.uint16)
-            out.append((int(bucket[s]), pack(low, high, left[i], right[i], doc[i], place[i], settled[i].astype(np.uint8))))
+            out.append((int(bucket[s]), pack(low, high, left[i], right[i], doc[i], place[i], a[i] + 2 * b[i].astype(np.uint8))))
         return out
 
     schema = pa.schema([("bucket", pa.int64()), ("blob", pa.binary())])
@@ -234,7 +236,8 @@ def surviving(group: pa.Table) -> pa.Table:
     if columns:
         low, high, left, right, doc, place, settled = (np.concatenate(x) for x in zip(*columns))
         wide = ((high.astype(np.uint64) << np.uint64(32)) | low) << np.uint64(8)
-        alive = settled.astype(bool) | shared(wide | left, doc, left > 0)[0] | shared(wide | right, doc, right > 0)[0]
+        # A settled place stands for others of its key, which may be of other documents.
+        alive = shared(wide | left, doc, left > 0, settled & 1 > 0)[0] | shared(wide | right, doc, right > 0, settled & 2 > 0)[0]
         keys.append(doc[alive])
         places.append(place[alive])
     none = [np.zeros(0, np.int64)]
