@@ -285,3 +285,18 @@ def test_suffix_dedup_repeated_rows_in_falling_order(spark, held):
     df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     got = suffix_dedup.suffix_dedup(df, length=50, held=held).collect()
     assert Counter((as_key(r[0]), *r[1:5]) for r in got) == brute_removed(rows, 50)
+
+
+def test_frequent_anchor_is_dealt_by_its_surroundings():
+    rng = random.Random(12)
+    other = lambda n: bytes(rng.randrange(97, 123) for _ in range(n))
+    phrase = other(20)
+    rows = [(k, other(60) + phrase + other(60)) for k in range(400)]
+    places = [[(p << 2) | 3 for p in suffix_dedup.Anchors([t], 50, 20).place.tolist()] for _, t in rows]
+    columns = {"_key": [k for k, _ in rows], "_text": [k for k, _ in rows], "places": places}
+    batch = pa.record_batch({"_key": pa.array(columns["_key"]), "_text": pa.array(columns["_text"]), "text": pa.array([t for _, t in rows]), "places": pa.array(places)})
+    most = Counter()
+    for out in suffix_dedup.string_rows(50, 20, 1 << 40, 300_000)([batch]):
+        for bucket, blob in zip(out["bucket"].to_pylist(), out["blob"].to_pylist()):
+            most[bucket] += len(suffix_dedup.unpack(blob, suffix_dedup.STRING_TYPES)[0][0])
+    assert max(most.values()) < 5

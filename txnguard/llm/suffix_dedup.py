@@ -15,7 +15,8 @@ Three steps, each a shuffle:
    of the bytes on either side: strings that are equal beyond the anchor agree on
    at least half of what surrounds it. Anchors alone in their document go.
 2. Refinement. The bytes of all strings with a surviving anchor are dealt by
-   anchor, and buckets are refined to ``length``. A string's smallest document is
+   anchor and the whole side of it that lies inside them, so that a frequent anchor's
+   strings part by what surrounds it, and buckets are refined to ``length``. A string's smallest document is
    then known, and where it starts in a larger one it is to be removed.
 3. Cutting. Each text meets its intervals.
 
@@ -224,24 +225,27 @@ def anchor_rows(length: int, q: int, buckets: int, held: int):
 
 
 def surviving(group: pa.Table) -> pa.Table:
-    """Step 1, reduce side: ``_key, place`` of anchors that more than one document shares."""
-    keys, places, columns = [], [], []
+    """Step 1, reduce side: ``_key, place, sides`` of anchors that more than one document shares;
+    sides is 1 if it's shared with its left side, 2 with its right one, 3 with either."""
+    keys, places, either, columns = [], [], [], []
     for bucket, raw in zip(group["bucket"].to_pylist(), group["blob"].to_pylist()):
         if bucket < 0:
             (doc, place), _ = unpack(raw, [np.int64, np.int64])
             keys.append(doc)
             places.append(place)
+            either.append(np.full(len(place), 3))
         else:
             columns.append(unpack(raw, ANCHOR_TYPES)[0])
     if columns:
         low, high, left, right, doc, place, settled = (np.concatenate(x) for x in zip(*columns))
         wide = ((high.astype(np.uint64) << np.uint64(32)) | low) << np.uint64(8)
         # A settled place stands for others of its key, which may be of other documents.
-        alive = shared(wide | left, doc, left > 0, settled & 1 > 0)[0] | shared(wide | right, doc, right > 0, settled & 2 > 0)[0]
-        keys.append(doc[alive])
-        places.append(place[alive])
+        sides = shared(wide | left, doc, left > 0, settled & 1 > 0)[0] + 2 * shared(wide | right, doc, right > 0, settled & 2 > 0)[0].astype(np.int64)
+        keys.append(doc[sides > 0])
+        places.append(place[sides > 0])
+        either.append(sides[sides > 0])
     none = [np.zeros(0, np.int64)]
-    return pa.table({"_key": np.concatenate(keys or none), "place": np.concatenate(places or none)})
+    return pa.table({"_key": np.concatenate(keys or none), "place": np.concatenate(places or none), "sides": np.concatenate(either or none)})
 
 
 STRING_TYPES = [np.int64, np.int64, np.int64, np.uint8]
@@ -258,8 +262,10 @@ def settle(content: np.ndarray, docs: np.ndarray) -> np.ndarray:
 
 def string_rows(length: int, q: int, buckets: int, held: int):
     """Step 2, map side: rows ``bucket, blob`` of the bytes around surviving anchors;
-    ``bucket`` -1 marks intervals that are settled already."""
+    ``bucket`` -1 marks intervals that are settled already. Column ``places`` has four
+    times each place, plus its sides."""
 
+    reach = (length - q) // 2
     schema = pa.schema([("bucket", pa.int64()), ("blob", pa.binary())])
 
     def flush(parts):
@@ -283,14 +289,22 @@ def string_rows(length: int, q: int, buckets: int, held: int):
         for rows in slices(batches, ("_key", "_text", "places"), length):
             found = Anchors([r[2] for r in rows], length, q)
             base = np.array([r[1] for r in rows], np.int64)[found.doc] - found.doc_start
-            alive = [np.array(r[0][2], np.int64) + (k << 40) for k, r in enumerate(rows)]
-            chosen = np.flatnonzero(np.isin(found.place + base + (found.doc << 40), np.concatenate(alive)))
+            alive = np.concatenate([np.array(r[0][2], np.int64) + (k << 42) for k, r in enumerate(rows)])
+            at = found.place + base + (found.doc << 40)
+            # A string holds the bytes on the left of its anchor if it starts there or before, else those on the right.
+            turn = found.place - reach
+            left = np.flatnonzero(np.isin(at, alive[alive & 1 > 0] >> 2) & (found.first <= turn))
+            right = np.flatnonzero(np.isin(at, alive[alive & 2 > 0] >> 2) & (found.last > turn))
+            chosen = np.concatenate([left, right])
             if not len(chosen):
                 continue
-            start, size = found.first[chosen], found.last[chosen] - found.first[chosen] + length
+            start = np.concatenate([found.first[left], np.maximum(found.first, turn + 1)[right]])
+            size = np.concatenate([np.minimum(found.last, turn)[left], found.last[right]]) - start + length
             key, text = (np.array([r[0][c] for r in rows], np.int64)[found.doc[chosen]] for c in (0, 1))
             content = hashed.spans(found.buffer, start, start + size)
-            bucket = ((found.hashes[found.place[chosen]] >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+            side = found.hash_at(np.concatenate([turn[left], found.place[right] + q]), reach) + np.repeat(np.array([0, 1], np.uint64), [len(left), len(right)])
+            mixed = (found.hashes[found.place[chosen]] ^ (side ^ side >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)) * np.uint64(0x9E3779B97F4A7C15)
+            bucket = ((mixed >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
             whole = found.buffer.tobytes()
             raw = b"".join(whole[s : s + z] for s, z in zip(start.tolist(), size.tolist()))
             parts.append((bucket, content, key, text, start + base[chosen], size.astype(np.uint8), raw))
@@ -427,9 +441,10 @@ def repeated_intervals(
     # Settled anchors are dealt evenly: their bucket is negative and only marks them.
     deal = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("blob"), F.lit(buckets))).otherwise(F.col("bucket"))
     anchors = source.select("_key", "text").mapInArrow(anchor_rows(length, q, buckets, held), blobs).withColumn("bucket", deal)
-    alive = anchors.groupBy("bucket").applyInArrow(surviving, "_key long, place long")
-    places = materialise(alive.groupBy("_key").agg(F.collect_set("place").alias("places")), "places")
-    n = places.agg(F.sum(F.size("places"))).first()[0] or 0
+    alive = anchors.groupBy("bucket").applyInArrow(surviving, "_key long, place long, sides long")
+    place = F.shiftleft("place", 2).bitwiseOR(F.col("sides"))
+    places = materialise(alive.groupBy("_key").agg(F.collect_set(place).alias("places")), "places")
+    n = places.agg(F.sum(F.aggregate("places", F.lit(0).cast("long"), lambda n, p: n + F.bit_count(p.bitwiseAND(F.lit(3)))))).first()[0] or 0
     parts = max(1, math.ceil(n / bucket_strings))
     strings = spread.join(places, "_key").mapInArrow(string_rows(length, q, parts, held // 8), blobs)
     deal = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("blob"), F.lit(parts))).otherwise(F.col("bucket"))
