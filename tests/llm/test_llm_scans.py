@@ -155,3 +155,9 @@ def test_licenses_stated_by_identifier_alone(make_docs):
     for k, (label, *_) in enumerate(LICENSES):
         assert label in got[k] and label in got[1000 + k], label
     assert got[5000] == ["mit-0"]
+
+
+def test_one_owners_value_in_many_documents_is_redacted(spark):
+    live = "9f8e7d6c5b4a39281706f5e4d3c2"
+    df = spark.createDataFrame([(i, f"token={live}", "s1") for i in range(30)], "doc_id long, text string, source string")
+    assert {r.text for r in redact_secrets(df).collect()} == {"token=[secret]"}

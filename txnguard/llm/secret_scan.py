@@ -85,13 +85,15 @@ def ownership(found: DataFrame, max_owners: int, max_repos: int) -> DataFrame:
     )
 
 
-def _judged(found: DataFrame, max_owners: int, max_repos: int) -> DataFrame:
-    """``_row`` and its spans with the corpus's verdict, for rows that have spans."""
+def _judged(found: DataFrame, max_owners: int, max_repos: int, least_owners: int = 1) -> DataFrame:
+    """``_row`` and its spans with the corpus's verdict, for rows that have spans; a value
+    of fewer than ``least_owners`` owners isn't copied."""
     # Written first: the join then deals both sides itself, and Spark can split a hot value's rows.
     verdict = materialise(ownership(found, max_owners, max_repos), "ownership")
     each = found.select("_row", F.explode("_spans").alias("s")).select("_row", "s.*")
+    verdict = verdict.select("hash", (F.col("copied") & (F.col("n_owners") >= least_owners)).alias("copied"))
     return (
-        each.join(verdict.select("hash", "copied"), "hash")
+        each.join(verdict, "hash")
         .groupBy("_row")
         .agg(F.array_sort(F.collect_list(F.struct("start", "ord", "end", "kind", "value_start", "live", "copied"))).alias("_judged"))
     )
@@ -157,13 +159,14 @@ def redact_secrets(
 ) -> DataFrame:
     """``docs`` with the values of all candidates but copied examples replaced by ``mark``.
 
+    A value with a single owner is replaced however many repositories hold it.
     Overlapping spans are replaced once. All columns stay, under their names; rows
     without such spans are unchanged (null texts too). Columns named ``_row``,
     ``_owner``, ``_repo``, ``_spans`` or ``_judged`` are taken apart and put back.
     """
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc")
     found = materialise(_prepared(docs, text_col, owner_col, repo_col, whole), "redact")
-    judged = _judged(found.where(F.size("_spans") > 0), max_owners, max_repos)
+    judged = _judged(found.where(F.size("_spans") > 0), max_owners, max_repos, 2)
     secret = F.filter("_judged", lambda s: ~s["copied"])
     text = F.col(f"_doc.`{text_col}`")
 
