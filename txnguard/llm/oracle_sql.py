@@ -74,3 +74,54 @@ z AS (
 SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
   sha256(unhex(coalesce(pieces, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
 FROM d LEFT JOIN z USING (rid)"""
+
+
+def merkle_manifest(fanout: int = 3) -> str:
+    """Trees by recursion: nodes level by level, then each leaf's way up to the root."""
+
+    def field(value: str) -> str:
+        return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    # CRC-32 bit by bit over the digits of the id; only its lowest bit is asked for.
+    crc = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+      lambda a, c: list_reduce(list_prepend(xor(a, c), range(8)), lambda x, i: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))))"""
+
+    def nodes(name: str, leaves: str) -> str:
+        return f"""
+{name}(g, k, p, h, n) AS (
+  SELECT g, 0, p, h, n FROM {leaves}
+  UNION ALL
+  SELECT g, k + 1, p // {fanout}, sha256(string_agg(h, '' ORDER BY p)), (any_value(n) + {fanout - 1}) // {fanout} FROM {name} WHERE n > 1 GROUP BY g, k, p // {fanout}),
+{name}_near AS (
+  SELECT g, k, p, n,
+    coalesce(string_agg(h, '') OVER (PARTITION BY g, k, p // {fanout} ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+    coalesce(string_agg(h, '') OVER (PARTITION BY g, k, p // {fanout} ORDER BY p ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM {name})"""
+
+    def way(name: str, tree: str, start: str) -> str:
+        return f"""
+{name}(rid, g, k, p, cur, proof) AS (
+  {start}
+  UNION ALL
+  SELECT rid, w.g, w.k + 1, w.p // {fanout}, sha256(before || cur || after), proof || before || after
+  FROM {name} w JOIN {tree}_near s ON w.g = s.g AND w.k = s.k AND w.p = s.p WHERE n > 1)"""
+
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || source, '') AS g, {leaf("text")} AS h,
+    CASE WHEN {crc} % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS other
+  FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS p, count(*) OVER (PARTITION BY g) AS n FROM d),
+{nodes("low", "l")},
+sub AS (SELECT g, h FROM low WHERE n = 1),
+m AS (SELECT '' AS g, g AS name, h, row_number() OVER (ORDER BY g) - 1 AS p, count(*) OVER () AS n FROM sub),
+{nodes("high", "m")},
+{way("up", "low", "SELECT rid, g, 0, p, other, '' FROM l")},
+half AS (SELECT rid, g, arg_max(cur, k) AS cur, arg_max(proof, k) AS proof FROM up GROUP BY rid, g),
+{way("over", "high", "SELECT rid, m.g, 0, m.p, cur, proof FROM half JOIN m ON half.g = m.name")},
+f AS (SELECT rid, arg_max(cur, k) AS folded_root, arg_max(proof, k) AS proof FROM over GROUP BY rid)
+SELECT doc_id, l.h AS leaf, sub.h AS subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM l JOIN f USING (rid) JOIN sub ON l.g = sub.g, (SELECT h AS root FROM high WHERE n = 1)"""

@@ -12,6 +12,7 @@ from txnguard.llm.common import load
 from txnguard.llm.language_id import language_id
 from txnguard.llm.license_scan import license_scan
 from txnguard.llm.lz_fingerprint import lz_fingerprints
+from txnguard.llm.merkle_manifest import merkle_manifest, without_newlines
 from txnguard.llm.packing import best_fit_packing
 from txnguard.llm.pivot_topk import pivot_top_k
 from txnguard.llm.secret_scan import secret_scan
@@ -87,3 +88,11 @@ def op9_tiktoken(spark, sf_dir):
 @query
 def op10_license_scan(spark, sf_dir):
     return license_scan(load(spark, sf_dir, "documents"))
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle_manifest(load(spark, sf_dir, "documents"), tampered=without_newlines())
+
+
+ORACLE["op12_merkle_manifest"] = oracle_sql.merkle_manifest()
