@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from txnguard.llm import oracle_sql
 from txnguard.llm.common import load
+from txnguard.llm.html_extract import extract_text
 from txnguard.llm.language_id import language_id
 from txnguard.llm.license_scan import license_scan
 from txnguard.llm.lz_fingerprint import lz_fingerprints
@@ -90,6 +91,11 @@ def op10_license_scan(spark, sf_dir):
     return license_scan(load(spark, sf_dir, "documents"))
 
 
+@query
+def op11_html_extract(spark, sf_dir):
+    return extract_text(load(spark, sf_dir, "pages"))
+
+
 @query
 def op12_merkle_manifest(spark, sf_dir):
     return merkle_manifest(load(spark, sf_dir, "documents"), tampered=without_newlines())
