@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from txnguard.llm import oracle_sql
 from txnguard.llm.common import load
+from txnguard.llm.hard_negatives import hard_negatives
 from txnguard.llm.html_extract import extract_text
 from txnguard.llm.language_id import language_id
 from txnguard.llm.license_scan import license_scan
@@ -102,3 +103,12 @@ def op12_merkle_manifest(spark, sf_dir):
 
 
 ORACLE["op12_merkle_manifest"] = oracle_sql.merkle_manifest()
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, relabelled, positives=5, negatives=10, window=(30, 90), scale=256)
+
+
+ORACLE["op13_hard_negatives"] = oracle_sql.hard_negatives()
