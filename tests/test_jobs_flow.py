@@ -56,7 +56,7 @@ def test_retrain_without_an_id_column(spark, sf):
     base = scratch_path(spark, "retrain2")
     df = adapters.card_behaviour(spark, sf)
     done = retrain(spark, df, base, os.path.join(base, "metrics"), name="model2", spec=jobs.MODEL_SPECS["model2"])
-    assert os.path.basename(done["path"]).startswith("model2_")
+    assert os.path.basename(os.path.dirname(done["path"])).startswith("model2_")
 
 
 def test_split_csv(spark, sf, tmp_path):

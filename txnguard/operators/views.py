@@ -125,6 +125,9 @@ def _roll(grain: DataFrame, key: str, fraud_name: str, amount: str, rate: bool)
     return out
 
 
+# Views of unbounded size: their versions are clustered by this key for lookups (SV-2).
+CLUSTERED = {"high_risk_customers": "customer_id"}
+
 _ROLLUPS = {
     "fraud_by_transaction_type": ("type", "total_fraudulent", "avg_amount", True),
     "fraud_by_amount_bucket": ("amount_bucket", "total_fraudulent", "avg_amount", True),
@@ -164,7 +167,7 @@ def refresh(
         for view in views:
             key, fraud_name, amount, rate = _ROLLUPS[view]
             cols = VIEWS[view][2]
-            done[view] = replace_view(spark, _roll(grain, key, fraud_name, amount, rate).select(*cols), out, view)
+            done[view] = replace_view(spark, _roll(grain, key, fraud_name, amount, rate).select(*cols), out, view, key=CLUSTERED.get(view))
         return done
 
     ensure_checkpoint_dir(spark)

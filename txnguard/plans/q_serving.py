@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import adapters
 from ..operators import serving, views
 from ..session import scratch_path
+from ..sinks.views import lookup_view
 from .q_batch import AGG1_SQL, AGG4_SQL
 from .registry import register
 
@@ -36,10 +37,8 @@ def sv1(spark, sf):
 
 @register("sv2_lookup_by_key", f"SELECT * FROM ({AGG4_SQL}) v WHERE customer_id = 'C8'")
 def sv2(spark, sf):
-    out = _published(spark, sf)
-    from ..sinks.views import read_view
-
-    return serving.lookup(read_view(spark, out, "high_risk_customers"), "customer_id", "C8")
+    """From the published view, clustered by its key: one file is read."""
+    return lookup_view(spark, _published(spark, sf), "high_risk_customers", "customer_id", "C8")
 
 
 def _label_predictions(spark, sf):
@@ -64,6 +63,21 @@ def sv3(spark, sf):
     return serving.flagged(_label_predictions(spark, sf))
 
 
+@register(
+    "sv3_flagged_newest_first",
+    """SELECT transaction_id AS id, fraud = 1 AS fraud, customer_id, CAST(amt AS REAL) AS amount, CAST(post_ts AS TIMESTAMP) AS timestamp
+  FROM card_transactions WHERE fraud = 1 ORDER BY timestamp DESC, id LIMIT 100""",
+)
+def sv3_sink(spark, sf):
+    """SV-3 on a prediction sink that a stream wrote, compacted, read newest day first."""
+    from ..sinks import dated
+    from .q_streaming import dated_sink
+
+    out = dated_sink(spark, sf, scratch_path(spark, "flagged-sink"))
+    dated.compact(spark, out, "9999-01-01")
+    return serving.flagged_newest(spark, out, limit=100).drop("date")
+
+
 @register("lim2_serving_limit", FLAGGED_SQL.format(n=500))
 def lim2(spark, sf):
     return serving.flagged(_label_predictions(spark, sf), limit=500)
@@ -80,6 +94,7 @@ def sv1_predictions(spark, sf):
     import os
 
     from ..plans.q_streaming import _model, write_records
+    from ..sinks import dated
     from ..specs import CARD_TRANSACTIONS
     from ..streaming import score as st
 
@@ -88,7 +103,7 @@ def sv1_predictions(spark, sf):
     out = os.path.join(base, "predictions3")
     st.score(st.read_stream(spark, "files", src), _model(spark, sf, CARD_TRANSACTIONS), CARD_TRANSACTIONS,
              out, os.path.join(base, "checkpoint"), available_now=True).awaitTermination()
-    serving.register_tables(spark, {"predictions3": out})
+    dated.read(spark, out).createOrReplaceTempView("predictions3")
     return spark.sql(
         "SELECT customer_id, count(*) AS predictions, CAST(sum(CASE WHEN fraud THEN 1 ELSE 0 END) AS BIGINT) AS flagged, "
         "count_if(amount > 100) AS large FROM predictions3 GROUP BY customer_id"

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .. import adapters
 from ..operators import ingest, ml
 from ..session import scratch_path
+from ..sinks import cells, dated
 from ..sinks.views import read_view, replace_view
 from ..specs import CARD_BEHAVIOUR, CARD_TRANSACTIONS, TRANSFERS
 from ..streaming import score as st
@@ -47,7 +48,7 @@ def _score_stream(spark, sf, spec):
         os.path.join(base, "out"), os.path.join(base, "checkpoint"), available_now=True,
     )
     q.awaitTermination()
-    return spark.read.parquet(os.path.join(base, "out"))
+    return dated.read(spark, os.path.join(base, "out")).drop("date")
 
 
 @register("st1_score_transfers_stream")
@@ -183,7 +184,7 @@ def st6(spark, sf):
     run()
     second.write.text(os.path.join(src, "part2"))
     run()
-    got = spark.read.parquet(out)
+    got = dated.read(spark, out)
     return got.agg(
         F.count(F.lit(1)).alias("rows"),
         F.countDistinct("id").alias("distinct_ids"),
@@ -213,7 +214,7 @@ def st7(spark, sf):
     out = os.path.join(base, "out")
     speed_layer(spark, models, sources, out, os.path.join(base, "checkpoints"), available_now=True)
     parts = [
-        spark.read.parquet(os.path.join(out, f"predictions_{spec.name}"))
+        dated.read(spark, os.path.join(out, f"predictions_{spec.name}"))
         .agg(F.count(F.lit(1)).alias("rows"))
         .withColumn("sink", F.lit(spec.name))
         for spec in MODEL_SPECS.values()
@@ -239,7 +240,7 @@ def st5(spark, sf):
         q.processAllAvailable()
     finally:
         q.stop()
-    out = spark.read.parquet(os.path.join(base, "out"))
+    out = dated.read(spark, os.path.join(base, "out"))
     # One processing time per micro-batch, within the last hour (ST-8).
     stamped = F.col("timestamp").between(F.current_timestamp() - F.expr("INTERVAL 1 HOUR"), F.current_timestamp())
     return out.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("ids"), F.bool_and(stamped).alias("stamped"))
@@ -342,3 +343,54 @@ def st3c(spark, sf):
 def pr14(spark, sf):
     """PR-14 on a batch of dataset 2."""
     return _projected(_batch_projection(spark, sf, CARD_BEHAVIOUR, "l_orderkey"))
+
+
+@register(
+    "snk2_keyed_upsert",
+    """SELECT transaction_id, customer_id, CAST(CASE WHEN entry_mode = 'Swipe' THEN amt + 1 ELSE amt END AS REAL) AS amount
+FROM card_transactions""",
+)
+def snk2_keyed(spark, sf):
+    """SNK-2 with the primary key: dataset 3's records, then corrected ones of some of
+    the same transactions, as two batches of one stream; a row a transaction is left, its last."""
+    spec = CARD_TRANSACTIONS
+    base = scratch_path(spark, "keyed-sink")
+    src, out, ckpt = (os.path.join(base, d) for d in ("in", "table", "checkpoint"))
+    df = adapters.card_transactions(spark, sf, tags=True)
+    corrected = df.where("entry_mode = 'Swipe'").withColumn("amt", F.col("amt") + 1)
+    for part, rows in (("first", df), ("second", corrected)):
+        ingest.encode_json(rows, spec).write.text(os.path.join(src, part))
+        good, _ = ingest.validate(ingest.decode(st.read_stream(spark, "files", os.path.join(src, "*")), spec), spec, scoring=True)
+        rows = good.select("transaction_id", "customer_id", F.col("amt").alias("amount"))
+        st.start_keyed_sink(rows, out, ckpt, "keyed-sink", ["transaction_id"], buckets=16, available_now=True).awaitTermination()
+    return cells.read(spark, out)
+
+
+@register(
+    "snk2_compacted_days",
+    """SELECT transaction_id AS id, customer_id, CAST(amt AS REAL) AS amount, substr(post_ts, 1, 10) AS date FROM card_transactions""",
+)
+def snk2_compacted(spark, sf):
+    """SNK-2 by date: dataset 3's records in several micro-batches, their days compacted
+    into one run; the table read back."""
+    out = dated_sink(spark, sf, scratch_path(spark, "dated-sink"))
+    dated.compact(spark, out, "9999-01-01")
+    return dated.read(spark, out).select("id", "customer_id", "amount", "date")
+
+
+def dated_sink(spark, sf, base):
+    """A sink of dataset 3 with the event's own time, written by a stream of a few files
+    a micro-batch; returns its path."""
+    spec = CARD_TRANSACTIONS
+    src, out = os.path.join(base, "in"), os.path.join(base, "table")
+    ingest.encode_json(adapters.card_transactions(spark, sf, tags=True).repartition(8), spec).write.text(src)
+    good, _ = ingest.validate(ingest.decode(st.read_stream(spark, "files", src, max_files_per_trigger=3), spec), spec, scoring=True)
+    rows = good.select(
+        F.col("transaction_id").alias("id"),
+        (F.col("fraud") == 1).alias("fraud"),
+        "customer_id",
+        F.col("amt").alias("amount"),
+        F.to_timestamp_ntz("post_ts").alias("timestamp"),
+    )
+    st.start_dated_sink(rows, out, os.path.join(base, "checkpoint"), "dated-sink", available_now=True).awaitTermination()
+    return out

@@ -25,6 +25,14 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in ``path`` (empty if it does not exist)."""
+    fs, p, _ = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()]
+
+
 def create_marker(spark: SparkSession, path: str) -> None:
     """Create an empty file; it is there or not, on any file system."""
     fs, p, _ = _fs(spark, path)
@@ -35,3 +43,9 @@ def delete(spark: SparkSession, path: str) -> None:
     fs, p, _ = _fs(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
+
+
+def modified(spark: SparkSession, path: str) -> int:
+    """When ``path`` was last changed, in milliseconds."""
+    fs, p, _ = _fs(spark, path)
+    return int(fs.getFileStatus(p).getModificationTime())

@@ -16,22 +16,40 @@ import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import fs
 
 PUBLISHED = "_PUBLISHED"  # readers of data skip names that begin so
+INDEX = "_index"  # file, lo, hi: the keys of each file of a clustered version
 
 
 def _view_dir(out: str, view: str) -> str:
     return os.path.join(out.rstrip("/"), view)
 
 
-def replace_view(spark: SparkSession, df: DataFrame, out: str, view: str, fmt: str = "parquet") -> str:
-    """Write ``df`` as the new version of ``view`` under ``out``; return its path."""
+def replace_view(
+    spark: SparkSession, df: DataFrame, out: str, view: str, fmt: str = "parquet", key: str | None = None, files: int | None = None
+) -> str:
+    """Write ``df`` as the new version of ``view`` under ``out``; return its path.
+
+    With ``key`` (Parquet only) the version is clustered for lookups: rows are dealt by
+    ranges of the key and sorted in each file, so a key is in one file (AQE sizes
+    them; ``files`` fixes their number), each file has a Bloom filter on the key, and
+    an index of the files' key ranges is written beside them.
+    """
     base = _view_dir(out, view)
     version = f"v{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
     path = os.path.join(base, version)
-    df.write.mode("errorifexists").format(fmt).save(path)
+    if key is None:
+        df.write.mode("errorifexists").format(fmt).save(path)
+    else:
+        ranged = df.repartitionByRange(*([files] if files else []), key).sortWithinPartitions(key)
+        ranged.write.mode("errorifexists").option(f"parquet.bloom.filter.enabled#{key}", "true").parquet(path)
+        # One column of the version, a row a file.
+        keys = spark.read.schema(df.schema).parquet(path).select(F.col("_metadata.file_name").alias("file"), key)
+        index = keys.groupBy("file").agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+        index.coalesce(1).write.parquet(os.path.join(path, INDEX))
     fs.create_marker(spark, os.path.join(path, PUBLISHED))
     return path
 
@@ -59,3 +77,20 @@ def current_path(spark: SparkSession, out: str, view: str) -> str | None:
 def read_view(spark: SparkSession, out: str, view: str, fmt: str = "parquet") -> DataFrame | None:
     path = current_path(spark, out, view)
     return spark.read.format(fmt).load(path) if path else None
+
+
+def lookup_view(spark: SparkSession, out: str, view: str, key: str, value) -> DataFrame | None:
+    """SV-2: the rows of ``view`` with ``key == value``. Of a version clustered by ``key`` only
+    the files are read whose range holds the value (one, for a view's primary key)."""
+    path = current_path(spark, out, view)
+    if path is None:
+        return None
+    whole = spark.read.parquet(path)
+    same = F.col(key) == F.lit(value)
+    if not fs.exists(spark, os.path.join(path, INDEX, "_SUCCESS")):
+        return whole.where(same)
+    index = spark.read.parquet(os.path.join(path, INDEX))
+    found = [r["file"] for r in index.where(F.lit(value).between(F.col("lo"), F.col("hi"))).select("file").collect()]
+    if not found:
+        return spark.createDataFrame([], whole.schema)
+    return spark.read.schema(whole.schema).parquet(*(os.path.join(path, f) for f in found)).where(same)

@@ -3,14 +3,15 @@ ST-6, ST-8), prediction projections (PR-13..15), the arrival-minute join
 (ST-4 with JOIN-1 / JOIN-2) and running them together (ST-7).
 
 Each scoring query is one streaming plan: decode -> validate -> prepare ->
-assemble -> model -> projection -> Parquet file sink. The file sink commits a
-micro-batch exactly once through its log, so a retried batch never leaves
+assemble -> model -> projection -> date-partitioned Parquet runs. A run is
+published once for each micro-batch, so a retried batch never leaves
 duplicate rows (Q24), and the checkpoint makes a restart resume where it
 stopped (ST-6).
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -21,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import prob_class1, vec_item
 from ..operators import ingest
 from ..operators.ml import assemble, prepare
+from ..sinks import cells, dated, fs
 from ..specs import CARD_BEHAVIOUR, CARD_TRANSACTIONS, TRANSFERS, DatasetSpec
 
 DEFAULT_TRIGGER = "30 seconds"
@@ -134,12 +136,64 @@ def start_sink(
     trigger: str | None = DEFAULT_TRIGGER,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """SNK-2 with ST-5/ST-6: append to Parquet, own checkpoint, named query."""
+    """Append to one Parquet folder by Spark's file sink, own checkpoint, named query."""
     w = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).queryName(name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start(out)
 
 
+_FIRST = "_first-batch-"
+
+
+def _first_batch(spark: SparkSession, checkpoint: str, held: int) -> int:
+    """The table's number for batch 0 of this checkpoint, kept beside it. A new
+    checkpoint counts from 0 again; on a table that holds batches up to ``held`` its own
+    come after them, or they would be taken for replays."""
+    kept = [f for f in fs.list_files(spark, checkpoint) if f.startswith(_FIRST)]
+    if not kept:
+        kept = [f"{_FIRST}{held + 1}"]
+        fs.create_marker(spark, os.path.join(checkpoint, kept[0]))
+    return int(kept[0][len(_FIRST) :])
+
+
+def _each_batch(df, write, checkpoint, name, trigger, available_now) -> StreamingQuery:
+    w = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).queryName(name).foreachBatch(write)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
+    return w.start()
+
+
+def start_dated_sink(
+    df: DataFrame,
+    out: str,
+    checkpoint: str,
+    name: str,
+    trigger: str | None = DEFAULT_TRIGGER,
+    available_now: bool = False,
+    ts_col: str = "timestamp",
+) -> StreamingQuery:
+    """SNK-2 with ST-5/ST-6: append under the dates of ``ts_col``, a published run for
+    each micro-batch; ``sinks.dated`` reads, compacts and expires the runs."""
+    held = dated.runs(df.sparkSession, out)
+    first = _first_batch(df.sparkSession, checkpoint, held[-1][1] if held else -1)
+    return _each_batch(df, lambda batch, n: dated.append(batch, out, first + n, ts_col), checkpoint, name, trigger, available_now)
+
+
+def start_keyed_sink(
+    df: DataFrame,
+    out: str,
+    checkpoint: str,
+    name: str,
+    key: Sequence[str],
+    order: str | None = None,
+    buckets: int = 64,
+    trigger: str | None = DEFAULT_TRIGGER,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """SNK-2 with a primary key: the last row written for each ``key`` (``sinks.cells``)."""
+    first = _first_batch(df.sparkSession, checkpoint, cells.last_batch(df.sparkSession, out))
+    return _each_batch(df, lambda batch, n: cells.upsert(batch, out, key, first + n, order, buckets), checkpoint, name, trigger, available_now)
+
+
 def score(
     records: DataFrame,
     model: PipelineModel,
@@ -150,7 +204,7 @@ def score(
     available_now: bool = False,
 ) -> StreamingQuery:
     """ST-1..3: start the scoring query for one dataset."""
-    return start_sink(
+    return start_dated_sink(
         scored_stream(records, model, spec), out, checkpoint, f"score-{spec.name}", trigger, available_now
     )
 
