@@ -8,13 +8,15 @@ is reduced to one row per map task before it is exchanged.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+import os
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import amount_bucket, hour_of, is_fraud
 from ..session import ensure_checkpoint_dir
+from ..sinks import cells
 from ..sinks.views import replace_view
 
 log = logging.getLogger(__name__)
@@ -89,8 +91,9 @@ VIEWS: dict[str, tuple[str, Callable[[DataFrame], DataFrame], tuple[str, ...]]]
 }
 
 
-def _grain(df: DataFrame, src: str) -> DataFrame:
-    """Finest grain all views of one source roll up from, in a single scan.
+def _grain(df: DataFrame, src: str, by: tuple[Column, ...] = ()) -> DataFrame:
+    """Finest grain all views of one source roll up from, in a single scan (for each
+    value of ``by``).
 
     dataset1: (type, amount bucket), at most a few dozen rows in total.
     dataset3: (customer, hour), bounded by customers x 24.
@@ -102,7 +105,7 @@ def _grain(df: DataFrame, src: str) -> DataFrame:
     else:
         keys = [F.col("customer_id"), hour_of("post_ts").alias("hour")]
         label, amount = "fraud", "amt"
-    return df.groupBy(*keys).agg(
+    return df.groupBy(*by, *keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum(is_fraud(label)).cast("long").alias("_f"),
         F.sum(amount).alias("_s"),
@@ -136,6 +139,15 @@ _ROLLUPS = {
 }
 
 
+def _publish(grain: DataFrame, names: Sequence[str], out: str) -> dict[str, str]:
+    done = {}
+    for view in names:
+        key, fraud_name, amount, rate = _ROLLUPS[view]
+        rolled = _roll(grain, key, fraud_name, amount, rate).select(*VIEWS[view][2])
+        done[view] = replace_view(grain.sparkSession, rolled, out, view, key=CLUSTERED.get(view))
+    return done
+
+
 def refresh(
     spark: SparkSession,
     sources: dict[str, DataFrame | Callable[[], DataFrame | None] | None],
@@ -162,13 +174,7 @@ def refresh(
         if df is None:
             log.warning("source %s missing; skipping %s", src, ", ".join(views))
             return {}
-        grain = _grain(df, src).checkpoint(eager=True)
-        done = {}
-        for view in views:
-            key, fraud_name, amount, rate = _ROLLUPS[view]
-            cols = VIEWS[view][2]
-            done[view] = replace_view(spark, _roll(grain, key, fraud_name, amount, rate).select(*cols), out, view, key=CLUSTERED.get(view))
-        return done
+        return _publish(_grain(df, src).checkpoint(eager=True), views, out)
 
     ensure_checkpoint_dir(spark)
     published: dict[str, str] = {}
@@ -183,3 +189,56 @@ def refresh(
         for src, v in by_source.items():
             published.update(one_source(src, v))
     return published
+
+
+DAY = "_day"
+
+
+def day_of() -> Column:
+    """The day of a date-partitioned row as text; rows without one share a day."""
+    return F.coalesce(F.concat_ws("-", *(F.col(c) for c in ("year", "month", "day"))), F.lit(""))
+
+
+def changed_days(df: DataFrame, since) -> list[str]:
+    """Days of a date-partitioned file table with files written after ``since`` (a
+    timestamp or its text); other files are left out by their modification time."""
+    recent = df.where(F.col("_metadata.file_modification_time") > F.lit(since).cast("timestamp"))
+    return sorted(r[0] for r in recent.select(day_of()).distinct().collect())
+
+
+def refresh_days(
+    spark: SparkSession,
+    sources: dict[str, DataFrame | Callable[[], DataFrame | None] | None],
+    out: str,
+    days: Sequence[str] | None = None,
+) -> dict[str, str]:
+    """AGG-5 by date range: bring the views up to date where only some ``days``
+    ("YYYY-MM-DD") of the date-partitioned sources changed; all days when None.
+
+    The grain is kept for each day under ``out``/_grain (a cell table): only the
+    changed days are read from the source (partition pruning) and aggregated, their
+    cells replaced, and every view rolls up from the grains of all days, which merge since
+    they are sums and counts. A day without rows any more is emptied. A missing
+    source skips its views. Returns view name -> published path.
+    """
+    published: dict[str, str] = {}
+    for src in dict.fromkeys(s for s, _, _ in VIEWS.values()):
+        loader = sources.get(src)
+        df = loader() if callable(loader) else loader
+        if df is None:
+            log.warning("source %s missing; its views are left as they are", src)
+            continue
+        base = os.path.join(out.rstrip("/"), "_grain", src)
+        held = cells.manifest(spark, base)
+        if days is None:
+            now = {r[0] for r in df.select(day_of()).distinct().collect()}  # a row a day
+            before = set() if held is None else {r["cell"][1:] for r in held.select("cell").collect()}
+            changed = sorted(now | before)
+        else:
+            changed = sorted(set(days))
+            df = df.where(day_of().isin(changed))
+        # "d" keeps the cell of rows without a day from being empty text.
+        grain = _grain(df, src, (F.concat(F.lit("d"), day_of()).alias(DAY),))
+        cells.replace(grain, base, DAY, [f"d{d}" for d in changed])
+        published |= _publish(cells.read(spark, base), [v for v, (s, _, _) in VIEWS.items() if s == src], out)
+    return published

@@ -141,6 +141,13 @@ def _land_to_catalog(spark, sf, database: str) -> None:
         register_partitioned_table(spark, name, path, spec, database)
 
 
+def _own_database(prefix: str) -> str:
+    """A name that no other run or user of the catalog has."""
+    import uuid
+
+    return f"{prefix}_{uuid.uuid4().hex[:12]}"
+
+
 _REAL_VIEW_SQL = {
     "fraud_by_transaction_type": AGG1_SQL.replace("avg(amount)", "avg(CAST(amount AS REAL))"),
     "fraud_by_amount_bucket": AGG2_SQL.replace("avg(amount)", "avg(CAST(amount AS REAL))").replace(
@@ -162,20 +169,26 @@ _REAL_VIEW_SQL = {
 )
 def batch_layer(spark, sf):
     """The reference's batch layer end to end: typed landing (FLOAT columns),
-    catalog tables ``fraud.dataset1/3`` (SRC-3, SRC-4), then the refresh reading
+    catalog tables ``dataset1/3`` of a database (SRC-3, SRC-4), then the refresh reading
     them through the catalog, skipping a missing table (AGG-5, SNK-1)."""
     from ..sources.files import read_table
 
-    _land_to_catalog(spark, sf, "fraud")
+    database = _own_database("fraud")
+    _land_to_catalog(spark, sf, database)
     out = scratch_path(spark, "views")
     views.refresh(
         spark,
         {
-            "dataset1": lambda: read_table(spark, "dataset1", "fraud"),
-            "dataset3": lambda: read_table(spark, "dataset3", "fraud"),
+            "dataset1": lambda: read_table(spark, "dataset1", database),
+            "dataset3": lambda: read_table(spark, "dataset3", database),
         },
         out,
     )
+    spark.sql(f"DROP DATABASE {database} CASCADE")  # its own, with external tables: files stay
+    return _view_sums(spark, out)
+
+
+def _view_sums(spark, out):
     parts = []
     for v in views.VIEWS:
         df = read_view(spark, out, v)
@@ -192,3 +205,45 @@ def batch_layer(spark, sf):
     for p in parts[1:]:
         res = res.unionByName(p)
     return res
+
+
+@register(
+    "agg5_refresh_changed_days",
+    " UNION ALL ".join(
+        f"SELECT '{v}' AS view, count(*) AS view_rows, CAST(sum(total_transactions) AS BIGINT) AS transactions, "
+        f"sum({'total_amount' if v == 'high_risk_customers' else 'avg_amount * total_transactions'}) AS amount "
+        f"FROM ({sql}) x"
+        for v, sql in _REAL_VIEW_SQL.items()
+    ),
+)
+def agg5_days(spark, sf):
+    """AGG-5 by date range: the views from one half of the landed rows, then the other half
+    lands and only its days are read and aggregated again."""
+    import os
+
+    from ..operators import ingest
+    from ..operators.ml import split
+    from ..sinks.files import land
+    from ..sources.files import read_partitioned
+    from ..specs import CARD_TRANSACTIONS, TRANSFERS
+
+    base, out = scratch_path(spark, "landed-days"), scratch_path(spark, "views")
+    halves, paths = {}, {}
+    for src, spec, load, key in (
+        ("dataset1", TRANSFERS, adapters.transfers, "nameDest"),
+        ("dataset3", CARD_TRANSACTIONS, adapters.card_transactions, "transaction_id"),
+    ):
+        cols = [n for n, _ in spec.columns] + ["year", "month", "day"]
+        halves[src] = split(ingest.conform(load(spark, sf, tags=True), spec).select(*cols), [key], 0.5, 11)
+        paths[src] = (os.path.join(base, src), spec)
+        land(halves[src][0], paths[src][0])
+    sources = {src: lambda p=p: read_partitioned(spark, *p) for src, p in paths.items()}
+    views.refresh_days(spark, sources, out)
+    for src, (_, later) in halves.items():
+        day = views.day_of()
+        # The newest third of the second half lands later than the rest.
+        days = sorted(r[0] for r in later.select(day).distinct().collect())
+        for part in (days[: 2 * len(days) // 3], days[2 * len(days) // 3 :]):
+            land(later.where(day.isin(part)), paths[src][0])
+            views.refresh_days(spark, {src: sources[src]}, out, part)
+    return _view_sums(spark, out)

@@ -141,8 +141,10 @@ def src4_pruned(spark, sf):
     "SELECT year, count(*) AS n FROM transfers GROUP BY year",
 )
 def src4_catalog(spark, sf):
-    """Catalog form: external partitioned table + partition recovery."""
-    t = register_partitioned_table(spark, "dataset1_landed", _landed_transfers(spark, sf), TRANSFERS)
+    """Catalog form: an external partitioned table, its partitions added as landed."""
+    import uuid
+
+    t = register_partitioned_table(spark, f"dataset1_landed_{uuid.uuid4().hex[:12]}", _landed_transfers(spark, sf), TRANSFERS)
     return t.groupBy("year").agg(F.count(F.lit(1)).alias("n"))
 
 

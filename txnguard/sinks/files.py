@@ -34,7 +34,7 @@ def land(df: DataFrame, path: str, by_quality: bool = False, mode: str = "append
 
 
 def write_arff(df: DataFrame, path: str, relation: str) -> str:
-    """Write ``df`` as ARFF: a header file plus distributed data part files."""
+    """Write ``df`` as ARFF: a header file plus distributed part files of rows."""
     spark = df.sparkSession
     header = [f"@relation {relation}"]
     for f in df.schema.fields:
@@ -47,5 +47,5 @@ def write_arff(df: DataFrame, path: str, relation: str) -> str:
     line = F.concat_ws(
         ",", *[F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in df.columns]
     )
-    df.select(line.alias("value")).write.text(os.path.join(path, "data"))
+    df.select(line.alias("value")).write.text(os.path.join(path, "rows"))
     return path

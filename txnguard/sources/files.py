@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sinks import fs
 from ..specs import DatasetSpec
 
 
@@ -71,17 +72,49 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
 
 
+def partition_values(df: DataFrame, spec: DatasetSpec) -> list[tuple]:
+    """The date partitions that ``df`` holds: a row a day."""
+    return sorted(tuple(r) for r in df.select(*spec.partition_cols).distinct().collect())
+
+
+def _listed(spark: SparkSession, path: str, columns: tuple) -> list[tuple]:
+    """The partitions that are there, from the names of the folders alone."""
+    found = [((), path)]
+    for c in columns:
+        found = [((*v, d.split("=", 1)[1]), f"{p}/{d}") for v, p in found for d in fs.list_dirs(spark, p) if d.startswith(f"{c}=")]
+    return [v for v, _ in found]
+
+
+def register_partitions(spark: SparkSession, name: str, spec: DatasetSpec, parts: list[tuple], database: str | None = None) -> None:
+    """SRC-4: tell the catalog of new partitions (those it knows stay as they are);
+    no folder is listed and no other partition touched."""
+    full = f"{database}.{name}" if database else name
+
+    def text(value) -> str:
+        return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    clauses = ["PARTITION (" + ", ".join(f"`{c}`={text(v)}" for c, v in zip(spec.partition_cols, part)) + ")" for part in parts]
+    for i in range(0, len(clauses), 500):
+        spark.sql(f"ALTER TABLE {full} ADD IF NOT EXISTS " + " ".join(clauses[i : i + 500]))
+
+
 def register_partitioned_table(
-    spark: SparkSession, name: str, path: str, spec: DatasetSpec, database: str | None = None
+    spark: SparkSession, name: str, path: str, spec: DatasetSpec, database: str | None = None, parts: list[tuple] | None = None
 ) -> DataFrame:
-    """Catalog form of SRC-4: an external Parquet table partitioned by date,
-    with its partitions recovered from the directory layout."""
+    """Catalog form of SRC-4: an external Parquet table partitioned by date.
+
+    An existing table stays, with its properties; it must lie at ``path``. ``parts`` are the
+    partitions to add, as a landing wrote them; without, those whose folders are there.
+    """
     full = f"{database}.{name}" if database else name
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in partitioned_schema(spec).fields)
-    parts = ", ".join(spec.partition_cols)
-    spark.sql(f"DROP TABLE IF EXISTS {full}")
-    spark.sql(f"CREATE TABLE {full} ({cols}) USING parquet PARTITIONED BY ({parts}) LOCATION '{path}'")
-    spark.sql(f"MSCK REPAIR TABLE {full}")
+    if not spark.catalog.tableExists(full):
+        spark.sql(f"CREATE TABLE {full} ({cols}) USING parquet PARTITIONED BY ({', '.join(spec.partition_cols)}) LOCATION '{path}'")
+    else:
+        where = spark.sql(f"DESCRIBE TABLE EXTENDED {full}").where("col_name = 'Location'").first()["data_type"]
+        if where.split(":", 1)[-1].lstrip("/") != path.split(":", 1)[-1].lstrip("/"):
+            raise ValueError(f"{full} lies at {where}, not at {path}")
+    register_partitions(spark, name, spec, _listed(spark, path, spec.partition_cols) if parts is None else parts, database)
     return spark.table(full)
 
 
@@ -102,22 +135,31 @@ def read_csv(
 _ARFF_TYPES = {"numeric": "double", "real": "double", "integer": "double", "string": "string"}
 
 
+def _arff_header(spark: SparkSession, path: str) -> list[str]:
+    """The ``@attribute`` lines, from the first file that has any, without going
+    through the data: a file is read in steps, up to its first line of data."""
+    for file in sorted(spark.read.text(path).inputFiles()):
+        n, found = 256, []
+        while True:
+            lines = [r[0].strip() for r in spark.read.text(file).limit(n).collect()]
+            stop = next((i for i, x in enumerate(lines) if x.lower().startswith("@data") or x[:1] not in ("", "@", "%")), None)
+            found = [x for x in lines[:stop] if x.lower().startswith("@attribute")]
+            if stop is not None or len(lines) < n:
+                break
+            n *= 4
+        if found:
+            return found
+    return []
+
+
 def read_arff(spark: SparkSession, path: str) -> DataFrame:
     """SRC-7: ARFF as a distributed text scan.
 
-    Only the ``@attribute`` header lines (one per column) reach the driver to
-    build the schema; data lines are parsed on the executors with ``from_csv``.
-    Nominal values become strings, ``?`` is NULL, quotes are stripped.
+    Only the ``@attribute`` lines of the first file that has any reach the driver to
+    build the schema; data lines are parsed on the executors with ``from_csv``. Nominal values become strings, ``?`` is NULL, quotes are stripped.
     """
-    lines = spark.read.text(path).select(
-        F.trim("value").alias("line"), F.monotonically_increasing_id().alias("_pos")
-    )
-    header = (
-        lines.where(F.lower("line").startswith("@attribute"))
-        .orderBy("_pos")
-        .select("line")
-        .collect()
-    )
+    lines = spark.read.text(path).select(F.trim("value").alias("line"))
+    header = [(x,) for x in _arff_header(spark, path)]
     fields = []
     for (line,) in header:
         rest = line.split(None, 1)[1].strip()
