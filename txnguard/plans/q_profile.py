@@ -135,17 +135,19 @@ def _iqr(t, c, cols):
     return IQR_SQL.format(t=t, c=c, cols=cols)
 
 
+# Linear binning: each value's weight goes to the two centres beside it, by nearness.
 DENSITY_SQL = """
 , kept AS ({kept}),
 stats AS (SELECT count(*) AS n, stddev_samp(x) AS sd, min(x) AS lo, max(x) AS hi,
   stddev_samp(x) * pow(CAST(count(*) AS DOUBLE), -0.2) AS h FROM kept),
-binned AS (SELECT floor((x - lo) / (h / 20)) AS b, count(*) AS cnt
-  FROM kept, stats GROUP BY 1),
+placed AS (SELECT (x - lo) / (h / 20) AS t FROM kept, stats),
+centres AS (SELECT b, sum(w) AS w FROM (
+  SELECT floor(t) AS b, 1 - (t - floor(t)) AS w FROM placed UNION ALL SELECT floor(t) + 1, t - floor(t) FROM placed) GROUP BY b),
 grid AS (SELECT g, (lo - 3 * h) + g * ((hi + 3 * h) - (lo - 3 * h)) / 199 AS x, n, h, lo, hi
-  FROM stats, range(200) r(g))
-SELECT CAST(g AS INT) AS g, x,
-  sum(cnt * exp(-0.5 * pow((x - (lo + (b + 0.5) * (h / 20))) / h, 2))) / (n * h * sqrt(2 * pi())) AS density
-FROM grid, binned GROUP BY g, x, n, h
+  FROM stats, range(200) r(g)),
+near AS (SELECT g, x, w, n, h, (x - (lo + b * (h / 20))) / h AS z FROM grid, centres)
+SELECT CAST(g AS INT) AS g, x, coalesce(sum(w * exp(-0.5 * z * z)) FILTER (abs(z) <= 8), 0) / (n * h * sqrt(2 * pi())) AS density
+FROM near GROUP BY g, x, n, h
 """
 
 
