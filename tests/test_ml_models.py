@@ -64,3 +64,19 @@ def test_latest_complete_version(spark, feats):
     version, models = load_latest(spark, base)
     assert version == "20250101_101010" and set(models) == {"model1", "model2", "model3"}
     assert load_latest(spark, scratch_path(spark, "empty")) is None
+
+
+def test_layout_follows_the_rows(spark, feats):
+    assert [ml.layout_partitions(n) for n in (0, 10, 4_000_000, 4_000_001, 10**11)] == [8, 8, 8, 9, 200_000]
+    rows = feats.select("features", "fraud")
+    assert ml.training_layout(rows).rdd.getNumPartitions() == 8 and ml.training_layout(rows, 3).rdd.getNumPartitions() == 3
+    few = [ml.train(rows.repartition(n), "fraud", 7, partitions=3).stages[-1].toDebugString for n in (2, 5)]
+    assert few[0].split("\n", 1)[1] == few[1].split("\n", 1)[1]
+
+
+def test_floors_reject_the_majority_class(spark):
+    from txnguard.plans.q_ml import FLOORS, _balanced
+
+    rows = [(d, m, 0, 0, 70, 930, 0.93, 0.0, 0.0, 0.9) for d, m in FLOORS]
+    names = "dataset string, model string, tp long, fp long, fn long, tn long, accuracy double, precision double, recall double, f1_weighted double"
+    assert not any(r.balanced_ok for r in _balanced(spark.createDataFrame(rows, names)).collect())

@@ -30,9 +30,10 @@ from ..operators import encode
 from ..specs import CARD_BEHAVIOUR, CARD_TRANSACTIONS, RF_PARAMS, TRANSFERS, DatasetSpec
 
 FEATURES = "features"
-# Partitions of the training layout: a fixed default, part of the model's
-# definition like the seed. Raise it for training sets of many GB.
-LAYOUT_PARTITIONS = 8
+# Partitions of the training layout follow the rows, never the cluster: part of the
+# model's definition like the seed.
+LAYOUT_ROWS = 500_000
+LAYOUT_LEAST = 8
 
 
 def prepare(df: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -150,18 +151,28 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
     return df.where(F.col(label).isNotNull()).withColumn(out, _by_class(label, {c: n / (k * m) for c, m in counts.items()}))
 
 
-def training_layout(df: DataFrame, partitions: int = LAYOUT_PARTITIONS) -> DataFrame:
-    """Rows dealt by a hash of their content into a fixed number of partitions and
-    sorted there. Tree learners sample per partition; so laid out, a model depends
-    on the rows and the seed, not on how the input was split or on the cluster."""
+def layout_partitions(rows: int) -> int:
+    """How many partitions a training set of so many rows is dealt into."""
+    return max(LAYOUT_LEAST, -(-rows // LAYOUT_ROWS))
+
+
+def training_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rows dealt by a hash of their content into a number of partitions and sorted
+    there; the number follows the count of rows unless it is given. Tree learners
+    sample per partition; so laid out, a model depends on the rows and the seed, not
+    on how the input was split or on the cluster."""
+    partitions = partitions or layout_partitions(df.count())
     content = [vector_to_array(c) if t == "vector" else F.col(c) for c, t in df.dtypes]
     keys = [f"_k{i}" for i in range(len(content))]
     keyed = df.withColumns(dict(zip(keys, content)))
     return keyed.repartition(partitions, F.xxhash64(*keys)).sortWithinPartitions(*keys).drop(*keys)
 
 
-def train(df: DataFrame, label: str = "fraud", seed: int = 42, kind: str = "random_forest", **kw) -> PipelineModel:
-    """Fit a one-stage pipeline on assembled rows (ML-1 and ML-7..11).
+def train(
+    df: DataFrame, label: str = "fraud", seed: int = 42, kind: str = "random_forest", partitions: int | None = None, **kw
+) -> PipelineModel:
+    """Fit a one-stage pipeline on assembled rows (ML-1 and ML-7..11). ``partitions``
+    are those of ``training_layout``, ``kw`` options of the estimator.
 
     The learners make several passes (label check, metadata, split candidates,
     then the iterations); the assembled training set is persisted once so the
@@ -172,7 +183,7 @@ def train(df: DataFrame, label: str = "fraud", seed: int = 42, kind: str = "rand
     if kind == "linear_svm":
         df = balanced_weights(df, label)
         weight_col = "weight"
-    cached = training_layout(df).persist(StorageLevel.MEMORY_AND_DISK)
+    cached = training_layout(df, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         check_two_classes(cached, label)
         return Pipeline(stages=[estimator(kind, label, seed, weight_col, **kw)]).fit(cached)
@@ -237,6 +248,7 @@ def compare(
     seed: int = 2025,
     train_frac: float = 0.8,
     key_cols: Sequence[str] | None = None,
+    partitions: int | None = None,
     **kw,
 ) -> DataFrame:
     """ML-13: models x datasets -> metrics rows (precision, recall, ...).
@@ -253,7 +265,7 @@ def compare(
         te = assemble(te, feats).select(FEATURES, label).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for kind in kinds:
-                model = train(tr, label, seed, kind, **kw)
+                model = train(tr, label, seed, kind, partitions, **kw)
                 m = metrics(score(model, te), label).select(F.lit(name).alias("dataset"), F.lit(kind).alias("model"), "*")
                 one = spark_rows(m)
                 rows = one if rows is None else rows.unionByName(one)

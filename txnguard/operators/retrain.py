@@ -24,12 +24,13 @@ def retrain(
     key_cols=None,
     seed: int = 42,
     version: str | None = None,
+    partitions: int | None = None,
 ) -> dict:
     feats = features_for(df, spec)
     # The dataset's row id where it has one, else all its features and the label.
     keys = list(key_cols or [c for c in spec.keep if c == "transaction_id"] or [*spec.features, spec.label])
     tr, te = split(feats, keys, 0.7, seed)
-    model = train(tr.select("features", spec.label), spec.label, seed)
+    model = train(tr.select("features", spec.label), spec.label, seed, partitions=partitions)
     version = version or new_version()
     path = save(model, base, name, version)
     num_trees = model.stages[-1].getNumTrees
