@@ -7,7 +7,7 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def secret_scan(max_owners: int = 2, max_repos: int = 20) -> str:
+def secret_scan(max_owners: int = 2) -> str:
     one = " UNION ALL ".join(
         f"SELECT rid, doc_id, source, {i} AS ord, {_text(kind)} AS kind, {least} AS least, string_split_regex(t, {_text(pattern)}) AS b, "
         f"regexp_extract_all(t, {_text(pattern)}, 0) AS w, regexp_extract_all(t, {_text(pattern)}, {group}) AS v FROM d WHERE regexp_matches(t, {_text(pattern)})"
@@ -26,8 +26,7 @@ s AS (
       AND NOT regexp_matches(x.v, {_text(PLACEHOLDER)})) AS live
   FROM p WHERE length(x.v) >= least),
 o AS (
-  SELECT h, count(*) > {max_owners} OR sum(repos) > {max_repos} AS copied FROM (
-    SELECT h, source, count(*) AS repos FROM (SELECT DISTINCT h, source, doc_id FROM s) GROUP BY h, source) GROUP BY h),
+  SELECT h, count(*) > {max_owners} AS copied FROM (SELECT DISTINCT h, source FROM s) GROUP BY h),
 j AS (
   SELECT rid,
     count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,

@@ -1,15 +1,15 @@
 """Secret scan with corpus-wide ownership frequency, in DataFrame functions only.
 
 Candidates are found by pattern in every text. Their values' hashes are then
-counted over the corpus by distinct repositories and owners: a value that many
-owners or repositories hold is a copied example; one that stays with its owner
-and looks random is a live credential. Patterns of known token formats add
+counted over the corpus by distinct repositories and owners: a value that several
+owners hold is a copied example; one that stays with its owner and looks random is
+a live credential, however many of the owner's repositories hold it. Patterns of known token formats add
 spans of their own where the value isn't a copied example.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from txnguard.llm.common import materialise
 
@@ -31,78 +31,78 @@ ADDED_KINDS = (
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0, 25, "eyJ"),
     ("pem", "-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 27, "PRIVATE KEY-----"),
 )
-SPANS = "array<struct<start:int,ord:int,end:int,kind:string,value_start:int,hash:string,live:boolean>>"
+CANDIDATES = "array<struct<ord:int,i:int,gap:int,size:int,value_size:int,hash:string,live:boolean>>"
 PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|xxxx|1234567|abcdef"
 
 
-def _spans(text: Column, order: int, kind: str, pattern: str, group: int, least: int, gate: str) -> Column:
-    """Array of spans of one kind, leftmost and non-overlapping, by place.
-
-    Splitting by the pattern gives what lies between matches; running lengths of
-    both give places in code points. ``gate`` is a cheap test that all texts with
-    a match pass.
+def _candidates(text: Column, order: int, kind: str, pattern: str, group: int, least: int, gate: str) -> Column:
+    """Matches of one kind, leftmost and non-overlapping: how far each begins after the
+    one before (``gap``), its size in code points and that of its value, and the value's
+    hash (null if it's too short). ``gate`` is a cheap test that all texts with a match pass.
     """
     between, whole = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
     pairs = F.arrays_zip(F.slice(between, 1, F.size(whole)).alias("b"), whole.alias("w"), value.alias("v"))
-    empty = F.array().cast(SPANS)
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.char_length(x["b"])
-        end = start + F.char_length(x["w"])
+    def candidate(x: Column, i: Column) -> Column:
         v = x["v"]
-        span = F.struct(
-            start.alias("start"), F.lit(order).alias("ord"), end.alias("end"), F.lit(kind).alias("kind"),
-            (end - F.char_length(v)).alias("value_start"), F.sha2(v, 256).alias("hash"),
-            (F.lit(kind == "pem") | ((F.char_length(v) >= 16) & v.rlike("[0-9]") & v.rlike("[A-Za-z]") & ~v.rlike(PLACEHOLDER))).alias("live"),
+        size = F.char_length(v)
+        live = F.lit(kind == "pem") | ((size >= 16) & v.rlike("[0-9]") & v.rlike("[A-Za-z]") & ~v.rlike(PLACEHOLDER))
+        return F.struct(
+            F.lit(order).alias("ord"), i.alias("i"), F.char_length(x["b"]).alias("gap"), F.char_length(x["w"]).alias("size"),
+            size.alias("value_size"), F.when(size >= least, F.sha2(v, 256)).alias("hash"), live.alias("live"),
         )
-        keep = F.when(F.char_length(v) >= least, F.array(span)).otherwise(empty)
-        return F.struct(end.alias("at"), F.concat(acc["out"], keep).alias("out"))
 
-    zero = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-    found = F.aggregate(pairs, zero, step, lambda acc: acc["out"])
-    return F.when(text.rlike(gate), found).otherwise(empty)
+    return F.when(text.rlike(gate), F.transform(pairs, candidate)).otherwise(F.array().cast(CANDIDATES))
 
 
-def find_spans(text: Column) -> Column:
-    """All candidates of a text, by start, then kind as listed."""
+def find_candidates(text: Column) -> Column:
+    """All candidates of a text, kind by kind."""
     kinds = [*BASE_KINDS, *ADDED_KINDS]
-    return F.array_sort(F.concat(*(_spans(text, i, *k) for i, k in enumerate(kinds))))
+    return F.concat(*(_candidates(text, i, *k) for i, k in enumerate(kinds)))
+
 
+def spans_of(found: DataFrame) -> DataFrame:
+    """A row for each span: ``_row, _owner, _repo, start, ord, end, kind, value_start, hash, live``.
 
-def ownership(found: DataFrame, max_owners: int, max_repos: int) -> DataFrame:
+    Places are running sums of gaps and sizes over a text's matches of one kind, so the
+    work follows the matches, however many a text has.
+    """
+    each = found.where(F.size("_found") > 0).select("_row", "_owner", "_repo", F.inline("_found"))
+    end = F.sum(F.col("gap") + F.col("size")).over(Window.partitionBy("_row", "ord").orderBy("i")).cast("int")
+    kinds = F.array(*(F.lit(k[0]) for k in (*BASE_KINDS, *ADDED_KINDS)))
+    placed = each.withColumn("end", end).where("hash IS NOT NULL")
+    return placed.select(
+        "_row", "_owner", "_repo", (F.col("end") - F.col("size")).alias("start"), "ord", "end", F.get(kinds, F.col("ord")).alias("kind"),
+        (F.col("end") - F.col("value_size")).alias("value_start"), "hash", "live",
+    )
+
+
+def ownership(spans: DataFrame, max_owners: int) -> DataFrame:
     """``hash, n_repos, n_owners, copied`` over all spans of all rows.
 
-    Aggregated map-side at each step, so a value in a third of all rows is one row
-    a task before it is shuffled. A repository belongs to its owner.
+    A value is a copied example if more than ``max_owners`` owners hold it. In how many
+    repositories of one owner it stands says nothing of that. Aggregated map-side at
+    each step, so a value in a third of all rows is one row a task before it is
+    shuffled. A repository belongs to its owner.
     """
-    each = found.select("_owner", "_repo", F.explode("_spans.hash").alias("hash")).groupBy("hash", "_owner", "_repo").agg(F.lit(1).alias("one"))
+    each = spans.groupBy("hash", "_owner", "_repo").agg(F.lit(1).alias("one"))
     owners = each.groupBy("hash", "_owner").agg(F.count("*").alias("repos"))
-    return (
-        owners.groupBy("hash")
-        .agg(F.sum("repos").alias("n_repos"), F.count("*").alias("n_owners"))
-        .withColumn("copied", (F.col("n_owners") > max_owners) | (F.col("n_repos") > max_repos))
-    )
+    counts = owners.groupBy("hash").agg(F.sum("repos").alias("n_repos"), F.count("*").alias("n_owners"))
+    return counts.withColumn("copied", F.col("n_owners") > max_owners)
 
 
-def _judged(found: DataFrame, max_owners: int, max_repos: int, least_owners: int = 1) -> DataFrame:
-    """``_row`` and its spans with the corpus's verdict, for rows that have spans; a value
-    of fewer than ``least_owners`` owners isn't copied."""
+def _judged(spans: DataFrame, max_owners: int) -> DataFrame:
+    """The spans with the corpus's verdict (``copied``)."""
     # Written first: the join then deals both sides itself, and Spark can split a hot value's rows.
-    verdict = materialise(ownership(found, max_owners, max_repos), "ownership")
-    each = found.select("_row", F.explode("_spans").alias("s")).select("_row", "s.*")
-    verdict = verdict.select("hash", (F.col("copied") & (F.col("n_owners") >= least_owners)).alias("copied"))
-    return (
-        each.join(verdict, "hash")
-        .groupBy("_row")
-        .agg(F.array_sort(F.collect_list(F.struct("start", "ord", "end", "kind", "value_start", "live", "copied"))).alias("_judged"))
-    )
+    verdict = materialise(ownership(spans, max_owners), "ownership")
+    return spans.drop("_owner", "_repo").join(verdict.select("hash", "copied"), "hash")
 
 
 def _prepared(docs: DataFrame, text_col: str, owner_col: str, repo_col: str, *keep: Column) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(
-        *keep, F.monotonically_increasing_id().alias("_row"), F.col(owner_col).alias("_owner"), F.col(repo_col).alias("_repo"), find_spans(text).alias("_spans")
+        *keep, F.monotonically_increasing_id().alias("_row"), F.col(owner_col).alias("_owner"), F.col(repo_col).alias("_repo"), find_candidates(text).alias("_found")
     )
 
 
@@ -117,7 +117,6 @@ def secret_scan(
     owner_col: str = "source",
     repo_col: str = "doc_id",
     max_owners: int = 2,
-    max_repos: int = 20,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_assign, n_access, n_hex, base_sha256,
     spans, n_live, n_copied``.
@@ -125,8 +124,8 @@ def secret_scan(
     ``spans`` lists ``kind:start:end`` (code points, end exclusive) of all base spans
     and of added ones whose value isn't a copied example; ``base_sha256`` is of the
     base spans' list. ``n_copied`` counts listed spans whose value more than
-    ``max_owners`` owners or ``max_repos`` repositories hold, ``n_live`` those of the
-    rest that look like live credentials.
+    ``max_owners`` owners hold, ``n_live`` those of the rest that look like live
+    credentials.
 
     A null text counts as empty (no spans; the hash of an empty list). Null owners
     or repositories count as one of that name. Null ids stay null; repeated rows
@@ -134,18 +133,23 @@ def secret_scan(
     """
     kept = _prepared(docs, text_col, owner_col, repo_col, F.col(id_col).alias("doc_id"))
     found = materialise(kept, "secrets")
-    base = F.filter("_spans", lambda s: s["ord"] < len(BASE_KINDS))
-    count = lambda k: F.size(F.filter("_spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
-    rows = found.select("_row", "doc_id", *(count(k[0]) for k in BASE_KINDS), F.sha2(_places(base), 256).alias("base_sha256"), F.size("_spans").alias("_n"))
-    listed = F.filter("_judged", lambda s: (s["ord"] < len(BASE_KINDS)) | ~s["copied"])
-    judged = _judged(found.where(F.size("_spans") > 0), max_owners, max_repos).select("_row", listed.alias("_judged"))
-    judged = judged.select(
-        "_row", _places(F.col("_judged")).alias("spans"),
-        F.size(F.filter("_judged", lambda s: s["live"] & ~s["copied"])).cast("long").alias("n_live"),
-        F.size(F.filter("_judged", lambda s: s["copied"])).cast("long").alias("n_copied"),
-    )
-    none = rows.where("_n = 0").select("*", F.lit("").alias("spans"), F.lit(0).cast("long").alias("n_live"), F.lit(0).cast("long").alias("n_copied"))
-    return none.unionByName(rows.where("_n > 0").join(judged, "_row")).drop("_row", "_n")
+    judged = _judged(materialise(spans_of(found), "spans"), max_owners)
+    base = F.col("ord") < len(BASE_KINDS)
+    sorted_places = lambda of: _places(F.array_sort(F.collect_list(F.when(of, F.struct("start", "ord", "end", "kind")))))
+    listed = base | ~F.col("copied")
+    by_row = judged.groupBy("_row").agg(
+        *(F.count_if(F.col("ord") == i).alias(f"n_{k[0]}") for i, k in enumerate(BASE_KINDS)),
+        sorted_places(base).alias("base"),
+        sorted_places(listed).alias("spans"),
+        F.count_if(F.col("live") & ~F.col("copied")).alias("n_live"),
+        F.count_if(base & F.col("copied")).alias("n_copied"),
+    )
+    counts = ["n_assign", "n_access", "n_hex", "n_live", "n_copied"]
+    some = found.where(F.size("_found") > 0).select("_row", "doc_id").join(by_row, "_row", "left")
+    none = found.where(F.size("_found") == 0).select("doc_id", *(F.lit(None).cast(t).alias(c) for c, t in by_row.drop("_row").dtypes))
+    rows = some.drop("_row").unionByName(none)
+    rows = rows.withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in counts} | {c: F.coalesce(c, F.lit("")) for c in ("base", "spans")})
+    return rows.select("doc_id", *counts[:3], F.sha2("base", 256).alias("base_sha256"), "spans", *counts[3:])
 
 
 def redact_secrets(
@@ -154,31 +158,32 @@ def redact_secrets(
     owner_col: str = "source",
     repo_col: str = "doc_id",
     max_owners: int = 2,
-    max_repos: int = 20,
     mark: str = "[secret]",
 ) -> DataFrame:
     """``docs`` with the values of all candidates but copied examples replaced by ``mark``.
 
     A value with a single owner is replaced however many repositories hold it.
     Overlapping spans are replaced once. All columns stay, under their names; rows
-    without such spans are unchanged (null texts too). Columns named ``_row``,
-    ``_owner``, ``_repo``, ``_spans`` or ``_judged`` are taken apart and put back.
+    without such spans are unchanged (null texts too); repeated rows and null ids are
+    rows like any other; an empty table gives none.
     """
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc")
     found = materialise(_prepared(docs, text_col, owner_col, repo_col, whole), "redact")
-    judged = _judged(found.where(F.size("_spans") > 0), max_owners, max_repos, 2)
-    secret = F.filter("_judged", lambda s: ~s["copied"])
+    secret = _judged(materialise(spans_of(found), "spans"), max_owners).where("NOT copied")
+    # Where the text goes on before each span: the furthest end of those before it.
+    before = Window.partitionBy("_row").orderBy("value_start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    cut = secret.select("_row", "value_start", "end", F.coalesce(F.max("end").over(before), F.lit(0)).alias("at"))
+    cut = cut.groupBy("_row").agg(
+        F.array_sort(F.collect_list(F.when(F.col("value_start") >= F.col("at"), F.struct("value_start", "at")))).alias("_cuts"),
+        F.max("end").alias("_rest"),
+    )
     text = F.col(f"_doc.`{text_col}`")
-
-    def step(acc: Column, s: Column) -> Column:
-        apart = s["value_start"] >= acc["at"]
-        more = F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["value_start"] - acc["at"]), F.lit(mark))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(apart, more).otherwise(acc["out"]).alias("out"))
-
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    by_place = F.array_sort(F.transform(secret, lambda s: F.struct(s["value_start"], s["end"])))
-    clean = F.aggregate(by_place, zero, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
-    changed = found.where(F.size("_spans") > 0).join(judged, "_row").select("_doc", clean.alias("_text"))
-    same = found.where(F.size("_spans") == 0).select("_doc", text.alias("_text"))
+    # Code points, so that each piece costs its own length.
+    letters = F.split(text, "", -1)
+    changed = found.where(F.size("_found") > 0).join(cut, "_row").select("_doc", "_cuts", "_rest", letters.alias("_letters"))
+    pieces = F.transform("_cuts", lambda c: F.concat(F.array_join(F.slice("_letters", c["at"] + 1, c["value_start"] - c["at"]), ""), F.lit(mark)))
+    rest = F.array_join(F.slice("_letters", F.col("_rest") + 1, F.size("_letters")), "")
+    changed = changed.select("_doc", F.concat(F.array_join(pieces, ""), rest).alias("_text"))
+    same = found.join(cut.select("_row"), "_row", "left_anti").select("_doc", text.alias("_text"))
     columns = [F.col("_text").alias(c) if c == text_col else F.col(f"_doc.`{c}`").alias(c) for c in docs.columns]
     return same.unionByName(changed).select(*columns)
