@@ -287,16 +287,37 @@ def test_suffix_dedup_repeated_rows_in_falling_order(spark, held):
     assert Counter((as_key(r[0]), *r[1:5]) for r in got) == brute_removed(rows, 50)
 
 
-def test_frequent_anchor_is_dealt_by_its_surroundings():
+def test_frequent_anchor_is_dealt_by_its_surroundings(spark):
     rng = random.Random(12)
     other = lambda n: bytes(rng.randrange(97, 123) for _ in range(n))
     phrase = other(20)
-    rows = [(k, other(60) + phrase + other(60)) for k in range(400)]
-    places = [[(p << 2) | 3 for p in suffix_dedup.Anchors([t], 50, 20).place.tolist()] for _, t in rows]
-    columns = {"_key": [k for k, _ in rows], "_text": [k for k, _ in rows], "places": places}
-    batch = pa.record_batch({"_key": pa.array(columns["_key"]), "_text": pa.array(columns["_text"]), "text": pa.array([t for _, t in rows]), "places": pa.array(places)})
-    most = Counter()
-    for out in suffix_dedup.string_rows(50, 20, 1 << 40, 300_000)([batch]):
-        for bucket, blob in zip(out["bucket"].to_pylist(), out["blob"].to_pylist()):
-            most[bucket] += len(suffix_dedup.unpack(blob, suffix_dedup.STRING_TYPES)[0][0])
-    assert max(most.values()) < 5
+    texts = [other(60) + phrase + other(60) for _ in range(400)]
+    reps = []
+    for k, t in enumerate(texts):
+        a = suffix_dedup.Anchors([t], 50, 20)
+        reps += [(k, 2 * k, i, int(f), int(z - f + 50), int(p - f), 3) for i, (f, z, p) in enumerate(zip(a.first, a.last, a.place))]
+    spread = spark.createDataFrame([(k, k, bytearray(t)) for k, t in enumerate(texts)], "_doc long, _key long, text binary")
+    table = spark.createDataFrame(reps, "_doc long, h1 long, h2 long, start long, size int, at int, sides int")
+    got = suffix_dedup.string_rows(table, spread, 50, 20, 1 << 40).collect()
+    assert max(Counter(r.bucket for r in got).values()) < 5
+    for r in got:  # a part's bytes, where it is in its content
+        content = next((x for x in reps if x[1:3] == (r.h1, r.h2)))
+        at = content[3] + r.offset
+        assert bytes(r.part) == texts[r._key][at : at + len(r.part)] and len(r.part) >= 50
+
+
+def test_rows_without_ids_and_repeated_rows(make_docs):
+    rows = [(None, t) for _, t in passages(seed=3, n=60)] + [(7, t) for _, t in passages(seed=3, n=60)]
+    rows += rows[:10] + [(9, rows[5][1] or "")]
+    got = suffix_dedup.suffix_dedup(make_docs(rows), length=50).collect()
+    assert Counter((as_key(r[0]), *r[1:5]) for r in got) == brute_removed(rows, 50)
+
+
+def test_string_rows_follow_the_strings():
+    """Contents leave as a row each, however many buckets and flushes there are."""
+    rows = [(k, (t or "").encode()) for k, (_, t) in enumerate(passages(seed=5, n=40))]
+    every = [[(int(p) << 2) | 3 for p in suffix_dedup.Anchors([t], 50, 20).place] for _, t in rows]
+    batch = pa.record_batch({"_doc": pa.array([k for k, _ in rows]), "_key": pa.array([k for k, _ in rows]), "text": pa.array([t for _, t in rows]), "places": pa.array(every, pa.list_(pa.int64()))})
+    for held in (10, 100_000):
+        out = pa.Table.from_batches(list(suffix_dedup.content_rows(50, 20, held)([batch])))
+        assert out.num_rows == sum(map(len, every))

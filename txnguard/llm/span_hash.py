@@ -9,9 +9,11 @@ MULTIPLIER = 0x9E3779B97F4A7C15
 
 
 class SpanHash:
-    """``hash(points, at)``: a hash of each span ``points[at[i]:at[i + 1]]`` and its length."""
+    """``hash(points, at)``: a hash of each span ``points[at[i]:at[i + 1]]`` and its length.
+    Hashes of different (odd) multipliers are independent."""
 
-    def __init__(self):
+    def __init__(self, multiplier: int = MULTIPLIER):
+        self.multiplier = multiplier
         self.power = self.inverse = np.ones(1, np.uint64)
 
     def __call__(self, points: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -21,8 +23,8 @@ class SpanHash:
         """A hash of each ``points[start:end]``; spans may overlap."""
         n = len(points) + 1
         if len(self.power) < n:
-            step = np.full(n, MULTIPLIER, np.uint64)
-            back = np.full(n, pow(MULTIPLIER, -1, 1 << 64), np.uint64)
+            step = np.full(n, self.multiplier, np.uint64)
+            back = np.full(n, pow(self.multiplier, -1, 1 << 64), np.uint64)
             step[0] = back[0] = 1
             self.power, self.inverse = np.cumprod(step, dtype=np.uint64), np.cumprod(back, dtype=np.uint64)
         x = points.astype(np.uint64) + np.uint64(1)

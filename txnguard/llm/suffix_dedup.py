@@ -7,22 +7,25 @@ grows geometrically. Here only strings of ``length`` bytes matter, and only buck
 that hold more than one document, so refinement stops at ``length`` and a place
 leaves as soon as its bucket has one document.
 
-Three steps, each a shuffle:
+Three steps:
 
 1. Initial buckets. Of the q-grams in each string of ``length`` bytes the one of
    least hash is its anchor, so equal strings have equal anchors at the same
    offset, and few places are anchors. Anchors are dealt by hash, with a few bits
    of the bytes on either side: strings that are equal beyond the anchor agree on
    at least half of what surrounds it. Anchors alone in their document go.
-2. Refinement. The bytes of all strings with a surviving anchor are dealt by
-   anchor and the whole side of it that lies inside them, so that a frequent anchor's
-   strings part by what surrounds it, and buckets are refined to ``length``. A string's smallest document is
-   then known, and where it starts in a larger one it is to be removed.
+2. Refinement. All strings of a surviving anchor are one content. Contents meet by two
+   hashes of 64 bits each: of those that are equal, all but the smallest document's
+   are to be removed whole, and one row of it goes on. Only these distinct contents send
+   their bytes: they are dealt by anchor and the whole side of it that lies inside
+   them, so that a frequent anchor's strings part by what surrounds it, and buckets are
+   refined to ``length``. A string's smallest document is then known, and where it
+   starts in a larger one it is to be removed, at all places of the content.
 3. Cutting. Each text meets its intervals.
 
 Before each shuffle a task settles what it can on its own rows: all but the first
-occurrence it holds need not be sent, so what is sent for a very frequent passage
-is one row a task.
+occurrence it holds need not meet the others, so what meets for a very frequent
+passage is a few rows a task. Rows follow the strings, and each place is sent once.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from txnguard.llm.common import batch_of, materialise, text_batches
 from txnguard.llm.span_hash import MULTIPLIER, SpanHash
@@ -248,76 +251,107 @@ def surviving(group: pa.Table) -> pa.Table:
     return pa.table({"_key": np.concatenate(keys or none), "place": np.concatenate(places or none), "sides": np.concatenate(either or none)})
 
 
-STRING_TYPES = [np.int64, np.int64, np.int64, np.uint8]
+SECOND = 0xD1342543DE82EF95  # multiplier of the second hash
+CONTENT = "h1 long, h2 long, _doc long, _key long, start long, size int, at int, sides int, gone boolean"
 
 
-def settle(content: np.ndarray, docs: np.ndarray) -> np.ndarray:
-    """Which places hold a content that a smaller document here holds too."""
-    order = np.lexsort((docs, content))
-    begin = runs(content[order])
-    least = np.zeros(len(content), np.int64)
-    least[order] = np.repeat(docs[order][begin], np.diff(np.append(begin, len(order)))) if len(order) else 0
-    return docs > least
-
-
-def string_rows(length: int, q: int, buckets: int, held: int):
-    """Step 2, map side: rows ``bucket, blob`` of the bytes around surviving anchors;
-    ``bucket`` -1 marks intervals that are settled already. Column ``places`` has four
-    times each place, plus its sides."""
-
+def content_rows(length: int, q: int, held: int):
+    """Step 2, map side: a row for each surviving anchor with the bytes around it, as two
+    hashes (``h1, h2``) of all strings it stands for: their place and size, where the anchor
+    is in them (``at``) and which sides are shared. ``gone`` marks what a smaller
+    document here holds too. Column ``places`` has four times each place, plus its sides."""
     reach = (length - q) // 2
-    schema = pa.schema([("bucket", pa.int64()), ("blob", pa.binary())])
+    schema = pa.schema([(n, t) for n, t in zip(("h1", "h2", "_doc", "_key", "start"), [pa.int64()] * 5)] + [(n, pa.int32()) for n in ("size", "at", "sides")] + [("gone", pa.bool_())])
 
     def flush(parts):
-        bucket, content, key, text, start, size = (np.concatenate([p[i] for p in parts]) for i in range(6))
-        raw = b"".join(p[6] for p in parts)
-        at = np.zeros(len(size) + 1, np.int64)
-        np.cumsum(size, out=at[1:])
-        larger = settle(content, key)
-        out = [(-1, pack(key[larger], text[larger], start[larger], size[larger]))] if larger.any() else []
-        rest = np.flatnonzero(~larger)
-        rest = rest[np.argsort(bucket[rest], kind="stable")]
-        begin = runs(bucket[rest])
-        for s, e in zip(begin, np.append(begin[1:], len(rest))):
-            i = rest[s:e]
-            out.append((int(bucket[i[0]]), pack(key[i], text[i], start[i], size[i]) + b"".join(raw[at[j] : at[j + 1]] for j in i)))
-        return out
+        h1, h2, doc, key, start, size, at, sides = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((start, doc, key, h2, h1))
+        new = np.append(True, (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1]))
+        least = np.empty(len(order), np.int64)
+        least[order] = np.repeat(key[order][new], np.diff(np.append(np.flatnonzero(new), len(order))))
+        gone = key > least
+        # Repeated rows give a place more than once: once is enough.
+        again = np.zeros(len(order), bool)
+        again[order[1:]] = ~new[1:] & (doc[order][1:] == doc[order][:-1]) & (start[order][1:] == start[order][:-1])
+        # What is settled needn't meet its like: it is dealt anywhere.
+        h1 = np.where(gone, (doc ^ start * 0x5851F42D4C957F2D).view(np.uint64) * np.uint64(MULTIPLIER), h1).view(np.int64)
+        h2 = np.where(gone, 0, h2).view(np.int64)
+        return batch_of(schema, [pa.array(c[~again]) for c in (h1, h2, doc, key, start, size, at, sides, gone)])
 
     def run(batches):
-        hashed = SpanHash()
+        first_hash, second_hash = SpanHash(), SpanHash(SECOND)
         parts, n = [], 0
-        for rows in slices(batches, ("_key", "_text", "places"), length):
+        for rows in slices(batches, ("_doc", "_key", "places"), length):
             found = Anchors([r[2] for r in rows], length, q)
             base = np.array([r[1] for r in rows], np.int64)[found.doc] - found.doc_start
-            alive = np.concatenate([np.array(r[0][2], np.int64) + (k << 42) for k, r in enumerate(rows)])
-            at = found.place + base + (found.doc << 40)
+            alive = np.sort(np.concatenate([np.array(r[0][2], np.int64) + (k << 42) for k, r in enumerate(rows)]))
+            begin = runs(alive >> 2)
+            sides_of = np.bitwise_or.reduceat(alive & 3, begin) if len(begin) else alive
+            alive = alive[begin] >> 2
+            where = found.place + base + (found.doc << 40)
+            i = np.minimum(np.searchsorted(alive, where), max(len(alive) - 1, 0))
+            sides = np.where(alive[i] == where, sides_of[i], 0) if len(alive) else np.zeros(len(where), np.int64)
             # A string holds the bytes on the left of its anchor if it starts there or before, else those on the right.
             turn = found.place - reach
-            left = np.flatnonzero(np.isin(at, alive[alive & 1 > 0] >> 2) & (found.first <= turn))
-            right = np.flatnonzero(np.isin(at, alive[alive & 2 > 0] >> 2) & (found.last > turn))
-            chosen = np.concatenate([left, right])
-            if not len(chosen):
+            sides = sides & ((found.first <= turn) + 2 * (found.last > turn))
+            c = np.flatnonzero(sides)
+            if not len(c):
                 continue
-            start = np.concatenate([found.first[left], np.maximum(found.first, turn + 1)[right]])
-            size = np.concatenate([np.minimum(found.last, turn)[left], found.last[right]]) - start + length
-            key, text = (np.array([r[0][c] for r in rows], np.int64)[found.doc[chosen]] for c in (0, 1))
-            content = hashed.spans(found.buffer, start, start + size)
-            side = found.hash_at(np.concatenate([turn[left], found.place[right] + q]), reach) + np.repeat(np.array([0, 1], np.uint64), [len(left), len(right)])
-            mixed = (found.hashes[found.place[chosen]] ^ (side ^ side >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)) * np.uint64(0x9E3779B97F4A7C15)
-            bucket = ((mixed >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-            whole = found.buffer.tobytes()
-            raw = b"".join(whole[s : s + z] for s, z in zip(start.tolist(), size.tolist()))
-            parts.append((bucket, content, key, text, start + base[chosen], size.astype(np.uint8), raw))
-            n += len(chosen)
+            start, end = found.first[c], found.last[c] + length
+            doc, key = (np.array([r[0][k] for r in rows], np.int64)[found.doc[c]] for k in (0, 1))
+            h1, h2 = (h.spans(found.buffer, start, end) for h in (first_hash, second_hash))
+            parts.append((h1, h2, doc, key, start + base[c], end - start, found.place[c] - start, sides[c]))
+            n += len(c)
             if n >= held:
-                yield batch_of(schema, list(map(list, zip(*flush(parts)))))
+                yield flush(parts)
                 parts, n = [], 0
         if n:
-            yield batch_of(schema, list(map(list, zip(*flush(parts)))))
+            yield flush(parts)
 
     return run
 
 
+def judged(contents: DataFrame) -> DataFrame:
+    """Contents with ``top``: the smallest document that holds it anywhere is the row's, and
+    ``nth``, its turn among those; all else is to be removed whole.
+
+    Before the shuffle each task keeps one document of a content, so the rows of a
+    content are those of as many tasks' flushes, however many documents hold it.
+    """
+    same = Window.partitionBy("h1", "h2").orderBy("_key", "_doc", "start")
+    whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    out = contents.withColumns({"least": F.min("_key").over(whole), "every": F.bit_or("sides").over(whole), "nth": F.row_number().over(same)})
+    top = ~F.col("gone") & (F.col("_key") == F.col("least"))
+    only = {c: F.when(top, F.col(c)) for c in ("h1", "h2", "at")} | {"sides": F.when(top, F.col("every")), "nth": F.when(top, F.col("nth"))}
+    return out.select("_doc", "_key", "start", "size", top.alias("top"), *(v.alias(k) for k, v in only.items()))
+
+
+def string_rows(reps: DataFrame, spread: DataFrame, length: int, q: int, parts: int) -> DataFrame:
+    """``bucket, h1, h2, _key, offset, part``: the bytes of each distinct content, dealt by
+    its anchor and the whole side of it that lies inside all strings of the part."""
+    reach = (length - q) // 2
+    by_doc = reps.groupBy("_doc").agg(F.collect_list(F.struct("h1", "h2", "start", "size", "at", "sides")).alias("reps"))
+
+    def cut(r: Column) -> Column:
+        content = F.substr(F.col("text"), (r["start"] + 1).cast("int"), r["size"])
+        return F.struct(*(r[c].alias(c) for c in ("h1", "h2", "size", "at", "sides")), content.alias("content"))
+
+    each = spread.join(by_doc, "_doc").select("_key", F.inline(F.transform("reps", cut)))
+    turn, last = F.col("at") - reach, F.col("size") - length  # of where strings start
+
+    def part(real: Column, side: int, key_at: Column, start: Column, end: Column) -> Column:
+        key = F.xxhash64(F.substr(F.col("content"), key_at + 1, F.lit(reach + q)), F.lit(side))
+        bytes_ = F.substr(F.col("content"), start + 1, end - start)
+        return F.when(real, F.struct(F.pmod(key, F.lit(parts)).alias("bucket"), start.alias("offset"), bytes_.alias("part")))
+
+    right = F.greatest(turn + 1, F.lit(0))
+    sides = F.array(
+        part((F.col("sides").bitwiseAND(1) > 0) & (turn >= 0), 0, turn, F.lit(0), F.least(last, turn) + length),
+        part((F.col("sides").bitwiseAND(2) > 0) & (last > turn), 1, F.col("at"), right, F.col("size")),
+    )
+    return each.select("h1", "h2", "_key", F.inline(F.filter(sides, lambda s: s.isNotNull())))
+
+
 def refined(buffer: np.ndarray, docs: np.ndarray, ends: np.ndarray, starts: np.ndarray, length: int, first: int = 8) -> np.ndarray:
     """The smallest document that holds the string of ``length`` bytes at each of ``starts``.
 
@@ -356,57 +390,28 @@ def refined(buffer: np.ndarray, docs: np.ndarray, ends: np.ndarray, starts: np.n
         key = pointer[alive].astype(np.uint64) << np.uint64(32) | later.astype(np.uint64)
 
 
-def intervals_of(length: int):
-    """Step 2, reduce side: ``_key, _text, start, end`` of bytes to remove."""
+def runs_of(length: int):
+    """Step 2, reduce side: ``h1, h2, from, to``, what is to be removed of a content."""
 
     def run(group: pa.Table) -> pa.Table:
-        out, columns, contents = [], [], []
-        for bucket, raw in zip(group["bucket"].to_pylist(), group["blob"].to_pylist()):
-            got, rest = unpack(raw, STRING_TYPES)
-            if bucket < 0:
-                key, text, start, size = got
-                out.append((key, text, start, start + size))
-            else:
-                columns.append(got)
-                contents.append(rest)
-        if columns:
-            key, text, start, size = (np.concatenate(x) for x in zip(*columns))
-            size = size.astype(np.int64)
-            buffer = np.frombuffer(b"".join(contents), np.uint8)
-            at = np.zeros(len(size) + 1, np.int64)
-            np.cumsum(size, out=at[1:])
-            content = SpanHash().spans(buffer, at[:-1], at[1:])
-            larger = settle(content, key)
-            out.append((key[larger], text[larger], start[larger], (start + size)[larger]))
-            rest = np.flatnonzero(~larger)
-            _, one, back = np.unique(content[rest], return_index=True, return_inverse=True)
-            one = rest[one]  # each content once, with its smallest document
-            sizes = size[one]
-            begin = np.zeros(len(one) + 1, np.int64)
-            np.cumsum(sizes, out=begin[1:])
-            bytes_of = buffer[np.arange(begin[-1]) + np.repeat(at[one] - begin[:-1], sizes)]
-            docs = np.repeat(key[one], sizes)
-            strings = sizes - length + 1
-            first = np.zeros(len(one) + 1, np.int64)
-            np.cumsum(strings, out=first[1:])
-            offset = np.arange(first[-1]) - np.repeat(first[:-1], strings)
-            starts = offset + np.repeat(begin[:-1], strings)
-            remove = refined(bytes_of, docs, np.repeat(begin[1:], sizes), starts, length) < docs[starts]
-            # Runs of strings to remove, for each content; then for all places that hold it.
-            of = np.repeat(np.arange(len(one)), strings)
-            new = remove.copy()
-            new[1:] &= ~(remove[:-1] & (of[1:] == of[:-1]))
-            end = remove.copy()
-            end[:-1] &= ~(remove[1:] & (of[1:] == of[:-1]))
-            from_, to, owner = offset[new], offset[end] + length, of[new]
-            count = np.bincount(owner, minlength=len(one))
-            run_at = np.append(0, np.cumsum(count))
-            times = count[back]
-            which = np.repeat(rest, times)
-            runs_of = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(run_at[back], times)
-            out.append((key[which], text[which], start[which] + from_[runs_of], start[which] + to[runs_of]))
-        columns = [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, np.int64)] * 4
-        return pa.table(dict(zip(("_key", "_text", "start", "end"), columns)))
+        h1, h2, key, offset = (group[c].to_numpy().astype(np.int64) for c in ("h1", "h2", "_key", "offset"))
+        raw = group["part"].to_pylist()
+        # Rows of one document that repeats send a part again.
+        one = np.unique(np.stack([h1, h2, offset]), axis=1, return_index=True)[1] if len(raw) else np.zeros(0, np.int64)
+        sizes = np.array([len(raw[i]) for i in one], np.int64)
+        buffer = np.frombuffer(b"".join(raw[i] for i in one), np.uint8)
+        begin = np.append(0, np.cumsum(sizes))
+        docs, strings = np.repeat(key[one], sizes), sizes - length + 1
+        first = np.append(0, np.cumsum(strings))
+        place = np.arange(first[-1]) - np.repeat(first[:-1], strings)
+        starts = place + np.repeat(begin[:-1], strings)
+        remove = refined(buffer, docs, np.repeat(begin[1:], sizes), starts, length) < docs[starts]
+        of = np.repeat(np.arange(len(one)), strings)
+        new, end = remove.copy(), remove.copy()
+        new[1:] &= ~(remove[:-1] & (of[1:] == of[:-1]))
+        end[:-1] &= ~(remove[1:] & (of[1:] == of[:-1]))
+        i = one[of[new]]
+        return pa.table({"h1": h1[i], "h2": h2[i], "from": offset[i] + place[new], "to": offset[i] + place[end] + length})
 
     return run
 
@@ -421,36 +426,42 @@ def merged(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def keyed_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("_key"), F.xxhash64(text).alias("_text"), text.cast("binary").alias("text")
-    )
+def keyed_text(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """``_doc, _key, text``: ``_doc`` is a hash of id and text, by which rows are dealt; so
+    rows that share an id, or have none, are many keys. ``_key`` is the id itself."""
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID))
+    return docs.select(F.xxhash64(key, text).alias("_doc"), key.alias("_key"), text.cast("binary").alias("text"), *more)
 
 
 def repeated_intervals(
     source: DataFrame, spread: DataFrame, length: int = 50, q: int = 20, bucket_bytes: int = 4 << 20, bucket_strings: int = 10_000, held: int = 300_000
 ) -> DataFrame:
-    """``_key, spans`` (text's hash, start, end) of documents with bytes to remove.
+    """``_doc, spans`` (id, start, end) of documents with bytes to remove.
 
-    ``source`` is ``keyed_text`` as read, ``spread`` the same dealt out by ``_key``.
+    ``source`` is ``keyed_text`` as read, ``spread`` the same dealt out by ``_doc``.
     """
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
-    blobs = "bucket long, blob binary"
+    # Step 1 takes each text of an id for a document of its own: some candidates more.
+    anchors = source.select(F.col("_doc").alias("_key"), "text").mapInArrow(anchor_rows(length, q, buckets, held), "bucket long, blob binary")
     # Settled anchors are dealt evenly: their bucket is negative and only marks them.
     deal = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("blob"), F.lit(buckets))).otherwise(F.col("bucket"))
-    anchors = source.select("_key", "text").mapInArrow(anchor_rows(length, q, buckets, held), blobs).withColumn("bucket", deal)
-    alive = anchors.groupBy("bucket").applyInArrow(surviving, "_key long, place long, sides long")
+    alive = anchors.withColumn("bucket", deal).groupBy("bucket").applyInArrow(surviving, "_key long, place long, sides long")
     place = F.shiftleft("place", 2).bitwiseOR(F.col("sides"))
-    places = materialise(alive.groupBy("_key").agg(F.collect_set(place).alias("places")), "places")
-    n = places.agg(F.sum(F.aggregate("places", F.lit(0).cast("long"), lambda n, p: n + F.bit_count(p.bitwiseAND(F.lit(3)))))).first()[0] or 0
-    parts = max(1, math.ceil(n / bucket_strings))
-    strings = spread.join(places, "_key").mapInArrow(string_rows(length, q, parts, held // 8), blobs)
-    deal = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("blob"), F.lit(parts))).otherwise(F.col("bucket"))
-    found = strings.withColumn("bucket", deal).groupBy("bucket").applyInArrow(intervals_of(length), "_key long, _text long, start long, end long")
-    # By id alone, as the texts are dealt, so that their one shuffle serves this join too.
-    return found.groupBy("_key").agg(F.collect_set(F.struct("_text", "start", "end")).alias("spans"))
+    # As many places as a text has anchors, at most.
+    places = materialise(alive.groupBy(F.col("_key").alias("_doc")).agg(F.collect_set(place).alias("places")), "places")
+    n = places.agg(F.sum(F.size("places"))).first()[0] or 0
+    contents = spread.join(places, "_doc").mapInArrow(content_rows(length, q, held), CONTENT)
+    known = materialise(judged(contents), "contents")
+    tops = known.where("top")
+    strings = string_rows(tops.where("nth = 1"), spread, length, q, max(1, math.ceil(n / bucket_strings)))
+    cuts = strings.groupBy("bucket").applyInArrow(runs_of(length), "h1 long, h2 long, from long, to long")
+    inside = cuts.join(tops.select("h1", "h2", "_doc", "_key", "start"), ["h1", "h2"]).select(
+        "_doc", "_key", (F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("to")).alias("end")
+    )
+    whole = known.where("NOT top").select("_doc", "_key", "start", (F.col("start") + F.col("size")).alias("end"))
+    return whole.unionByName(inside).groupBy("_doc").agg(F.collect_set(F.struct("_key", "start", "end")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -462,28 +473,24 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     source = keyed_text(docs, id_col, text_col)
     others = [c for c in docs.columns if c != text_col]
     null = F.col(f"`{text_col}`").isNull().alias("null")
-    row = F.struct(null, *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others))).alias("_doc")
-    id_, text = F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    wide = docs.select(
-        F.coalesce(id_.cast("long"), F.lit(NULL_ID)).alias("_key"), F.xxhash64(text).alias("_text"), text.cast("binary").alias("text"), row
-    )
-    spread = wide.repartition("_key")
+    row = F.struct(null, *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others))).alias("_row")
+    spread = keyed_text(docs, id_col, text_col, row).repartition("_doc")
     spans = repeated_intervals(source, spread, length, **options)
 
     def cut(batches):
         for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
             texts = []
-            for text, raw, found in zip(*(batch.column(c).to_pylist() for c in ("_text", "text", "spans"))):
-                gone = merged([(x["start"], x["end"]) for x in found or () if x["_text"] == text])
+            for key, raw, found in zip(*(batch.column(c).to_pylist() for c in ("_key", "text", "spans"))):
+                gone = merged([(x["start"], x["end"]) for x in found or () if x["_key"] == key])
                 ends = [0, *(e for _, e in gone)]
                 kept = b"".join(raw[a:b] for a, b in zip(ends, [*(s for s, _ in gone), len(raw)]))
                 texts.append(kept.decode("utf-8", "ignore") if kept or not raw else None)
             if texts:
-                yield pa.RecordBatch.from_arrays([batch.column("_doc"), pa.array(texts, pa.string())], ["_doc", "text"])
+                yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(texts, pa.string())], ["_row", "text"])
 
-    schema = T.StructType([spread.schema["_doc"], T.StructField("text", T.StringType())])
-    left = spread.join(spans, "_key", "left").mapInArrow(cut, schema).where("text IS NOT NULL")
-    columns = {c: F.col(f"_doc.c{i}") for i, c in enumerate(others)} | {text_col: F.when(~F.col("_doc.null"), F.col("text"))}
+    schema = T.StructType([spread.schema["_row"], T.StructField("text", T.StringType())])
+    left = spread.join(spans, "_doc", "left").mapInArrow(cut, schema).where("text IS NOT NULL")
+    columns = {c: F.col(f"_row.c{i}") for i, c in enumerate(others)} | {text_col: F.when(~F.col("_row.null"), F.col("text"))}
     return left.select(*(columns[c].alias(c) for c in docs.columns))
 
 
@@ -500,7 +507,7 @@ def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text
     other columns are ignored.
     """
     source = keyed_text(docs, id_col, text_col)
-    spread = source.repartition("_key")  # one shuffle of the texts serves both joins
+    spread = source.repartition("_doc")  # one shuffle of the texts serves all joins
     spans = repeated_intervals(source, spread, length, **options)
     more = ", kept binary, spans array<struct<start: long, end: long>>" if with_kept else ""
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + more
@@ -512,8 +519,8 @@ def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text
     def cut(batches):
         for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
             out = []
-            for key, text, raw, found in zip(*(batch.column(c).to_pylist() for c in ("_key", "_text", "text", "spans"))):
-                gone = merged([(x["start"], x["end"]) for x in found or () if x["_text"] == text])
+            for key, raw, found in zip(*(batch.column(c).to_pylist() for c in ("_key", "text", "spans"))):
+                gone = merged([(x["start"], x["end"]) for x in found or () if x["_key"] == key])
                 ends = [0, *(e for _, e in gone)]
                 kept = b"".join(raw[a:b] for a, b in zip(ends, [*(s for s, _ in gone), len(raw)]))
                 spans = [{"start": s, "end": e} for s, e in gone]
@@ -521,4 +528,4 @@ def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
-    return spread.join(spans, "_key", "left").mapInArrow(cut, schema)
+    return spread.join(spans, "_doc", "left").mapInArrow(cut, schema)
