@@ -270,7 +270,7 @@ def test_settled_anchors_count_as_shared():
     flushes = [[(9, own[0][:77] + passage), (1, passage + own[1])], [(9, own[2] + passage)]]
     out = []
     for rows in flushes:
-        batch = pa.record_batch({"_key": pa.array([k for k, _ in rows], pa.int64()), "text": pa.array([t for _, t in rows], pa.binary())})
+        batch = pa.record_batch({"_key": pa.array([k for k, _ in rows], pa.int64()), "_tag": pa.array([0] * len(rows), pa.int32()), "text": pa.array([t for _, t in rows], pa.binary())})
         out += suffix_dedup.anchor_rows(50, 20, 1, 300_000)([batch])
     got = suffix_dedup.surviving(pa.Table.from_batches(out)).to_pydict()
     found = suffix_dedup.Anchors([own[2] + passage], 50, 20)
@@ -295,15 +295,13 @@ def test_frequent_anchor_is_dealt_by_its_surroundings(spark):
     reps = []
     for k, t in enumerate(texts):
         a = suffix_dedup.Anchors([t], 50, 20)
-        reps += [(k, 2 * k, i, int(f), int(z - f + 50), int(p - f), 3) for i, (f, z, p) in enumerate(zip(a.first, a.last, a.place))]
-    spread = spark.createDataFrame([(k, k, bytearray(t)) for k, t in enumerate(texts)], "_doc long, _key long, text binary")
-    table = spark.createDataFrame(reps, "_doc long, h1 long, h2 long, start long, size int, at int, sides int")
-    got = suffix_dedup.string_rows(table, spread, 50, 20, 1 << 40).collect()
+        reps += [(k, 2 * k, i, int(z - f + 50), int(p - f), 3, bytearray(t[f : z + 50])) for i, (f, z, p) in enumerate(zip(a.first, a.last, a.place))]
+    table = spark.createDataFrame(reps, "_key long, h1 long, h2 long, size int, at int, sides int, content binary")
+    got = suffix_dedup.string_rows(table, 50, 20, 1 << 40).collect()
     assert max(Counter(r.bucket for r in got).values()) < 5
+    content = {x[1:3]: bytes(x[-1]) for x in reps}
     for r in got:  # a part's bytes, where it is in its content
-        content = next((x for x in reps if x[1:3] == (r.h1, r.h2)))
-        at = content[3] + r.offset
-        assert bytes(r.part) == texts[r._key][at : at + len(r.part)] and len(r.part) >= 50
+        assert bytes(r.part) == content[r.h1, r.h2][r.offset :][: len(r.part)] and len(r.part) >= 50
 
 
 def test_rows_without_ids_and_repeated_rows(make_docs):
@@ -317,7 +315,8 @@ def test_string_rows_follow_the_strings():
     """Contents leave as a row each, however many buckets and flushes there are."""
     rows = [(k, (t or "").encode()) for k, (_, t) in enumerate(passages(seed=5, n=40))]
     every = [[(int(p) << 2) | 3 for p in suffix_dedup.Anchors([t], 50, 20).place] for _, t in rows]
-    batch = pa.record_batch({"_doc": pa.array([k for k, _ in rows]), "_key": pa.array([k for k, _ in rows]), "text": pa.array([t for _, t in rows]), "places": pa.array(every, pa.list_(pa.int64()))})
+    zero = pa.array([0] * len(rows), pa.int32())
+    batch = pa.record_batch({"_key": pa.array([k for k, _ in rows]), "_tag": zero, "_id": zero, "text": pa.array([t for _, t in rows]), "places": pa.array(every, pa.list_(pa.int64()))})
     for held in (10, 100_000):
         out = pa.Table.from_batches(list(suffix_dedup.content_rows(50, 20, held)([batch])))
         assert out.num_rows == sum(map(len, every))

@@ -178,7 +178,7 @@ def slices(batches, columns: tuple[str, ...], length: int):
         yield rows
 
 
-ANCHOR_TYPES = [np.uint32, np.uint16, np.uint8, np.uint8, np.int64, np.int64, np.uint8]
+ANCHOR_TYPES = [np.uint32, np.uint16, np.uint8, np.uint8, np.int64, np.uint32, np.int64, np.uint8]
 
 
 def anchor_rows(length: int, q: int, buckets: int, held: int):
@@ -187,14 +187,14 @@ def anchor_rows(length: int, q: int, buckets: int, held: int):
     reach = (length - q) // 2
 
     def flush(parts):
-        h, left, right, doc, place = (np.concatenate(x) for x in zip(*parts))
+        h, left, right, doc, tag, place = (np.concatenate(x) for x in zip(*parts))
         wide = (h >> np.uint64(16)) << np.uint64(8)
         a, first_a = shared(wide | left, doc, left > 0)
         b, first_b = shared(wide | right, doc, right > 0)
         settled = a | b
         kept = ~settled | first_a | first_b
         gone = settled & ~kept
-        out = [(-1, np.array([gone.sum()], "<i8").tobytes() + planes(doc[gone]) + planes(place[gone]))] if gone.any() else []
+        out = [(-1, pack(doc[gone], tag[gone], place[gone]))] if gone.any() else []
         at = np.flatnonzero(kept)
         bucket = ((h[at] >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
         at = at[np.argsort(bucket, kind="stable")]
@@ -204,19 +204,19 @@ def anchor_rows(length: int, q: int, buckets: int, held: int):
             i = at[s:e]
             low = (h[i] >> np.uint64(16)).astype(np.uint32)
             high = (h[i] >> np.uint64(48)).astype(np.uint16)
-            out.append((int(bucket[s]), pack(low, high, left[i], right[i], doc[i], place[i], a[i] + 2 * b[i].astype(np.uint8))))
+            out.append((int(bucket[s]), pack(low, high, left[i], right[i], doc[i], tag[i], place[i], a[i] + 2 * b[i].astype(np.uint8))))
         return out
 
     schema = pa.schema([("bucket", pa.int64()), ("blob", pa.binary())])
 
     def run(batches):
         parts, n = [], 0
-        for rows in slices(batches, ("_key",), length):
+        for rows in slices(batches, ("_key", "_tag"), length):
             found = Anchors([r[2] for r in rows], length, q)
-            key = np.array([r[0][0] for r in rows], np.int64)[found.doc]
+            key, tag = np.array([r[0][0] for r in rows], np.int64)[found.doc], np.array([r[0][1] for r in rows], np.uint32)[found.doc]
             base = np.array([r[1] for r in rows], np.int64)[found.doc] - found.doc_start
             left, right = found.sides(q, reach)
-            parts.append((found.hashes[found.place], left, right, key, found.place + base))
+            parts.append((found.hashes[found.place], left, right, key, tag, found.place + base))
             n += len(key)
             if n >= held:
                 yield batch_of(schema, list(map(list, zip(*flush(parts)))))
@@ -228,31 +228,34 @@ def anchor_rows(length: int, q: int, buckets: int, held: int):
 
 
 def surviving(group: pa.Table) -> pa.Table:
-    """Step 1, reduce side: ``_key, place, sides`` of anchors that more than one document shares;
+    """Step 1, reduce side: ``_key, _tag, place, sides`` of anchors that more than one document shares;
     sides is 1 if it's shared with its left side, 2 with its right one, 3 with either."""
-    keys, places, either, columns = [], [], [], []
+    keys, tags, places, either, columns = [], [], [], [], []
     for bucket, raw in zip(group["bucket"].to_pylist(), group["blob"].to_pylist()):
         if bucket < 0:
-            (doc, place), _ = unpack(raw, [np.int64, np.int64])
+            (doc, tag, place), _ = unpack(raw, [np.int64, np.uint32, np.int64])
             keys.append(doc)
+            tags.append(tag)
             places.append(place)
             either.append(np.full(len(place), 3))
         else:
             columns.append(unpack(raw, ANCHOR_TYPES)[0])
     if columns:
-        low, high, left, right, doc, place, settled = (np.concatenate(x) for x in zip(*columns))
+        low, high, left, right, doc, tag, place, settled = (np.concatenate(x) for x in zip(*columns))
         wide = ((high.astype(np.uint64) << np.uint64(32)) | low) << np.uint64(8)
         # A settled place stands for others of its key, which may be of other documents.
         sides = shared(wide | left, doc, left > 0, settled & 1 > 0)[0] + 2 * shared(wide | right, doc, right > 0, settled & 2 > 0)[0].astype(np.int64)
         keys.append(doc[sides > 0])
+        tags.append(tag[sides > 0])
         places.append(place[sides > 0])
         either.append(sides[sides > 0])
     none = [np.zeros(0, np.int64)]
-    return pa.table({"_key": np.concatenate(keys or none), "place": np.concatenate(places or none), "sides": np.concatenate(either or none)})
+    return pa.table({"_key": np.concatenate(keys or none), "_tag": np.concatenate(tags or none).astype(np.int32), "place": np.concatenate(places or none), "sides": np.concatenate(either or none)})
 
 
 SECOND = 0xD1342543DE82EF95  # multiplier of the second hash
-CONTENT = "h1 long, h2 long, _doc long, _key long, start long, size int, at int, sides int, gone boolean"
+CONTENT = "h1 long, h2 long, _one long, start long, _tag int, _id int, size int, at int, sides int, gone boolean"
+NO_ID = 1 << 16  # tags from here on are those of rows without an id
 
 
 def content_rows(length: int, q: int, held: int):
@@ -261,30 +264,32 @@ def content_rows(length: int, q: int, held: int):
     is in them (``at``) and which sides are shared. ``gone`` marks what a smaller
     document here holds too. Column ``places`` has four times each place, plus its sides."""
     reach = (length - q) // 2
-    schema = pa.schema([(n, t) for n, t in zip(("h1", "h2", "_doc", "_key", "start"), [pa.int64()] * 5)] + [(n, pa.int32()) for n in ("size", "at", "sides")] + [("gone", pa.bool_())])
+    names = [(c.split()[0], {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}[c.split()[1]]) for c in CONTENT.split(", ")]
+    schema = pa.schema(names)
 
     def flush(parts):
-        h1, h2, doc, key, start, size, at, sides = (np.concatenate(x) for x in zip(*parts))
-        order = np.lexsort((start, doc, key, h2, h1))
+        h1, h2, one, start, tag, id_, size, at, sides = (np.concatenate(x) for x in zip(*parts))
+        key = np.where(tag >= NO_ID, NULL_ID, one)
+        order = np.lexsort((start, id_, one, key, h2, h1))
         new = np.append(True, (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1]))
         least = np.empty(len(order), np.int64)
         least[order] = np.repeat(key[order][new], np.diff(np.append(np.flatnonzero(new), len(order))))
         gone = key > least
         # Repeated rows give a place more than once: once is enough.
         again = np.zeros(len(order), bool)
-        again[order[1:]] = ~new[1:] & (doc[order][1:] == doc[order][:-1]) & (start[order][1:] == start[order][:-1])
+        again[order[1:]] = ~new[1:] & np.logical_and.reduce([c[order][1:] == c[order][:-1] for c in (one, id_, start)])
         # What is settled needn't meet its like: it is dealt anywhere.
-        h1 = np.where(gone, (doc ^ start * 0x5851F42D4C957F2D).view(np.uint64) * np.uint64(MULTIPLIER), h1).view(np.int64)
+        h1 = np.where(gone, (one ^ start * 0x5851F42D4C957F2D).view(np.uint64) * np.uint64(MULTIPLIER), h1).view(np.int64)
         h2 = np.where(gone, 0, h2).view(np.int64)
-        return batch_of(schema, [pa.array(c[~again]) for c in (h1, h2, doc, key, start, size, at, sides, gone)])
+        return batch_of(schema, [pa.array(c[~again]) for c in (h1, h2, one, start, tag, id_, size, at, sides, gone)])
 
     def run(batches):
         first_hash, second_hash = SpanHash(), SpanHash(SECOND)
         parts, n = [], 0
-        for rows in slices(batches, ("_doc", "_key", "places"), length):
+        for rows in slices(batches, ("_key", "_tag", "_id", "places"), length):
             found = Anchors([r[2] for r in rows], length, q)
             base = np.array([r[1] for r in rows], np.int64)[found.doc] - found.doc_start
-            alive = np.sort(np.concatenate([np.array(r[0][2], np.int64) + (k << 42) for k, r in enumerate(rows)]))
+            alive = np.sort(np.concatenate([np.array(r[0][3], np.int64) + (k << 42) for k, r in enumerate(rows)]))
             begin = runs(alive >> 2)
             sides_of = np.bitwise_or.reduceat(alive & 3, begin) if len(begin) else alive
             alive = alive[begin] >> 2
@@ -298,9 +303,9 @@ def content_rows(length: int, q: int, held: int):
             if not len(c):
                 continue
             start, end = found.first[c], found.last[c] + length
-            doc, key = (np.array([r[0][k] for r in rows], np.int64)[found.doc[c]] for k in (0, 1))
+            one, tag, id_ = (np.array([r[0][k] for r in rows], np.int64)[found.doc[c]] for k in range(3))
             h1, h2 = (h.spans(found.buffer, start, end) for h in (first_hash, second_hash))
-            parts.append((h1, h2, doc, key, start + base[c], end - start, found.place[c] - start, sides[c]))
+            parts.append((h1, h2, one, start + base[c], tag, id_, end - start, found.place[c] - start, sides[c]))
             n += len(c)
             if n >= held:
                 yield flush(parts)
@@ -312,44 +317,47 @@ def content_rows(length: int, q: int, held: int):
 
 
 def judged(contents: DataFrame) -> DataFrame:
-    """Contents with ``top``: the smallest document that holds it anywhere is the row's, and
-    ``nth``, its turn among those; all else is to be removed whole.
+    """``_doc`` and, for each of its contents, ``_id, start, size``; ``top`` if the smallest
+    document that holds it anywhere is the row's, then with its hashes and ``nth``, its
+    turn among those; all else is to be removed whole.
 
     Before the shuffle each task keeps one document of a content, so the rows of a
     content are those of as many tasks' flushes, however many documents hold it.
     """
-    same = Window.partitionBy("h1", "h2").orderBy("_key", "_doc", "start")
+    same = Window.partitionBy("h1", "h2").orderBy(F.col("_tag") < NO_ID, "_one", "_id", "start")
     whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    out = contents.withColumns({"least": F.min("_key").over(whole), "every": F.bit_or("sides").over(whole), "nth": F.row_number().over(same)})
-    top = ~F.col("gone") & (F.col("_key") == F.col("least"))
-    only = {c: F.when(top, F.col(c)) for c in ("h1", "h2", "at")} | {"sides": F.when(top, F.col("every")), "nth": F.when(top, F.col("nth"))}
-    return out.select("_doc", "_key", "start", "size", top.alias("top"), *(v.alias(k) for k, v in only.items()))
+    none = F.col("_tag") >= NO_ID
+    out = contents.withColumns(
+        {
+            "least": F.first(F.when(~none, F.col("_one"))).over(whole),  # null: no id, which is less than any
+            "every": F.bit_or("sides").over(whole),
+            "nth": F.row_number().over(same),
+        }
+    )
+    top = ~F.col("gone") & F.when(none, True).otherwise(F.coalesce(F.col("_one") == F.col("least"), F.lit(False)))
+    only = {c: F.when(top, F.col(c)) for c in ("h1", "h2", "at", "nth")} | {"sides": F.when(top, F.col("every"))}
+    return out.select(F.xxhash64("_one", "_tag").alias("_doc"), "_id", "start", "size", top.alias("top"), *(v.alias(k) for k, v in only.items()))
 
 
-def string_rows(reps: DataFrame, spread: DataFrame, length: int, q: int, parts: int) -> DataFrame:
-    """``bucket, h1, h2, _key, offset, part``: the bytes of each distinct content, dealt by
-    its anchor and the whole side of it that lies inside all strings of the part."""
+def string_rows(reps: DataFrame, length: int, q: int, parts: int) -> DataFrame:
+    """``bucket, tag, h1, h2, _key, offset, part``: the bytes of each distinct content (``_key,
+    h1, h2, size, at, sides, content``), dealt by its anchor and the whole side of it
+    that lies inside all strings of the part; ``tag`` is more of that hash."""
     reach = (length - q) // 2
-    by_doc = reps.groupBy("_doc").agg(F.collect_list(F.struct("h1", "h2", "start", "size", "at", "sides")).alias("reps"))
-
-    def cut(r: Column) -> Column:
-        content = F.substr(F.col("text"), (r["start"] + 1).cast("int"), r["size"])
-        return F.struct(*(r[c].alias(c) for c in ("h1", "h2", "size", "at", "sides")), content.alias("content"))
-
-    each = spread.join(by_doc, "_doc").select("_key", F.inline(F.transform("reps", cut)))
     turn, last = F.col("at") - reach, F.col("size") - length  # of where strings start
 
     def part(real: Column, side: int, key_at: Column, start: Column, end: Column) -> Column:
         key = F.xxhash64(F.substr(F.col("content"), key_at + 1, F.lit(reach + q)), F.lit(side))
         bytes_ = F.substr(F.col("content"), start + 1, end - start)
-        return F.when(real, F.struct(F.pmod(key, F.lit(parts)).alias("bucket"), start.alias("offset"), bytes_.alias("part")))
+        tag = F.shiftright(key, 32).cast("int")
+        return F.when(real, F.struct(F.pmod(key, F.lit(parts)).alias("bucket"), tag.alias("tag"), start.alias("offset"), bytes_.alias("part")))
 
     right = F.greatest(turn + 1, F.lit(0))
     sides = F.array(
         part((F.col("sides").bitwiseAND(1) > 0) & (turn >= 0), 0, turn, F.lit(0), F.least(last, turn) + length),
         part((F.col("sides").bitwiseAND(2) > 0) & (last > turn), 1, F.col("at"), right, F.col("size")),
     )
-    return each.select("h1", "h2", "_key", F.inline(F.filter(sides, lambda s: s.isNotNull())))
+    return reps.select("h1", "h2", "_key", F.inline(F.filter(sides, lambda s: s.isNotNull())))
 
 
 def refined(buffer: np.ndarray, docs: np.ndarray, ends: np.ndarray, starts: np.ndarray, length: int, first: int = 8) -> np.ndarray:
@@ -394,10 +402,16 @@ def runs_of(length: int):
     """Step 2, reduce side: ``h1, h2, from, to``, what is to be removed of a content."""
 
     def run(group: pa.Table) -> pa.Table:
-        h1, h2, key, offset = (group[c].to_numpy().astype(np.int64) for c in ("h1", "h2", "_key", "offset"))
-        raw = group["part"].to_pylist()
-        # Rows of one document that repeats send a part again.
-        one = np.unique(np.stack([h1, h2, offset]), axis=1, return_index=True)[1] if len(raw) else np.zeros(0, np.int64)
+        h1, h2, key, offset, tag = (group[c].to_numpy().astype(np.int64) for c in ("h1", "h2", "_key", "offset", "tag"))
+        # Rows of one document that repeats send a part again; a part alone with its tag shares no string.
+        order = np.lexsort((offset, h2, h1, tag))
+        new = np.ones(len(order), bool)
+        new[1:] = np.logical_or.reduce([c[order][1:] != c[order][:-1] for c in (tag, h1, h2, offset)])
+        one = order[new]
+        begin = runs(tag[one])
+        several = np.diff(np.append(begin, len(one))) > 1
+        one = one[np.repeat(several, np.diff(np.append(begin, len(one))))]
+        raw = dict(zip(one.tolist(), group["part"].take(pa.array(one)).to_pylist()))
         sizes = np.array([len(raw[i]) for i in one], np.int64)
         buffer = np.frombuffer(b"".join(raw[i] for i in one), np.uint8)
         begin = np.append(0, np.cumsum(sizes))
@@ -427,41 +441,67 @@ def merged(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def keyed_text(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
-    """``_doc, _key, text``: ``_doc`` is a hash of id and text, by which rows are dealt; so
-    rows that share an id, or have none, are many keys. ``_key`` is the id itself."""
+    """``_doc, _key, _tag, _id, text``. ``_key`` is the id (for rows without one, a hash of
+    the text), ``_tag`` and ``_id`` are bits of a hash of id and text, and ``_doc``, by which
+    rows are dealt, is a hash of ``_key`` and ``_tag``: rows that share an id, or have none, are
+    many keys, and what is sent of a row says little more than its id."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID))
-    return docs.select(F.xxhash64(key, text).alias("_doc"), key.alias("_key"), text.cast("binary").alias("text"), *more)
+    id_ = F.col(f"`{id_col}`").cast("long")
+    each = F.xxhash64(F.coalesce(id_, F.lit(NULL_ID)), text)
+    rows = docs.select(id_.alias("_own"), each.alias("_each"), text.cast("binary").alias("text"), *more)
+    key, tag = F.coalesce("_own", "_each"), (F.col("_each").bitwiseAND(NO_ID - 1) + F.when(F.col("_own").isNull(), NO_ID).otherwise(0)).cast("int")
+    rows = rows.withColumns({"_key": key, "_tag": tag, "_id": F.shiftright("_each", 32).cast("int")})
+    return rows.withColumn("_doc", F.xxhash64("_key", "_tag")).drop("_own", "_each")
+
+
+def true_id(batch: pa.RecordBatch) -> list:
+    """The rows' ids, None where there is none."""
+    return [k if t < NO_ID else None for k, t in zip(batch.column("_key").to_pylist(), batch.column("_tag").to_pylist())]
 
 
 def repeated_intervals(
     source: DataFrame, spread: DataFrame, length: int = 50, q: int = 20, bucket_bytes: int = 4 << 20, bucket_strings: int = 10_000, held: int = 300_000
 ) -> DataFrame:
-    """``_doc, spans`` (id, start, end) of documents with bytes to remove.
+    """``_doc, whole, inside`` (each of _id, start, end) of documents with bytes to remove.
 
     ``source`` is ``keyed_text`` as read, ``spread`` the same dealt out by ``_doc``.
     """
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
-    # Step 1 takes each text of an id for a document of its own: some candidates more.
-    anchors = source.select(F.col("_doc").alias("_key"), "text").mapInArrow(anchor_rows(length, q, buckets, held), "bucket long, blob binary")
+    anchors = source.select("_key", "_tag", "text").mapInArrow(anchor_rows(length, q, buckets, held), "bucket long, blob binary")
     # Settled anchors are dealt evenly: their bucket is negative and only marks them.
     deal = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("blob"), F.lit(buckets))).otherwise(F.col("bucket"))
-    alive = anchors.withColumn("bucket", deal).groupBy("bucket").applyInArrow(surviving, "_key long, place long, sides long")
+    alive = anchors.withColumn("bucket", deal).groupBy("bucket").applyInArrow(surviving, "_key long, _tag int, place long, sides long")
     place = F.shiftleft("place", 2).bitwiseOR(F.col("sides"))
     # As many places as a text has anchors, at most.
-    places = materialise(alive.groupBy(F.col("_key").alias("_doc")).agg(F.collect_set(place).alias("places")), "places")
+    places = materialise(alive.groupBy(F.xxhash64("_key", "_tag").alias("_doc")).agg(F.collect_set(place).alias("places")), "places")
     n = places.agg(F.sum(F.size("places"))).first()[0] or 0
     contents = spread.join(places, "_doc").mapInArrow(content_rows(length, q, held), CONTENT)
-    known = materialise(judged(contents), "contents")
-    tops = known.where("top")
-    strings = string_rows(tops.where("nth = 1"), spread, length, q, max(1, math.ceil(n / bucket_strings)))
+    # All that is known of a text meets it in one row; the rest reads the same shuffle.
+    known = judged(contents).repartition("_doc")
+    known = known.groupBy("_doc").agg(F.collect_list(F.struct(*known.drop("_doc").columns)).alias("known"))
+
+    def cut(r: Column) -> Column:
+        content = F.substr(F.col("text"), (r["start"] + 1).cast("int"), r["size"])
+        return F.struct(*(r[c].alias(c) for c in ("h1", "h2", "size", "at", "sides")), content.alias("content"))
+
+    own = F.filter("known", lambda r: (r["nth"] == 1) & (r["_id"] == F.col("_id")))
+    key = F.when(F.col("_tag") < NO_ID, F.col("_key")).otherwise(F.lit(NULL_ID)).alias("_key")
+    reps = spread.join(known, "_doc").select(key, F.inline(F.transform(own, cut)))
+    strings = string_rows(reps, length, q, max(1, math.ceil(n / bucket_strings)))
     cuts = strings.groupBy("bucket").applyInArrow(runs_of(length), "h1 long, h2 long, from long, to long")
-    inside = cuts.join(tops.select("h1", "h2", "_doc", "_key", "start"), ["h1", "h2"]).select(
-        "_doc", "_key", (F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("to")).alias("end")
+    tops = known.select("_doc", F.inline(F.filter("known", lambda r: r["top"]))).select("_doc", "_id", "start", "h1", "h2")
+    inside = cuts.join(tops, ["h1", "h2"]).groupBy("_doc").agg(
+        F.collect_set(F.struct("_id", (F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("to")).alias("end"))).alias("inside")
     )
-    whole = known.where("NOT top").select("_doc", "_key", "start", (F.col("start") + F.col("size")).alias("end"))
-    return whole.unionByName(inside).groupBy("_doc").agg(F.collect_set(F.struct("_key", "start", "end")).alias("spans"))
+    whole = F.transform(F.filter("known", lambda r: ~r["top"]), lambda r: F.struct(r["_id"].alias("_id"), r["start"].alias("start"), (r["start"] + r["size"]).alias("end")))
+    return known.select("_doc", whole.alias("whole")).join(inside, "_doc", "left")
+
+
+def removed(batch: pa.RecordBatch):
+    """Text and runs of bytes to remove, row by row."""
+    for own, raw, *found in zip(*(batch.column(c).to_pylist() for c in ("_id", "text", "whole", "inside"))):
+        yield raw, merged([(x["start"], x["end"]) for part in found for x in part or () if x["_id"] == own])
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -480,8 +520,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     def cut(batches):
         for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
             texts = []
-            for key, raw, found in zip(*(batch.column(c).to_pylist() for c in ("_key", "text", "spans"))):
-                gone = merged([(x["start"], x["end"]) for x in found or () if x["_key"] == key])
+            for raw, gone in removed(batch):
                 ends = [0, *(e for _, e in gone)]
                 kept = b"".join(raw[a:b] for a, b in zip(ends, [*(s for s, _ in gone), len(raw)]))
                 texts.append(kept.decode("utf-8", "ignore") if kept or not raw else None)
@@ -519,12 +558,11 @@ def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text
     def cut(batches):
         for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
             out = []
-            for key, raw, found in zip(*(batch.column(c).to_pylist() for c in ("_key", "text", "spans"))):
-                gone = merged([(x["start"], x["end"]) for x in found or () if x["_key"] == key])
+            for id_, (raw, gone) in zip(true_id(batch), removed(batch)):
                 ends = [0, *(e for _, e in gone)]
                 kept = b"".join(raw[a:b] for a, b in zip(ends, [*(s for s, _ in gone), len(raw)]))
                 spans = [{"start": s, "end": e} for s, e in gone]
-                out.append((None if key == NULL_ID else key, len(raw), len(raw) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept, spans))
+                out.append((id_, len(raw), len(raw) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept, spans))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
