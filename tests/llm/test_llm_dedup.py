@@ -296,7 +296,7 @@ def test_frequent_anchor_is_dealt_by_its_surroundings(spark):
     for k, t in enumerate(texts):
         a = suffix_dedup.Anchors([t], 50, 20)
         reps += [(k, 2 * k, i, int(z - f + 50), int(p - f), 3, bytearray(t[f : z + 50])) for i, (f, z, p) in enumerate(zip(a.first, a.last, a.place))]
-    table = spark.createDataFrame(reps, "_key long, h1 long, h2 long, size int, at int, sides int, content binary")
+    table = spark.createDataFrame(reps, "_key long, h1 long, h2 int, size int, at int, sides int, content binary")
     got = suffix_dedup.string_rows(table, 50, 20, 1 << 40).collect()
     assert max(Counter(r.bucket for r in got).values()) < 5
     content = {x[1:3]: bytes(x[-1]) for x in reps}

@@ -14,8 +14,8 @@ Three steps:
    offset, and few places are anchors. Anchors are dealt by hash, with a few bits
    of the bytes on either side: strings that are equal beyond the anchor agree on
    at least half of what surrounds it. Anchors alone in their document go.
-2. Refinement. All strings of a surviving anchor are one content. Contents meet by two
-   hashes of 64 bits each: of those that are equal, all but the smallest document's
+2. Refinement. All strings of a surviving anchor are one content. Contents meet by
+   96 bits of two hashes: of those that are equal, all but the smallest document's
    are to be removed whole, and one row of it goes on. Only these distinct contents send
    their bytes: they are dealt by anchor and the whole side of it that lies inside
    them, so that a frequent anchor's strings part by what surrounds it, and buckets are
@@ -254,13 +254,13 @@ def surviving(group: pa.Table) -> pa.Table:
 
 
 SECOND = 0xD1342543DE82EF95  # multiplier of the second hash
-CONTENT = "h1 long, h2 long, _one long, start long, _tag int, _id int, size int, at int, sides int, gone boolean"
+CONTENT = "h1 long, h2 int, _one long, start long, _tag int, _id int, size int, at int, sides int, gone boolean"
 NO_ID = 1 << 16  # tags from here on are those of rows without an id
 
 
 def content_rows(length: int, q: int, held: int):
-    """Step 2, map side: a row for each surviving anchor with the bytes around it, as two
-    hashes (``h1, h2``) of all strings it stands for: their place and size, where the anchor
+    """Step 2, map side: a row for each surviving anchor with the bytes around it, as
+    hashes of 64 and 32 bits (``h1, h2``) of all strings it stands for: their place and size, where the anchor
     is in them (``at``) and which sides are shared. ``gone`` marks what a smaller
     document here holds too. Column ``places`` has four times each place, plus its sides."""
     reach = (length - q) // 2
@@ -280,7 +280,7 @@ def content_rows(length: int, q: int, held: int):
         again[order[1:]] = ~new[1:] & np.logical_and.reduce([c[order][1:] == c[order][:-1] for c in (one, id_, start)])
         # What is settled needn't meet its like: it is dealt anywhere.
         h1 = np.where(gone, (one ^ start * 0x5851F42D4C957F2D).view(np.uint64) * np.uint64(MULTIPLIER), h1).view(np.int64)
-        h2 = np.where(gone, 0, h2).view(np.int64)
+        h2 = np.where(gone, 0, h2)
         return batch_of(schema, [pa.array(c[~again]) for c in (h1, h2, one, start, tag, id_, size, at, sides, gone)])
 
     def run(batches):
@@ -304,7 +304,7 @@ def content_rows(length: int, q: int, held: int):
                 continue
             start, end = found.first[c], found.last[c] + length
             one, tag, id_ = (np.array([r[0][k] for r in rows], np.int64)[found.doc[c]] for k in range(3))
-            h1, h2 = (h.spans(found.buffer, start, end) for h in (first_hash, second_hash))
+            h1, h2 = first_hash.spans(found.buffer, start, end), (second_hash.spans(found.buffer, start, end) >> np.uint64(32)).astype(np.uint32).view(np.int32)
             parts.append((h1, h2, one, start + base[c], tag, id_, end - start, found.place[c] - start, sides[c]))
             n += len(c)
             if n >= held:
@@ -317,9 +317,9 @@ def content_rows(length: int, q: int, held: int):
 
 
 def judged(contents: DataFrame) -> DataFrame:
-    """``_doc`` and, for each of its contents, ``_id, start, size``; ``top`` if the smallest
-    document that holds it anywhere is the row's, then with its hashes and ``nth``, its
-    turn among those; all else is to be removed whole.
+    """``_one, _tag, _id, start, size`` of each content; ``top`` if the smallest document
+    that holds it anywhere is the row's, then with its hashes and ``nth``, its turn
+    among those; all else is to be removed whole.
 
     Before the shuffle each task keeps one document of a content, so the rows of a
     content are those of as many tasks' flushes, however many documents hold it.
@@ -336,7 +336,7 @@ def judged(contents: DataFrame) -> DataFrame:
     )
     top = ~F.col("gone") & F.when(none, True).otherwise(F.coalesce(F.col("_one") == F.col("least"), F.lit(False)))
     only = {c: F.when(top, F.col(c)) for c in ("h1", "h2", "at", "nth")} | {"sides": F.when(top, F.col("every"))}
-    return out.select(F.xxhash64("_one", "_tag").alias("_doc"), "_id", "start", "size", top.alias("top"), *(v.alias(k) for k, v in only.items()))
+    return out.select("_one", "_tag", "_id", F.col("start").cast("int").alias("start"), "size", top.alias("top"), *(v.alias(k) for k, v in only.items()))
 
 
 def string_rows(reps: DataFrame, length: int, q: int, parts: int) -> DataFrame:
@@ -425,7 +425,8 @@ def runs_of(length: int):
         new[1:] &= ~(remove[:-1] & (of[1:] == of[:-1]))
         end[:-1] &= ~(remove[1:] & (of[1:] == of[:-1]))
         i = one[of[new]]
-        return pa.table({"h1": h1[i], "h2": h2[i], "from": offset[i] + place[new], "to": offset[i] + place[end] + length})
+        found = {"h1": h1[i], "h2": h2[i].astype(np.int32), "from": offset[i] + place[new], "to": offset[i] + place[end] + length}
+        return pa.table({c: pa.array(v, pa.int32()) if c in ("from", "to") else v for c, v in found.items()})
 
     return run
 
@@ -462,7 +463,7 @@ def true_id(batch: pa.RecordBatch) -> list:
 def repeated_intervals(
     source: DataFrame, spread: DataFrame, length: int = 50, q: int = 20, bucket_bytes: int = 4 << 20, bucket_strings: int = 10_000, held: int = 300_000
 ) -> DataFrame:
-    """``_doc, whole, inside`` (each of _id, start, end) of documents with bytes to remove.
+    """``_doc, spans`` (_id, start, end) of documents with bytes to remove.
 
     ``source`` is ``keyed_text`` as read, ``spread`` the same dealt out by ``_doc``.
     """
@@ -477,31 +478,30 @@ def repeated_intervals(
     places = materialise(alive.groupBy(F.xxhash64("_key", "_tag").alias("_doc")).agg(F.collect_set(place).alias("places")), "places")
     n = places.agg(F.sum(F.size("places"))).first()[0] or 0
     contents = spread.join(places, "_doc").mapInArrow(content_rows(length, q, held), CONTENT)
-    # All that is known of a text meets it in one row; the rest reads the same shuffle.
-    known = judged(contents).repartition("_doc")
-    known = known.groupBy("_doc").agg(F.collect_list(F.struct(*known.drop("_doc").columns)).alias("known"))
+    known = materialise(judged(contents), "contents").withColumn("_doc", F.xxhash64("_one", "_tag"))
+    tops = known.where("top")
+    by_doc = tops.where("nth = 1").groupBy("_doc").agg(F.collect_list(F.struct("_id", "h1", "h2", "start", "size", "at", "sides")).alias("reps"))
 
     def cut(r: Column) -> Column:
-        content = F.substr(F.col("text"), (r["start"] + 1).cast("int"), r["size"])
+        content = F.substr(F.col("text"), r["start"] + 1, r["size"])
         return F.struct(*(r[c].alias(c) for c in ("h1", "h2", "size", "at", "sides")), content.alias("content"))
 
-    own = F.filter("known", lambda r: (r["nth"] == 1) & (r["_id"] == F.col("_id")))
+    own = F.filter("reps", lambda r: r["_id"] == F.col("_id"))
     key = F.when(F.col("_tag") < NO_ID, F.col("_key")).otherwise(F.lit(NULL_ID)).alias("_key")
-    reps = spread.join(known, "_doc").select(key, F.inline(F.transform(own, cut)))
+    reps = spread.join(by_doc, "_doc").select(key, F.inline(F.transform(own, cut)))
     strings = string_rows(reps, length, q, max(1, math.ceil(n / bucket_strings)))
-    cuts = strings.groupBy("bucket").applyInArrow(runs_of(length), "h1 long, h2 long, from long, to long")
-    tops = known.select("_doc", F.inline(F.filter("known", lambda r: r["top"]))).select("_doc", "_id", "start", "h1", "h2")
-    inside = cuts.join(tops, ["h1", "h2"]).groupBy("_doc").agg(
-        F.collect_set(F.struct("_id", (F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("to")).alias("end"))).alias("inside")
+    cuts = strings.groupBy("bucket").applyInArrow(runs_of(length), "h1 long, h2 int, from int, to int")
+    inside = cuts.join(tops.select("h1", "h2", "_doc", "_id", "start"), ["h1", "h2"]).select(
+        "_doc", "_id", (F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("to")).alias("end")
     )
-    whole = F.transform(F.filter("known", lambda r: ~r["top"]), lambda r: F.struct(r["_id"].alias("_id"), r["start"].alias("start"), (r["start"] + r["size"]).alias("end")))
-    return known.select("_doc", whole.alias("whole")).join(inside, "_doc", "left")
+    whole = known.where("NOT top").select("_doc", "_id", "start", (F.col("start") + F.col("size")).alias("end"))
+    return whole.unionByName(inside).groupBy("_doc").agg(F.collect_set(F.struct("_id", "start", "end")).alias("spans"))
 
 
 def removed(batch: pa.RecordBatch):
     """Text and runs of bytes to remove, row by row."""
-    for own, raw, *found in zip(*(batch.column(c).to_pylist() for c in ("_id", "text", "whole", "inside"))):
-        yield raw, merged([(x["start"], x["end"]) for part in found for x in part or () if x["_id"] == own])
+    for own, raw, found in zip(*(batch.column(c).to_pylist() for c in ("_id", "text", "spans"))):
+        yield raw, merged([(x["start"], x["end"]) for x in found or () if x["_id"] == own])
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
