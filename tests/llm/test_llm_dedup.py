@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from conftest import as_key
 from txnguard.llm import simhash, suffix_dedup
@@ -290,18 +291,22 @@ def test_suffix_dedup_repeated_rows_in_falling_order(spark, held):
 def test_frequent_anchor_is_dealt_by_its_surroundings(spark):
     rng = random.Random(12)
     other = lambda n: bytes(rng.randrange(97, 123) for _ in range(n))
-    phrase = other(20)
-    texts = [other(60) + phrase + other(60) for _ in range(400)]
-    reps = []
-    for k, t in enumerate(texts):
-        a = suffix_dedup.Anchors([t], 50, 20)
-        reps += [(k, 2 * k, i, int(z - f + 50), int(p - f), 3, bytearray(t[f : z + 50])) for i, (f, z, p) in enumerate(zip(a.first, a.last, a.place))]
-    table = spark.createDataFrame(reps, "_key long, h1 long, h2 int, size int, at int, sides int, content binary")
-    got = suffix_dedup.string_rows(table, 50, 20, 1 << 40).collect()
-    assert max(Counter(r.bucket for r in got).values()) < 5
-    content = {x[1:3]: bytes(x[-1]) for x in reps}
-    for r in got:  # a part's bytes, where it is in its content
-        assert bytes(r.part) == content[r.h1, r.h2][r.offset :][: len(r.part)] and len(r.part) >= 50
+    phrase, side = other(20), other(15)
+    texts = [other(60) + phrase + other(60) for _ in range(400)] + [other(60) + side + phrase + other(60) for _ in range(3)]
+    df = spark.createDataFrame([(k, t.decode()) for k, t in enumerate(texts)], "doc_id long, text string")
+    spread = suffix_dedup.keyed_text(df, "doc_id", "text").coalesce(1)
+    every = F.udf(lambda t: [(int(p) << 2) | 3 for p in suffix_dedup.Anchors([bytes(t)], 50, 20).place], "array<long>")
+    contents = spread.withColumn("places", every("text")).mapInArrow(suffix_dedup.content_rows(50, 20, 300_000), suffix_dedup.CONTENT)
+    known = suffix_dedup.judged(contents)
+    assert known.where("NOT top OR f_one IS NOT NULL").count() == 0  # all contents are distinct
+    keys = suffix_dedup.dealt_keys(known).collect()
+    a = suffix_dedup.Anchors([texts[-1]], 50, 20)
+    inside = 75 in a.place.tolist()  # the phrase is an anchor in all texts or in none
+    assert Counter(r.key for r in keys) == ({keys[0].key: 3} if inside else {}) and {r["_one"] for r in keys} == ({400, 401, 402} if inside else set())
+    table = suffix_dedup.string_rows(suffix_dedup.dealt_keys(known), spread, 50, 20, 7)
+    for r in table.collect():  # the bytes of the key's side, where they are in the text
+        at = (r.place >> suffix_dedup.START) + r.offset
+        assert bytes(r.part) == texts[r["_one"]][at : at + len(r.part)] and side + phrase in bytes(r.part)
 
 
 def test_rows_without_ids_and_repeated_rows(make_docs):

@@ -16,10 +16,10 @@ Three steps:
    at least half of what surrounds it. Anchors alone in their document go.
 2. Refinement. All strings of a surviving anchor are one content. Contents meet by
    96 bits of two hashes: of those that are equal, all but the smallest document's
-   are to be removed whole, and one row of it goes on. Only these distinct contents send
-   their bytes: they are dealt by anchor and the whole side of it that lies inside
-   them, so that a frequent anchor's strings part by what surrounds it, and buckets are
-   refined to ``length``. A string's smallest document is then known, and where it
+   are to be removed whole, and one row of it goes on. Of these distinct contents only
+   those that share the anchor and the whole side of it inside their strings with
+   another send their bytes. They are dealt by that, so that a frequent anchor's strings
+   part by what surrounds it, and buckets are refined to ``length``. A string's smallest document is then known, and where it
    starts in a larger one it is to be removed, at all places of the content.
 3. Cutting. Each text meets its intervals.
 
@@ -254,34 +254,36 @@ def surviving(group: pa.Table) -> pa.Table:
 
 
 SECOND = 0xD1342543DE82EF95  # multiplier of the second hash
-CONTENT = "h1 long, h2 int, _one long, start long, _tag int, _id int, size int, at int, sides int, gone boolean"
+CONTENT = "h1 long, h2 int, _one long, who long, place long, left long, right long"
 NO_ID = 1 << 16  # tags from here on are those of rows without an id
+# Bits of ``place``: start of the content, its size, where the anchor is in it, the sides, whether it's settled.
+START, SIZE, AT, SIDES = 20, 12, 4, 1
 
 
 def content_rows(length: int, q: int, held: int):
     """Step 2, map side: a row for each surviving anchor with the bytes around it, as
-    hashes of 64 and 32 bits (``h1, h2``) of all strings it stands for: their place and size, where the anchor
-    is in them (``at``) and which sides are shared. ``gone`` marks what a smaller
-    document here holds too. Column ``places`` has four times each place, plus its sides."""
+    hashes of 64 and 32 bits (``h1, h2``) of all strings it stands for. ``who`` is the
+    text's ``_id`` and ``_tag``, ``place`` as the bits above say; the last marks what a
+    smaller document here holds too. ``left`` and ``right`` are hashes of the anchor with
+    the whole of one side. Column ``places`` has four times each place, plus its sides."""
     reach = (length - q) // 2
-    names = [(c.split()[0], {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}[c.split()[1]]) for c in CONTENT.split(", ")]
-    schema = pa.schema(names)
+    schema = pa.schema([(c.split()[0], {"long": pa.int64(), "int": pa.int32()}[c.split()[1]]) for c in CONTENT.split(", ")])
 
     def flush(parts):
-        h1, h2, one, start, tag, id_, size, at, sides = (np.concatenate(x) for x in zip(*parts))
-        key = np.where(tag >= NO_ID, NULL_ID, one)
-        order = np.lexsort((start, id_, one, key, h2, h1))
+        h1, h2, one, who, place, left, right = (np.concatenate(x) for x in zip(*parts))
+        key = np.where(who & (2 * NO_ID - 1) >= NO_ID, NULL_ID, one)
+        order = np.lexsort((place, who, one, key, h2, h1))
         new = np.append(True, (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1]))
         least = np.empty(len(order), np.int64)
         least[order] = np.repeat(key[order][new], np.diff(np.append(np.flatnonzero(new), len(order))))
         gone = key > least
         # Repeated rows give a place more than once: once is enough.
         again = np.zeros(len(order), bool)
-        again[order[1:]] = ~new[1:] & np.logical_and.reduce([c[order][1:] == c[order][:-1] for c in (one, id_, start)])
-        # What is settled needn't meet its like: it is dealt anywhere.
-        h1 = np.where(gone, (one ^ start * 0x5851F42D4C957F2D).view(np.uint64) * np.uint64(MULTIPLIER), h1).view(np.int64)
-        h2 = np.where(gone, 0, h2)
-        return batch_of(schema, [pa.array(c[~again]) for c in (h1, h2, one, start, tag, id_, size, at, sides, gone)])
+        again[order[1:]] = ~new[1:] & np.logical_and.reduce([c[order][1:] == c[order][:-1] for c in (one, who, place >> START)])
+        # What is settled needn't meet its like: it is dealt anywhere, and its hashes say nothing.
+        h1 = np.where(gone, (one ^ place * 0x5851F42D4C957F2D).view(np.uint64) * np.uint64(MULTIPLIER), h1).view(np.int64)
+        h2, left, right = (np.where(gone, 0, c) for c in (h2, left, right))
+        return batch_of(schema, [pa.array(c[~again]) for c in (h1, h2, one, who, place + gone, left, right)])
 
     def run(batches):
         first_hash, second_hash = SpanHash(), SpanHash(SECOND)
@@ -298,14 +300,21 @@ def content_rows(length: int, q: int, held: int):
             sides = np.where(alive[i] == where, sides_of[i], 0) if len(alive) else np.zeros(len(where), np.int64)
             # A string holds the bytes on the left of its anchor if it starts there or before, else those on the right.
             turn = found.place - reach
-            sides = sides & ((found.first <= turn) + 2 * (found.last > turn))
-            c = np.flatnonzero(sides)
+            real = (found.first <= turn) + 2 * (found.last > turn)
+            c = np.flatnonzero(sides & real)
             if not len(c):
                 continue
-            start, end = found.first[c], found.last[c] + length
+            start, end, place = found.first[c], found.last[c] + length, found.place[c]
             one, tag, id_ = (np.array([r[0][k] for r in rows], np.int64)[found.doc[c]] for k in range(3))
             h1, h2 = first_hash.spans(found.buffer, start, end), (second_hash.spans(found.buffer, start, end) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-            parts.append((h1, h2, one, start + base[c], tag, id_, end - start, found.place[c] - start, sides[c]))
+            with_side = []
+            for bit, at in ((1, np.maximum(turn[c], 0)), (2, place + q)):
+                h = found.hash_at(at, reach)
+                h = (found.hashes[place] ^ (h ^ h >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)) * np.uint64(MULTIPLIER)
+                h = (h ^ h >> np.uint64(32)) & ~np.uint64(1) | np.uint64(bit - 1)  # the two sides apart
+                with_side.append(np.where(real[c] & bit, h, 0).view(np.int64))
+            bits = (start + base[c] << START) + (end - start << SIZE) + (place - start << AT) + ((sides & real)[c] << SIDES)
+            parts.append((h1, h2, one, (id_ << 32) + tag, bits, *with_side))
             n += len(c)
             if n >= held:
                 yield flush(parts)
@@ -316,48 +325,65 @@ def content_rows(length: int, q: int, held: int):
     return run
 
 
+def field_of(place, shift: int, bits: int) -> Column:
+    return F.shiftright(place, shift).bitwiseAND((1 << bits) - 1).cast("int")
+
+
 def judged(contents: DataFrame) -> DataFrame:
-    """``_one, _tag, _id, start, size`` of each content; ``top`` if the smallest document
-    that holds it anywhere is the row's, then with its hashes and ``nth``, its turn
-    among those; all else is to be removed whole.
+    """``_one, who, place`` of each content; ``top`` if the smallest document that holds it
+    anywhere is the row's, all else is to be removed whole. The first row of those
+    represents the content: it has ``left`` and ``right`` where that side is shared, the
+    others have its ``f_one, f_who, f_place``.
 
     Before the shuffle each task keeps one document of a content, so the rows of a
     content are those of as many tasks' flushes, however many documents hold it.
     """
-    same = Window.partitionBy("h1", "h2").orderBy(F.col("_tag") < NO_ID, "_one", "_id", "start")
+    none = F.col("who").bitwiseAND(2 * NO_ID - 1) >= NO_ID
+    same = Window.partitionBy("h1", "h2").orderBy(~none, "_one", "who", "place")
     whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    none = F.col("_tag") >= NO_ID
-    out = contents.withColumns(
-        {
-            "least": F.first(F.when(~none, F.col("_one"))).over(whole),  # null: no id, which is less than any
-            "every": F.bit_or("sides").over(whole),
-            "nth": F.row_number().over(same),
-        }
+    first = {f"f_{c.strip('_')}": F.first(c).over(whole) for c in ("_one", "who", "place")}
+    out = contents.withColumns(first | {"sides": F.bit_or("place").over(whole), "nth": F.row_number().over(same)})
+    f_none = F.col("f_who").bitwiseAND(2 * NO_ID - 1) >= NO_ID
+    # Without an id is one document, and less than any.
+    top = (F.col("place").bitwiseAND(1) == 0) & F.when(f_none, none).otherwise(~none & (F.col("_one") == F.col("f_one")))
+    rep = F.col("nth") == 1
+    return out.select(
+        "_one",
+        "who",
+        F.col("place").bitwiseAND(-1 << AT).alias("place"),
+        top.alias("top"),
+        *(F.when(top & rep & (field_of("sides", SIDES, 2).bitwiseAND(b) > 0) & (F.col(c) != 0), F.col(c)).alias(c) for c, b in (("left", 1), ("right", 2))),
+        *(F.when(top & ~rep, F.col(c).bitwiseAND(-1 << AT) if c == "f_place" else F.col(c)).alias(c) for c in first),
     )
-    top = ~F.col("gone") & F.when(none, True).otherwise(F.coalesce(F.col("_one") == F.col("least"), F.lit(False)))
-    only = {c: F.when(top, F.col(c)) for c in ("h1", "h2", "at", "nth")} | {"sides": F.when(top, F.col("every"))}
-    return out.select("_one", "_tag", "_id", F.col("start").cast("int").alias("start"), "size", top.alias("top"), *(v.alias(k) for k, v in only.items()))
 
 
-def string_rows(reps: DataFrame, length: int, q: int, parts: int) -> DataFrame:
-    """``bucket, tag, h1, h2, _key, offset, part``: the bytes of each distinct content (``_key,
-    h1, h2, size, at, sides, content``), dealt by its anchor and the whole side of it
-    that lies inside all strings of the part; ``tag`` is more of that hash."""
+def dealt_keys(reps: DataFrame) -> DataFrame:
+    """``key, _one, who, place`` for each anchor with one whole side (``key``) that several
+    distinct contents hold: only they can share a string with another."""
+    sides = F.filter(F.array("left", "right"), lambda k: k.isNotNull())
+    each = reps.select(F.explode(sides).alias("key"), "_one", "who", "place")
+    return each.withColumn("_n", F.count("*").over(Window.partitionBy("key"))).where("_n > 1").drop("_n")
+
+
+def string_rows(keys: DataFrame, spread: DataFrame, length: int, q: int, parts: int) -> DataFrame:
+    """``bucket, key, _own, _one, who, place, offset, part``: the bytes of each content on the
+    side of its key, dealt by the key: the anchor and the whole side of it that lies
+    inside all strings of the part."""
     reach = (length - q) // 2
-    turn, last = F.col("at") - reach, F.col("size") - length  # of where strings start
-
-    def part(real: Column, side: int, key_at: Column, start: Column, end: Column) -> Column:
-        key = F.xxhash64(F.substr(F.col("content"), key_at + 1, F.lit(reach + q)), F.lit(side))
-        bytes_ = F.substr(F.col("content"), start + 1, end - start)
-        tag = F.shiftright(key, 32).cast("int")
-        return F.when(real, F.struct(F.pmod(key, F.lit(parts)).alias("bucket"), tag.alias("tag"), start.alias("offset"), bytes_.alias("part")))
-
-    right = F.greatest(turn + 1, F.lit(0))
-    sides = F.array(
-        part((F.col("sides").bitwiseAND(1) > 0) & (turn >= 0), 0, turn, F.lit(0), F.least(last, turn) + length),
-        part((F.col("sides").bitwiseAND(2) > 0) & (last > turn), 1, F.col("at"), right, F.col("size")),
-    )
-    return reps.select("h1", "h2", "_key", F.inline(F.filter(sides, lambda s: s.isNotNull())))
+    by_doc = keys.withColumn("_doc", doc_of("_one", "who")).groupBy("_doc").agg(F.collect_list(F.struct("key", "who", "place")).alias("keys"))
+    own = F.filter("keys", lambda r: r["who"] == who_of("_id", "_tag"))
+
+    def cut(r: Column) -> Column:
+        start, size, turn = F.shiftright(r["place"], START).cast("int"), field_of(r["place"], SIZE, 8), field_of(r["place"], AT, 8) - reach
+        is_right = r["key"].bitwiseAND(1) == 1
+        offset = F.when(is_right, F.greatest(turn + 1, F.lit(0))).otherwise(F.lit(0))
+        end = F.when(is_right, size).otherwise(F.least(size - length, turn) + length)
+        bytes_ = F.substr(F.col("text"), start + offset + 1, end - offset)
+        return F.struct(r["key"].alias("key"), r["who"].alias("who"), r["place"].alias("place"), offset.alias("offset"), bytes_.alias("part"))
+
+    key = F.when(F.col("_tag") < NO_ID, F.col("_key")).otherwise(F.lit(NULL_ID)).alias("_own")
+    each = spread.join(by_doc, "_doc").select(F.col("_key").alias("_one"), key, F.inline(F.transform(own, cut)))
+    return each.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(parts)))
 
 
 def refined(buffer: np.ndarray, docs: np.ndarray, ends: np.ndarray, starts: np.ndarray, length: int, first: int = 8) -> np.ndarray:
@@ -399,34 +425,30 @@ def refined(buffer: np.ndarray, docs: np.ndarray, ends: np.ndarray, starts: np.n
 
 
 def runs_of(length: int):
-    """Step 2, reduce side: ``h1, h2, from, to``, what is to be removed of a content."""
+    """Step 2, reduce side: ``_one, who, place, from, to``, what is to be removed of a content."""
 
     def run(group: pa.Table) -> pa.Table:
-        h1, h2, key, offset, tag = (group[c].to_numpy().astype(np.int64) for c in ("h1", "h2", "_key", "offset", "tag"))
-        # Rows of one document that repeats send a part again; a part alone with its tag shares no string.
-        order = np.lexsort((offset, h2, h1, tag))
+        key, own, one, who, place, offset = (group[c].to_numpy().astype(np.int64) for c in ("key", "_own", "_one", "who", "place", "offset"))
+        # Rows of one document that repeats send a part again.
+        order = np.lexsort((place, who, one, key))
         new = np.ones(len(order), bool)
-        new[1:] = np.logical_or.reduce([c[order][1:] != c[order][:-1] for c in (tag, h1, h2, offset)])
-        one = order[new]
-        begin = runs(tag[one])
-        several = np.diff(np.append(begin, len(one))) > 1
-        one = one[np.repeat(several, np.diff(np.append(begin, len(one))))]
-        raw = dict(zip(one.tolist(), group["part"].take(pa.array(one)).to_pylist()))
-        sizes = np.array([len(raw[i]) for i in one], np.int64)
-        buffer = np.frombuffer(b"".join(raw[i] for i in one), np.uint8)
+        new[1:] = np.logical_or.reduce([c[order][1:] != c[order][:-1] for c in (key, one, who, place)])
+        row = order[new]
+        raw = group["part"].take(pa.array(row)).to_pylist()
+        sizes = np.array([len(r) for r in raw], np.int64)
+        buffer = np.frombuffer(b"".join(raw), np.uint8)
         begin = np.append(0, np.cumsum(sizes))
-        docs, strings = np.repeat(key[one], sizes), sizes - length + 1
+        docs, strings = np.repeat(own[row], sizes), sizes - length + 1
         first = np.append(0, np.cumsum(strings))
-        place = np.arange(first[-1]) - np.repeat(first[:-1], strings)
-        starts = place + np.repeat(begin[:-1], strings)
+        at = np.arange(first[-1]) - np.repeat(first[:-1], strings)
+        starts = at + np.repeat(begin[:-1], strings)
         remove = refined(buffer, docs, np.repeat(begin[1:], sizes), starts, length) < docs[starts]
-        of = np.repeat(np.arange(len(one)), strings)
+        of = np.repeat(np.arange(len(row)), strings)
         new, end = remove.copy(), remove.copy()
         new[1:] &= ~(remove[:-1] & (of[1:] == of[:-1]))
         end[:-1] &= ~(remove[1:] & (of[1:] == of[:-1]))
-        i = one[of[new]]
-        found = {"h1": h1[i], "h2": h2[i].astype(np.int32), "from": offset[i] + place[new], "to": offset[i] + place[end] + length}
-        return pa.table({c: pa.array(v, pa.int32()) if c in ("from", "to") else v for c, v in found.items()})
+        i = row[of[new]]
+        return pa.table({"_one": one[i], "who": who[i], "place": place[i], "from": offset[i] + at[new], "to": offset[i] + at[end] + length})
 
     return run
 
@@ -455,6 +477,15 @@ def keyed_text(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> Da
     return rows.withColumn("_doc", F.xxhash64("_key", "_tag")).drop("_own", "_each")
 
 
+def who_of(id_: str, tag: str) -> Column:
+    return F.shiftleft(F.col(id_).cast("long"), 32) + F.col(tag)
+
+
+def doc_of(one: str, who: str) -> Column:
+    """``_doc`` of a text, from what is sent of it."""
+    return F.xxhash64(F.col(one), F.col(who).bitwiseAND(2 * NO_ID - 1).cast("int"))
+
+
 def true_id(batch: pa.RecordBatch) -> list:
     """The rows' ids, None where there is none."""
     return [k if t < NO_ID else None for k, t in zip(batch.column("_key").to_pylist(), batch.column("_tag").to_pylist())]
@@ -463,10 +494,12 @@ def true_id(batch: pa.RecordBatch) -> list:
 def repeated_intervals(
     source: DataFrame, spread: DataFrame, length: int = 50, q: int = 20, bucket_bytes: int = 4 << 20, bucket_strings: int = 10_000, held: int = 300_000
 ) -> DataFrame:
-    """``_doc, spans`` (_id, start, end) of documents with bytes to remove.
+    """``_doc, spans`` (_id; 256 times the start, plus the size) of documents with bytes to remove.
 
     ``source`` is ``keyed_text`` as read, ``spread`` the same dealt out by ``_doc``.
     """
+    if not q < length <= (255 + q) // 2:
+        raise ValueError(f"length must be over {q} and at most {(255 + q) // 2}")  # sizes are sent as bytes
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
     anchors = source.select("_key", "_tag", "text").mapInArrow(anchor_rows(length, q, buckets, held), "bucket long, blob binary")
@@ -478,30 +511,28 @@ def repeated_intervals(
     places = materialise(alive.groupBy(F.xxhash64("_key", "_tag").alias("_doc")).agg(F.collect_set(place).alias("places")), "places")
     n = places.agg(F.sum(F.size("places"))).first()[0] or 0
     contents = spread.join(places, "_doc").mapInArrow(content_rows(length, q, held), CONTENT)
-    known = materialise(judged(contents), "contents").withColumn("_doc", F.xxhash64("_one", "_tag"))
-    tops = known.where("top")
-    by_doc = tops.where("nth = 1").groupBy("_doc").agg(F.collect_list(F.struct("_id", "h1", "h2", "start", "size", "at", "sides")).alias("reps"))
-
-    def cut(r: Column) -> Column:
-        content = F.substr(F.col("text"), r["start"] + 1, r["size"])
-        return F.struct(*(r[c].alias(c) for c in ("h1", "h2", "size", "at", "sides")), content.alias("content"))
-
-    own = F.filter("reps", lambda r: r["_id"] == F.col("_id"))
-    key = F.when(F.col("_tag") < NO_ID, F.col("_key")).otherwise(F.lit(NULL_ID)).alias("_key")
-    reps = spread.join(by_doc, "_doc").select(key, F.inline(F.transform(own, cut)))
-    strings = string_rows(reps, length, q, max(1, math.ceil(n / bucket_strings)))
-    cuts = strings.groupBy("bucket").applyInArrow(runs_of(length), "h1 long, h2 int, from int, to int")
-    inside = cuts.join(tops.select("h1", "h2", "_doc", "_id", "start"), ["h1", "h2"]).select(
-        "_doc", "_id", (F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("to")).alias("end")
+    known = materialise(judged(contents), "contents")
+    keys = dealt_keys(known.where("top AND f_one IS NULL"))
+    strings = string_rows(keys, spread, length, q, max(1, math.ceil(n / bucket_strings)))
+    cuts = strings.groupBy("bucket").applyInArrow(runs_of(length), "_one long, who long, place long, from long, to long")
+    # Where the smallest document holds a content again, the same goes there.
+    others = known.where("f_one IS NOT NULL").select(
+        "_one", "who", "place", F.col("f_one").alias("_f1"), F.col("f_who").alias("_f2"), F.col("f_place").alias("_f3")
     )
-    whole = known.where("NOT top").select("_doc", "_id", "start", (F.col("start") + F.col("size")).alias("end"))
-    return whole.unionByName(inside).groupBy("_doc").agg(F.collect_set(F.struct("_id", "start", "end")).alias("spans"))
+    same = [F.col("c._one") == F.col("_f1"), F.col("c.who") == F.col("_f2"), F.col("c.place") == F.col("_f3")]
+    again = others.alias("o").join(cuts.alias("c"), same).select("o._one", "o.who", "o.place", "from", "to")
+    whole = known.where("NOT top").select("_one", "who", "place", F.lit(0).cast("long").alias("from"), field_of("place", SIZE, 8).cast("long").alias("to"))
+    found = whole.unionByName(cuts).unionByName(again)
+    # Start and size in one number.
+    span = F.shiftleft(F.shiftright("place", START) + F.col("from"), 8) + (F.col("to") - F.col("from"))
+    found = found.select(doc_of("_one", "who").alias("_doc"), F.shiftright("who", 32).cast("int").alias("_id"), span.alias("span")).repartition("_doc")
+    return found.groupBy("_doc").agg(F.collect_set(F.struct("_id", "span")).alias("spans"))
 
 
 def removed(batch: pa.RecordBatch):
     """Text and runs of bytes to remove, row by row."""
     for own, raw, found in zip(*(batch.column(c).to_pylist() for c in ("_id", "text", "spans"))):
-        yield raw, merged([(x["start"], x["end"]) for x in found or () if x["_id"] == own])
+        yield raw, merged([(x["span"] >> 8, (x["span"] >> 8) + (x["span"] & 255)) for x in found or () if x["_id"] == own])
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -540,7 +571,7 @@ def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text
     document of smaller id; strings are judged on the input. ``n_spans`` counts maximal
     removed runs. ``with_kept=True`` adds ``kept`` (binary, what remains) and ``spans``.
 
-    Ids are integers; a null id is smaller than all others and stays null. Rows of
+    ``length`` is between 21 and 137. Ids are integers; a null id is smaller than all others and stays null. Rows of
     one id don't remove each other's bytes. A null text counts as empty: 0 bytes,
     nothing removed. Repeated rows give repeated rows; an empty table gives none;
     other columns are ignored.
