@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -59,6 +60,21 @@ def text_batches(batches: Iterable[pa.RecordBatch], most: int = BATCH_CHARS) ->
             yield ids.slice(first), texts.slice(first).to_pylist()
 
 
+def lean(run):
+    """``run`` for ``mapInArrow``, after which the worker gives back the memory it took:
+    workers outlive their tasks, and would else hold the most that any stage needed."""
+
+    def task(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+    return task
+
+
 def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     """A record batch whose columns are cast to ``schema``."""
     return pa.RecordBatch.from_arrays(

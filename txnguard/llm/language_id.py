@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from txnguard.llm.common import arrow_schema, batch_of, id_text, schema_with, text_batches
+from txnguard.llm.common import arrow_schema, batch_of, id_text, lean, schema_with, text_batches
 
 DIMS = 1 << 14
 LENGTHS = (1, 2, 3)
@@ -200,7 +200,7 @@ def keep_identified(docs: DataFrame, model: Model | None, over_chance: float = 1
             kept = batch.filter(pa.array(np.concatenate(keep)) if keep else pa.array([], pa.bool_()))
             yield batch_of(arrow, kept.columns)
 
-    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
+    return plain.mapInArrow(lean(run), plain.schema).toDF(*docs.columns)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

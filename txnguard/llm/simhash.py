@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window, functions as F
 
-from txnguard.llm.common import arrow_schema, batch_of, id_text, materialise, schema_with, text_batches
+from txnguard.llm.common import arrow_schema, batch_of, id_text, lean, materialise, schema_with, text_batches
 from txnguard.llm.components import connected_components
 
 BITS = 64
@@ -217,7 +217,7 @@ def sketches(docs: DataFrame, words: int, check_words: int, id_col: str, text_co
             keys, bits = zip(*(sketch(s) if len(s := shingle_set(t, check_words)) else none for t in texts))
             yield batch_of(arrow, [ids, found, [k.tolist() for k in keys], *np.stack(bits).T])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(lean(run), schema)
 
 
 def shingle_links(points: DataFrame, few: int = 16, part: int = 4096) -> DataFrame:
@@ -336,7 +336,7 @@ def one_of_each_group(
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.list_(pa.int64())))], ["_id", "_hash", "set"])
 
-    shingles = spread.join(wanted, "_id").mapInArrow(sets, "_id long, _hash long, set array<long>").dropDuplicates(["_id", "_hash"])
+    shingles = spread.join(wanted, "_id").mapInArrow(lean(sets), "_id long, _hash long, set array<long>").dropDuplicates(["_id", "_hash"])
     pending = materialise(members.join(shingles.select(key.alias("key"), "set"), "key").select("root", "key", "set"), "pending")
     gone = copies.union(near_copies(pending, least))
     gone = materialise(gone.select("key.*").distinct(), "gone")

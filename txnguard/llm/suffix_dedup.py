@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from txnguard.llm.common import batch_of, materialise, text_batches
+from txnguard.llm.common import batch_of, lean, materialise, text_batches
 from txnguard.llm.span_hash import MULTIPLIER, SpanHash
 
 PLACE_BITS = 20  # a slice has fewer bytes than this allows
@@ -502,7 +502,7 @@ def repeated_intervals(
         raise ValueError(f"length must be over {q} and at most {(255 + q) // 2}")  # sizes are sent as bytes
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
-    anchors = source.select("_key", "_tag", "text").mapInArrow(anchor_rows(length, q, buckets, held), "bucket long, blob binary")
+    anchors = source.select("_key", "_tag", "text").mapInArrow(lean(anchor_rows(length, q, buckets, held)), "bucket long, blob binary")
     # Settled anchors are dealt evenly: their bucket is negative and only marks them.
     deal = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("blob"), F.lit(buckets))).otherwise(F.col("bucket"))
     alive = anchors.withColumn("bucket", deal).groupBy("bucket").applyInArrow(surviving, "_key long, _tag int, place long, sides long")
@@ -510,7 +510,7 @@ def repeated_intervals(
     # As many places as a text has anchors, at most.
     places = materialise(alive.groupBy(F.xxhash64("_key", "_tag").alias("_doc")).agg(F.collect_set(place).alias("places")), "places")
     n = places.agg(F.sum(F.size("places"))).first()[0] or 0
-    contents = spread.join(places, "_doc").mapInArrow(content_rows(length, q, held), CONTENT)
+    contents = spread.join(places, "_doc").mapInArrow(lean(content_rows(length, q, held)), CONTENT)
     known = materialise(judged(contents), "contents")
     keys = dealt_keys(known.where("top AND f_one IS NULL"))
     strings = string_rows(keys, spread, length, q, max(1, math.ceil(n / bucket_strings)))
@@ -559,7 +559,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
                 yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(texts, pa.string())], ["_row", "text"])
 
     schema = T.StructType([spread.schema["_row"], T.StructField("text", T.StringType())])
-    left = spread.join(spans, "_doc", "left").mapInArrow(cut, schema).where("text IS NOT NULL")
+    left = spread.join(spans, "_doc", "left").mapInArrow(lean(cut), schema).where("text IS NOT NULL")
     columns = {c: F.col(f"_row.c{i}") for i, c in enumerate(others)} | {text_col: F.when(~F.col("_row.null"), F.col("text"))}
     return left.select(*(columns[c].alias(c) for c in docs.columns))
 
@@ -597,4 +597,4 @@ def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
-    return spread.join(spans, "_doc", "left").mapInArrow(cut, schema)
+    return spread.join(spans, "_doc", "left").mapInArrow(lean(cut), schema)
