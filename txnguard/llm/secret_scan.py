@@ -180,10 +180,11 @@ def redact_secrets(
     text = F.col(f"_doc.`{text_col}`")
     # Code points, so that each piece costs its own length.
     letters = F.split(text, "", -1)
-    changed = found.where(F.size("_found") > 0).join(cut, "_row").select("_doc", "_cuts", "_rest", letters.alias("_letters"))
+    # Only rows with candidates meet the verdicts; some of them have no span to replace.
+    some = found.where(F.size("_found") > 0).join(cut, "_row", "left").withColumn("_letters", F.when(F.col("_cuts").isNotNull(), letters))
     pieces = F.transform("_cuts", lambda c: F.concat(F.array_join(F.slice("_letters", c["at"] + 1, c["value_start"] - c["at"]), ""), F.lit(mark)))
     rest = F.array_join(F.slice("_letters", F.col("_rest") + 1, F.size("_letters")), "")
-    changed = changed.select("_doc", F.concat(F.array_join(pieces, ""), rest).alias("_text"))
-    same = found.join(cut.select("_row"), "_row", "left_anti").select("_doc", text.alias("_text"))
+    changed = some.select("_doc", F.when(F.col("_cuts").isNotNull(), F.concat(F.array_join(pieces, ""), rest)).otherwise(text).alias("_text"))
+    same = found.where(F.size("_found") == 0).select("_doc", text.alias("_text"))
     columns = [F.col("_text").alias(c) if c == text_col else F.col(f"_doc.`{c}`").alias(c) for c in docs.columns]
     return same.unionByName(changed).select(*columns)
