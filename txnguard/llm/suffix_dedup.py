@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from txnguard.llm.common import batch_of, lean, materialise, text_batches
 from txnguard.llm.span_hash import MULTIPLIER, SpanHash
 
-PLACE_BITS = 20  # a slice has fewer bytes than this allows
+PLACE_BITS = 17  # a slice has fewer bytes than this allows; its arrays fit a core's cache
 SLICE = 1 << (PLACE_BITS - 1)
 NULL_ID = -(1 << 63)
 
