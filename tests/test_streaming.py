@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from txnguard import adapters
 from txnguard.operators import ingest, joins, ml
 from txnguard.session import scratch_path
+from txnguard.sinks import dated
 from txnguard.specs import CARD_BEHAVIOUR, CARD_TRANSACTIONS, TRANSFERS
 from txnguard.streaming import score as st
 
@@ -32,10 +33,10 @@ def test_score_stream_restart_no_duplicates(spark, sf):
                  available_now=True).awaitTermination()
 
     run()
-    n1 = spark.read.parquet(out).count()
+    n1 = dated.read(spark, out).count()
     b.write.text(os.path.join(base, "in", "p2"))
     run()
-    got = spark.read.parquet(out)
+    got = dated.read(spark, out).drop("date")
     assert n1 < got.count() == df.count() == got.select("id").distinct().count()
     r = got.agg(F.min("fraud_probability").alias("lo"), F.max("fraud_probability").alias("hi")).first()
     assert 0 <= r.lo <= r.hi <= 1
@@ -91,8 +92,8 @@ def test_speed_layer_job(spark, sf):
     speed_layer(spark, models, sources, out, ck, available_now=True)
     assert not spark.streams.active
     for name, (spec, load) in loaders.items():
-        assert spark.read.parquet(os.path.join(out, f"predictions_{spec.name}")).count() == load(spark, sf).count()
-    joined = spark.read.parquet(os.path.join(out, "predictions_joined_counts"))
+        assert dated.read(spark, os.path.join(out, f"predictions_{spec.name}")).count() == load(spark, sf).count()
+    joined = dated.read(spark, os.path.join(out, "predictions_joined_counts")).drop("date")
     assert joined.count() > 0 and set(joined.columns) == {"arrival", "n1", "n2", "n3", "n_joined"}
 
 
