@@ -21,7 +21,7 @@ LOADERS = {"model1": adapters.transfers, "model2": adapters.card_behaviour, "mod
 
 def test_ingest_batch_train_speed_retrain_speed(spark, sf):
     base = scratch_path(spark, "flow")
-    spark.sql("CREATE DATABASE IF NOT EXISTS flow_test")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS flow_test LOCATION '{base}/flow_test.db'")  # not where an earlier run left tables
     for i, (name, spec) in enumerate(jobs.MODEL_SPECS.items(), 1):
         records = ingest.encode_json(LOADERS[name](spark, sf, tags=True), spec)
         records.unionByName(spark.createDataFrame([("broken",)], "value string")).write.text(os.path.join(base, f"in{i}"))
