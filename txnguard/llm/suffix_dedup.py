@@ -74,12 +74,12 @@ def runs(sorted_keys: np.ndarray) -> np.ndarray:
 
 
 def shared(keys: np.ndarray, docs: np.ndarray, real: np.ndarray, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each key is held by more than one document, and whether it's the first
-    place of its key. Where ``real`` is false the place has no key; where ``known`` is
+    """Whether each key is held by more than one document, and for one place of each
+    key, that it stands for it. Where ``real`` is false the place has no key; where ``known`` is
     true its key is known to be shared, whatever other places stand here."""
     many, first = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
     at = np.flatnonzero(real)
-    order = at[np.argsort(keys[at], kind="stable")]
+    order = at[np.argsort(keys[at])]
     begin = runs(keys[order])
     if len(begin):
         least, most = np.minimum.reduceat(docs[order], begin), np.maximum.reduceat(docs[order], begin)
@@ -123,7 +123,7 @@ class Anchors:
         past = np.repeat(ends - tail, tail) + np.arange(tail.sum()) - np.repeat(np.cumsum(tail) - tail, tail)
         starts[past] = False
         starts = np.flatnonzero(starts)
-        doc = np.searchsorted(ends, starts, "right")
+        doc = np.repeat(np.arange(len(sizes)), sizes - tail)
         place = (best[starts] & low).astype(np.int64)
         new = np.ones(len(starts), bool)
         new[1:] = (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])
@@ -197,8 +197,8 @@ def anchor_rows(length: int, q: int, buckets: int, held: int):
         out = [(-1, pack(doc[gone], tag[gone], place[gone]))] if gone.any() else []
         at = np.flatnonzero(kept)
         bucket = ((h[at] >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-        at = at[np.argsort(bucket, kind="stable")]
-        bucket = np.sort(bucket, kind="stable")
+        order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+        at, bucket = at[order], bucket[order]
         begin = runs(bucket)
         for s, e in zip(begin, np.append(begin[1:], len(at))):
             i = at[s:e]
@@ -272,13 +272,15 @@ def content_rows(length: int, q: int, held: int):
     def flush(parts):
         h1, h2, one, who, place, left, right = (np.concatenate(x) for x in zip(*parts))
         key = np.where(who & (2 * NO_ID - 1) >= NO_ID, NULL_ID, one)
-        order = np.lexsort((place, who, one, key, h2, h1))
-        new = np.append(True, (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1]))
-        least = np.empty(len(order), np.int64)
-        least[order] = np.repeat(key[order][new], np.diff(np.append(np.flatnonzero(new), len(order))))
-        gone = key > least
+        # Only contents whose first hash is here twice can have equals.
+        order = np.argsort(h1)
+        like = h1[order][1:] == h1[order][:-1]
+        order = order[np.append(like, False) | np.append(False, like)]
+        order = order[np.lexsort((place[order], who[order], one[order], key[order], h2[order], h1[order]))]
+        new = np.append(True, (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1]))[: len(order)]
+        gone, again = np.zeros(len(h1), bool), np.zeros(len(h1), bool)
+        gone[order] = key[order] > np.repeat(key[order][new], np.diff(np.append(np.flatnonzero(new), len(order))))
         # Repeated rows give a place more than once: once is enough.
-        again = np.zeros(len(order), bool)
         again[order[1:]] = ~new[1:] & np.logical_and.reduce([c[order][1:] == c[order][:-1] for c in (one, who, place >> START)])
         # What is settled needn't meet its like: it is dealt anywhere, and its hashes say nothing.
         h1 = np.where(gone, (one ^ place * 0x5851F42D4C957F2D).view(np.uint64) * np.uint64(MULTIPLIER), h1).view(np.int64)
@@ -402,7 +404,7 @@ def refined(buffer: np.ndarray, docs: np.ndarray, ends: np.ndarray, starts: np.n
     pointer = np.full(len(buffer) + length, -1, np.int64)
     width = first
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         begin = runs(key[order])
         sizes = np.diff(np.append(begin, len(order)))
         owner = docs[alive[order]]
@@ -453,16 +455,6 @@ def runs_of(length: int):
     return run
 
 
-def merged(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for s, e in sorted(found):
-        if out and s <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], e))
-        else:
-            out.append((s, e))
-    return out
-
-
 def keyed_text(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     """``_doc, _key, _tag, _id, text``. ``_key`` is the id (for rows without one, a hash of
     the text), ``_tag`` and ``_id`` are bits of a hash of id and text, and ``_doc``, by which
@@ -531,8 +523,24 @@ def repeated_intervals(
 
 def removed(batch: pa.RecordBatch):
     """Text and runs of bytes to remove, row by row."""
-    for own, raw, found in zip(*(batch.column(c).to_pylist() for c in ("_id", "text", "spans"))):
-        yield raw, merged([(x["span"] >> 8, (x["span"] >> 8) + (x["span"] & 255)) for x in found or () if x["_id"] == own])
+    spans = batch.column("spans")
+    counts = spans.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    own, found = batch.column("_id").to_numpy(zero_copy_only=False), spans.flatten()
+    row = np.repeat(np.arange(len(counts)), counts)
+    id_, span = (found.field(k).to_numpy(zero_copy_only=False) for k in range(2))
+    mine = id_ == own[row]
+    row, span = row[mine], span[mine]
+    order = np.lexsort((span, row))
+    row, span = row[order].astype(np.int64) << 42, span[order]
+    start, end = row + (span >> 8), row + (span >> 8) + (span & 255)
+    reach = np.maximum.accumulate(end)
+    new = np.append(True, start[1:] > reach[:-1])[: len(start)]
+    last = np.append(new[1:], True)[: len(start)]
+    row, start, end = row[new] >> 42, start[new] - row[new], reach[last] - row[new]
+    at = np.searchsorted(row, np.arange(len(counts) + 1))
+    runs_ = list(zip(start.tolist(), end.tolist()))
+    for k, raw in enumerate(batch.column("text").to_pylist()):
+        yield raw, runs_[at[k] : at[k + 1]]
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
