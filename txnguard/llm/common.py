@@ -13,6 +13,7 @@ from txnguard.session import scratch_path
 
 #: Characters that a task handles at once; a longer text is a batch of its own.
 BATCH_CHARS = 1_000_000
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -36,11 +37,19 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage: what follows may read the rows several times, and survives
-    the loss of an executor, since every executor sees the files.
+    the loss of an executor, since every executor sees the files. The shuffles of the
+    write are given up with it, where Spark has a setting for that, and not only when
+    the driver collects its garbage.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, tag)
-    df.write.parquet(path)
+    path, before = scratch_path(spark, tag), spark.conf.get(SHUFFLE_CLEANUP, None)
+    if before is not None:
+        spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
