@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from txnguard.llm import pivot_topk
 from txnguard.llm.common import materialise
 from txnguard.llm.language_id import DIMS, Model, identify, keep_identified, language_id, letter_table, presence, train
 from txnguard.llm.pivot_topk import pivot_top_k
@@ -102,6 +103,14 @@ def test_pivot_top_k(spark, rows):
     assert Counter(map(tuple, got)) == brute_top(rows, 10)
 
 
+def test_pivot_top_k_a_query_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(pivot_topk, "BOUNDS", 1)
+    rows = [(i, v.tolist()) for i, v in enumerate(VECTORS)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = pivot_top_k(df, F.col("vec_id") % 50 == 0, cell_rows=32, pivots=8, group_rows=64).where("query_id % 100 = 0").collect()
+    assert Counter(map(tuple, got)) == brute_top(rows, 10)
+
+
 def test_pipeline(make_docs, spark, awkward):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     n, seen = docs.count(), docs
@@ -130,3 +139,56 @@ def test_stages_on_awkward_and_empty_tables(make_docs, spark, awkward):
 def test_run_is_its_stages(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").columns[-2:] == ["sequence_id", "offset"]
     assert corpus_pipeline.ORACLE_SQL is None and 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+def test_language_sample_of_null_and_repeated_ids(spark):
+    """Rows without an id, or of one id, are sampled like any others; repeated rows count once."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("lang IS NOT NULL")
+    want = {r.lang for r in docs.where("text IS NOT NULL").select("lang").distinct().collect()}
+    for id_ in (F.lit(None).cast("long"), F.lit(8).cast("long")):
+        same = docs.withColumn("doc_id", id_)
+        model = train(same.unionByName(same).unionByName(same), F.lit(True), sample=30, landmarks=32)
+        assert set(model.languages) == want
+        once = train(same, F.lit(True), sample=30, landmarks=32)
+        assert np.array_equal(model.landmarks, once.landmarks) and np.array_equal(model.weights, once.weights)
+    with pytest.raises(ValueError):
+        train(docs, F.lit(True), most_languages=len(want) - 1)
+
+
+def grams(text):
+    """Distinct letter n-grams, all between two letters (and the start) one gap."""
+    out, letters = set(), [""]
+    for c in text:
+        if c.isalpha():
+            letters.append(c.lower() if len(c.lower()) == 1 else c)
+        elif letters[-1]:
+            letters.append("")
+    for n in (1, 2, 3):
+        out |= {tuple(letters[i : i + n]) for i in range(len(letters) - n + 1)}
+    return out
+
+
+def test_model_against_a_plain_kernel_machine(spark):
+    """Sets of n-grams, kernel, Nystroem and ridge written plainly; hashing may join a few n-grams."""
+    rows = [r for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect() if r.lang and r.text and len(r.text) < 4000 and any(map(str.isalpha, r.text))]
+    learned, asked = rows[:80], rows[80:160]
+    names, table = [r.lang for r in learned], letter_table()
+    model = Model.fit(presence([r.text for r in learned], table)[0], names, len(learned), 0.01, 3.0)
+    best, share = model.predict(presence([r.text for r in asked], table)[0])
+
+    def kernel(a, b):
+        return np.array([[len(x & y) / (len(x) * len(y)) ** 0.5 for y in b] for x in a])
+
+    base, new = ([grams(r.text) for r in part] for part in (learned, asked))
+    languages = sorted(set(names))
+    values, vectors = np.linalg.eigh(kernel(base, base))
+    good = values > 1e-6 * values.max()
+    whiten = vectors[:, good] / np.sqrt(values[good])
+    x, y = kernel(base, base) @ whiten, np.array([[1.0 if n == lang else -1.0 for lang in languages] for n in names])
+    each = np.diag([1 / names.count(n) for n in names])
+    w = np.linalg.solve(x.T @ each @ x + 0.01 * np.eye(x.shape[1]), x.T @ each @ y)
+    z = np.exp(3.0 * (kernel(new, base) @ whiten @ w))
+    z /= z.sum(1, keepdims=True)
+    assert model.languages == languages
+    assert [languages[b] for b in z.argmax(1)] == [model.languages[b] for b in best]
+    assert np.abs(z.max(1) - share).max() < 0.05

@@ -114,21 +114,28 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
+    most_languages: int = 10_000,
 ) -> Model | None:
     """A model from rows where ``usable`` holds and the language isn't null.
 
-    Of each language, the ``sample`` rows of smallest id hash are used; None if no
-    row can be. Counting is over all rows; beside that, only the sample's bits (2 KB
-    a row) reach the driver.
+    Of each language, the ``sample`` rows of smallest hash of id and text are used, repeated
+    rows once; None if no row can be. A null id is like any other. Counting is over all
+    rows; beside that, only the sample's bits (2 KB a row) reach the driver. More languages
+    than ``most_languages`` are an error.
     """
     rows = docs.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n")).collect()}
-    if not counts:
+    hashed = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col(text_col), F.lit(6))
+    found = rows.groupBy(F.col(lang_col).alias("lang")).agg(F.approx_count_distinct(hashed).alias("n")).limit(most_languages + 1).collect()
+    if not found:
         return None
-    # A share of each language's rows that holds a little more than the sample.
-    mark = F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string"), F.lit(6)), 1).cast("double") / float(1 << 63)
+    if len(found) > most_languages:
+        raise ValueError(f"more than {most_languages} languages")
+    counts = {r[0]: max(r[1], 1) for r in found}
+    # A share of each language's distinct rows that holds a little more than the sample.
+    mark = F.shiftrightunsigned(hashed, 1).cast("double") / float(1 << 63)
     share = F.element_at(F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 1.5 * sample / n + 50 / n)))), F.col(lang_col))
-    taken = rows.where(mark < share).select(F.struct(F.col(lang_col).alias("lang"), mark.alias("mark")).alias("doc_id"), F.col(text_col).alias("text"))
+    taken = rows.where(mark < share).select(F.struct(F.col(lang_col).alias("lang"), hashed.alias("mark")).alias("doc_id"), F.col(text_col).alias("text"))
+    taken = taken.groupBy("doc_id").agg(F.any_value("text").alias("text"))  # equal marks, equal rows
     schema = schema_with(taken, "bits binary")
     arrow = arrow_schema(schema)
 
@@ -140,7 +147,7 @@ def train(
 
     found = taken.mapInArrow(run, schema).where("bits IS NOT NULL").select("doc_id.*", "bits")
     held: dict[str, list] = {}
-    for lang, _, raw in sorted(found.collect(), key=lambda r: (r[0], r[1], bytes(r[2]))):
+    for lang, _, raw in sorted(found.collect(), key=lambda r: (r[0], r[1] & (1 << 64) - 1)):
         if len(held.setdefault(lang, [])) < sample:
             held[lang].append(np.frombuffer(raw, np.uint8))
     if not held:

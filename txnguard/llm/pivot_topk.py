@@ -26,6 +26,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from txnguard.llm.common import arrow_schema, batch_of, materialise
 
 
+#: Bounds (queries times annuli) that a task holds at once.
+BOUNDS = 1 << 20
+
+
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """``vec_id, x`` with x = floor(scale * component); rows with a null id, a null vector
     or a null or non-finite component are left out."""
@@ -151,7 +155,8 @@ def pivot_top_k(
 
     def probes(first: bool, probe_schema):
         def run(batches):
-            for batch in batches:
+            step = max(1, BOUNDS // len(cell))  # rows whose bounds a task holds at once
+            for batch in (b.slice(i, step) for b in batches for i in range(0, b.num_rows, step)):
                 bound = bounds(matrix(batch.column("x"), size))
                 order = np.argsort(-bound, axis=1, kind="stable")
                 before = np.cumsum(count[order], axis=1) - count[order]
