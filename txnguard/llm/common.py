@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from txnguard.session import scratch_path
+from txnguard.sinks import fs
 
 #: Characters that a task handles at once; a longer text is a batch of its own.
 BATCH_CHARS = 1_000_000
@@ -33,7 +35,23 @@ def schema_with(docs: DataFrame, columns: str) -> T.StructType:
     return T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *rest.fields])
 
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch tables written inside, but those with ``keep``, are deleted at the end."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(paths)
+        for path in paths:
+            fs.delete(spark, path)
+
+
+def materialise(df: DataFrame, tag: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage: what follows may read the rows several times, and survives
@@ -43,6 +61,8 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path, before = scratch_path(spark, tag), spark.conf.get(SHUFFLE_CLEANUP, None)
+    if _SCOPES and not keep:
+        _SCOPES[-1].append(path)
     if before is not None:
         spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
