@@ -80,3 +80,30 @@ def test_floors_reject_the_majority_class(spark):
     rows = [(d, m, 0, 0, 70, 930, 0.93, 0.0, 0.0, 0.9) for d, m in FLOORS]
     names = "dataset string, model string, tp long, fp long, fn long, tn long, accuracy double, precision double, recall double, f1_weighted double"
     assert not any(r.balanced_ok for r in _balanced(spark.createDataFrame(rows, names)).collect())
+
+
+def test_boosting_on_cells_is_boosting_on_rows(spark):
+    rows = spark.range(3000).selectExpr(
+        "CAST(pmod(xxhash64(id), 40) AS DOUBLE) AS many", "CAST(pmod(xxhash64(id, 1), 3) AS DOUBLE) AS few",
+        "pmod(xxhash64(id, 2), 100000) / 7.0 AS wide", "0.0 AS same", "CAST(pmod(xxhash64(id, 3), 2) AS DOUBLE) AS flag",
+    ).withColumn("fraud", F.expr("CAST(many > 21 AND wide < 6000 OR flag = 1 AND few = 2 AS INT)"))
+    feats = ["many", "few", "wide", "same", "flag"]
+    te, out = rows.withColumn("wide", F.col("wide") + 3), []
+    on_rows = ml.train(ml.assemble(rows, feats).select("features", "fraud"), "fraud", 5, "gradient_boosting", gbt_iter=4)
+    for scored in (ml.score(on_rows, ml.assemble(te, feats)), ml.boost_cells(rows, te, feats, "fraud", 5, gbt_iter=4)):
+        out.append(sorted((r.fraud, r.prediction, round(r.p, 6)) for r in ml.with_fraud_probability(scored, "p").select("fraud", "prediction", "p").collect()))
+    assert out[0] == out[1] and len(set(out[0])) > 5
+
+
+def test_comparison_reads_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = spark.range(2000).selectExpr("id", "CAST(id % 17 AS DOUBLE) AS a", "CAST(id % 5 AS DOUBLE) AS b", "CAST(id % 17 > 11 AS INT) AS fraud")
+    rows = rows.mapInArrow(count, rows.schema)
+    got = ml.compare([("d", rows, ["a", "b"], "fraud")], ["naive_bayes", "gradient_boosting", "linear_svm"], 1, key_cols=["id"], gbt_iter=2)
+    assert got.count() == 3 and seen.value == 2000
