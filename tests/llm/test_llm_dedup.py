@@ -325,3 +325,18 @@ def test_string_rows_follow_the_strings():
     for held in (10, 100_000):
         out = pa.Table.from_batches(list(suffix_dedup.content_rows(50, 20, held)([batch])))
         assert out.num_rows == sum(map(len, every))
+
+
+def test_close_fingerprints_go_as_simhash_links_them(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(3000)]
+    rows = []
+    for i in range(30):  # a passage repeated, then repeated less often before other words: close, yet of few distinct shingles in common
+        base = [rng.choice(words) for _ in range(40)]
+        rows += [(2 * i, " ".join(base * 12)), (2 * i + 1, " ".join(base * 11 + [rng.choice(words) for _ in range(60)]))]
+    rows += [(90, "\t"), (91, ""), (92, "one more"), (93, "ONE  more\n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    linked = {r.doc_id for r in simhash.simhash_components(df).collect() if r.doc_id != r.component_id}
+    assert len(linked) > 5 and not any(jaccard(a[1], b[1]) >= 0.8 for a, b in zip(rows[:60:2], rows[1:60:2]))
+    kept = {r.doc_id for r in simhash.one_of_each_group(df).collect()}
+    assert {i for i, _ in rows} - kept == linked

@@ -296,15 +296,19 @@ def one_of_each_group(
     least: float = 0.8,
     id_col: str = "doc_id",
     text_col: str = "text",
+    close: int = 2,
+    close_blocks: int = 4,
 ) -> DataFrame:
     """``docs`` without near-duplicates: of each group the row of smallest id stays.
 
-    Candidates are components of SimHash links (``words``-word shingles, up to
-    ``distance`` bits) and of ``shingle_links`` (``check_words``-word shingles). Of each
+    Fingerprints (``words``-word shingles) of up to ``close`` differing bits link as in
+    ``simhash_components``: of each such component the row of smallest id stays. Wider
+    components of SimHash links (up to ``distance`` bits) and of ``shingle_links``
+    (``check_words``-word shingles) hold candidates, which are checked as well. Of each
     text in one, the row of smallest id stays. Then the component's smallest id leads:
     texts that share at least ``least`` of their ``check_words``-word shingles with it
     (Jaccard, exact) go; of the rest the smallest leads next, until none is left. What
-    is like no leader stays.
+    is like no leader, and close to no smaller row, stays.
 
     Of repeated rows (same id and text) one stays. Null texts count as empty; a null
     id is the smallest. Ids are integers. All columns stay as they are.
@@ -317,6 +321,10 @@ def one_of_each_group(
     key, text_at = F.struct("_id", "_hash"), docs.columns.index(text_col)
     found = materialise(sketches(tagged.select(key.alias("k"), F.col(f"_doc.c{text_at}").alias("t")), words, check_words, "k", "t"), "fingerprints")
     points = materialise(found.select("fp").distinct(), "points")
+    close_roots = materialise(connected_components(links(points, close, close_blocks)), "close")
+    near = found.join(close_roots, found["fp"] == close_roots["node"], "left").select(F.col("doc_id").alias("key"), F.coalesce("root", "fp").alias("root"))
+    near = materialise(near, "near")
+    linked = near.join(near.groupBy("root").agg(F.min("key").alias("first")), "root").where("key != first").select("key")
     alike = shingle_links(materialise(found.select("fp", "keys", *SKETCH).distinct(), "sketches"))
     roots = materialise(connected_components(links(points, distance, blocks).union(alike)), "roots")
     named = found.join(roots, found["fp"] == roots["node"], "left").select(F.col("doc_id").alias("key"), F.coalesce("root", "fp").alias("root"))
@@ -338,7 +346,7 @@ def one_of_each_group(
 
     shingles = spread.join(wanted, "_id").mapInArrow(lean(sets), "_id long, _hash long, set array<long>").dropDuplicates(["_id", "_hash"])
     pending = materialise(members.join(shingles.select(key.alias("key"), "set"), "key").select("root", "key", "set"), "pending")
-    gone = copies.union(near_copies(pending, least))
+    gone = copies.union(linked).union(near_copies(pending, least))
     gone = materialise(gone.select("key.*").distinct(), "gone")
     gone = gone.groupBy("_id").agg(F.collect_set("_hash").alias("_gone"))
     left = spread.join(gone, "_id", "left").where(F.col("_gone").isNull() | ~F.array_contains("_gone", F.col("_hash")))
