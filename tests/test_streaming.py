@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from txnguard import adapters
 from txnguard.operators import ingest, joins, ml
 from txnguard.session import scratch_path
-from txnguard.sinks import dated
+from txnguard.sinks import dated, fs
 from txnguard.specs import CARD_BEHAVIOUR, CARD_TRANSACTIONS, TRANSFERS
 from txnguard.streaming import score as st
 
@@ -187,3 +187,13 @@ def test_unlabelled_records_are_scored(spark, sf):
              os.path.join(base, "ck"), available_now=True).awaitTermination()
     got = spark.read.parquet(os.path.join(base, "out")).collect()
     assert len(got) == 2 and all(r.fraud is None and 0 <= r.fraud_probability <= 1 for r in got)
+
+
+def test_records_land_compressed(spark, sf):
+    from txnguard.plans.q_streaming import write_records
+
+    path = write_records(spark, sf, CARD_TRANSACTIONS, scratch_path(spark, "records"))
+    files = [f for f in fs.list_files(spark, path) if f.startswith("part-")]
+    assert files and all(f.endswith(".gz") for f in files)
+    plain = ingest.encode_json(adapters.card_transactions(spark, sf, tags=True), CARD_TRANSACTIONS)
+    assert sorted(r.value for r in spark.read.text(path).collect()) == sorted(r.value for r in plain.collect())
