@@ -194,6 +194,6 @@ def test_records_land_compressed(spark, sf):
 
     path = write_records(spark, sf, CARD_TRANSACTIONS, scratch_path(spark, "records"))
     files = [f for f in fs.list_files(spark, path) if f.startswith("part-")]
-    assert files and all(f.endswith(".gz") for f in files)
+    assert files and all(f.endswith(".snappy") for f in files)
     plain = ingest.encode_json(adapters.card_transactions(spark, sf, tags=True), CARD_TRANSACTIONS)
     assert sorted(r.value for r in spark.read.text(path).collect()) == sorted(r.value for r in plain.collect())
