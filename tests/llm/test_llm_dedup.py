@@ -263,6 +263,29 @@ def test_every_subgroup_of_a_component_is_judged(spark):
         assert gone == {3 * g + k for g in range(40) for k in (1, 2)}
 
 
+def test_many_unlike_rows_of_a_component_take_few_rounds(spark, monkeypatch):
+    rng = random.Random(10)
+    rows = [(1, (i, i), [rng.getrandbits(62) for _ in range(5)]) for i in range(300)]
+    pending = spark.createDataFrame(rows, "root long, key struct<_id: long, _hash: long>, set array<long>")
+    written, write = [], simhash.materialise
+    monkeypatch.setattr(simhash, "materialise", lambda df, tag, **kw: written.append((tag, out := write(df, tag, **kw))) or out)
+    assert simhash.near_copies(pending, 0.8).isEmpty()
+    assert [t for t, _ in written].count("judged") <= 6
+
+
+def test_a_round_leaves_only_what_later_ones_read(spark, monkeypatch):
+    from txnguard.llm import common, components
+
+    left, delete = [], common.fs.delete
+    monkeypatch.setattr(common.fs, "delete", lambda s, path: left.append(path.rsplit("/", 1)[1].split("-")[0]) or delete(s, path))
+    with common.scratch_scope(spark):
+        edges = spark.createDataFrame([(i, i + 1) for i in range(9)], "a long, b long")
+        found = components.connected_components(edges)
+        assert "large" in left and "least" in left and "small" not in left
+        assert {tuple(r) for r in found.collect()} == {(i, 0) for i in range(10)}
+    assert "small" in left
+
+
 def test_settled_anchors_count_as_shared():
     rng = random.Random(11)
     passage = bytes(rng.randrange(97, 123) for _ in range(300))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from txnguard.llm.common import materialise
+from txnguard.llm.common import materialise, scratch_scope
 
 
 def _to_smallest(pairs: DataFrame, keep_self: bool) -> DataFrame:
@@ -37,8 +37,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         seen = sign
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        large = _to_smallest(both, False).where("a > b")
-        large = materialise(large.select(F.col("a").alias("u"), F.col("b").alias("v")), "large")
-        now = materialise(_to_smallest(large, True), "small")
+        with scratch_scope(now.sparkSession):  # of a round only its edges stay
+            large = _to_smallest(both, False).where("a > b")
+            large = materialise(large.select(F.col("a").alias("u"), F.col("b").alias("v")), "large")
+            now = materialise(_to_smallest(large, True), "small", keep=True)
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
