@@ -107,3 +107,11 @@ def test_comparison_reads_its_rows_once(spark):
     rows = rows.mapInArrow(count, rows.schema)
     got = ml.compare([("d", rows, ["a", "b"], "fraud")], ["naive_bayes", "gradient_boosting", "linear_svm"], 1, key_cols=["id"], gbt_iter=2)
     assert got.count() == 3 and seen.value == 2000
+
+
+def test_deep_forest_keeps_each_rows_node(spark):
+    rows = spark.range(600).selectExpr("CAST(id % 37 AS DOUBLE) AS a", "CAST(id % 11 AS DOUBLE) AS b", "CAST(hash(id) % 3 = 0 AS INT) AS fraud")
+    laid = ml.assemble(ml.training_layout(rows), ["a", "b"]).cache()
+    deep = ml.estimator("random_forest_deep", "fraud", 5)
+    assert deep.getCacheNodeIds()
+    assert deep.fit(laid).toDebugString.split("\n")[1:] == deep.copy({deep.cacheNodeIds: False}).fit(laid).toDebugString.split("\n")[1:]
