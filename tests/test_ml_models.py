@@ -115,3 +115,40 @@ def test_deep_forest_keeps_each_rows_node(spark):
     deep = ml.estimator("random_forest_deep", "fraud", 5)
     assert deep.getCacheNodeIds()
     assert deep.fit(laid).toDebugString.split("\n")[1:] == deep.copy({deep.cacheNodeIds: False}).fit(laid).toDebugString.split("\n")[1:]
+
+
+def test_forest_on_cells_is_a_forest_on_rows(spark):
+    rows = spark.range(20_000).selectExpr(
+        "id", "CAST(pmod(xxhash64(id), 50) AS FLOAT) AS many", "CAST(pmod(xxhash64(id, 1), 3) AS INT) AS few", "CAST(0 AS DOUBLE) AS same"
+    ).withColumn("fraud", F.expr("CAST(many > 40 AND few = 2 OR pmod(xxhash64(id, 2), 50) = 0 AS INT)"))
+    feats = ["many", "few", "same"]
+    args = [("d", rows, feats, "fraud")], ["random_forest_deep"], 3
+    on_cells, on_rows = (ml.compare(*args, key_cols=["id"], cell_rows=n).first() for n in (0, 10**9))
+    assert on_cells.tp + on_cells.fn == on_rows.tp + on_rows.fn and on_cells.tn + on_cells.fp == on_rows.tn + on_rows.fp
+    assert abs(on_cells.tp - on_rows.tp) <= 0.03 * on_rows.tp and abs(on_cells.fp - on_rows.fp) <= 20
+    assert ml.compare(*args, key_cols=["id"], cell_rows=0).first() == on_cells
+
+    # Copies are drawn by rows: their number in a cell varies as a sum of as many Poisson(1).
+    laid = ml.training_layout(rows.select(*feats, "fraud"))
+    counts, n = ml.value_counts(laid, feats)
+    assert n == 20_000 and len(counts[0]) == 50 and sum(counts[1].values()) == n
+    edges = ml._edges_of(counts, n, ml.BINS, ml.FINE_VALUES)
+    got = ml.cells(laid, feats, "fraud", edges, 10, 7).collect()
+    assert [len(e) for e in edges] == [49, 2, 0] and sum(r.weight for r in got) == n and len(got) == rows.select(*feats, "fraud").distinct().count()
+    z = [(r[f"copies{i}"] - r.weight) / r.weight**0.5 for r in got for i in range(10) if r.weight > 20]
+    assert abs(sum(z) / len(z)) < 0.15 and 0.85 < sum(x * x for x in z) / len(z) < 1.15
+
+
+def test_models_on_rows_are_scored_in_one_pass(spark):
+    rows = spark.range(3000).selectExpr("id", "CAST(id % 17 AS DOUBLE) AS a", "CAST(id % 5 AS INT) AS b", "CAST(hash(id) % 4 = 0 OR id % 17 > 11 AS INT) AS fraud")
+    kinds, feats = ["naive_bayes", "gradient_boosting", "logistic_regression", "random_forest_deep"], ["a", "b"]
+    got = {r.model: r for r in ml.compare([("d", rows, feats, "fraud")], kinds, 1, key_cols=["id"], gbt_iter=2).collect()}
+    tr, te = ml.stratified_split(rows, ["id"], "fraud", 0.8, 1)
+    plain = [F.col(f).cast("double").alias(f) for f in feats]
+    laid = ml.training_layout(tr.select(*plain, "fraud"))
+    for kind in kinds:
+        one = {"gbt_iter": 2} if kind == "gradient_boosting" else {}
+        model = ml.fit(ml.assemble(laid, feats), "fraud", 1, kind, **one)
+        alone = ml.metrics(ml.score(model, ml.assemble(te.select(*plain, "fraud"), feats))).first()
+        assert got[kind][2:] == tuple(alone), kind
+    assert list(got) == kinds
