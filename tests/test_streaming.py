@@ -197,3 +197,47 @@ def test_records_land_compressed(spark, sf):
     assert files and all(f.endswith(".snappy") for f in files)
     plain = ingest.encode_json(adapters.card_transactions(spark, sf, tags=True), CARD_TRANSACTIONS)
     assert sorted(r.value for r in spark.read.text(path).collect()) == sorted(r.value for r in plain.collect())
+
+
+def test_join_counts_and_rows_from_one_state(spark, monkeypatch):
+    base = scratch_path(spark, "one-state")
+    specs = [TRANSFERS, CARD_BEHAVIOUR, CARD_TRANSACTIONS]
+
+    def land(part, minutes):
+        for spec, held in zip(specs, minutes):
+            values = [('{"year":"2024","month":"03","day":"01","hour":"7","minute":"%d","transaction_id":"%s%d"}' % (m, part, i),) for i, m in enumerate(held)]
+            closing = ('{"year":"2024","month":"03","day":"%s","hour":"0","minute":"0"}' % {"a": "02", "b": "03"}[part],)
+            spark.createDataFrame([*values, closing, ("not json",)], "value string").coalesce(1).write.mode("append").text(os.path.join(base, spec.name))
+
+    parsed = []
+    real = F.from_json
+    monkeypatch.setattr(F, "from_json", lambda c, schema, *a: (parsed.append(schema.names), real(c, schema, *a))[1])
+    tables = {os.path.join(base, "counts"): st.counts_of, os.path.join(base, "rows"): lambda rows: rows.drop("n1", "n2", "n3")}
+
+    def run():
+        streams = [(st.read_stream(spark, "files", os.path.join(base, s.name)), s) for s in specs]
+        rows = st.join_rows_stream(streams, counts=True)
+        st.start_dated_sinks(rows, tables, os.path.join(base, "ck"), "one-state", available_now=True, ts_col="arrival").awaitTermination()
+        counts, rows = (dated.read(spark, t) for t in tables)
+        return (
+            sorted((r.arrival.minute, r.n1, r.n2, r.n3, r.n_joined) for r in counts.where("day(arrival) = 1").collect()),
+            sorted((r.transaction_id, r.arrival.minute, r.n_joined) for r in rows.where("day(arrival) = 1").collect()),
+        )
+
+    land("a", ([1, 1, 2, 5], [1, 2, 2, 2, 6], [1, 2, 2, 5, 6]))
+    first = [(1, 2, 1, 1, 2), (2, 1, 3, 2, 6)], [("a0", 1, 2), ("a1", 2, 3), ("a2", 2, 3)]
+    assert run() == first
+    assert all(set(p) <= {"year", "month", "day", "hour", "minute", "transaction_id", "customer_id"} for p in parsed) and parsed
+    assert run() == first
+    land("b", ([], [], []))
+    assert run() == first
+
+
+def test_fewer_fields_decode_alike(spark):
+    values = ['{"hour":"3","minute":"4","amt":"x","year":"2024"}', '{"hour":"3","amt":1.5,', "not json", '{"hour":3,"minute":[1],"bin":"z"}', '{"amt":2,"amt":3}', '{"hour":"3","bin":99999999999,"minute":"4"}', None, "{}"]
+    rows = spark.createDataFrame([(v, str(i)) for i, v in enumerate(values)], "value string, record_id string")
+    some = ["hour", "minute", "year", "amt"]
+    whole, few = (ingest.decode(rows, CARD_TRANSACTIONS, fields=f).select("record_id", "_raw", *some).collect() for f in (None, some))
+    assert few == whole
+    tags = ingest.decode(rows, CARD_TRANSACTIONS, fields=["hour", "minute"]).select("record_id", "hour", "minute").collect()
+    assert [tuple(r) for r in tags] == [(r.record_id, r.hour, r.minute) for r in whole]
